@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,15 +17,10 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def int_div(n, d: int) -> Column:
-    """Exact ``n div d`` for BIGINT ``n`` and a positive constant ``d``.
-
-    ``n - n % d`` is a multiple of ``d``; dividing it as DECIMAL is exact, where
-    a DOUBLE division would round above 2^53.
-    """
-    n = _c(n).cast("bigint")
-    whole = (n - F.pmod(n, F.lit(d))).cast("decimal(38,0)")
-    return (whole / F.lit(d).cast("decimal(38,0)")).cast("bigint")
+def int_div(n, d) -> Column:
+    """``n div d`` (SQL integral division, BIGINT, codegen'd)."""
+    d = F.lit(d) if isinstance(d, int) else _c(d)
+    return F.call_function("div", _c(n).cast("bigint"), d.cast("bigint"))
 
 
 def parse_human_count(s) -> Column:
@@ -40,7 +37,7 @@ def parse_human_count(s) -> Column:
         mult = F.when(suffix == suf, F.lit(m).cast("bigint")).otherwise(mult)
     base = F.when(digits != "", digits.cast("decimal(38,0)"))
     total = base * mult.cast("decimal(38,0)")
-    return F.when(total < F.lit(2 ** 63).cast("decimal(38,0)"), total.cast("bigint"))
+    return F.when(total < F.lit(Decimal(2 ** 63)).cast("decimal(38,0)"), total.cast("bigint"))
 
 
 def format_size(n) -> Column:

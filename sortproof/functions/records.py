@@ -9,6 +9,8 @@ Spark's ``BinaryType`` ordering.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,14 +81,14 @@ def hex_to_decimal(h) -> Column:
     h = F.lpad(_c(h), 32, "0")
     hi = F.conv(F.substring(h, 1, 16), 16, 10).cast("decimal(38,0)")
     lo = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(38,0)")
-    return (hi * F.lit(2 ** 64).cast("decimal(38,0)") + lo).cast("decimal(38,0)")
+    return (hi * F.lit(Decimal(2 ** 64)).cast("decimal(38,0)") + lo).cast("decimal(38,0)")
 
 
 def decimal_to_hex(n) -> Column:
     """A non-negative integral number as lower-case hex, no leading zeros."""
     n = _c(n).cast("decimal(38,0)")
-    two64 = F.lit(2 ** 64).cast("decimal(38,0)")
-    hi = F.floor(n / two64).cast("decimal(38,0)")
+    two64 = F.lit(Decimal(2 ** 64)).cast("decimal(38,0)")
+    hi = F.call_function("div", n, two64).cast("decimal(38,0)")
     lo = (n - hi * two64).cast("decimal(38,0)")
     lo_hex = F.conv(lo.cast("string"), 10, 16)
     hi_hex = F.conv(hi.cast("string"), 10, 16)
