@@ -80,18 +80,59 @@ def with_partition_position(sorted_df: DataFrame) -> DataFrame:
     return sorted_df.withColumn("pos", mono - F.shiftleft(part, 33))
 
 
-def global_position(sorted_df: DataFrame) -> DataFrame:
+def _offsets(counts: DataFrame) -> DataFrame:
+    """Exclusive running sum of per-partition counts (one row per partition)."""
+    w = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("pid", F.coalesce(F.sum("n").over(w), F.lit(0))
+                         .cast("bigint").alias("offset"))
+
+
+def global_position(sorted_df: DataFrame, counts: Optional[DataFrame] = None) -> DataFrame:
     """``global_pos`` = position in the total order.
 
     Needs ``pid`` and ``pos`` from ``total_order_sort(with_position=True)``.
     Per-partition counts are one row per partition (bounded by p); their
-    running sum is broadcast back, so the big side is never re-shuffled and
-    nothing goes through one task but the p counts.
+    running sum is broadcast back, so the big side is never re-shuffled.
+
+    ``pid`` must be reproducible in a second evaluation: true for the id-based
+    methods, not for ``range`` (its bounds come from a fresh sample), so use
+    ``sort_with_global_position`` there, which materialises the sort first.
     """
-    counts = sorted_df.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("pid", F.coalesce(F.sum("n").over(w), F.lit(0))
-                            .cast("bigint").alias("offset"))
-    return (sorted_df.join(F.broadcast(offsets), "pid")
+    if counts is None:
+        counts = sorted_df.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+    return (sorted_df.join(F.broadcast(_offsets(counts)), "pid")
                      .withColumn("global_pos", F.col("offset") + F.col("pos"))
                      .drop("offset"))
+
+
+def sort_with_global_position(df: DataFrame, num_partitions: Optional[int] = None,
+                              method: str = "sampled", key: str = "key",
+                              tie_breaker: Optional[Sequence[str]] = None,
+                              splits: Optional[Sequence[bytes]] = None,
+                              sample: Optional[DataFrame] = None) -> DataFrame:
+    """Total-order sort plus ``pid``, ``pos`` and ``global_pos``.
+
+    Id-based methods: the counts per partition are a partial aggregate of the
+    input (map-side combine, p rows shuffled), independent of the sort.
+    ``range``: the sorted result is checkpointed to the shared checkpoint
+    folder first, so counts and rows come from the same partitioning.
+    """
+    spark = df.sparkSession
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = num_partitions
+    if method == "range":
+        from sortproof.session import shared_dir
+        shared_dir(spark)
+        s = total_order_sort(df, p, "range", key, tie_breaker, with_position=True)
+        s = s.checkpoint(eager=True)
+        return global_position(s)
+    if method == "sampled" and splits is None:
+        if sample is None:
+            raise ValueError("method='sampled' needs splits or a sample")
+        splits = P.split_points(sample, p, "key")
+    with_pid = P.assign_partition(df, p, method, key, splits)
+    counts = with_pid.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+    s = with_partition_position(
+        P.route(with_pid, p).sortWithinPartitions(*_tie_columns(key, tie_breaker)))
+    return global_position(s, counts)

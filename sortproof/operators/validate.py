@@ -98,6 +98,17 @@ def misorders(df: DataFrame, key: str = "key", file: str = "file", pos: str = "p
 
 # F4 ---------------------------------------------------------------------------------
 
+def boundary_table(bounds: DataFrame) -> DataFrame:
+    """Every file with its predecessor's last key and a ``bad`` flag."""
+    w = Window.orderBy("file")
+    b = (bounds.withColumn("prev_file", F.lag("file").over(w))
+               .withColumn("prev_last_key", F.lag("last_key").over(w)))
+    bad = (F.coalesce(F.col("first_key") < F.col("prev_last_key"), F.lit(False)) |
+           (F.col("last_key") < F.col("first_key")))
+    return b.select("file", "prev_file", "prev_last_key", "first_key", "last_key",
+                    bad.alias("bad"))
+
+
 def boundary_errors(bounds: DataFrame) -> DataFrame:
     """Cross-file check over ``(file, first_key, last_key)``, files in name order.
 

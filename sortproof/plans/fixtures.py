@@ -61,4 +61,4 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("file"),
         F.col("event_id").alias("pos"),
         md5_key(F.col("user_id").cast("string")).alias("key"),
-        padded_value(F.col("event_id"), F.col("value")).alias("value"))
+        padded_value(F.col("event_id"), F.col("user_id"), F.col("event_type")).alias("value"))
