@@ -14,15 +14,21 @@ partition id), ``pos`` (position inside it; unique per file), ``key`` and
 
 from __future__ import annotations
 
-from typing import Optional
+from typing import Iterator, Optional
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sortproof.functions import records as R
 from sortproof.functions.counts import int_div
 
 DEFAULT_BLOCK_ROWS = 1_000_000
+# A run is closed once it holds this many rows, so its CRC sum fits a BIGINT.
+MAX_RUN_ROWS = 1 << 30
 
 
 def _norm(df: DataFrame, key: str, file: str, pos: str, value: Optional[str]) -> DataFrame:
@@ -96,6 +102,165 @@ def misorders(df: DataFrame, key: str = "key", file: str = "file", pos: str = "p
     return out.withColumn("detail", detail)
 
 
+# Single-pass scan (F1, F2, F5 in one read) ------------------------------------------
+
+RUN_SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType()),        # 'run' or 'misorder'
+    T.StructField("file", T.StringType()),
+    T.StructField("pos", T.LongType()),           # run: first pos; misorder: its pos
+    T.StructField("last_pos", T.LongType()),
+    T.StructField("prev_key", T.BinaryType()),    # misorder only
+    T.StructField("key", T.BinaryType()),         # run: first key
+    T.StructField("last_key", T.BinaryType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("crc", T.LongType()),
+])
+
+
+_RUN_ARROW = pa.schema([("kind", pa.string()), ("file", pa.string()), ("pos", pa.int64()),
+                        ("last_pos", pa.int64()), ("prev_key", pa.binary()),
+                        ("key", pa.binary()), ("last_key", pa.binary()),
+                        ("rows", pa.int64()), ("crc", pa.int64())])
+
+
+def _runs_batch(file, pos, last_pos, key, last_key, rows, crc) -> pa.RecordBatch:
+    n = len(pos)
+    return pa.RecordBatch.from_arrays([
+        pa.array(["run"] * n, pa.string()), file, pa.array(pos, pa.int64()),
+        pa.array(last_pos, pa.int64()), pa.nulls(n, pa.binary()), key, last_key,
+        pa.array(rows, pa.int64()), pa.array(crc, pa.int64())], schema=_RUN_ARROW)
+
+
+def _misorder_batch(file, pos, prev_key, key) -> pa.RecordBatch:
+    n = len(pos)
+    return pa.RecordBatch.from_arrays([
+        pa.array(["misorder"] * n, pa.string()), file, pa.array(pos, pa.int64()),
+        pa.nulls(n, pa.int64()), prev_key, key, pa.nulls(n, pa.binary()),
+        pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=_RUN_ARROW)
+
+
+def _one_run(r) -> pa.RecordBatch:
+    return _runs_batch(pa.array([r[0]], pa.string()), [r[1]], [r[2]],
+                       pa.array([r[3]], pa.binary()), pa.array([r[4]], pa.binary()),
+                       [r[5]], [r[6]])
+
+
+def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut each task's rows into runs of consecutive positions of one file.
+
+    Inside a run every key is compared with the one before it; each run is
+    reported as one summary row.  All of it is vectorised over the Arrow
+    batch; only the run left open at a batch end is carried as Python values.
+    A batch whose rows are not in (file, pos) order is sorted locally first,
+    so the result never depends on physical row order -- only the number of
+    runs does.
+    """
+    open_run = None  # [file, first_pos, last_pos, first_key, last_key, rows, crc]
+    for b in batches:
+        n = b.num_rows
+        if n == 0:
+            continue
+        t = pa.Table.from_batches([b])
+        files = t.column("file").combine_chunks()
+        pos = t.column("pos").to_numpy()
+        same = pc.equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+        after = pc.greater(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+        if not np.all(after | (same & (pos[1:] > pos[:-1]))):
+            t = t.take(pc.sort_indices(t, sort_keys=[("file", "ascending"),
+                                                     ("pos", "ascending")]))
+            files = t.column("file").combine_chunks()
+            pos = t.column("pos").to_numpy()
+            same = pc.equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+        keys = t.column("key").combine_chunks()
+        crc = t.column("crc").to_numpy()
+        cont = same & (pos[1:] == pos[:-1] + 1)
+        out = []
+        lt = pc.less(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        bad = np.flatnonzero(cont & lt) + 1
+        if len(bad):
+            out.append(_misorder_batch(files.take(bad), pos[bad], keys.take(bad - 1),
+                                       keys.take(bad)))
+        starts = np.flatnonzero(np.concatenate([[True], ~cont]))
+        ends = np.concatenate([starts[1:], [n]]) - 1
+        sums = np.add.reduceat(crc, starts)
+        rows = ends - starts + 1
+        first = 0
+        if open_run is not None:
+            f0, p0, k0 = files[0].as_py(), int(pos[0]), keys[0].as_py()
+            if (open_run[0] == f0 and open_run[2] + 1 == p0
+                    and open_run[5] + int(rows[0]) <= MAX_RUN_ROWS):
+                if k0 < open_run[4]:
+                    out.append(_misorder_batch(pa.array([f0], pa.string()), [p0],
+                                               pa.array([open_run[4]], pa.binary()),
+                                               pa.array([k0], pa.binary())))
+                e0 = int(ends[0])
+                open_run[2], open_run[4] = int(pos[e0]), keys[e0].as_py()
+                open_run[5] += int(rows[0])
+                open_run[6] += int(sums[0])
+                first = 1
+            if first < len(starts):
+                out.append(_one_run(open_run))
+                open_run = None
+        last = len(starts) - 1
+        if first <= last:
+            if first < last:
+                sel = slice(first, last)
+                st, en = starts[sel], ends[sel]
+                out.append(_runs_batch(files.take(st), pos[st], pos[en], keys.take(st),
+                                       keys.take(en), rows[sel], sums[sel]))
+            a, z = int(starts[last]), int(ends[last])
+            open_run = [files[a].as_py(), int(pos[a]), int(pos[z]), keys[a].as_py(),
+                        keys[z].as_py(), int(rows[last]), int(sums[last])]
+        for o in out:
+            yield o
+    if open_run is not None:
+        yield _one_run(open_run)
+
+
+def scan_runs(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
+              value: Optional[str] = "value", columns: str = "record",
+              materialize: bool = True) -> DataFrame:
+    """One read of the records -> runs and in-run misorders.
+
+    The CRC is computed in the JVM before the Arrow hand-off; the per-batch
+    helper only compares neighbours and cuts runs.  The result is small (one
+    row per run of consecutive positions, plus one per misorder).  With
+    ``materialize`` it is checkpointed to the shared checkpoint folder, so the
+    checks built on it never scan the records again.
+    """
+    d = _norm(df, key, file, pos, value if columns == "record" else None)
+    d = d.select("file", "pos", "key", _crc(columns).alias("crc"))
+    runs = d.mapInArrow(_scan_runs, RUN_SCHEMA)
+    if materialize:
+        from sortproof.session import shared_dir
+        shared_dir(df.sparkSession)
+        runs = runs.checkpoint(eager=True)
+    return runs
+
+
+def summary_from_runs(runs: DataFrame) -> DataFrame:
+    """``(file, rows, first_key, last_key, checksum)`` from ``scan_runs``."""
+    r = runs.where(F.col("kind") == "run")
+    return r.groupBy("file").agg(
+        F.sum("rows").alias("rows"),
+        F.min_by("key", "pos").alias("first_key"),
+        F.max_by("last_key", "last_pos").alias("last_key"),
+        F.sum(F.col("crc").cast("decimal(38,0)")).cast("decimal(38,0)").alias("checksum"))
+
+
+def misorders_from_runs(runs: DataFrame) -> DataFrame:
+    """In-run misorders plus run edges, as ``misorders`` returns them."""
+    inner = runs.where(F.col("kind") == "misorder").select("file", "pos", "prev_key", "key")
+    r = runs.where(F.col("kind") == "run")
+    w = Window.partitionBy("file").orderBy("pos")
+    edges = (r.withColumn("prev_key", F.lag("last_key").over(w))
+              .where(F.col("key") < F.col("prev_key"))
+              .select("file", "pos", "prev_key", "key"))
+    detail = F.concat(F.lit("misorder in "), F.col("file"), F.lit(" between "),
+                      R.spaced_hex("prev_key"), F.lit(" and "), R.spaced_hex("key"))
+    return inner.unionByName(edges).withColumn("detail", detail)
+
+
 # F4 ---------------------------------------------------------------------------------
 
 def boundary_table(bounds: DataFrame) -> DataFrame:
@@ -187,17 +352,29 @@ def partition_checks(summary: DataFrame) -> DataFrame:
 
 def validate(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
              value: Optional[str] = "value", columns: str = "record",
-             block_rows: int = DEFAULT_BLOCK_ROWS, raise_on_error: bool = False) -> DataFrame:
+             block_rows: int = DEFAULT_BLOCK_ROWS, raise_on_error: bool = False,
+             method: str = "scan") -> DataFrame:
     """The validation report (F12): ``(kind, file, detail)``.
 
     All misorder and boundary errors as ``kind='error'`` rows; when there are
     none, a single ``kind='checksum'`` row with the checksum in hex.  With
     ``raise_on_error`` the report is evaluated and a ``ValueError`` raised if it
     holds errors (F13).
+
+    ``method='scan'`` (default) reads the records once and shuffles only run
+    summaries; ``method='window'`` is the plain SQL form (a window over
+    ``(file, block)``, which shuffles every key).
     """
-    summary = file_summary(df, key, file, pos, value, columns)
-    mis = misorders(df, key, file, pos, block_rows).select(
-        F.lit("error").alias("kind"), "file", "detail")
+    if method == "scan":
+        runs = scan_runs(df, key, file, pos, value, columns)
+        summary = summary_from_runs(runs)
+        mis = misorders_from_runs(runs)
+    elif method == "window":
+        summary = file_summary(df, key, file, pos, value, columns)
+        mis = misorders(df, key, file, pos, block_rows)
+    else:
+        raise ValueError("method must be 'scan' or 'window'")
+    mis = mis.select(F.lit("error").alias("kind"), "file", "detail")
     bnd = boundary_errors(summary).select(F.lit("error").alias("kind"), "file", "detail")
     errors = mis.unionByName(bnd)
     total = summary.agg(F.coalesce(F.sum("checksum"), F.lit(0)).cast("decimal(38,0)")

@@ -255,6 +255,15 @@ def validate_report(spark, sf_dir):
     return V.validate(X.event_records(spark, sf_dir))
 
 
+def validate_report_window(spark, sf_dir):
+    return V.validate(X.event_records(spark, sf_dir), method="window")
+
+
+def misorder_scan(spark, sf_dir):
+    m = V.misorders_from_runs(V.scan_runs(X.event_records(spark, sf_dir)))
+    return m.select("file", "pos", _hex("prev_key", "prev_key"), _hex("key", "key"), "detail")
+
+
 def _part_name(pid_col):
     return F.format_string("part-%05d", F.col(pid_col))
 
@@ -342,6 +351,8 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_summary": partition_summary,
         "partition_checks": partition_checks,
         "validate_report": validate_report,
+        "validate_report_window": validate_report_window,
+        "misorder_scan": misorder_scan,
         "validate_sorted": validate_sorted,
         "checksum_compare": checksum_compare,
         "fixed_scan_roundtrip": fixed_scan_roundtrip,

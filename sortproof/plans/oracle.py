@@ -395,4 +395,6 @@ g AS (SELECT substr(s, 1, 20) || {BINARY_VALUE_HEX} AS rec
       FROM orders JOIN lcg ON n = o_orderkey)
 SELECT 'checksum' AS kind, CAST(NULL AS VARCHAR) AS file,
        lower(hex(CAST(sum({crc32_hex('rec')}) AS HUGEINT))) AS detail FROM g"""
+    sql["validate_report_window"] = sql["validate_report"]
+    sql["misorder_scan"] = sql["misorder_in_file"]
     return {k: v.strip() for k, v in sql.items()}
