@@ -54,25 +54,18 @@ def prefix3_partition(key, num_partitions: int) -> Column:
 
 # D4 ---------------------------------------------------------------------------
 
-def range_partition(key, splits: Sequence[bytes]) -> Column:
-    """Number of split points <= key: the upper-bound rule of the range partitioner.
-
-    ``splits`` must be sorted.  Small p: a linear count with ``filter``; large
-    p: a binary search unrolled into ``aggregate`` over ceil(log2(p)) steps.
-    """
-    k = _c(key)
-    m = len(splits)
-    if m == 0:
-        return F.lit(0)
-    arr = F.array(*[F.lit(bytes(s)) for s in splits])
+def _count_splits(k: Column, arr: Column, m: int, strict: bool) -> Column:
+    """Number of split points < k (``strict``) or <= k."""
+    def below(x):
+        return x < k if strict else x <= k
     if m <= LINEAR_SEARCH_MAX:
-        return F.size(F.filter(arr, lambda s: s <= k)).cast("int")
+        return F.size(F.filter(arr, below)).cast("int")
     steps = max(1, m.bit_length())
 
     def step(acc, _):
         lo, hi = acc["lo"], acc["hi"]
         mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = F.element_at(arr, mid + 1) <= k
+        go_right = below(F.element_at(arr, mid + 1))
         return F.when(lo >= hi, acc).otherwise(
             F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
              .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
@@ -81,6 +74,45 @@ def range_partition(key, splits: Sequence[bytes]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"].cast("int")
 
 
+def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None) -> Column:
+    """Number of split points <= key: the upper-bound rule of the range partitioner.
+
+    ``splits`` must be sorted.  Small p: a linear count with ``filter``; large
+    p: a binary search unrolled into ``aggregate`` over ceil(log2(p)) steps.
+
+    Hot keys: a key equal to c >= 2 split points (it fills whole partitions of
+    the sample) would leave c-1 partitions empty and put all its rows in one.
+    With a ``salt`` (a deterministic per-row hash) its rows are spread over
+    those c partitions instead -- they hold only that key, and ties have no
+    fixed order, so the total order holds.  Keys equal to one split point keep
+    the upper-bound rule.
+    """
+    k = _c(key)
+    m = len(splits)
+    if m == 0:
+        return F.lit(0)
+    arr = F.array(*[F.lit(bytes(s)) for s in splits])
+    upper = _count_splits(k, arr, m, strict=False)
+    if salt is None:
+        return upper
+    lower = _count_splits(k, arr, m, strict=True)
+    equal = upper - lower
+    return F.when(equal <= 1, upper).otherwise(
+        lower + 1 + F.pmod(salt, equal.cast("bigint")).cast("int")).cast("int")
+
+
+def row_salt(df: DataFrame, columns: Optional[Sequence[str]] = None) -> Column:
+    """Deterministic per-row salt: xxhash64 of the given (default: all) columns.
+
+    Recomputing a task gives the same salt, so a retried task routes every row
+    exactly as before.  Rows that are complete copies share a salt; give a
+    position column (e.g. ``file``, ``pos`` from the record source) to split
+    those too.
+    """
+    cols = list(columns) if columns else df.columns
+    return F.xxhash64(*[F.col(c) for c in cols])
+
+
 # D1 ---------------------------------------------------------------------------
 
 def file_blocks(file_rows: DataFrame, block_rows: int, file: str = "file",
@@ -195,8 +227,13 @@ def split_points(sample: DataFrame, num_partitions: int, key: str = "key") -> li
 
 def assign_partition(df: DataFrame, num_partitions: int, method: str = "prefix7",
                      key: str = "key", splits: Optional[Sequence[bytes]] = None,
-                     out: str = "pid") -> DataFrame:
-    """Add the partition id column for ``method`` in prefix7 | prefix3 | sampled."""
+                     out: str = "pid", salt_columns: Optional[Sequence[str]] = None,
+                     spread_hot_keys: bool = True) -> DataFrame:
+    """Add the partition id column for ``method`` in prefix7 | prefix3 | sampled.
+
+    For ``sampled``, keys equal to split points are spread over the partitions
+    reserved for them (see ``range_partition``) unless ``spread_hot_keys`` is off.
+    """
     if method == "prefix7":
         pid = prefix7_partition(key, num_partitions)
     elif method == "prefix3":
@@ -204,7 +241,8 @@ def assign_partition(df: DataFrame, num_partitions: int, method: str = "prefix7"
     elif method == "sampled":
         if splits is None:
             raise ValueError("method='sampled' needs split points")
-        pid = range_partition(key, splits)
+        salt = row_salt(df, salt_columns) if spread_hot_keys else None
+        pid = range_partition(key, splits, salt)
     else:
         raise ValueError(f"unknown partition method {method!r}")
     return df.withColumn(out, pid)

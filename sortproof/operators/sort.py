@@ -33,7 +33,8 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
                      tie_breaker: Optional[Sequence[str]] = None,
                      splits: Optional[Sequence[bytes]] = None,
                      sample: Optional[DataFrame] = None,
-                     with_position: bool = False) -> DataFrame:
+                     with_position: bool = False,
+                     salt_columns: Optional[Sequence[str]] = None) -> DataFrame:
     """Sort ``df`` by ``key`` across ``num_partitions`` ordered partitions.
 
     Adds ``pid`` (the output partition) and, with ``with_position``, ``pos``
@@ -42,6 +43,10 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
 
     For ``method='sampled'`` give either ``splits`` (sorted bytes) or a
     ``sample`` DataFrame with a ``key`` column (e.g. from ``block_sample``).
+
+    Skew: ``range`` and ``sampled`` spread a hot key over several partitions
+    using a deterministic row hash (``salt_columns``, default all columns);
+    ``prefix7`` / ``prefix3`` cannot, by definition, split a hot prefix.
     """
     spark = df.sparkSession
     if num_partitions is None:
@@ -51,15 +56,21 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
         raise ValueError("num_partitions must be >= 1")
     order = _tie_columns(key, tie_breaker)
     if method == "range":
-        out = (df.repartitionByRange(p, *order)
-                 .sortWithinPartitions(*order)
-                 .withColumn("pid", F.spark_partition_id()))
+        # Range bounds over (key, salt): a key holding a large share of the
+        # rows is cut across several partitions instead of one task.
+        salted = df.withColumn("_salt", P.row_salt(df, salt_columns))
+        bound = order + [F.col("_salt")]
+        out = (salted.repartitionByRange(p, *bound)
+                     .sortWithinPartitions(*order)
+                     .drop("_salt")
+                     .withColumn("pid", F.spark_partition_id()))
     elif method in ("prefix7", "prefix3", "sampled"):
         if method == "sampled" and splits is None:
             if sample is None:
                 raise ValueError("method='sampled' needs splits or a sample")
             splits = P.split_points(sample, p, "key")
-        routed = P.route(P.assign_partition(df, p, method, key, splits), p)
+        routed = P.route(P.assign_partition(df, p, method, key, splits,
+                                            salt_columns=salt_columns), p)
         out = routed.sortWithinPartitions(*order)
     else:
         raise ValueError(f"unknown sort method {method!r}; use one of {METHODS}")

@@ -130,3 +130,20 @@ def test_scan_single_exchange(spark, recs):
     plan = rep._jdf.queryExecution().executedPlan().toString()
     # the run table was materialised once; the checks read it, not the records
     assert "MapInArrow" not in plan and "Sort [key" not in plan
+
+
+@pytest.mark.parametrize("method", ["range", "sampled"])
+def test_hot_key_is_spread(spark, method):
+    # a third of the rows share one key; the rest are distinct
+    hot = spark.range(0, 6000).select(F.lit(b"\x80" * 10).alias("key"),
+                                      F.format_string("%090d", "id").cast("binary").alias("value"))
+    rest = G.generate_records(spark, 12000, num_partitions=4).select("key", "value")
+    df = hot.unionByName(rest)
+    sample = df.select("key") if method == "sampled" else None
+    s = S.total_order_sort(df, 8, method, sample=sample, with_position=True).cache()
+    sizes = [r["count"] for r in s.groupBy("pid").count().collect()]
+    assert sum(sizes) == 18000 and max(sizes) < 6000
+    rep = V.validate(s.withColumn("file", F.format_string("part-%05d", "pid")))
+    assert [r.kind for r in rep.collect()] == ["checksum"]
+    assert V.compare_checksums(df, s).collect()[0].equal
+    s.unpersist()
