@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workflow this toolkit reproduces (generate, totally sort, validate) is
+bounded batch only -- there are no watermarks, event-time windows, late data
+or stateful operators to carry over, so no streaming operator is provided.
+"""
