@@ -30,6 +30,7 @@ HEX_DIGITS = b"0123456789ABCDEF"
 # -----------------------------------------------------------------------------
 
 _HEX = np.frombuffer(HEX_DIGITS, dtype=np.uint8)
+ROWS_PER_TASK = 5_000_000
 
 
 def _nibble(limbs, p: int) -> np.ndarray:
@@ -133,8 +134,9 @@ def generate_records(spark: SparkSession, num_rows: int, start: int = 0,
     if num_rows < 0 or start < 0:
         raise ValueError("num_rows and start must be non-negative")
     if num_partitions is None:
-        num_partitions = max(1, min(spark.sparkContext.defaultParallelism * 4,
-                                    -(-num_rows // 1_000_000)))
+        # about 500 MB of records per task, and at least one task per core
+        num_partitions = max(spark.sparkContext.defaultParallelism,
+                             -(-num_rows // ROWS_PER_TASK))
     base = spark.range(start, start + num_rows, 1, num_partitions)
     return with_records(base, "id", ascii).select(F.col("id").alias("row"), "key", "value")
 

@@ -177,6 +177,27 @@ def block_sample(df: DataFrame, file_rows: DataFrame, block_rows: int,
                 .select("file", "block", "pos", "key"))
 
 
+def file_block_sample(spark, path: str, block_rows: Optional[int] = None,
+                      num_samples: int = DEFAULT_SAMPLE_BLOCKS,
+                      sample_size: int = DEFAULT_SAMPLE_SIZE,
+                      record_length: int = R.RECORD_LENGTH) -> DataFrame:
+    """Systematic block sample of a fixed-record dataset, reading only the sample.
+
+    Blocks default to the reader's input splits (128 MB of records).  The
+    chosen-block list (at most ``num_samples`` rows) is collected and handed
+    to the reader as byte ranges, so at most ``sample_size`` records are read.
+    Returns ``(file, block, pos, key)``.
+    """
+    from sortproof.sources import fixed_record as FR
+    if block_rows is None:
+        block_rows = max(1, FR.DEFAULT_SPLIT_BYTES // record_length)
+    files = FR.file_record_counts(spark, path, record_length)
+    chosen = sampled_blocks(files, block_rows, num_samples, sample_size).collect()
+    ranges = [(r["file"], r["block"] * block_rows, min(r["take"], block_rows)) for r in chosen]
+    recs = FR.read_fixed_records(spark, path, record_length=record_length, ranges=ranges)
+    return recs.select("file", int_div(F.col("pos"), block_rows).alias("block"), "pos", "key")
+
+
 # D2, D3, E6 -----------------------------------------------------------------------
 
 def split_point_table(sample: DataFrame, num_partitions: int, key: str = "key") -> DataFrame:

@@ -300,6 +300,13 @@ def file_order(spark, sf_dir):
     return r.select(file_no.alias("file_no"), "pos", _hex("key", "key_hex"))
 
 
+def file_block_sample(spark, sf_dir):
+    path = _written_sorted_orders(spark, sf_dir)
+    s = PT.file_block_sample(spark, path, Q.BLOCK_ROWS, Q.SAMPLE_BLOCKS, Q.SAMPLE_SIZE)
+    file_no = F.regexp_extract("file", r"part-(\d+)$", 1).cast("int")
+    return s.select(file_no.alias("file_no"), "block", "pos", _hex("key", "key_hex"))
+
+
 def dataset_inventory(spark, sf_dir):
     inv = INV.inventory(spark, _written_sorted_orders(spark, sf_dir))
     return inv.where(F.col("records") > 0).select(
@@ -358,5 +365,6 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fixed_scan_roundtrip": fixed_scan_roundtrip,
         "file_order": file_order,
         "dataset_inventory": dataset_inventory,
+        "file_block_sample": file_block_sample,
         "gen_sorted_report": gen_sorted_report,
     }

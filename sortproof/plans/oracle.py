@@ -395,6 +395,22 @@ g AS (SELECT substr(s, 1, 20) || {BINARY_VALUE_HEX} AS rec
       FROM orders JOIN lcg ON n = o_orderkey)
 SELECT 'checksum' AS kind, CAST(NULL AS VARCHAR) AS file,
        lower(hex(CAST(sum({crc32_hex('rec')}) AS HUGEINT))) AS detail FROM g"""
+    b, k, z = Q.BLOCK_ROWS, Q.SAMPLE_BLOCKS, Q.SAMPLE_SIZE
+    sql["file_block_sample"] = f"""
+WITH {_pid_recs('prefix7')},
+pp AS (SELECT pid, key, row_number() OVER (PARTITION BY pid ORDER BY key) - 1 AS pos FROM pr),
+fc AS (SELECT pid, (count(*) + {b - 1}) // {b} AS nb FROM pr GROUP BY pid),
+fb AS (
+  SELECT pid, nb,
+         coalesce(sum(nb) OVER (ORDER BY pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS first_block, sum(nb) OVER () AS total FROM fc
+),
+sp AS (SELECT pid, first_block, least({k}, total) AS samples, total // least({k}, total) AS step
+       FROM fb)
+SELECT pp.pid AS file_no, (pp.pos // {b})::BIGINT AS block, pp.pos::BIGINT AS pos, pp.key AS key_hex
+FROM pp JOIN sp USING (pid)
+WHERE (first_block + pp.pos // {b}) % step = 0 AND (first_block + pp.pos // {b}) // step < samples
+  AND pp.pos % {b} < least({b}, {z} // samples)"""
     sql["validate_report_window"] = sql["validate_report"]
     sql["misorder_scan"] = sql["misorder_in_file"]
     return {k: v.strip() for k, v in sql.items()}

@@ -18,6 +18,7 @@ File access goes through ``pyarrow.fs`` (local, HDFS, S3, GCS, ...).
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
 from dataclasses import dataclass
@@ -83,10 +84,13 @@ class FixedRecordReader(DataSourceReader):
         self.key_length = int(options.get("key_length", R.KEY_LENGTH))
         self.record_length = int(options.get("record_length", R.RECORD_LENGTH))
         self.split_bytes = int(options.get("split_bytes", DEFAULT_SPLIT_BYTES))
+        self.ranges = json.loads(options.get("ranges", "null"))
         if not 0 < self.key_length <= self.record_length:
             raise ValueError("need 0 < key_length <= record_length")
 
     def partitions(self) -> List[InputPartition]:
+        if self.ranges is not None:
+            return self._range_partitions()
         per_split = max(1, self.split_bytes // self.record_length)
         parts: List[InputPartition] = []
         for path, size in list_files(self.path):
@@ -102,6 +106,20 @@ class FixedRecordReader(DataSourceReader):
                 parts.append(RecordRange(path, first, count, tail if last else 0))
         return parts
 
+    def _range_partitions(self) -> List[InputPartition]:
+        """Only the given ``[file, first record, count]`` ranges (e.g. sampled blocks)."""
+        sizes = dict(list_files(self.path))
+        parts: List[InputPartition] = []
+        for path, first, count in self.ranges:
+            if path not in sizes:
+                raise FileNotFoundError(f"{path} is not a data file under {self.path}")
+            n = sizes[path] // self.record_length
+            first = max(0, int(first))
+            count = max(0, min(int(count), n - first))
+            if count:
+                parts.append(RecordRange(path, first, count, 0))
+        return parts
+
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         from sortproof.operators.generate import fixed_binary_array
         if partition.tail:
@@ -249,12 +267,31 @@ def register(spark: SparkSession) -> None:
 
 def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_LENGTH,
                        record_length: int = R.RECORD_LENGTH,
-                       split_bytes: int = DEFAULT_SPLIT_BYTES) -> DataFrame:
-    """``(key, value, file, pos)`` of every record under ``path``."""
+                       split_bytes: int = DEFAULT_SPLIT_BYTES,
+                       ranges=None) -> DataFrame:
+    """``(key, value, file, pos)`` of every record under ``path``.
+
+    ``ranges``: optional list of ``(file, first_record, count)`` to read only
+    those records (the sampler reads a few blocks, not the dataset).
+    """
     register(spark)
-    return (spark.read.format(FORMAT)
-            .option("key_length", key_length).option("record_length", record_length)
-            .option("split_bytes", split_bytes).load(path))
+    r = (spark.read.format(FORMAT)
+         .option("key_length", key_length).option("record_length", record_length)
+         .option("split_bytes", split_bytes))
+    if ranges is not None:
+        r = r.option("ranges", json.dumps([[f, int(a), int(n)] for f, a, n in ranges]))
+    return r.load(path)
+
+
+def file_record_counts(spark: SparkSession, path: str,
+                       record_length: int = R.RECORD_LENGTH) -> DataFrame:
+    """``(file, rows)`` per data file, from the listing only (no data read).
+
+    The listing is the same metadata pass every Spark file source makes on
+    the driver; the result has one row per file.
+    """
+    rows = [(f, size // record_length) for f, size in list_files(path)]
+    return spark.createDataFrame(rows, "file string, rows bigint")
 
 
 def write_fixed_records(df: DataFrame, path: str, mode: str = "errorifexists",

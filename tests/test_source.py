@@ -69,3 +69,25 @@ def test_wrong_width_rejected(spark, out_dir):
     df = spark.createDataFrame([(b"short", b"v" * 90)], "key binary, value binary")
     with pytest.raises(Exception, match="must be 10 bytes"):
         FR.write_fixed_records(df, out_dir)
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    from sortproof import jobs
+    gen, srt, rep = (str(tmp_path / x) for x in ("gen", "sorted", "report"))
+    got = jobs.generate_job(spark, 1000, gen, num_partitions=3)
+    assert got == {"rows": 1000, "checksum": 0x1f9ffe645ec}
+    for method, sub in (("range", "a"), ("sampled", "b"), ("prefix7", "c")):
+        out = f"{srt}-{sub}"
+        jobs.sort_job(spark, gen, out, num_partitions=4, method=method, sample_size=400)
+        report = jobs.validate_job(spark, out, report_path=f"{rep}-{sub}").collect()
+        assert [(r.kind, r.detail) for r in report] == [("checksum", "1f9ffe645ec")]
+    assert os.path.exists(f"{rep}-a/_SUCCESS")
+
+
+def test_file_block_sample_reads_only_sample(spark, out_dir):
+    from sortproof.operators import partition as P
+    FR.write_fixed_records(G.generate_records(spark, 5000, num_partitions=5), out_dir)
+    s = P.file_block_sample(spark, out_dir, block_rows=100, num_samples=10, sample_size=200)
+    # 50 blocks -> every 5th block, 20 records each; only those ranges are read
+    assert s.count() == 200
+    assert sorted({(r.block) for r in s.collect()}) == [0, 5]  # blocks per file of 1000 rows
