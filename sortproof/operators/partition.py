@@ -23,10 +23,6 @@ PREFIX7_MAX = (1 << 56) - 1
 PREFIX3_SPAN = 1 << 24
 # -----------------------------------------------------------------------------
 
-# Above this many split points the id is found by binary search instead of a
-# linear count over the split array.
-LINEAR_SEARCH_MAX = 32
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -54,18 +50,33 @@ def prefix3_partition(key, num_partitions: int) -> Column:
 
 # D4 ---------------------------------------------------------------------------
 
-def _count_splits(k: Column, arr: Column, m: int, strict: bool) -> Column:
-    """Number of split points < k (``strict``) or <= k."""
-    def below(x):
-        return x < k if strict else x <= k
-    if m <= LINEAR_SEARCH_MAX:
-        return F.size(F.filter(arr, below)).cast("int")
+# Up to this many split points the lookup is a balanced CASE WHEN tree (depth
+# log2(p), fully inside whole-stage codegen); above it, a binary search in
+# ``aggregate`` keeps the expression small.
+TREE_SEARCH_MAX = 4096
+
+
+def _tree(k: Column, splits: Sequence[bytes], lo: int, hi: int) -> Column:
+    """Count of splits <= k, knowing it lies in [lo, hi]."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.lit(bytes(splits[mid])) <= k, _tree(k, splits, mid + 1, hi)) \
+            .otherwise(_tree(k, splits, lo, mid))
+
+
+def _count_splits(k: Column, splits: Sequence[bytes]) -> Column:
+    """Number of split points <= k."""
+    m = len(splits)
+    if m <= TREE_SEARCH_MAX:
+        return _tree(k, splits, 0, m).cast("int")
+    arr = F.array(*[F.lit(bytes(s)) for s in splits])
     steps = max(1, m.bit_length())
 
     def step(acc, _):
         lo, hi = acc["lo"], acc["hi"]
         mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = below(F.element_at(arr, mid + 1))
+        go_right = F.element_at(arr, mid + 1) <= k
         return F.when(lo >= hi, acc).otherwise(
             F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
              .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
@@ -74,31 +85,42 @@ def _count_splits(k: Column, arr: Column, m: int, strict: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"].cast("int")
 
 
+def hot_split_keys(splits: Sequence[bytes]) -> dict:
+    """Split values that occur c >= 2 times: ``{key: (first index, c)}``."""
+    out = {}
+    for i, s in enumerate(splits):
+        s = bytes(s)
+        if s in out:
+            out[s] = (out[s][0], out[s][1] + 1)
+        else:
+            out[s] = (i, 1)
+    return {k: v for k, v in out.items() if v[1] >= 2}
+
+
 def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None) -> Column:
     """Number of split points <= key: the upper-bound rule of the range partitioner.
 
-    ``splits`` must be sorted.  Small p: a linear count with ``filter``; large
-    p: a binary search unrolled into ``aggregate`` over ceil(log2(p)) steps.
+    ``splits`` must be sorted.  The lookup is a balanced CASE WHEN tree
+    (codegen'd, log2(p) comparisons per row); very large p use a binary
+    search in ``aggregate``.
 
     Hot keys: a key equal to c >= 2 split points (it fills whole partitions of
     the sample) would leave c-1 partitions empty and put all its rows in one.
     With a ``salt`` (a deterministic per-row hash) its rows are spread over
     those c partitions instead -- they hold only that key, and ties have no
     fixed order, so the total order holds.  Keys equal to one split point keep
-    the upper-bound rule.
+    the upper-bound rule.  The salt is only evaluated for hot-key rows.
     """
     k = _c(key)
-    m = len(splits)
-    if m == 0:
+    if len(splits) == 0:
         return F.lit(0)
-    arr = F.array(*[F.lit(bytes(s)) for s in splits])
-    upper = _count_splits(k, arr, m, strict=False)
+    pid = _count_splits(k, splits)
     if salt is None:
-        return upper
-    lower = _count_splits(k, arr, m, strict=True)
-    equal = upper - lower
-    return F.when(equal <= 1, upper).otherwise(
-        lower + 1 + F.pmod(salt, equal.cast("bigint")).cast("int")).cast("int")
+        return pid
+    for hk, (first, c) in hot_split_keys(splits).items():
+        pid = F.when(k == F.lit(hk), F.lit(first + 1) + F.pmod(salt, F.lit(c)).cast("int")) \
+               .otherwise(pid)
+    return pid.cast("int")
 
 
 def row_salt(df: DataFrame, columns: Optional[Sequence[str]] = None) -> Column:

@@ -36,7 +36,7 @@ from sortproof.functions import records as R
 FORMAT = "fixed_record"
 SCHEMA = "key binary, value binary, file string, pos bigint"
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
-READ_CHUNK_RECORDS = 16384
+READ_CHUNK_RECORDS = 65536
 
 
 def _fs(path: str):

@@ -50,7 +50,7 @@ def test_extreme_keys(spark):
         assert got == [3, 0, 3, 0]
 
 
-def test_binary_search_equals_linear(spark):
+def test_binary_search_equals_linear(spark, monkeypatch):
     rnd = random.Random(7)
     splits = sorted({bytes(rnd.getrandbits(8) for _ in range(3)) for _ in range(200)})
     keys = [bytes(rnd.getrandbits(8) for _ in range(rnd.randint(0, 4))) for _ in range(2000)]
@@ -62,6 +62,20 @@ def test_binary_search_equals_linear(spark):
     few = splits[:5]
     got = [r.pid for r in df.select(P.range_partition("key", few).alias("pid")).collect()]
     assert got == [bisect.bisect_right(few, k) for k in keys]
+    monkeypatch.setattr(P, "TREE_SEARCH_MAX", 8)  # the aggregate() search for huge p
+    got = [r.pid for r in df.select(P.range_partition("key", splits).alias("pid")).collect()]
+    assert got == [bisect.bisect_right(splits, k) for k in keys]
+
+
+def test_hot_split_keys_spread(spark):
+    splits = [b"\x10", b"\x20", b"\x20", b"\x20", b"\x30"]
+    assert P.hot_split_keys(splits) == {b"\x20": (1, 3)}
+    df = spark.range(300).select(F.lit(b"\x20").alias("key"), F.col("id"))
+    pids = {r.pid for r in df.select(P.range_partition("key", splits, F.xxhash64("id"))
+                                     .alias("pid")).collect()}
+    assert pids == {2, 3, 4}
+    # without a salt: the upper-bound rule
+    assert {r.pid for r in df.select(P.range_partition("key", splits).alias("pid")).collect()} == {4}
 
 
 def test_route_clamps(spark):
