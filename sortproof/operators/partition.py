@@ -268,6 +268,17 @@ def split_points(sample: DataFrame, num_partitions: int, key: str = "key") -> li
     return [bytes(r["key"]) for r in rows]
 
 
+def save_split_points(split_table: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store split points ``(idx, key)`` as parquet, one small file."""
+    split_table.select("idx", "key").coalesce(1).write.mode(mode).parquet(path)
+
+
+def load_split_points(spark, path: str) -> list:
+    """Split points stored by ``save_split_points``, in order (p-1 rows)."""
+    rows = spark.read.parquet(path).orderBy("idx").collect()
+    return [bytes(r["key"]) for r in rows]
+
+
 def assign_partition(df: DataFrame, num_partitions: int, method: str = "prefix7",
                      key: str = "key", splits: Optional[Sequence[bytes]] = None,
                      out: str = "pid", salt_columns: Optional[Sequence[str]] = None,

@@ -50,13 +50,24 @@ def _crc(columns: str):
 # F1, F5, F8, F16 --------------------------------------------------------------------
 
 def file_summary(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
-                 value: Optional[str] = "value", columns: str = "record") -> DataFrame:
+                 value: Optional[str] = "value", columns: str = "record",
+                 method: str = "scan") -> DataFrame:
     """``(file, rows, first_key, last_key, checksum)`` per file.
 
-    first/last are the keys at the smallest / largest position (``min_by`` /
-    ``max_by``), not the smallest / largest keys.  ``checksum`` is the exact sum
-    of CRC-32s as DECIMAL(38,0); ``columns='key'`` sums key CRCs only.
+    first/last are the keys at the smallest / largest position, not the
+    smallest / largest keys.  ``checksum`` is the exact sum of CRC-32s as
+    DECIMAL(38,0); ``columns='key'`` sums key CRCs only.
+
+    ``method='scan'`` (default) summarises runs of consecutive positions in
+    each task and aggregates only those; ``method='agg'`` is one grouped
+    ``min_by`` / ``max_by`` over every record (binary buffers make that a
+    sort-based aggregate, so it sorts every input partition by file).
     """
+    if method == "scan":
+        return summary_from_runs(scan_runs(df, key, file, pos, value, columns,
+                                           materialize=False))
+    if method != "agg":
+        raise ValueError("method must be 'scan' or 'agg'")
     d = _norm(df, key, file, pos, value if columns == "record" else None)
     return d.groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -66,8 +77,11 @@ def file_summary(df: DataFrame, key: str = "key", file: str = "file", pos: str =
 
 
 def file_bounds(df: DataFrame, key: str = "key", file: str = "file",
-                pos: str = "pos") -> DataFrame:
-    """``(file, first_key, last_key)`` (F1)."""
+                pos: str = "pos", method: str = "scan") -> DataFrame:
+    """``(file, first_key, last_key)`` (F1); ``method`` as in ``file_summary``."""
+    if method == "scan":
+        return file_summary(df, key, file, pos, None, "key").select(
+            "file", "first_key", "last_key")
     d = _norm(df, key, file, pos, None)
     return d.groupBy("file").agg(F.min_by("key", "pos").alias("first_key"),
                                  F.max_by("key", "pos").alias("last_key"))
@@ -331,9 +345,10 @@ def compare_checksums(before: DataFrame, after: DataFrame, key: str = "key",
 # F8, F9, F10 ----------------------------------------------------------------------
 
 def partition_summary(sorted_df: DataFrame, key: str = "key", value: Optional[str] = "value",
-                      pid: str = "pid", pos: str = "pos", columns: str = "record") -> DataFrame:
+                      pid: str = "pid", pos: str = "pos", columns: str = "record",
+                      method: str = "scan") -> DataFrame:
     """``(pid, rows, first_key, last_key, checksum)``: one row per non-empty partition (F8)."""
-    s = file_summary(sorted_df, key, pid, pos, value, columns)
+    s = file_summary(sorted_df, key, pid, pos, value, columns, method)
     return s.select(F.col("file").cast("int").alias("pid"), "rows", "first_key",
                     "last_key", "checksum")
 
@@ -370,7 +385,7 @@ def validate(df: DataFrame, key: str = "key", file: str = "file", pos: str = "po
         summary = summary_from_runs(runs)
         mis = misorders_from_runs(runs)
     elif method == "window":
-        summary = file_summary(df, key, file, pos, value, columns)
+        summary = file_summary(df, key, file, pos, value, columns, method="agg")
         mis = misorders(df, key, file, pos, block_rows)
     else:
         raise ValueError("method must be 'scan' or 'window'")

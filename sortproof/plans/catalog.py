@@ -120,6 +120,11 @@ def key_bytes(spark, sf_dir):
                     R.byte_at("key", F.col("idx")).alias("byte"))
 
 
+def key_byte_list(spark, sf_dir):
+    o = X.order_records(spark, sf_dir)
+    return o.select("o_orderkey", F.array_join(R.key_byte_values("key"), ",").alias("bytes"))
+
+
 def crc_record(spark, sf_dir):
     o = X.order_records(spark, sf_dir)
     return o.select("o_orderkey", R.crc_record().alias("crc"))
@@ -159,6 +164,12 @@ def split_points(spark, sf_dir):
     return t.select("idx", _hex("key", "key"))
 
 
+def split_points_store(spark, sf_dir):
+    path = new_output_path(spark, "splits")
+    PT.save_split_points(PT.split_point_table(_orders_sample(spark, sf_dir), Q.P), path)
+    return spark.read.parquet(path).select("idx", _hex("key", "key"))
+
+
 def _splits(spark, sf_dir):
     return PT.split_points(_orders_sample(spark, sf_dir), Q.P)
 
@@ -219,6 +230,12 @@ def file_bounds(spark, sf_dir):
     return b.select("file", _hex("first_key", "first_key"), _hex("last_key", "last_key"), "rows")
 
 
+def file_bounds_agg(spark, sf_dir):
+    e = X.event_records(spark, sf_dir)
+    b = V.file_summary(e, method="agg")
+    return b.select("file", _hex("first_key", "first_key"), _hex("last_key", "last_key"), "rows")
+
+
 def misorder_in_file(spark, sf_dir):
     e = X.event_records(spark, sf_dir)
     m = V.misorders(e)
@@ -336,12 +353,14 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_counts": parse_counts,
         "format_sizes": format_sizes,
         "key_bytes": key_bytes,
+        "key_byte_list": key_byte_list,
         "crc_record": crc_record,
         "crc_key": crc_key,
         "prefix7_partition": _prefix_summary("prefix7"),
         "prefix3_partition": _prefix_summary("prefix3"),
         "block_sample": block_sample,
         "split_points": split_points,
+        "split_points_store": split_points_store,
         "range_partition": range_partition,
         "sort_sampled": _sort_query("sampled"),
         "sort_prefix3": _sort_query("prefix3"),
@@ -351,6 +370,7 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sort_tie_breaker": sort_tie_breaker,
         "sort_ties_summary": sort_ties_summary,
         "file_bounds": file_bounds,
+        "file_bounds_agg": file_bounds_agg,
         "misorder_in_file": misorder_in_file,
         "boundary_check": boundary_check,
         "checksum_per_file": checksum_per_file,

@@ -411,6 +411,13 @@ SELECT pp.pid AS file_no, (pp.pos // {b})::BIGINT AS block, pp.pos::BIGINT AS po
 FROM pp JOIN sp USING (pid)
 WHERE (first_block + pp.pos // {b}) % step = 0 AND (first_block + pp.pos // {b}) // step < samples
   AND pp.pos % {b} < least({b}, {z} // samples)"""
+    sql["key_byte_list"] = f"""
+WITH {ORDER_RECS}
+SELECT o_orderkey, array_to_string(list_transform(range(10),
+         lambda i: CAST(('0x' || substr(key, 2 * i + 1, 2))::INTEGER AS VARCHAR)), ',') AS bytes
+FROM recs"""
+    sql["file_bounds_agg"] = sql["file_bounds"]
+    sql["split_points_store"] = sql["split_points"]
     sql["validate_report_window"] = sql["validate_report"]
     sql["misorder_scan"] = sql["misorder_in_file"]
     return {k: v.strip() for k, v in sql.items()}

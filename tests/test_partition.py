@@ -97,3 +97,10 @@ def test_block_sample_systematic(spark):
     want = sorted((f, b, b * 500 + i) for f, b in [("a", 0), ("a", 4), ("c", 1), ("c", 5)]
                   for i in range(10))
     assert got == want
+
+
+def test_split_point_store(spark, tmp_path):
+    df = G.generate_records(spark, 1000, num_partitions=3).select("key")
+    path = str(tmp_path / "splits")
+    P.save_split_points(P.split_point_table(df, 4), path)
+    assert P.load_split_points(spark, path) == P.split_points(df, 4)
