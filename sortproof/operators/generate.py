@@ -117,6 +117,8 @@ def with_records(df: DataFrame, row_col: str = "id", ascii: bool = False) -> Dat
     Row numbers may come in any order and from any table; consecutive runs
     inside an Arrow batch take the fast path.  The column must be non-null.
     """
+    from sortproof.session import ship_package
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [
         T.StructField("key", T.BinaryType(), False),
         T.StructField("value", T.BinaryType(), False)])

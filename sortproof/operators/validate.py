@@ -244,6 +244,8 @@ def scan_runs(df: DataFrame, key: str = "key", file: str = "file", pos: str = "p
     """
     d = _norm(df, key, file, pos, value if columns == "record" else None)
     d = d.select("file", "pos", "key", _crc(columns).alias("crc"))
+    from sortproof.session import ship_package
+    ship_package(df.sparkSession)
     runs = d.mapInArrow(_scan_runs, RUN_SCHEMA)
     if materialize:
         from sortproof.session import shared_dir

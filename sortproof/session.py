@@ -35,6 +35,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sortproof`` importable in the Python workers of this application.
+
+    Operators that run Python on executors (the generator, the record source,
+    the run scanner) call this.  The package is zipped once per process and
+    added with ``addPyFile`` -- what ``--py-files`` does at submit time -- so
+    it also works when the driver was started outside the repository.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # pragma: no cover - Spark Connect: ship with addArtifacts
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="sortproof-pyfiles-"), "sortproof.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir``.
 

@@ -219,7 +219,7 @@ class FixedRecordWriter(DataSourceArrowWriter):
                 rec = np.empty((n, kl + vl), dtype=np.uint8)
                 rec[:, :kl] = k
                 rec[:, kl:] = v
-                out.write(rec.tobytes())
+                out.write(rec)
                 rows += n
         return WrittenFile(pid, tmp, rows, rows * self.record_length)
 
@@ -262,6 +262,8 @@ class FixedRecordDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from sortproof.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(FixedRecordDataSource)
 
 
