@@ -41,12 +41,14 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
              num_partitions: Optional[int] = None, method: str = "range",
              sample_blocks: int = P.DEFAULT_SAMPLE_BLOCKS,
              sample_size: int = P.DEFAULT_SAMPLE_SIZE,
-             mode: str = "errorifexists") -> None:
-    """Totally sort a fixed-record dataset into ordered files.
+             mode: str = "errorifexists") -> dict:
+    """Totally sort a fixed-record dataset into ordered files; return ``{rows, checksum}``.
 
     ``num_partitions`` defaults to the number of input splits (as the
     reference does).  ``sampled`` reads only the sampled blocks to pick its
-    split points; ``(file, pos)`` of each input record salts hot keys.
+    split points; ``(file, pos)`` of each input record salts hot keys.  Rows
+    and checksum of what was written are observed during the write, to be
+    compared with ``generate_job``'s (F15) without another pass.
     """
     data = FR.read_fixed_records(spark, in_path)
     if num_partitions is None:
@@ -57,7 +59,12 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
                                      sample_size=sample_size)
     out = S.total_order_sort(data, num_partitions, method, sample=sample,
                              salt_columns=["file", "pos"])
+    obs = Observation("sort")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      R.checksum_sum(R.crc_record()).alias("checksum"))
     FR.write_fixed_records(out, out_path, mode=mode)
+    got = obs.get
+    return {"rows": int(got["rows"]), "checksum": int(got["checksum"] or 0)}
 
 
 def validate_job(spark: SparkSession, path: str, report_path: Optional[str] = None,

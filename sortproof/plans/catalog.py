@@ -324,6 +324,11 @@ def file_block_sample(spark, sf_dir):
     return s.select(file_no.alias("file_no"), "block", "pos", _hex("key", "key_hex"))
 
 
+def global_position_files(spark, sf_dir):
+    g = FR.global_positions(spark, _written_sorted_orders(spark, sf_dir))
+    return g.select(_hex("key", "key_hex"), "global_pos")
+
+
 def dataset_inventory(spark, sf_dir):
     inv = INV.inventory(spark, _written_sorted_orders(spark, sf_dir))
     return inv.where(F.col("records") > 0).select(
@@ -386,5 +391,6 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_order": file_order,
         "dataset_inventory": dataset_inventory,
         "file_block_sample": file_block_sample,
+        "global_position_files": global_position_files,
         "gen_sorted_report": gen_sorted_report,
     }

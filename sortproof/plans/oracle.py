@@ -418,6 +418,9 @@ SELECT o_orderkey, array_to_string(list_transform(range(10),
 FROM recs"""
     sql["file_bounds_agg"] = sql["file_bounds"]
     sql["split_points_store"] = sql["split_points"]
+    sql["global_position_files"] = f"""
+WITH {ORDER_RECS}
+SELECT key AS key_hex, (row_number() OVER (ORDER BY key) - 1)::BIGINT AS global_pos FROM recs"""
     sql["validate_report_window"] = sql["validate_report"]
     sql["misorder_scan"] = sql["misorder_in_file"]
     return {k: v.strip() for k, v in sql.items()}

@@ -224,11 +224,14 @@ class FixedRecordWriter(DataSourceArrowWriter):
         return WrittenFile(pid, tmp, rows, rows * self.record_length)
 
     def commit(self, messages: List[WrittenFile]) -> None:
+        from concurrent.futures import ThreadPoolExecutor
         fs, base = _fs(self.path)
-        for m in messages:
-            if m is None:
-                continue
-            fs.move(m.temp_path, posixpath.join(base, f"part-{m.partition:05d}"))
+        moves = [(m.temp_path, posixpath.join(base, f"part-{m.partition:05d}"))
+                 for m in messages if m is not None]
+        # one rename per output file; object stores make each a copy, so
+        # run them concurrently
+        with ThreadPoolExecutor(max_workers=min(32, max(1, len(moves)))) as pool:
+            list(pool.map(lambda mv: fs.move(*mv), moves))
         fs.delete_dir(posixpath.join(base, "_temporary", self.job))
         _remove_if_empty(fs, posixpath.join(base, "_temporary"))
         with fs.open_output_stream(posixpath.join(base, "_SUCCESS")):
@@ -285,6 +288,25 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     return r.load(path)
 
 
+def global_positions(spark: SparkSession, path: str,
+                     record_length: int = R.RECORD_LENGTH) -> DataFrame:
+    """Read a sorted dataset with ``global_pos`` = position in the whole order.
+
+    Offsets come from the file sizes alone (listing, one row per file), so
+    nothing but the records themselves is read and no shuffle of records
+    happens: the per-file offsets are broadcast (bounded by the file count).
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    counts = file_record_counts(spark, path, record_length)
+    w = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("file", F.coalesce(F.sum("rows").over(w), F.lit(0))
+                            .cast("bigint").alias("offset"))
+    recs = read_fixed_records(spark, path, record_length=record_length)
+    return (recs.join(F.broadcast(offsets), "file")
+                .withColumn("global_pos", F.col("offset") + F.col("pos")).drop("offset"))
+
+
 def file_record_counts(spark: SparkSession, path: str,
                        record_length: int = R.RECORD_LENGTH) -> DataFrame:
     """``(file, rows)`` per data file, from the listing only (no data read).
