@@ -224,6 +224,31 @@ def sort_ties_summary(spark, sf_dir):
 
 # validation ---------------------------------------------------------------------------
 
+def _sorted_documents(spark, sf_dir):
+    d = X.document_keys(spark, sf_dir)
+    recs = d.select(F.lit("documents").alias("file"), F.col("doc_id").alias("pos"), "key")
+    files = recs.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("documents").alias("file"), "rows")
+    sample = PT.block_sample(recs, files, Q.DOC_BLOCK_ROWS, num_samples=Q.SAMPLE_BLOCKS,
+                             sample_size=Q.DOC_SAMPLE_SIZE)
+    splits = PT.split_points(sample, Q.P)
+    return S.total_order_sort(d, Q.P, "sampled", splits=splits, tie_breaker=["doc_id"],
+                              with_position=True)
+
+
+def sort_documents(spark, sf_dir):
+    return _sorted_documents(spark, sf_dir).select("doc_id", "pid", "pos")
+
+
+def documents_summary(spark, sf_dir):
+    s = _sorted_documents(spark, sf_dir)
+    return s.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("key").alias("distinct_texts"),
+        F.min_by("doc_id", "pos").alias("first_doc"),
+        F.max_by("doc_id", "pos").alias("last_doc"))
+
+
 def file_bounds(spark, sf_dir):
     e = X.event_records(spark, sf_dir)
     b = V.file_summary(e)
@@ -374,6 +399,8 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sort_range_global": sort_range_global,
         "sort_tie_breaker": sort_tie_breaker,
         "sort_ties_summary": sort_ties_summary,
+        "sort_documents": sort_documents,
+        "documents_summary": documents_summary,
         "file_bounds": file_bounds,
         "file_bounds_agg": file_bounds_agg,
         "misorder_in_file": misorder_in_file,

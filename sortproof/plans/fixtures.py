@@ -62,3 +62,9 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("pos"),
         md5_key(F.col("user_id").cast("string")).alias("key"),
         padded_value(F.col("event_id"), F.col("user_id"), F.col("event_type")).alias("value"))
+
+
+def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, key) from ``documents``: the whole text as UTF-8 bytes; texts repeat."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.col("text").cast("binary").alias("key"))

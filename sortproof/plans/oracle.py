@@ -418,6 +418,33 @@ SELECT o_orderkey, array_to_string(list_transform(range(10),
 FROM recs"""
     sql["file_bounds_agg"] = sql["file_bounds"]
     sql["split_points_store"] = sql["split_points"]
+    db, dz = Q.DOC_BLOCK_ROWS, Q.DOC_SAMPLE_SIZE
+    doc_pid = f"""docs AS (SELECT doc_id, encode(text) AS key FROM documents),
+sp AS (
+  SELECT nb, least({k}, nb) AS samples, nb // least({k}, nb) AS step
+  FROM (SELECT (count(*) + {db - 1}) // {db} AS nb FROM documents)
+),
+sample AS (
+  SELECT key FROM docs, sp
+  WHERE (doc_id // {db}) % step = 0 AND (doc_id // {db}) // step < samples
+    AND doc_id % {db} < {dz} // samples
+),
+{_splits_cte()},
+pr AS (
+  SELECT d.*, (SELECT count(*) FROM splits s WHERE s.key <= d.key)::INTEGER AS pid FROM docs d
+),
+pp AS (
+  SELECT doc_id, key, pid,
+         (row_number() OVER (PARTITION BY pid ORDER BY key, doc_id) - 1)::BIGINT AS pos FROM pr
+)"""
+    sql["sort_documents"] = f"""
+WITH {doc_pid}
+SELECT doc_id, pid, pos FROM pp"""
+    sql["documents_summary"] = f"""
+WITH {doc_pid}
+SELECT pid, count(*)::BIGINT AS rows, count(DISTINCT key)::BIGINT AS distinct_texts,
+       arg_min(doc_id, pos) AS first_doc, arg_max(doc_id, pos) AS last_doc
+FROM pp GROUP BY pid"""
     sql["global_position_files"] = f"""
 WITH {ORDER_RECS}
 SELECT key AS key_hex, (row_number() OVER (ORDER BY key) - 1)::BIGINT AS global_pos FROM recs"""

@@ -5,3 +5,5 @@ BLOCK_ROWS = 1000          # records per sampler block ("split") over orders
 SAMPLE_BLOCKS = 10         # blocks the sampler reads at most
 SAMPLE_SIZE = 5000         # keys the sampler keeps in total
 GEN_OFFSET = 10 ** 10      # first row of the gen_offset query
+DOC_BLOCK_ROWS = 100       # sampler blocks over documents (by doc_id)
+DOC_SAMPLE_SIZE = 500
