@@ -28,7 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader,
-                                    InputPartition, WriterCommitMessage)
+                                    EqualTo, GreaterThan, GreaterThanOrEqual, In, IsNotNull,
+                                    InputPartition, LessThan, LessThanOrEqual,
+                                    WriterCommitMessage)
 from pyspark.sql.types import StructType
 
 from sortproof.functions import records as R
@@ -90,7 +92,10 @@ class FixedRecordReader(DataSourceReader):
 
     def partitions(self) -> List[InputPartition]:
         if self.ranges is not None:
-            return self._range_partitions()
+            return self._restrict(self._range_partitions())
+        return self._restrict(self._split_partitions())
+
+    def _split_partitions(self) -> List[InputPartition]:
         per_split = max(1, self.split_bytes // self.record_length)
         parts: List[InputPartition] = []
         for path, size in list_files(self.path):
@@ -106,6 +111,9 @@ class FixedRecordReader(DataSourceReader):
                 parts.append(RecordRange(path, first, count, tail if last else 0))
         return parts
 
+    def _restrict(self, parts: List[InputPartition]) -> List[InputPartition]:
+        return parts
+
     def _range_partitions(self) -> List[InputPartition]:
         """Only the given ``[file, first record, count]`` ranges (e.g. sampled blocks)."""
         sizes = dict(list_files(self.path))
@@ -146,6 +154,54 @@ class FixedRecordReader(DataSourceReader):
                 done += k
 
 
+class PrunedFixedRecordReader(FixedRecordReader):
+    """Reader that takes ``file`` and ``pos`` predicates: whole input splits
+    and files are skipped, and ranges are cut to the asked positions, so the
+    predicates are applied exactly here and never reach Spark again."""
+
+    def __init__(self, options, schema: StructType):
+        super().__init__(options, schema)
+        self.pos_lo = 0
+        self.pos_hi = None
+        self.files = None
+
+    def pushFilters(self, filters):
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if col in ("pos", "file", "key", "value") and isinstance(f, IsNotNull):
+                continue  # no column of this source is ever null
+            if col == "pos" and isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan,
+                                               LessThanOrEqual, EqualTo)) \
+                    and isinstance(f.value, int) and not isinstance(f.value, bool):
+                v = f.value
+                lo, hi = {GreaterThan: (v + 1, None), GreaterThanOrEqual: (v, None),
+                          LessThan: (None, v), LessThanOrEqual: (None, v + 1),
+                          EqualTo: (v, v + 1)}[type(f)]
+                if lo is not None:
+                    self.pos_lo = max(self.pos_lo, lo)
+                if hi is not None:
+                    self.pos_hi = hi if self.pos_hi is None else min(self.pos_hi, hi)
+            elif col == "file" and isinstance(f, (EqualTo, In)):
+                vals = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.files = vals if self.files is None else self.files & vals
+            else:
+                yield f
+
+    def _restrict(self, parts: List[InputPartition]) -> List[InputPartition]:
+        out = []
+        for r in parts:
+            if self.files is not None and r.path not in self.files:
+                continue
+            end = r.first + r.count
+            first = max(r.first, self.pos_lo)
+            stop = end if self.pos_hi is None else min(end, self.pos_hi)
+            if stop <= first and not (r.tail and stop == end):
+                continue
+            out.append(RecordRange(r.path, first, max(0, stop - first),
+                                   r.tail if stop == end else 0))
+        return out
+
+
 @dataclass
 class WrittenFile(WriterCommitMessage):
     partition: int
@@ -255,6 +311,10 @@ class FixedRecordDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
+        # Spark refuses a reader with filter pushdown unless the session
+        # enables it; read_fixed_records sets this option from that conf.
+        if self.options.get("pushdown", "false").lower() == "true":
+            return PrunedFixedRecordReader(self.options, schema)
         return FixedRecordReader(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> FixedRecordWriter:
@@ -280,9 +340,10 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     those records (the sampler reads a few blocks, not the dataset).
     """
     register(spark)
+    pushdown = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
     r = (spark.read.format(FORMAT)
          .option("key_length", key_length).option("record_length", record_length)
-         .option("split_bytes", split_bytes))
+         .option("split_bytes", split_bytes).option("pushdown", pushdown))
     if ranges is not None:
         r = r.option("ranges", json.dumps([[f, int(a), int(n)] for f, a, n in ranges]))
     return r.load(path)

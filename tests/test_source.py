@@ -110,3 +110,22 @@ def test_global_positions_from_files(spark, out_dir):
     g = FR.global_positions(spark, out_dir).select("key", "global_pos").collect()
     order = sorted(bytes(r.key) for r in g)
     assert all(order[r.global_pos] == bytes(r.key) for r in g)
+
+
+def test_pushdown_prunes_splits(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 3000, num_partitions=3), out_dir)
+    full = FR.read_fixed_records(spark, out_dir, split_bytes=100 * 100)
+    files = sorted({r.file for r in full.select("file").distinct().collect()})
+    want = sorted((r.file, r.pos) for r in full.where((F.col("pos") >= 150) & (F.col("pos") < 420)
+                                                      & (F.col("file") == files[1])).collect())
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = FR.read_fixed_records(spark, out_dir, split_bytes=100 * 100)
+        q = df.where((F.col("pos") >= 150) & (F.col("pos") < 420) & (F.col("file") == files[1]))
+        got = sorted((r.file, r.pos) for r in q.collect())
+        assert got == want and len(got) == 270
+        assert q.rdd.getNumPartitions() == 4  # splits 100-199 .. 400-499 of one file only
+        other = df.where(F.col("pos") % 7 == 0).count()   # not pushable: Spark filters
+        assert other == full.where(F.col("pos") % 7 == 0).count()
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
