@@ -33,36 +33,38 @@ _HEX = np.frombuffer(HEX_DIGITS, dtype=np.uint8)
 ROWS_PER_TASK = 5_000_000
 
 
-def _nibble(limbs, p: int) -> np.ndarray:
-    """Hex digit p (0 = most significant) of a 128-bit limb state."""
-    q = 31 - p
-    return ((limbs[q // 8] >> np.uint64(4 * (q % 8))) & np.uint64(0xF)).astype(np.intp)
+# two hex characters for every byte value
+_HEX2 = np.stack([_HEX[np.arange(256) >> 4], _HEX[np.arange(256) & 15]], axis=1)
 
 
-def _row_hex(rows: np.ndarray) -> np.ndarray:
-    """(n, 32) upper-case hex digits of the row numbers (high 64 bits are zero)."""
-    r = rows.astype(np.uint64)
-    out = np.full((len(r), 32), ord("0"), dtype=np.uint8)
-    for p in range(16, 32):
-        out[:, p] = _HEX[((r >> np.uint64(4 * (31 - p))) & np.uint64(0xF)).astype(np.intp)]
-    return out
+def _hex_of_bytes(b: np.ndarray) -> np.ndarray:
+    """(n, k) bytes -> (n, 2k) upper-case hex characters, by table lookup."""
+    return np.take(_HEX2, b, axis=0).reshape(b.shape[0], 2 * b.shape[1])
+
+
+def _fill_fourfold(rec: np.ndarray, offset: int, digits: np.ndarray) -> None:
+    """Write every digit four times from byte ``offset`` on, in place."""
+    n, k = digits.shape
+    view = rec[:, offset: offset + 4 * k]
+    view.shape = (n, k, 4)          # a view: raises rather than copy
+    view[...] = digits[:, :, None]
 
 
 def build_records(rows: np.ndarray, ascii: bool = False) -> np.ndarray:
     """(n, 100) uint8 array: the records for the given row numbers."""
     n = len(rows)
     s = lcg.states(rows)
+    state = np.stack([s[3], s[2], s[1], s[0]], axis=1).astype(">u4").view(np.uint8)
+    state = state.reshape(n, 16)                 # the 128-bit state, big-endian
     rec = np.empty((n, R.RECORD_LENGTH), dtype=np.uint8)
+    rec[:, 12:28] = ord("0")                     # high 64 bits of the row number are zero
+    rec[:, 28:44] = _hex_of_bytes(rows.astype(">u8").view(np.uint8).reshape(n, 8))
     if not ascii:
-        for j in range(R.KEY_LENGTH):       # top 10 bytes of the state
-            limb = s[3 - j // 4]
-            rec[:, j] = (limb >> np.uint64(24 - 8 * (j % 4))) & np.uint64(0xFF)
+        rec[:, 0:10] = state[:, :10]             # key: top 10 bytes of the state
         rec[:, 10:12] = np.frombuffer(BINARY_MARK_1, dtype=np.uint8)
-        rec[:, 12:44] = _row_hex(rows)
         rec[:, 44:48] = np.frombuffer(BINARY_MARK_2, dtype=np.uint8)
-        for i in range(R.BINARY_FILLER_DIGITS):
-            d = _HEX[_nibble(s, 20 + i)]
-            rec[:, 48 + 4 * i: 52 + 4 * i] = d[:, None]
+        digits = _hex_of_bytes(state[:, 10:16])  # state hex digits 20..31
+        _fill_fourfold(rec, 48, digits)
         rec[:, 96:100] = np.frombuffer(BINARY_MARK_3, dtype=np.uint8)
     else:
         base = np.uint64(95)
@@ -76,11 +78,9 @@ def build_records(rows: np.ndarray, ascii: bool = False) -> np.ndarray:
             rec[:, j] = space + t % base
             t = t // base
         rec[:, 10:12] = np.frombuffer(ASCII_MARK, dtype=np.uint8)
-        rec[:, 12:44] = _row_hex(rows)
         rec[:, 44:46] = np.frombuffer(ASCII_MARK, dtype=np.uint8)
-        for i in range(R.ASCII_FILLER_DIGITS):
-            d = _HEX[_nibble(s, 19 + i)]
-            rec[:, 46 + 4 * i: 50 + 4 * i] = d[:, None]
+        digits = _hex_of_bytes(state[:, 9:16])[:, 1:]   # state hex digits 19..31
+        _fill_fourfold(rec, 46, digits)
         rec[:, 98:100] = np.frombuffer(ASCII_END, dtype=np.uint8)
     return rec
 
