@@ -99,17 +99,19 @@ def misorders(df: DataFrame, key: str = "key", file: str = "file", pos: str = "p
     """
     d = _norm(df, key, file, pos, None).withColumn("block", int_div(F.col("pos"), block_rows))
     w = Window.partitionBy("file", "block").orderBy("pos")
-    inner = (d.withColumn("prev_key", F.lag("key").over(w))
-              .where(F.col("key") < F.col("prev_key"))
-              .select("file", "pos", "prev_key", "key"))
-    blocks = d.groupBy("file", "block").agg(
-        F.min("pos").alias("pos"),
-        F.min_by("key", "pos").alias("key"),
-        F.max_by("key", "pos").alias("last_key"))
-    wb = Window.partitionBy("file").orderBy("block")
-    edges = (blocks.withColumn("prev_key", F.lag("last_key").over(wb))
-                   .where(F.col("key") < F.col("prev_key"))
-                   .select("file", "pos", "prev_key", "key"))
+    d = (d.withColumn("prev_key", F.lag("key").over(w))
+          .withColumn("is_last", F.lead("pos").over(w).isNull()))
+    inner = d.where(F.col("key") < F.col("prev_key")).select("file", "pos", "prev_key", "key")
+    # Block edges come from the same window: the first row of a block has no
+    # previous key, the last no next position.  Among those edge rows (two
+    # per block), the row before a block's first row is the previous block's
+    # last row.
+    edge_rows = d.where(F.col("prev_key").isNull() | F.col("is_last")).select(
+        "file", "pos", "key", F.col("prev_key").isNull().alias("is_first"))
+    we = Window.partitionBy("file").orderBy("pos")
+    edges = (edge_rows.withColumn("prev_key", F.lag("key").over(we))
+                      .where(F.col("is_first") & (F.col("key") < F.col("prev_key")))
+                      .select("file", "pos", "prev_key", "key"))
     out = inner.unionByName(edges)
     detail = F.concat(F.lit("misorder in "), F.col("file"), F.lit(" between "),
                       R.spaced_hex("prev_key"), F.lit(" and "), R.spaced_hex("key"))
