@@ -256,16 +256,18 @@ def split_points(sample: DataFrame, num_partitions: int, key: str = "key") -> li
     """Split points as a sorted Python list of bytes (at most p-1 of them).
 
     Raises ``ValueError`` if the sample has fewer keys than partitions (D3).
-    An empty sample gives no split points (one partition).
+    An empty sample gives no split points (one partition).  One job in the
+    normal case; the sample is counted only when it is too small.
     """
+    if num_partitions <= 1:
+        return []
+    rows = split_point_table(sample, num_partitions, key).orderBy("idx").collect()
+    if len(rows) == num_partitions - 1:
+        return [bytes(r["key"]) for r in rows]
     n = sample.count()
     if n == 0:
         return []
-    if num_partitions > n:
-        raise ValueError(f"Requested more partitions than input keys "
-                         f"({num_partitions} > {n})")
-    rows = split_point_table(sample, num_partitions, key).orderBy("idx").collect()
-    return [bytes(r["key"]) for r in rows]
+    raise ValueError(f"Requested more partitions than input keys ({num_partitions} > {n})")
 
 
 def save_split_points(split_table: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -39,6 +39,7 @@ FORMAT = "fixed_record"
 SCHEMA = "key binary, value binary, file string, pos bigint"
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 READ_CHUNK_RECORDS = 65536
+BROADCAST_MAX_FILES = 200_000
 
 
 def _fs(path: str):
@@ -359,12 +360,18 @@ def global_positions(spark: SparkSession, path: str,
     """
     from pyspark.sql import Window
     from pyspark.sql import functions as F
-    counts = file_record_counts(spark, path, record_length)
+    files = list_files(path)
+    counts = spark.createDataFrame([(f, size // record_length) for f, size in files],
+                                   "file string, rows bigint")
     w = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("file", F.coalesce(F.sum("rows").over(w), F.lit(0))
                             .cast("bigint").alias("offset"))
     recs = read_fixed_records(spark, path, record_length=record_length)
-    return (recs.join(F.broadcast(offsets), "file")
+    # one small row per file: broadcast while the file count is modest, else a
+    # plain shuffle join on the (few) distinct file names
+    if len(files) <= BROADCAST_MAX_FILES:
+        offsets = F.broadcast(offsets)
+    return (recs.join(offsets, "file")
                 .withColumn("global_pos", F.col("offset") + F.col("pos")).drop("offset"))
 
 
