@@ -39,19 +39,21 @@ _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``sortproof`` importable in the Python workers of this application.
+    """Make ``sortproof`` importable in the Python workers of a local application.
 
     Operators that run Python on executors (the generator, the record source,
-    the run scanner) call this.  The package is zipped once per process and
-    added with ``addPyFile`` -- what ``--py-files`` does at submit time -- so
-    it also works when the driver was started outside the repository.
+    the run scanner) call this.  In local mode the package is zipped once per
+    process and added with ``addPyFile``, so it works even when the driver was
+    started outside the repository.  On a cluster, ship it the usual way
+    (``--py-files`` / ``spark.submit.pyFiles``); nothing is written here then.
     """
     try:
         sc = spark.sparkContext
         app = sc.applicationId
+        local = sc.master.startswith("local")
     except Exception:  # pragma: no cover - Spark Connect: ship with addArtifacts
         return
-    if app in _SHIPPED:
+    if app in _SHIPPED or not local:
         return
     import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
