@@ -129,3 +129,11 @@ def test_pushdown_prunes_splits(spark, out_dir):
         assert other == full.where(F.col("pos") % 7 == 0).count()
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_cli(spark, tmp_path):
+    from sortproof.__main__ import main
+    gen, srt = str(tmp_path / "gen"), str(tmp_path / "sorted")
+    assert main(["gen", "1k", gen, "--partitions", "2"]) == 0
+    assert main(["sort", gen, srt, "--partitions", "3", "--method", "prefix7"]) == 0
+    assert main(["validate", srt]) == 0
