@@ -40,7 +40,7 @@ def generate_job(spark: SparkSession, num_rows: int, out_path: str, start: int =
 def sort_job(spark: SparkSession, in_path: str, out_path: str,
              num_partitions: Optional[int] = None, method: str = "range",
              sample_blocks: int = P.DEFAULT_SAMPLE_BLOCKS,
-             sample_size: int = P.DEFAULT_SAMPLE_SIZE,
+             sample_size: Optional[int] = None,
              mode: str = "errorifexists") -> dict:
     """Totally sort a fixed-record dataset into ordered files; return ``{rows, checksum}``.
 
@@ -54,6 +54,9 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     if num_partitions is None:
         num_partitions = max(1, data.rdd.getNumPartitions())
     sample = None
+    if sample_size is None:
+        # the reference's 100,000 keys, but never fewer than 20 per partition
+        sample_size = max(P.DEFAULT_SAMPLE_SIZE, 20 * num_partitions)
     if method == "sampled":
         sample = P.file_block_sample(spark, in_path, num_samples=sample_blocks,
                                      sample_size=sample_size)
