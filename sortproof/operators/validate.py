@@ -161,6 +161,30 @@ def _one_run(r) -> pa.RecordBatch:
                        [r[5]], [r[6]])
 
 
+def _file_order(t: pa.Table):
+    """(files, pos, same): ``same[i]`` = rows i and i+1 are in one file.
+
+    The file column is dictionary-encoded once per batch, so neighbours are
+    compared as integers rather than as path strings.
+    """
+    files = t.column("file").combine_chunks()
+    pos = t.column("pos").to_numpy()
+    ids = pc.dictionary_encode(files).indices.to_numpy(zero_copy_only=False)
+    return files, pos, ids[1:] == ids[:-1]
+
+
+def _in_order(files: pa.Array, pos: np.ndarray, same: np.ndarray) -> bool:
+    """Rows ordered by (file, pos)?  Paths are compared only where the file changes."""
+    if not np.all(~same | (pos[1:] > pos[:-1])):
+        return False
+    change = np.flatnonzero(~same)
+    if len(change) == 0:
+        return True
+    nxt = files.take(pa.array(change + 1))
+    cur = files.take(pa.array(change))
+    return bool(pc.all(pc.greater(nxt, cur)).as_py())
+
+
 def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut each task's rows into runs of consecutive positions of one file.
 
@@ -177,16 +201,11 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if n == 0:
             continue
         t = pa.Table.from_batches([b])
-        files = t.column("file").combine_chunks()
-        pos = t.column("pos").to_numpy()
-        same = pc.equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
-        after = pc.greater(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
-        if not np.all(after | (same & (pos[1:] > pos[:-1]))):
+        files, pos, same = _file_order(t)
+        if not _in_order(files, pos, same):
             t = t.take(pc.sort_indices(t, sort_keys=[("file", "ascending"),
                                                      ("pos", "ascending")]))
-            files = t.column("file").combine_chunks()
-            pos = t.column("pos").to_numpy()
-            same = pc.equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+            files, pos, same = _file_order(t)
         keys = t.column("key").combine_chunks()
         crc = t.column("crc").to_numpy()
         cont = same & (pos[1:] == pos[:-1] + 1)
