@@ -4,12 +4,16 @@ Input: records with ``file`` (the unit of order, e.g. an output file or a
 partition id), ``pos`` (position inside it; unique per file), ``key`` and
 ``value``.  Nothing is collected; every result is a DataFrame.
 
-* file summaries (first/last key, rows, checksum) are one grouped aggregate
-  with partial aggregation -- only one small row per file and task moves;
-* the in-file order check is a ``lag`` over windows of ``(file, block)`` so a
-  huge (or hot) file never lands in one task; block edges are checked like file
-  edges, over one row per block;
-* the cross-file check is a ``lag`` over one row per file.
+Default (``method='scan'``): the records are read once.  A vectorised
+per-batch helper cuts each task's rows into runs of consecutive positions,
+compares every key with its neighbour inside a run, and emits one summary row
+per run plus one row per misorder.  That small run table is checkpointed;
+file summaries, run-edge checks (``lag`` over runs of a file), the cross-file
+check (``lag`` over one row per file) and the checksum all read it.
+
+Plain-SQL form (``method='window'``): ``lag`` over windows of
+``(file, pos div block_rows)`` -- one shuffle of every key; block edges come
+from the same window, so a huge (or hot) file never lands in one task.
 """
 
 from __future__ import annotations
