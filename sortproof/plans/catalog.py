@@ -224,6 +224,36 @@ def sort_ties_summary(spark, sf_dir):
 
 # validation ---------------------------------------------------------------------------
 
+def _hot_lineitem(spark, sf_dir):
+    """lineitem keyed by md5(l_returnflag): three keys, one holding about half the rows."""
+    li = X.read_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     X.md5_key(F.col("l_returnflag")).alias("key"),
+                     X.padded_value(F.col("l_orderkey"), F.col("l_linenumber")).alias("value"))
+
+
+def sort_hot_keys(spark, sf_dir):
+    """Sampled sort of a hot-key table: equal keys spread over several partitions.
+
+    Partition contents depend on the row hash, so there is no SQL oracle;
+    tests check the result against brute force.
+    """
+    li = _hot_lineitem(spark, sf_dir)
+    recs = li.select(F.lit("lineitem").alias("file"),
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"), "key")
+    files = recs.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("lineitem").alias("file"),
+                                                             "rows")
+    sample = PT.block_sample(recs, files, Q.BLOCK_ROWS, num_samples=Q.SAMPLE_BLOCKS,
+                             sample_size=Q.SAMPLE_SIZE)
+    s = S.total_order_sort(li, Q.P, "sampled", splits=PT.split_points(sample, Q.P),
+                           salt_columns=["l_orderkey", "l_linenumber"], with_position=True)
+    summ = V.partition_summary(s)
+    d = s.groupBy("pid").agg(F.count_distinct("key").alias("distinct_keys"))
+    return summ.join(d, "pid").select(
+        "pid", "rows", "distinct_keys", _hex("first_key", "first_key"),
+        _hex("last_key", "last_key"), _sum_text("checksum").alias("checksum"))
+
+
 def _sorted_documents(spark, sf_dir):
     d = X.document_keys(spark, sf_dir)
     recs = d.select(F.lit("documents").alias("file"), F.col("doc_id").alias("pos"), "key")
@@ -400,6 +430,7 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sort_tie_breaker": sort_tie_breaker,
         "sort_ties_summary": sort_ties_summary,
         "sort_documents": sort_documents,
+        "sort_hot_keys": sort_hot_keys,
         "documents_summary": documents_summary,
         "file_bounds": file_bounds,
         "file_bounds_agg": file_bounds_agg,
