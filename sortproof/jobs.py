@@ -50,7 +50,9 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     and checksum of what was written are observed during the write, to be
     compared with ``generate_job``'s (F15) without another pass.
     """
-    data = FR.read_fixed_records(spark, in_path)
+    # file_id + pos identify a record (they salt copies of a hot record) and
+    # are far cheaper to produce than the path string
+    data = FR.read_fixed_records(spark, in_path, columns=["key", "value", "file_id", "pos"])
     if num_partitions is None:
         num_partitions = max(1, data.rdd.getNumPartitions())
     sample = None
@@ -61,7 +63,7 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
         sample = P.file_block_sample(spark, in_path, num_samples=sample_blocks,
                                      sample_size=sample_size)
     out = S.total_order_sort(data, num_partitions, method, sample=sample,
-                             salt_columns=["file", "pos"])
+                             salt_columns=["file_id", "pos"]).select("key", "value")
     obs = Observation("sort")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
                       R.checksum_sum(R.crc_record()).alias("checksum"))

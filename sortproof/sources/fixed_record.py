@@ -37,6 +37,10 @@ from sortproof.functions import records as R
 
 FORMAT = "fixed_record"
 SCHEMA = "key binary, value binary, file string, pos bigint"
+# Columns a reader can produce; a user schema picks any subset, in any order.
+# file_id is the index of the file in path order: a cheap stand-in for file.
+COLUMN_TYPES = {"key": "binary", "value": "binary", "file": "string", "pos": "bigint",
+                "file_id": "int"}
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 READ_CHUNK_RECORDS = 65536
 BROADCAST_MAX_FILES = 200_000
@@ -77,6 +81,7 @@ class RecordRange(InputPartition):
     first: int       # first record index
     count: int       # records in this range
     tail: int        # bytes after the last whole record when this range ends the file
+    file_id: int = 0  # index of the file in path order
 
 
 class FixedRecordReader(DataSourceReader):
@@ -90,6 +95,12 @@ class FixedRecordReader(DataSourceReader):
         self.ranges = json.loads(options.get("ranges", "null"))
         if not 0 < self.key_length <= self.record_length:
             raise ValueError("need 0 < key_length <= record_length")
+        self.columns = list(schema.fieldNames()) if schema is not None else \
+            ["key", "value", "file", "pos"]
+        unknown = [c for c in self.columns if c not in COLUMN_TYPES]
+        if unknown:
+            raise ValueError(f"fixed_record: unknown columns {unknown}; "
+                             f"choose from {sorted(COLUMN_TYPES)}")
 
     def partitions(self) -> List[InputPartition]:
         if self.ranges is not None:
@@ -99,17 +110,17 @@ class FixedRecordReader(DataSourceReader):
     def _split_partitions(self) -> List[InputPartition]:
         per_split = max(1, self.split_bytes // self.record_length)
         parts: List[InputPartition] = []
-        for path, size in list_files(self.path):
+        for file_id, (path, size) in enumerate(list_files(self.path)):
             n = size // self.record_length
             tail = size - n * self.record_length
             if n == 0:
                 if tail:
-                    parts.append(RecordRange(path, 0, 0, tail))
+                    parts.append(RecordRange(path, 0, 0, tail, file_id))
                 continue
             for first in range(0, n, per_split):
                 count = min(per_split, n - first)
                 last = first + count == n
-                parts.append(RecordRange(path, first, count, tail if last else 0))
+                parts.append(RecordRange(path, first, count, tail if last else 0, file_id))
         return parts
 
     def _restrict(self, parts: List[InputPartition]) -> List[InputPartition]:
@@ -117,7 +128,9 @@ class FixedRecordReader(DataSourceReader):
 
     def _range_partitions(self) -> List[InputPartition]:
         """Only the given ``[file, first record, count]`` ranges (e.g. sampled blocks)."""
-        sizes = dict(list_files(self.path))
+        listing = list_files(self.path)
+        sizes = dict(listing)
+        ids = {f: i for i, (f, _) in enumerate(listing)}
         parts: List[InputPartition] = []
         for path, first, count in self.ranges:
             if path not in sizes:
@@ -126,7 +139,7 @@ class FixedRecordReader(DataSourceReader):
             first = max(0, int(first))
             count = max(0, min(int(count), n - first))
             if count:
-                parts.append(RecordRange(path, first, count, 0))
+                parts.append(RecordRange(path, first, count, 0, ids[path]))
         return parts
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
@@ -145,13 +158,22 @@ class FixedRecordReader(DataSourceReader):
                 if len(buf) != k * rl:
                     raise EOFError(f"read past eof: {partition.path}")
                 block = np.frombuffer(buf, dtype=np.uint8).reshape(k, rl)
-                pos = np.arange(partition.first + done, partition.first + done + k,
-                                dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [fixed_binary_array(block[:, :kl]), fixed_binary_array(block[:, kl:]),
-                     pa.array(np.full(k, partition.path, dtype=object), type=pa.string()),
-                     pa.array(pos)],
-                    names=["key", "value", "file", "pos"])
+                cols = []
+                for c in self.columns:
+                    if c == "key":
+                        cols.append(fixed_binary_array(block[:, :kl]))
+                    elif c == "value":
+                        cols.append(fixed_binary_array(block[:, kl:]))
+                    elif c == "file":
+                        cols.append(pa.array(np.full(k, partition.path, dtype=object),
+                                             type=pa.string()))
+                    elif c == "pos":
+                        cols.append(pa.array(np.arange(partition.first + done,
+                                                       partition.first + done + k,
+                                                       dtype=np.int64)))
+                    else:
+                        cols.append(pa.array(np.full(k, partition.file_id, dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays(cols, names=self.columns)
                 done += k
 
 
@@ -199,7 +221,7 @@ class PrunedFixedRecordReader(FixedRecordReader):
             if stop <= first and not (r.tail and stop == end):
                 continue
             out.append(RecordRange(r.path, first, max(0, stop - first),
-                                   r.tail if stop == end else 0))
+                                   r.tail if stop == end else 0, r.file_id))
         return out
 
 
@@ -334,11 +356,15 @@ def register(spark: SparkSession) -> None:
 def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_LENGTH,
                        record_length: int = R.RECORD_LENGTH,
                        split_bytes: int = DEFAULT_SPLIT_BYTES,
-                       ranges=None) -> DataFrame:
+                       ranges=None, columns=None) -> DataFrame:
     """``(key, value, file, pos)`` of every record under ``path``.
 
     ``ranges``: optional list of ``(file, first_record, count)`` to read only
     those records (the sampler reads a few blocks, not the dataset).
+    ``columns``: the columns to produce, from ``key, value, file, pos,
+    file_id``; a Python source cannot prune columns by itself, so naming only
+    what is needed (``file_id`` instead of the ``file`` path string) saves the
+    per-row work at the scan.
     """
     register(spark)
     pushdown = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
@@ -347,6 +373,8 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
          .option("split_bytes", split_bytes).option("pushdown", pushdown))
     if ranges is not None:
         r = r.option("ranges", json.dumps([[f, int(a), int(n)] for f, a, n in ranges]))
+    if columns is not None:
+        r = r.schema(", ".join(f"{c} {COLUMN_TYPES[c]}" for c in columns))
     return r.load(path)
 
 

@@ -137,3 +137,13 @@ def test_cli(spark, tmp_path):
     assert main(["gen", "1k", gen, "--partitions", "2"]) == 0
     assert main(["sort", gen, srt, "--partitions", "3", "--method", "prefix7"]) == 0
     assert main(["validate", srt]) == 0
+
+
+def test_column_subset(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 500, num_partitions=2), out_dir)
+    full = FR.read_fixed_records(spark, out_dir).collect()
+    ids = {f: i for i, f in enumerate(sorted({r.file for r in full}))}
+    sub = FR.read_fixed_records(spark, out_dir, columns=["pos", "file_id", "key"])
+    assert sub.columns == ["pos", "file_id", "key"]
+    assert sorted(tuple(r) for r in sub.collect()) == \
+        sorted((r.pos, ids[r.file], r.key) for r in full)
