@@ -44,6 +44,8 @@ def main(argv=None) -> int:
     v.add_argument("input")
     v.add_argument("report", nargs="?")
     v.add_argument("--key-only", action="store_true", help="checksum the keys only")
+    v.add_argument("--format", default="text", choices=["text", "json"],
+                   help="report file format")
     args = ap.parse_args(argv)
 
     from sortproof import jobs
@@ -59,7 +61,8 @@ def main(argv=None) -> int:
         print(json.dumps({"rows": out["rows"], "checksum": format(out["checksum"], "x")}))
         return 0
     report = jobs.validate_job(spark, args.input, args.report,
-                               columns="key" if args.key_only else "record")
+                               columns="key" if args.key_only else "record",
+                               report_format=args.format)
     rows = report.collect()
     for r in rows:
         print(f"{r.kind}\t{r.file or ''}\t{r.detail}")

@@ -73,14 +73,25 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
 
 
 def validate_job(spark: SparkSession, path: str, report_path: Optional[str] = None,
-                 columns: str = "record", raise_on_error: bool = False) -> DataFrame:
-    """Validate a sorted dataset; write the report as JSON lines if asked.
+                 columns: str = "record", raise_on_error: bool = False,
+                 report_format: str = "json") -> DataFrame:
+    """Validate a sorted dataset; write the report if asked.
 
-    Returns the report DataFrame ``(kind, file, detail)``.
+    ``report_format``: ``json`` (one object per row) or ``text`` (one
+    ``kind<TAB>file<TAB>detail`` line per row).  Returns the report DataFrame
+    ``(kind, file, detail)``.  The report is small (errors or one checksum
+    row), so it is written as one file.
     """
     report = V.validate(FR.read_fixed_records(spark, path), columns=columns)
     if report_path is not None:
-        report.coalesce(1).write.mode("errorifexists").json(report_path)
+        w = report.coalesce(1)
+        if report_format == "text":
+            w.select(F.concat_ws("\t", "kind", F.coalesce("file", F.lit("")), "detail")
+                     .alias("value")).write.mode("errorifexists").text(report_path)
+        elif report_format == "json":
+            w.write.mode("errorifexists").json(report_path)
+        else:
+            raise ValueError("report_format must be 'json' or 'text'")
     if raise_on_error:
         bad = report.where(F.col("kind") == "error").limit(1).collect()
         if bad:

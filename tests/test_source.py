@@ -136,7 +136,9 @@ def test_cli(spark, tmp_path):
     gen, srt = str(tmp_path / "gen"), str(tmp_path / "sorted")
     assert main(["gen", "1k", gen, "--partitions", "2"]) == 0
     assert main(["sort", gen, srt, "--partitions", "3", "--method", "prefix7"]) == 0
-    assert main(["validate", srt]) == 0
+    assert main(["validate", srt, str(tmp_path / "report")]) == 0
+    lines = spark.read.text(str(tmp_path / "report")).collect()
+    assert len(lines) == 1 and lines[0].value.startswith("checksum\t\t")
 
 
 def test_column_subset(spark, out_dir):
