@@ -3,6 +3,7 @@
     spark-submit --py-files sortproof.zip -m sortproof gen 10m  <out dir>
     spark-submit ... -m sortproof sort <in dir> <out dir> [--partitions N] [--method M]
     spark-submit ... -m sortproof validate <in dir> [<report dir>]
+    spark-submit ... -m sortproof check <in dir>
 
 (or ``python -m sortproof ...`` for a local session).  Row counts take the
 suffixes k, m, b, t in any case.  Exit status 1 when validation finds errors.
@@ -46,6 +47,8 @@ def main(argv=None) -> int:
     v.add_argument("--key-only", action="store_true", help="checksum the keys only")
     v.add_argument("--format", default="text", choices=["text", "json"],
                    help="report file format")
+    c = sub.add_parser("check", help="list the data files, their sizes and record counts")
+    c.add_argument("input")
     args = ap.parse_args(argv)
 
     from sortproof import jobs
@@ -60,6 +63,14 @@ def main(argv=None) -> int:
         out = jobs.sort_job(spark, args.input, args.out, args.partitions, args.method)
         print(json.dumps({"rows": out["rows"], "checksum": format(out["checksum"], "x")}))
         return 0
+    if args.cmd == "check":
+        from sortproof.sources.inventory import inventory
+        inv = inventory(spark, args.input).orderBy("path").collect()
+        for r in inv:
+            print(f"{r.path}\t{r.length}\t{r.records}\t{r.remainder}")
+        print(f"files {len(inv)}\tbytes {sum(r.length for r in inv)}\t"
+              f"records {sum(r.records for r in inv)}")
+        return 1 if any(r.remainder for r in inv) else 0
     report = jobs.validate_job(spark, args.input, args.report,
                                columns="key" if args.key_only else "record",
                                report_format=args.format)

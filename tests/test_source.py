@@ -137,6 +137,7 @@ def test_cli(spark, tmp_path):
     assert main(["gen", "1k", gen, "--partitions", "2"]) == 0
     assert main(["sort", gen, srt, "--partitions", "3", "--method", "prefix7"]) == 0
     assert main(["validate", srt, str(tmp_path / "report")]) == 0
+    assert main(["check", srt]) == 0
     lines = spark.read.text(str(tmp_path / "report")).collect()
     assert len(lines) == 1 and lines[0].value.startswith("checksum\t\t")
 
