@@ -104,3 +104,24 @@ def test_split_point_store(spark, tmp_path):
     path = str(tmp_path / "splits")
     P.save_split_points(P.split_point_table(df, 4), path)
     assert P.load_split_points(spark, path) == P.split_points(df, 4)
+
+
+def test_join_lookup_equals_bisect(spark, monkeypatch):
+    monkeypatch.setattr(P, "JOIN_LOOKUP_ABOVE", 4)
+    rnd = random.Random(5)
+    splits = sorted(bytes(rnd.getrandbits(8) for _ in range(rnd.randint(1, 3))) for _ in range(60))
+    splits += [splits[10]] * 3          # a hot key: equal split points
+    splits.sort()
+    keys = [bytes(rnd.getrandbits(8) for _ in range(rnd.randint(0, 4))) for _ in range(3000)]
+    keys += splits + [b"", b"\xff" * 6]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i long, key binary")
+    import bisect
+    got = {r.i: r.pid for r in P.assign_partition(df, len(splits) + 1, "sampled", splits=splits,
+                                                  spread_hot_keys=False).collect()}
+    assert got == {i: bisect.bisect_right(splits, k) for i, k in enumerate(keys)}
+    spread = P.assign_partition(df, len(splits) + 1, "sampled", splits=splits,
+                                salt_columns=["i"]).collect()
+    assert len(spread) == len(keys)
+    for r in spread:
+        lo, hi = bisect.bisect_left(splits, r.key), bisect.bisect_right(splits, r.key)
+        assert (r.pid == hi) if hi - lo <= 1 else (lo + 1 <= r.pid <= hi)
