@@ -41,6 +41,8 @@ def main(argv=None) -> int:
     s.add_argument("out")
     s.add_argument("--partitions", type=int)
     s.add_argument("--method", default="range", choices=["range", "sampled", "prefix7", "prefix3"])
+    s.add_argument("--sampler", default="blocks", choices=["blocks", "spread"],
+                   help="sample for --method sampled: reference block sample or every split")
     v = sub.add_parser("validate", help="check order and checksum")
     v.add_argument("input")
     v.add_argument("report", nargs="?")
@@ -60,7 +62,8 @@ def main(argv=None) -> int:
         print(json.dumps({"rows": out["rows"], "checksum": format(out["checksum"], "x")}))
         return 0
     if args.cmd == "sort":
-        out = jobs.sort_job(spark, args.input, args.out, args.partitions, args.method)
+        out = jobs.sort_job(spark, args.input, args.out, args.partitions, args.method,
+                            sampler=args.sampler)
         print(json.dumps({"rows": out["rows"], "checksum": format(out["checksum"], "x")}))
         return 0
     if args.cmd == "check":

@@ -41,12 +41,15 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
              num_partitions: Optional[int] = None, method: str = "range",
              sample_blocks: int = P.DEFAULT_SAMPLE_BLOCKS,
              sample_size: Optional[int] = None,
-             mode: str = "errorifexists") -> dict:
+             mode: str = "errorifexists", sampler: str = "blocks") -> dict:
     """Totally sort a fixed-record dataset into ordered files; return ``{rows, checksum}``.
 
     ``num_partitions`` defaults to the number of input splits (as the
-    reference does).  ``sampled`` reads only the sampled blocks to pick its
-    split points; ``(file, pos)`` of each input record salts hot keys.  Rows
+    reference does).  ``sampled`` reads only its sample to pick split points:
+    ``sampler='blocks'`` is the reference's systematic block sample,
+    ``sampler='spread'`` takes a few records from every input split (robust to
+    input that is already ordered).  ``(file, pos)`` of each input record
+    salts hot keys.  Rows
     and checksum of what was written are observed during the write, to be
     compared with ``generate_job``'s (F15) without another pass.
     """
@@ -60,8 +63,13 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
         # the reference's 100,000 keys, but never fewer than 20 per partition
         sample_size = max(P.DEFAULT_SAMPLE_SIZE, 20 * num_partitions)
     if method == "sampled":
-        sample = P.file_block_sample(spark, in_path, num_samples=sample_blocks,
-                                     sample_size=sample_size)
+        if sampler == "spread":
+            sample = P.file_spread_sample(spark, in_path, sample_size=sample_size)
+        elif sampler == "blocks":
+            sample = P.file_block_sample(spark, in_path, num_samples=sample_blocks,
+                                         sample_size=sample_size)
+        else:
+            raise ValueError("sampler must be 'blocks' or 'spread'")
     out = S.total_order_sort(data, num_partitions, method, sample=sample,
                              salt_columns=["file_id", "pos"]).select("key", "value")
     obs = Observation("sort")

@@ -265,6 +265,28 @@ def file_block_sample(spark, path: str, block_rows: Optional[int] = None,
     return recs.select("file", int_div(F.col("pos"), block_rows).alias("block"), "pos", "key")
 
 
+def file_spread_sample(spark, path: str, sample_size: int = DEFAULT_SAMPLE_SIZE,
+                       split_bytes: Optional[int] = None, seed: int = 0,
+                       record_length: int = R.RECORD_LENGTH) -> DataFrame:
+    """A few records from every input split, at seeded offsets: ``(file, pos, key)``.
+
+    Unlike the systematic block sample (the reference's: the first records of
+    at most ten blocks), this covers every part of the dataset, so split
+    points stay even when the input is already ordered; it still reads only
+    about ``sample_size`` records.
+    """
+    from sortproof.sources import fixed_record as FR
+    split_bytes = split_bytes or FR.DEFAULT_SPLIT_BYTES
+    per_split = max(1, split_bytes // record_length)
+    splits = sum(-(-(size // record_length) // per_split)
+                 for _, size in FR.list_files(path) if size >= record_length)
+    k = max(1, -(-sample_size // max(1, splits)))
+    recs = FR.read_fixed_records(spark, path, record_length=record_length,
+                                 split_bytes=split_bytes, sample_per_split=k, sample_seed=seed,
+                                 columns=["file", "pos", "key"])
+    return recs
+
+
 # D2, D3, E6 -----------------------------------------------------------------------
 
 def split_point_table(sample: DataFrame, num_partitions: int, key: str = "key") -> DataFrame:

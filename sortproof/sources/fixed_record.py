@@ -44,6 +44,7 @@ COLUMN_TYPES = {"key": "binary", "value": "binary", "file": "string", "pos": "bi
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 READ_CHUNK_RECORDS = 65536
 BROADCAST_MAX_FILES = 200_000
+SAMPLE_RUN = 8              # records per contiguous read of the spread sampler
 
 
 def _fs(path: str):
@@ -75,6 +76,12 @@ def list_files(path: str):
     return sorted(out)
 
 
+@dataclass
+class RangeGroup(InputPartition):
+    """Several small record ranges read by one task (the spread sampler)."""
+    ranges: list     # [(path, first, count, file_id), ...]
+
+
 @dataclass
 class RecordRange(InputPartition):
     path: str
@@ -93,6 +100,8 @@ class FixedRecordReader(DataSourceReader):
         self.record_length = int(options.get("record_length", R.RECORD_LENGTH))
         self.split_bytes = int(options.get("split_bytes", DEFAULT_SPLIT_BYTES))
         self.ranges = json.loads(options.get("ranges", "null"))
+        self.sample_per_split = int(options.get("sample_per_split", "0"))
+        self.sample_seed = int(options.get("sample_seed", "0"))
         if not 0 < self.key_length <= self.record_length:
             raise ValueError("need 0 < key_length <= record_length")
         self.columns = list(schema.fieldNames()) if schema is not None else \
@@ -105,8 +114,40 @@ class FixedRecordReader(DataSourceReader):
     def partitions(self) -> List[InputPartition]:
         if self.ranges is not None:
             return self._restrict(self._range_partitions())
+        if self.sample_per_split > 0:
+            return self._spread_sample_partitions()
         return self._restrict(self._split_partitions())
 
+    def _spread_sample_partitions(self) -> List[InputPartition]:
+        """``sample_per_split`` records from every input split.
+
+        They are taken as short runs spaced evenly through the split, with a
+        seeded phase, so the sample covers the whole dataset (whatever its
+        order) while reading a tiny part of it; ranges are grouped so that
+        one task reads about a thousand of them.
+        """
+        import zlib
+        k = self.sample_per_split
+        picks = []
+        for r in self._split_partitions():
+            if r.count == 0:
+                continue
+            if k >= r.count:
+                picks.append((r.path, r.first, r.count, r.file_id))
+                continue
+            run = min(SAMPLE_RUN, k)
+            n_runs = -(-k // run)
+            stride = r.count // n_runs
+            h = zlib.crc32(f"{self.sample_seed}:{r.path}:{r.first}".encode())
+            left = k
+            for j in range(n_runs):
+                take = min(run, left, stride)
+                start = r.first + j * stride + (h + 7919 * j) % (stride - take + 1)
+                picks.append((r.path, start, take, r.file_id))
+                left -= take
+        group = 1024
+        return [RangeGroup(picks[i:i + group]) for i in range(0, len(picks), group)]
+
     def _split_partitions(self) -> List[InputPartition]:
         per_split = max(1, self.split_bytes // self.record_length)
         parts: List[InputPartition] = []
@@ -142,7 +183,14 @@ class FixedRecordReader(DataSourceReader):
                 parts.append(RecordRange(path, first, count, 0, ids[path]))
         return parts
 
-    def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition) -> Iterator[pa.RecordBatch]:
+        if isinstance(partition, RangeGroup):
+            for path, first, count, file_id in partition.ranges:
+                yield from self._read_range(RecordRange(path, first, count, 0, file_id))
+            return
+        yield from self._read_range(partition)
+
+    def _read_range(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         from sortproof.operators.generate import fixed_binary_array
         if partition.tail:
             raise EOFError(f"read past eof: {partition.path} ends with a partial record "
@@ -356,11 +404,14 @@ def register(spark: SparkSession) -> None:
 def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_LENGTH,
                        record_length: int = R.RECORD_LENGTH,
                        split_bytes: int = DEFAULT_SPLIT_BYTES,
-                       ranges=None, columns=None) -> DataFrame:
+                       ranges=None, columns=None, sample_per_split: int = 0,
+                       sample_seed: int = 0) -> DataFrame:
     """``(key, value, file, pos)`` of every record under ``path``.
 
     ``ranges``: optional list of ``(file, first_record, count)`` to read only
     those records (the sampler reads a few blocks, not the dataset).
+    ``sample_per_split``: read only that many records from every input split
+    (at an offset chosen by ``sample_seed``) -- the spread sampler.
     ``columns``: the columns to produce, from ``key, value, file, pos,
     file_id``; a Python source cannot prune columns by itself, so naming only
     what is needed (``file_id`` instead of the ``file`` path string) saves the
@@ -373,6 +424,9 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
          .option("split_bytes", split_bytes).option("pushdown", pushdown))
     if ranges is not None:
         r = r.option("ranges", json.dumps([[f, int(a), int(n)] for f, a, n in ranges]))
+    if sample_per_split:
+        r = r.option("sample_per_split", int(sample_per_split)).option("sample_seed",
+                                                                       int(sample_seed))
     if columns is not None:
         r = r.schema(", ".join(f"{c} {COLUMN_TYPES[c]}" for c in columns))
     return r.load(path)

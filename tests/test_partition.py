@@ -125,3 +125,22 @@ def test_join_lookup_equals_bisect(spark, monkeypatch):
     for r in spread:
         lo, hi = bisect.bisect_left(splits, r.key), bisect.bisect_right(splits, r.key)
         assert (r.pid == hi) if hi - lo <= 1 else (lo + 1 <= r.pid <= hi)
+
+
+def test_spread_sample_covers_every_split(spark, tmp_path):
+    from sortproof import jobs
+    from sortproof.sources import fixed_record as FR
+    gen, srt = str(tmp_path / "gen"), str(tmp_path / "sorted")
+    jobs.generate_job(spark, 20_000, gen, num_partitions=2)
+    # already-sorted input: the block sample sees only a few key ranges
+    jobs.sort_job(spark, gen, srt, num_partitions=4, method="prefix7")
+    s = P.file_spread_sample(spark, srt, sample_size=400, split_bytes=100 * 500)
+    rows = s.collect()
+    files = {r.file for r in rows}
+    assert len(files) == 4 and 400 <= len(rows) <= 480
+    assert len({r.pos // 500 for r in rows if r.file == sorted(files)[0]}) > 5
+    out = str(tmp_path / "resorted")
+    got = jobs.sort_job(spark, srt, out, num_partitions=8, method="sampled", sampler="spread",
+                        sample_size=2000)
+    sizes = [r["count"] for r in FR.read_fixed_records(spark, out).groupBy("file").count().collect()]
+    assert got["rows"] == 20_000 and max(sizes) < 2 * 20_000 / 8
