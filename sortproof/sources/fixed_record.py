@@ -115,16 +115,18 @@ class FixedRecordReader(DataSourceReader):
         if self.ranges is not None:
             return self._restrict(self._range_partitions())
         if self.sample_per_split > 0:
-            return self._spread_sample_partitions()
+            picks = self._restrict(self._spread_sample_ranges())
+            group = 1024   # about a thousand short ranges per task
+            return [RangeGroup([(r.path, r.first, r.count, r.file_id) for r in picks[i:i + group]])
+                    for i in range(0, len(picks), group)]
         return self._restrict(self._split_partitions())
 
-    def _spread_sample_partitions(self) -> List[InputPartition]:
+    def _spread_sample_ranges(self) -> List[RecordRange]:
         """``sample_per_split`` records from every input split.
 
         They are taken as short runs spaced evenly through the split, with a
         seeded phase, so the sample covers the whole dataset (whatever its
-        order) while reading a tiny part of it; ranges are grouped so that
-        one task reads about a thousand of them.
+        order) while reading a tiny part of it.
         """
         import zlib
         k = self.sample_per_split
@@ -133,7 +135,7 @@ class FixedRecordReader(DataSourceReader):
             if r.count == 0:
                 continue
             if k >= r.count:
-                picks.append((r.path, r.first, r.count, r.file_id))
+                picks.append(RecordRange(r.path, r.first, r.count, 0, r.file_id))
                 continue
             run = min(SAMPLE_RUN, k)
             n_runs = -(-k // run)
@@ -143,10 +145,9 @@ class FixedRecordReader(DataSourceReader):
             for j in range(n_runs):
                 take = min(run, left, stride)
                 start = r.first + j * stride + (h + 7919 * j) % (stride - take + 1)
-                picks.append((r.path, start, take, r.file_id))
+                picks.append(RecordRange(r.path, start, take, 0, r.file_id))
                 left -= take
-        group = 1024
-        return [RangeGroup(picks[i:i + group]) for i in range(0, len(picks), group)]
+        return picks
 
     def _split_partitions(self) -> List[InputPartition]:
         per_split = max(1, self.split_bytes // self.record_length)
@@ -267,7 +268,7 @@ class PrunedFixedRecordReader(FixedRecordReader):
             first = max(r.first, self.pos_lo)
             stop = end if self.pos_hi is None else min(end, self.pos_hi)
             if stop <= first and not (r.tail and stop == end):
-                continue
+                continue  # nothing asked for in this range
             out.append(RecordRange(r.path, first, max(0, stop - first),
                                    r.tail if stop == end else 0, r.file_id))
         return out

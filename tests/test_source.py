@@ -150,3 +150,18 @@ def test_column_subset(spark, out_dir):
     assert sub.columns == ["pos", "file_id", "key"]
     assert sorted(tuple(r) for r in sub.collect()) == \
         sorted((r.pos, ids[r.file], r.key) for r in full)
+
+
+def test_pushdown_with_spread_sample(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 4000, num_partitions=2), out_dir)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = FR.read_fixed_records(spark, out_dir, split_bytes=100 * 500, sample_per_split=40)
+        files = sorted({r.file for r in df.select("file").collect()})
+        allrows = df.collect()
+        got = df.where((F.col("file") == files[0]) & (F.col("pos") < 1000)).collect()
+        assert got and all(r.file == files[0] and r.pos < 1000 for r in got)
+        assert sorted(r.pos for r in got) == sorted(r.pos for r in allrows
+                                                    if r.file == files[0] and r.pos < 1000)
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
