@@ -151,6 +151,8 @@ def range_splits(total_rows, num_splits: int) -> DataFrame:
     cut is a plan, not a driver loop.
     """
     p = num_splits
+    if p < 1:
+        raise ValueError("num_splits must be >= 1")
     n = F.col("n").cast("bigint")
     s = F.col("split").cast("bigint")
 

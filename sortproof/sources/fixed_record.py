@@ -317,13 +317,14 @@ class FixedRecordWriter(DataSourceArrowWriter):
         self.key_length = int(options.get("key_length", R.KEY_LENGTH))
         self.record_length = int(options.get("record_length", R.RECORD_LENGTH))
         self.job = uuid.uuid4().hex[:12]
+        self.append = options.get("allow_existing", "false").lower() == "true"
         from pyarrow import fs as pafs
         fs, p = _fs(self.path)
         exists = fs.get_file_info(p).type != pafs.FileType.NotFound
         if exists:
             if overwrite:
                 fs.delete_dir_contents(p)
-            elif options.get("allow_existing", "false").lower() != "true":
+            elif not self.append:
                 raise FileExistsError(f"Output directory {self.path} already exists")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
@@ -354,7 +355,9 @@ class FixedRecordWriter(DataSourceArrowWriter):
     def commit(self, messages: List[WrittenFile]) -> None:
         from concurrent.futures import ThreadPoolExecutor
         fs, base = _fs(self.path)
-        moves = [(m.temp_path, posixpath.join(base, f"part-{m.partition:05d}"))
+        # appended files carry the job id, so they never replace earlier ones
+        suffix = f"-{self.job}" if self.append else ""
+        moves = [(m.temp_path, posixpath.join(base, f"part-{m.partition:05d}{suffix}"))
                  for m in messages if m is not None]
         # one rename per output file; object stores make each a copy, so
         # run them concurrently

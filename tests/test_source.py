@@ -165,3 +165,12 @@ def test_pushdown_with_spread_sample(spark, out_dir):
                                                     if r.file == files[0] and r.pos < 1000)
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_append_keeps_earlier_files(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 100, num_partitions=2), out_dir)
+    FR.write_fixed_records(G.generate_records(spark, 50, start=100, num_partitions=2), out_dir,
+                           mode="append")
+    back = FR.read_fixed_records(spark, out_dir)
+    assert back.count() == 150
+    assert V.compare_checksums(G.generate_records(spark, 150), back).collect()[0].equal
