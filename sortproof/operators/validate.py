@@ -35,8 +35,19 @@ DEFAULT_BLOCK_ROWS = 1_000_000
 MAX_RUN_ROWS = 1 << 30
 
 
+def _file_name(df: DataFrame, file: str):
+    """The unit of order as a string whose order is the files' order.
+
+    Integral ids (e.g. partition ids) are zero-padded, so that 10 sorts after 9.
+    """
+    c = F.col(file)
+    if isinstance(df.schema[file].dataType, T.IntegralType):
+        return F.lpad(c.cast("string"), 20, "0")
+    return c.cast("string")
+
+
 def _norm(df: DataFrame, key: str, file: str, pos: str, value: Optional[str]) -> DataFrame:
-    cols = [F.col(file).cast("string").alias("file"), F.col(pos).cast("bigint").alias("pos"),
+    cols = [_file_name(df, file).alias("file"), F.col(pos).cast("bigint").alias("pos"),
             F.col(key).alias("key")]
     if value is not None:
         cols.append(F.col(value).alias("value"))

@@ -147,3 +147,13 @@ def test_hot_key_is_spread(spark, method):
     assert [r.kind for r in rep.collect()] == ["checksum"]
     assert V.compare_checksums(df, s).collect()[0].equal
     s.unpersist()
+
+
+def test_numeric_file_ids_keep_numeric_order(spark, recs):
+    s = S.total_order_sort(recs, 12, "prefix7", with_position=True)
+    for method in ("scan", "window"):
+        rep = V.validate(s, file="pid", method=method).collect()
+        assert [r.kind for r in rep] == ["checksum"], method
+    checks = V.partition_checks(V.partition_summary(s)).collect()
+    assert sorted(r.pid for r in checks) == list(range(12))
+    assert all(r.first_le_last and r.prev_le_first for r in checks)
