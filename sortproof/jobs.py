@@ -19,6 +19,8 @@ from sortproof.operators import sort as S
 from sortproof.operators import validate as V
 from sortproof.sources import fixed_record as FR
 
+MAX_SAMPLE = 10_000_000
+
 
 def generate_job(spark: SparkSession, num_rows: int, out_path: str, start: int = 0,
                  ascii: bool = False, num_partitions: Optional[int] = None,
@@ -60,8 +62,9 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
         num_partitions = max(1, data.rdd.getNumPartitions())
     sample = None
     if sample_size is None:
-        # the reference's 100,000 keys, but never fewer than 20 per partition
-        sample_size = max(P.DEFAULT_SAMPLE_SIZE, 20 * num_partitions)
+        # the reference's 100,000 keys, but 20 per partition for big sorts; the
+        # sample is ranked in one task, so it stays capped at 10 million keys
+        sample_size = max(P.DEFAULT_SAMPLE_SIZE, min(20 * num_partitions, MAX_SAMPLE))
     if method == "sampled":
         if sampler == "spread":
             sample = P.file_spread_sample(spark, in_path, sample_size=sample_size)
