@@ -120,3 +120,11 @@ def test_range_splits(spark):
 
 def test_empty_generation(spark):
     assert G.generate_records(spark, 0).count() == 0
+
+
+def test_negative_rows_rejected(spark):
+    with pytest.raises(ValueError):
+        G.generate_records(spark, -1)
+    bad = spark.createDataFrame([(-5,)], "r long")
+    with pytest.raises(Exception, match="non-negative"):
+        G.with_records(bad, "r").collect()

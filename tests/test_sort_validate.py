@@ -157,3 +157,11 @@ def test_numeric_file_ids_keep_numeric_order(spark, recs):
     checks = V.partition_checks(V.partition_summary(s)).collect()
     assert sorted(r.pid for r in checks) == list(range(12))
     assert all(r.first_le_last and r.prev_le_first for r in checks)
+
+
+def test_global_position_with_ties_is_a_permutation(spark):
+    df = spark.createDataFrame([(bytes([i % 7]) * 3, i) for i in range(700)], "key binary, t int")
+    g = S.sort_with_global_position(df, 5, "prefix7").select("key", "global_pos").collect()
+    assert sorted(r.global_pos for r in g) == list(range(700))
+    by_pos = sorted(g, key=lambda r: r.global_pos)
+    assert [r.key for r in by_pos] == sorted(r.key for r in g)

@@ -174,3 +174,10 @@ def test_append_keeps_earlier_files(spark, out_dir):
     back = FR.read_fixed_records(spark, out_dir)
     assert back.count() == 150
     assert V.compare_checksums(G.generate_records(spark, 150), back).collect()[0].equal
+
+
+def test_inventory_total(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 1234, num_partitions=3), out_dir)
+    from sortproof.sources.inventory import inventory_total
+    t = inventory_total(spark, out_dir).collect()[0]
+    assert (t.files, t.bytes, t.records, t.remainder) == (3, 123400, 1234, 0)
