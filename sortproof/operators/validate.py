@@ -145,21 +145,23 @@ RUN_SCHEMA = T.StructType([
     T.StructField("last_key", T.BinaryType()),
     T.StructField("rows", T.LongType()),
     T.StructField("crc", T.LongType()),
+    T.StructField("groups", T.LongType()),        # run: groups of equal adjacent keys
 ])
 
 
 _RUN_ARROW = pa.schema([("kind", pa.string()), ("file", pa.string()), ("pos", pa.int64()),
                         ("last_pos", pa.int64()), ("prev_key", pa.binary()),
                         ("key", pa.binary()), ("last_key", pa.binary()),
-                        ("rows", pa.int64()), ("crc", pa.int64())])
+                        ("rows", pa.int64()), ("crc", pa.int64()), ("groups", pa.int64())])
 
 
-def _runs_batch(file, pos, last_pos, key, last_key, rows, crc) -> pa.RecordBatch:
+def _runs_batch(file, pos, last_pos, key, last_key, rows, crc, groups) -> pa.RecordBatch:
     n = len(pos)
     return pa.RecordBatch.from_arrays([
         pa.array(["run"] * n, pa.string()), file, pa.array(pos, pa.int64()),
         pa.array(last_pos, pa.int64()), pa.nulls(n, pa.binary()), key, last_key,
-        pa.array(rows, pa.int64()), pa.array(crc, pa.int64())], schema=_RUN_ARROW)
+        pa.array(rows, pa.int64()), pa.array(crc, pa.int64()),
+        pa.array(groups, pa.int64())], schema=_RUN_ARROW)
 
 
 def _misorder_batch(file, pos, prev_key, key) -> pa.RecordBatch:
@@ -167,13 +169,14 @@ def _misorder_batch(file, pos, prev_key, key) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(["misorder"] * n, pa.string()), file, pa.array(pos, pa.int64()),
         pa.nulls(n, pa.int64()), prev_key, key, pa.nulls(n, pa.binary()),
-        pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=_RUN_ARROW)
+        pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+        schema=_RUN_ARROW)
 
 
 def _one_run(r) -> pa.RecordBatch:
     return _runs_batch(pa.array([r[0]], pa.string()), [r[1]], [r[2]],
                        pa.array([r[3]], pa.binary()), pa.array([r[4]], pa.binary()),
-                       [r[5]], [r[6]])
+                       [r[5]], [r[6]], [r[7]])
 
 
 def _file_order(t: pa.Table):
@@ -210,7 +213,7 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     so the result never depends on physical row order -- only the number of
     runs does.
     """
-    open_run = None  # [file, first_pos, last_pos, first_key, last_key, rows, crc]
+    open_run = None  # [file, first_pos, last_pos, first_key, last_key, rows, crc, groups]
     for b in batches:
         n = b.num_rows
         if n == 0:
@@ -234,6 +237,10 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.concatenate([starts[1:], [n]]) - 1
         sums = np.add.reduceat(crc, starts)
         rows = ends - starts + 1
+        # groups of equal adjacent keys in each run: 1 + key changes inside it
+        ne = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        changes = np.concatenate([[0], np.cumsum(ne, dtype=np.int64)])
+        groups = 1 + changes[ends] - changes[starts]
         first = 0
         if open_run is not None:
             f0, p0, k0 = files[0].as_py(), int(pos[0]), keys[0].as_py()
@@ -244,6 +251,7 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                pa.array([open_run[4]], pa.binary()),
                                                pa.array([k0], pa.binary())))
                 e0 = int(ends[0])
+                open_run[7] += int(groups[0]) - (1 if k0 == open_run[4] else 0)
                 open_run[2], open_run[4] = int(pos[e0]), keys[e0].as_py()
                 open_run[5] += int(rows[0])
                 open_run[6] += int(sums[0])
@@ -257,10 +265,10 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sel = slice(first, last)
                 st, en = starts[sel], ends[sel]
                 out.append(_runs_batch(files.take(st), pos[st], pos[en], keys.take(st),
-                                       keys.take(en), rows[sel], sums[sel]))
+                                       keys.take(en), rows[sel], sums[sel], groups[sel]))
             a, z = int(starts[last]), int(ends[last])
             open_run = [files[a].as_py(), int(pos[a]), int(pos[z]), keys[a].as_py(),
-                        keys[z].as_py(), int(rows[last]), int(sums[last])]
+                        keys[z].as_py(), int(rows[last]), int(sums[last]), int(groups[last])]
         for o in out:
             yield o
     if open_run is not None:
@@ -313,6 +321,20 @@ def misorders_from_runs(runs: DataFrame) -> DataFrame:
     return inner.unionByName(edges).withColumn("detail", detail)
 
 
+def key_groups_from_runs(runs: DataFrame) -> DataFrame:
+    """``(file, key_groups)``: groups of equal adjacent keys per file.
+
+    For a sorted file this is its number of distinct keys, computed from the
+    run table -- no second shuffle of the keys.  Runs that meet on an equal
+    key are one group, found by ``lag`` over the runs of a file.
+    """
+    r = runs.where(F.col("kind") == "run")
+    w = Window.partitionBy("file").orderBy("pos")
+    joined = F.coalesce(F.lag("last_key").over(w) == F.col("key"), F.lit(False))
+    return (r.withColumn("joined", joined.cast("long"))
+             .groupBy("file").agg((F.sum("groups") - F.sum("joined")).alias("key_groups")))
+
+
 # F4 ---------------------------------------------------------------------------------
 
 def boundary_table(bounds: DataFrame) -> DataFrame:
@@ -391,6 +413,22 @@ def partition_summary(sorted_df: DataFrame, key: str = "key", value: Optional[st
                     "last_key", "checksum")
 
 
+def partition_stats(sorted_df: DataFrame, key: str = "key", value: Optional[str] = "value",
+                    pid: str = "pid", pos: str = "pos",
+                    columns: str = "record") -> DataFrame:
+    """``(pid, rows, key_groups, first_key, last_key, checksum)`` from one read.
+
+    The sorted data are scanned once into a checkpointed run table; the
+    summary and the distinct-key count (groups of equal adjacent keys) both
+    come from it, so the sort runs once and keys are never shuffled again.
+    """
+    runs = scan_runs(sorted_df, key, pid, pos, value, columns)
+    summ = summary_from_runs(runs)
+    return (summ.join(key_groups_from_runs(runs), "file")
+                .select(F.col("file").cast("int").alias("pid"), "rows", "key_groups",
+                        "first_key", "last_key", "checksum"))
+
+
 def partition_checks(summary: DataFrame) -> DataFrame:
     """``(pid, first_le_last, prev_le_first)`` over a partition summary."""
     w = Window.orderBy("pid")

@@ -212,14 +212,16 @@ def sort_tie_breaker(spark, sf_dir):
     return s.select("l_orderkey", "l_linenumber", _hex("key", "key_hex"), "pid", "pos")
 
 
+def _stats_columns(st):
+    return st.select("pid", "rows", F.col("key_groups").alias("distinct_keys"),
+                     _hex("first_key", "first_key"), _hex("last_key", "last_key"),
+                     _sum_text("checksum").alias("checksum"))
+
+
 def sort_ties_summary(spark, sf_dir):
     li = X.lineitem_records(spark, sf_dir)
     s = S.total_order_sort(li, Q.P, "prefix7", with_position=True)
-    summ = V.partition_summary(s)
-    d = s.groupBy("pid").agg(F.count_distinct("key").alias("distinct_keys"))
-    return summ.join(d, "pid").select(
-        "pid", "rows", "distinct_keys", _hex("first_key", "first_key"),
-        _hex("last_key", "last_key"), _sum_text("checksum").alias("checksum"))
+    return _stats_columns(V.partition_stats(s))
 
 
 # validation ---------------------------------------------------------------------------
@@ -247,11 +249,7 @@ def sort_hot_keys(spark, sf_dir):
                              sample_size=Q.SAMPLE_SIZE)
     s = S.total_order_sort(li, Q.P, "sampled", splits=PT.split_points(sample, Q.P),
                            salt_columns=["l_orderkey", "l_linenumber"], with_position=True)
-    summ = V.partition_summary(s)
-    d = s.groupBy("pid").agg(F.count_distinct("key").alias("distinct_keys"))
-    return summ.join(d, "pid").select(
-        "pid", "rows", "distinct_keys", _hex("first_key", "first_key"),
-        _hex("last_key", "last_key"), _sum_text("checksum").alias("checksum"))
+    return _stats_columns(V.partition_stats(s))
 
 
 def _sorted_documents(spark, sf_dir):

@@ -165,3 +165,18 @@ def test_global_position_with_ties_is_a_permutation(spark):
     assert sorted(r.global_pos for r in g) == list(range(700))
     by_pos = sorted(g, key=lambda r: r.global_pos)
     assert [r.key for r in by_pos] == sorted(r.key for r in g)
+
+
+def test_key_groups_equal_distinct_on_sorted_output(spark):
+    rng = np.random.default_rng(5)
+    keys = [bytes([int(x)]) for x in rng.integers(0, 40, 5000)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key binary, t long")
+    s = S.total_order_sort(df, 4, "prefix7", with_position=True)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")  # runs span batches
+    try:
+        runs = V.scan_runs(s.withColumn("value", F.lit(b"x")), file="pid", materialize=False)
+        got = {int(r.file): r.key_groups for r in V.key_groups_from_runs(runs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {r.pid: r.n for r in s.groupBy("pid").agg(F.count_distinct("key").alias("n")).collect()}
+    assert got == want
