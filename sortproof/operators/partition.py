@@ -130,7 +130,7 @@ def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None)
 
 
 def _interval_table(spark, splits: Sequence[bytes]) -> DataFrame:
-    """``(_bucket, pid, lo, hi)``: partition i holds keys in [lo, hi), listed under
+    """``(_bucket, pid, _lo, _hi)``: partition i holds keys in [_lo, _hi), listed under
     every key-prefix bucket the interval touches.  Rows: about p + 2^(8*BUCKET_BYTES)."""
     m = len(splits)
     top = (1 << (8 * BUCKET_BYTES)) - 1
@@ -146,8 +146,8 @@ def _interval_table(spark, splits: Sequence[bytes]) -> DataFrame:
             continue  # empty: between equal split points
         rows.append((i, lo, hi, bucket(lo) if lo is not None else 0,
                      bucket(hi) if hi is not None else top))
-    t = spark.createDataFrame(rows, "pid int, lo binary, hi binary, b_lo int, b_hi int")
-    return t.select(F.explode(F.sequence("b_lo", "b_hi")).alias("_bucket"), "pid", "lo", "hi")
+    t = spark.createDataFrame(rows, "pid int, _lo binary, _hi binary, b_lo int, b_hi int")
+    return t.select(F.explode(F.sequence("b_lo", "b_hi")).alias("_bucket"), "pid", "_lo", "_hi")
 
 
 def _range_ids_by_join(df: DataFrame, key: str, splits: Sequence[bytes],
@@ -162,10 +162,10 @@ def _range_ids_by_join(df: DataFrame, key: str, splits: Sequence[bytes],
     k = F.col(key)
     b = R.key_prefix_int(k, BUCKET_BYTES).cast("int")
     tbl = F.broadcast(_interval_table(df.sparkSession, splits).withColumnRenamed("pid", out))
-    inside = ((F.col("lo").isNull() | (k >= F.col("lo"))) &
-              (F.col("hi").isNull() | (k < F.col("hi"))))
+    inside = ((F.col("_lo").isNull() | (k >= F.col("_lo"))) &
+              (F.col("_hi").isNull() | (k < F.col("_hi"))))
     return (df.withColumn("_bucket", b).join(tbl, "_bucket").where(inside)
-              .drop("_bucket", "lo", "hi"))
+              .drop("_bucket", "_lo", "_hi"))
 
 
 def row_salt(df: DataFrame, columns: Optional[Sequence[str]] = None) -> Column:

@@ -38,8 +38,9 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
     """Sort ``df`` by ``key`` across ``num_partitions`` ordered partitions.
 
     Adds ``pid`` (the output partition) and, with ``with_position``, ``pos``
-    (0-based position inside the partition).  Rows with equal keys always share
-    a partition; their order is open unless ``tie_breaker`` columns are given.
+    (0-based position inside the partition).  Rows with equal keys share a
+    partition unless the key is hot (see below); their order is open unless
+    ``tie_breaker`` columns are given.
 
     For ``method='sampled'`` give either ``splits`` (sorted bytes) or a
     ``sample`` DataFrame with a ``key`` column (e.g. from ``block_sample``).
