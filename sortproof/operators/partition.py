@@ -164,7 +164,7 @@ def _range_ids_by_join(df: DataFrame, key: str, splits: Sequence[bytes],
     tbl = F.broadcast(_interval_table(df.sparkSession, splits).withColumnRenamed("pid", out))
     inside = ((F.col("_lo").isNull() | (k >= F.col("_lo"))) &
               (F.col("_hi").isNull() | (k < F.col("_hi"))))
-    return (df.withColumn("_bucket", b).join(tbl, "_bucket").where(inside)
+    return (df.drop(out).withColumn("_bucket", b).join(tbl, "_bucket").where(inside)
               .drop("_bucket", "_lo", "_hi"))
 
 
