@@ -227,7 +227,7 @@ class FixedRecordReader(DataSourceReader):
 
 
 class PrunedFixedRecordReader(FixedRecordReader):
-    """Reader that takes ``file`` and ``pos`` predicates: whole input splits
+    """Reader that takes ``file``, ``file_id`` and ``pos`` predicates: whole input splits
     and files are skipped, and ranges are cut to the asked positions, so the
     predicates are applied exactly here and never reach Spark again."""
 
@@ -236,11 +236,12 @@ class PrunedFixedRecordReader(FixedRecordReader):
         self.pos_lo = 0
         self.pos_hi = None
         self.files = None
+        self.file_ids = None
 
     def pushFilters(self, filters):
         for f in filters:
             col = f.attribute[0] if len(f.attribute) == 1 else None
-            if col in ("pos", "file", "key", "value") and isinstance(f, IsNotNull):
+            if col in ("pos", "file", "file_id", "key", "value") and isinstance(f, IsNotNull):
                 continue  # no column of this source is ever null
             if col == "pos" and isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan,
                                                LessThanOrEqual, EqualTo)) \
@@ -256,6 +257,9 @@ class PrunedFixedRecordReader(FixedRecordReader):
             elif col == "file" and isinstance(f, (EqualTo, In)):
                 vals = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 self.files = vals if self.files is None else self.files & vals
+            elif col == "file_id" and isinstance(f, (EqualTo, In)):
+                vals = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.file_ids = vals if self.file_ids is None else self.file_ids & vals
             else:
                 yield f
 
@@ -264,6 +268,8 @@ class PrunedFixedRecordReader(FixedRecordReader):
         for r in parts:
             if self.files is not None and r.path not in self.files:
                 continue
+            if self.file_ids is not None and r.file_id not in self.file_ids:
+                continue
             end = r.first + r.count
             first = max(r.first, self.pos_lo)
             stop = end if self.pos_hi is None else min(end, self.pos_hi)

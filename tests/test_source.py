@@ -181,3 +181,15 @@ def test_inventory_total(spark, out_dir):
     from sortproof.sources.inventory import inventory_total
     t = inventory_total(spark, out_dir).collect()[0]
     assert (t.files, t.bytes, t.records, t.remainder) == (3, 123400, 1234, 0)
+
+
+def test_pushdown_file_id(spark, out_dir):
+    FR.write_fixed_records(G.generate_records(spark, 900, num_partitions=3), out_dir)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = FR.read_fixed_records(spark, out_dir, columns=["file_id", "pos", "key"])
+        q = df.where(F.col("file_id").isin(0, 2))
+        assert q.rdd.getNumPartitions() == 2
+        assert {r.file_id for r in q.collect()} == {0, 2} and q.count() == 600
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
