@@ -50,10 +50,10 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     reference does).  ``sampled`` reads only its sample to pick split points:
     ``sampler='blocks'`` is the reference's systematic block sample,
     ``sampler='spread'`` takes a few records from every input split (robust to
-    input that is already ordered).  ``(file, pos)`` of each input record
-    salts hot keys.  Rows
-    and checksum of what was written are observed during the write, to be
-    compared with ``generate_job``'s (F15) without another pass.
+    input that is already ordered).  ``(file_id, pos)`` of each input record
+    salts hot keys.  Rows and checksum of what was written are observed
+    during the write, to be compared with ``generate_job``'s (F15) without
+    another pass.
     """
     # file_id + pos identify a record (they salt copies of a hot record) and
     # are far cheaper to produce than the path string
@@ -90,12 +90,13 @@ def validate_job(spark: SparkSession, path: str, report_path: Optional[str] = No
 
     ``report_format``: ``json`` (one object per row) or ``text`` (one
     ``kind<TAB>file<TAB>detail`` line per row).  Returns the report DataFrame
-    ``(kind, file, detail)``.  The report is small (errors or one checksum
-    row), so it is written as one file.
+    ``(kind, file, detail)``.  A clean dataset gives one checksum row; a badly
+    ordered one can give a row per record, so the report keeps its
+    partitioning when written rather than going through one task.
     """
     report = V.validate(FR.read_fixed_records(spark, path), columns=columns)
     if report_path is not None:
-        w = report.coalesce(1)
+        w = report
         if report_format == "text":
             w.select(F.concat_ws("\t", "kind", F.coalesce("file", F.lit("")), "detail")
                      .alias("value")).write.mode("errorifexists").text(report_path)
