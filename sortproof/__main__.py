@@ -77,10 +77,13 @@ def main(argv=None) -> int:
     report = jobs.validate_job(spark, args.input, args.report,
                                columns="key" if args.key_only else "record",
                                report_format=args.format)
-    rows = report.collect()
-    for r in rows:
+    # stream the report: a badly ordered dataset can have a row per record,
+    # so it is never held whole on the driver
+    failed = False
+    for r in report.toLocalIterator():
+        failed = failed or r.kind == "error"
         print(f"{r.kind}\t{r.file or ''}\t{r.detail}")
-    return 1 if any(r.kind == "error" for r in rows) else 0
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":
