@@ -1,8 +1,9 @@
 """Every registered query: ``name -> f(spark, sf_dir) -> DataFrame``.
 
 Each query runs the library operators over whole driver tables; its oracle in
-``oracle.py`` recomputes the same columns in DuckDB.  Binary values are shown
-as upper-case hex, exact sums as decimal text.
+``oracle.py`` recomputes the same columns in DuckDB (all but ``sort_hot_keys``,
+whose partition contents depend on a row hash; a test checks it by brute
+force).  Binary values are shown as upper-case hex, exact sums as decimal text.
 """
 
 from __future__ import annotations
