@@ -56,3 +56,16 @@ def test_sort_hot_keys_brute_force(spark):
     holding = [r for r in rows if r.first_key <= hot <= r.last_key]
     assert len(holding) >= 2 and max(r.rows for r in rows) < want[hot]
     assert {r.first_key for r in rows} | {r.last_key for r in rows} <= set(want)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="driver tables missing")
+def test_orders_key_checksum_golden(spark):
+    from pyspark.sql import functions as F
+
+    from sortproof.operators import validate as V
+    from sortproof.plans import fixtures as X
+    o = X.order_records(spark, "/root/testdata/sf0.01")
+    t = V.checksum_total(o, columns="key").collect()[0]
+    assert (t.rows, int(t.checksum)) == (15000, 31874007275077)
+    mm = o.agg(F.hex(F.min("key")).alias("a"), F.hex(F.max("key")).alias("b")).collect()[0]
+    assert (mm.a, mm.b) == ("00003E3B9E5336685200", "FFFB8EF15DE06D87E6BA")
