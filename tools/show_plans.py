@@ -42,6 +42,9 @@ def main(argv):
             S.total_order_sort(o, 7, "prefix7"),
         "sort, sampled split points (codegen'd CASE tree + pass-through exchange)":
             S.total_order_sort(o, 7, "sampled", splits=splits),
+        "sort, sampled with 400 partitions (split lookup as a bucketed broadcast join)":
+            S.total_order_sort(o, 400, "sampled",
+                               splits=P.split_points(o.select("key"), 400)),
         "sort, range (range exchange over key + row hash)":
             S.total_order_sort(o, 7, "range"),
         "global position, sampled (counts by partial aggregation, broadcast offsets)":
