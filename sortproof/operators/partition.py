@@ -157,15 +157,19 @@ def _range_ids_by_join(df: DataFrame, key: str, splits: Sequence[bytes],
     A range lookup as an equi-join: rows and split intervals meet on the first
     key bytes (a broadcast hash join; the interval table is bounded by the
     partition count), then one comparison picks the interval holding the key.
-    The intervals tile the key space, so every row matches exactly one.
+    The intervals tile the key space, so every non-null key matches exactly
+    one; the join is a left join, so no row can be lost.
     """
     k = F.col(key)
     b = R.key_prefix_int(k, BUCKET_BYTES).cast("int")
     tbl = F.broadcast(_interval_table(df.sparkSession, splits).withColumnRenamed("pid", out))
     inside = ((F.col("_lo").isNull() | (k >= F.col("_lo"))) &
               (F.col("_hi").isNull() | (k < F.col("_hi"))))
-    return (df.drop(out).withColumn("_bucket", b).join(tbl, "_bucket").where(inside)
-              .drop("_bucket", "_lo", "_hi"))
+    # a left join keeps every row: a null key (sorted first) goes to partition 0
+    d = df.drop(out).withColumn("_bucket", F.coalesce(b, F.lit(0)))
+    joined = d.join(tbl, (d["_bucket"] == tbl["_bucket"]) & inside, "left")
+    return (joined.drop(tbl["_bucket"]).drop(d["_bucket"]).drop("_lo", "_hi")
+                  .withColumn(out, F.coalesce(F.col(out), F.lit(0))))
 
 
 def row_salt(df: DataFrame, columns: Optional[Sequence[str]] = None) -> Column:

@@ -144,3 +144,12 @@ def test_spread_sample_covers_every_split(spark, tmp_path):
                         sample_size=2000)
     sizes = [r["count"] for r in FR.read_fixed_records(spark, out).groupBy("file").count().collect()]
     assert got["rows"] == 20_000 and max(sizes) < 2 * 20_000 / 8
+
+
+def test_join_lookup_keeps_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(P, "JOIN_LOOKUP_ABOVE", 2)
+    df = spark.createDataFrame([(None,), (b"\x05",), (b"\xf0",)], "key binary")
+    got = {(None if r.key is None else bytes(r.key), r.pid) for r in
+           P.assign_partition(df, 5, "sampled", splits=[b"\x01", b"\x10", b"\x80", b"\xa0"],
+                              spread_hot_keys=False).collect()}
+    assert got == {(None, 0), (b"\x05", 1), (b"\xf0", 4)}
