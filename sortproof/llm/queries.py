@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import table
+from sortproof.llm.frames import crc_mod, table
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import linededup
+    out = linededup.removed_lines(_documents(spark, sf_dir), threshold=0.8)
+    return out.select(F.col("id").alias("doc_id"), "n_lines",
+                      F.size("removed").cast("long").alias("n_removed"),
+                      F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sortproof.llm import simhash
     out = simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, max_bits=2)
@@ -28,9 +36,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import pst
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held = crc_mod("doc_id", 7) == 2
+    model = pst.fit(docs.where(~held))
+    out = pst.score(model, docs).withColumnRenamed("id", "doc_id")
+    return out.withColumn("held_out", held)
+
+
 QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE_SQL: dict[str, str] = {}
