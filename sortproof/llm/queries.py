@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sortproof.llm import lineclean, mixing, urllist
 from sortproof.llm.frames import crc_mod, table
 
 
@@ -16,6 +17,25 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(_documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, cap=2.0)
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op2_line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineclean.clean(_documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "n_lines_removed", "words_left")
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = urllist.judge(urllist.page_captures(pages), urllist.page_lists(pages))
+    return out.select(F.col("id").alias("page_id"), F.unix_seconds("fetched").alias("fetched_s"), "blocked",
+                      "list", "pattern", F.unix_seconds("valid_from").alias("valid_from_s"),
+                      F.unix_seconds("valid_to").alias("valid_to_s"), "n_active")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sortproof.llm import bpe
     return bpe.digests(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
@@ -46,10 +66,17 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mix": op1_source_mix,
+    "op2_line_clean": op2_line_clean,
+    "op5_url_lists": op5_url_lists,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_lm_score": op10_lm_score,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_source_mix": mixing.SQL,
+    "op2_line_clean": lineclean.SQL,
+    "op5_url_lists": urllist.SQL,
+}
