@@ -28,6 +28,13 @@ def op2_line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words", "base_failed", "kept", "n_lines_removed", "words_left")
 
 
+def op3_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import pq
+    out = pq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                      (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     out = urllist.judge(urllist.page_captures(pages), urllist.page_lists(pages))
@@ -68,6 +75,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_line_clean": op2_line_clean,
+    "op3_embedding_pq": op3_embedding_pq,
     "op5_url_lists": op5_url_lists,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
