@@ -31,6 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """As ``cut``, as a compressed table: for larger intermediate results."""
+    spark = df.sparkSession
+    session.ship_package(spark)
+    path = session.new_output_path(spark, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package available to local Python workers."""
     session.ship_package(df.sparkSession)

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import cut, map_arrow, slices, words
+from sortproof.llm.frames import cut, map_arrow, slices, store, words
 
 #: log2 of the word counter's and the candidate filter's size.
 COUNTER_BITS = 20
@@ -193,8 +193,8 @@ def _reader(rank, threshold):
                         none(k, pa.list_(pa.int64())), none(k, pa.list_(pa.int64())),
                         pa.array(sig[pick]), pa.array(sig2[pick]), pa.array(size.astype(np.int32)),
                         pa.array(low[pick]), pa.array(high[pick]), pa.array(line_hash),
-                        lists(tokens[src].view(np.int64),
-                              np.concatenate([[0], ends]), pa.int64())],
+                        lists((tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                              np.concatenate([[0], ends]), pa.int32())],
                         names=_NAMES)
     return run
 
@@ -205,7 +205,7 @@ _NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "low", "high", "li
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, i, pa.list_(i)]
+    return [i, i, pa.int32(), i, i, i, pa.list_(pa.int32())]
 
 
 def _finder(rank, wanted):
@@ -225,12 +225,12 @@ def _finder(rank, wanted):
                 may = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                 picked = lines.take(pa.array(first[may]))
                 tokens, offs = _sets(picked, rank.value)
-                sig = _signatures(tokens, offs)[0]
+                sig = _signatures(tokens, offs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), pa.array(h[may].view(np.int64)),
+                    [pa.array(sig[0]), pa.array(sig[1]),
                      pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)),
                                               pa.array(tokens.view(np.int64)))],
-                    names=["sig", "line", "tokens"])
+                    names=["sig", "sig2", "tokens"])
     return run
 
 
@@ -264,25 +264,19 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("rk"),
                     F.col(text_col).cast("string").alias("text"))
     order = spark.sparkContext.broadcast(rarity(d))
-    read = cut(map_arrow(d, _reader(order, threshold),
-                         "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                         " size int, low long, high long, line long, prefix array<long>"))
-    rows = read.where("sigs is not null").select("id", "rk", "sigs", "sigs2").dropDuplicates(["id", "rk"])
+    read = store(map_arrow(d, _reader(order, threshold),
+                           "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
+                           " size int, low long, high long, line long, prefix array<int>"))
+    rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
+                 .dropDuplicates(["id", "rk"]))
     at = rows.select("id", "rk", F.posexplode(F.arrays_zip("sigs", "sigs2")).alias("no", "s")) \
         .where("s.sigs is not null").selectExpr("id", "rk", "no", "s.sigs as sig", "s.sigs2 as sig2")
-    at = cut(at)
     # place of a line: null ids last, then id, text, number
     place = F.struct(F.col("id").isNull().alias("z"), "id", "rk", "no")
-    first = at.select("sig", "sig2", place.alias("place")).groupBy("sig", "sig2").agg(
-        F.min("place").alias("place"))
-    entries = read.where("sig is not null").groupBy("sig", "sig2").agg(
-        F.min("size").alias("size"), F.min("low").alias("low"), F.min("high").alias("high"),
-        F.min("line").alias("line"), F.first("prefix").alias("prefix"))
-    classes = cut(entries.join(first, ["sig", "sig2"]))
-
-    later = cut(_matches(d, classes, order, threshold))
-    firsts = classes.select("sig", "sig2", F.col("place").alias("first")).join(
-        later, ["sig", "sig2"], "left")
+    first = store(at.select("sig", "sig2", place.alias("place")).groupBy("sig", "sig2").agg(
+        F.min("place").alias("first")))
+    later = _matches(d, read.where("sig is not null"), first, order, threshold)
+    firsts = first.join(later, ["sig", "sig2"], "left")
     # on ~sig, so that both sides are dealt for the join and a frequent line's part can be split
     marked = at.withColumn("k", F.bitwise_not("sig")).join(
         firsts.select(F.bitwise_not("sig").alias("k"), "sig2", "first", "gone"),
@@ -296,13 +290,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def _matches(d, classes, order, threshold):
+def _matches(d, read, first, order, threshold):
     """(sig, sig2, gone): classes that a class with an earlier first line matches."""
     spark = d.sparkSession
     r = threshold
-    probe = classes.where("size(prefix) > 0").select(
-        "sig", "sig2", "size", "low", "high", "place",
-        F.posexplode("prefix").alias("pos", "token"))
+    entries = read.where("size(prefix) > 0").groupBy("sig", "sig2").agg(
+        F.min("size").alias("size"), F.min("low").alias("low"), F.min("high").alias("high"),
+        F.first("prefix").alias("prefix"))
+    probe = entries.select("sig", "size", "low", "high", F.posexplode("prefix").alias("pos", "token"))
     x = probe.select(*(F.col(c).alias(f"x_{c}") for c in probe.columns))
     y = probe.select(*(F.col(c).alias(f"y_{c}") for c in probe.columns))
     both = F.col("x_size") + F.col("y_size")
@@ -310,27 +305,29 @@ def _matches(d, classes, order, threshold):
     ahead = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
     differ = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + \
         F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
-    pairs = x.join(y, on=[
-        F.col("x_token") == F.col("y_token"),
-        F.col("y_place") < F.col("x_place"),
+    pairs = cut(x.join(y, on=[
+        F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
         differ + 2 * need <= both, ahead >= need,
-        F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")]) \
-        .select("x_sig", "x_sig2", "y_sig", "y_sig2").distinct()
-    pairs = cut(pairs)
-    ends = pairs.selectExpr("x_sig as sig", "x_sig2 as sig2").unionAll(
-        pairs.selectExpr("y_sig", "y_sig2")).distinct()
-    lines = cut(classes.join(ends, ["sig", "sig2"], "left_semi").select("sig", "line"))
+        F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")])
+        .select("x_sig", "y_sig").distinct())
+    ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
+    lines = read.join(ends, "sig", "left_semi").select("line")
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
     found = map_arrow(d.select("text"), _finder(order, wanted),
-                      "sig long, line long, tokens array<long>")
-    sets = cut(found.join(lines, ["sig", "line"], "left_semi").groupBy("sig").agg(
-        F.first("tokens").alias("tokens")))
-    t = pairs.join(sets.select(F.col("sig").alias("x_sig"), F.col("tokens").alias("xt")), "x_sig") \
-        .join(sets.select(F.col("sig").alias("y_sig"), F.col("tokens").alias("yt")), "y_sig")
-    shared = F.size(F.array_intersect("xt", "yt"))
-    good = shared + 1e-9 >= (F.size("xt") + F.size("yt")) * F.lit(r / (1 + r))
-    return t.where(good).selectExpr("x_sig as sig", "x_sig2 as sig2").distinct().withColumn(
-        "gone", F.lit(True))
+                      "sig long, sig2 long, tokens array<long>")
+    sets = found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
+        F.first("tokens").alias("tokens"))
+    sets = cut(sets.join(first, ["sig", "sig2"]))
+    def side(k):
+        return sets.select(*(F.col(c).alias(f"{k}_{c}") for c in sets.columns))
+    t = pairs.join(side("x"), "x_sig").join(side("y"), "y_sig")
+    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
+    good = shared + 1e-9 >= (F.size("x_tokens") + F.size("y_tokens")) * F.lit(r / (1 + r))
+    x_gone = F.col("x_first") > F.col("y_first")
+    return t.where(good).select(
+        F.when(x_gone, F.col("x_sig")).otherwise(F.col("y_sig")).alias("sig"),
+        F.when(x_gone, F.col("x_sig2")).otherwise(F.col("y_sig2")).alias("sig2")).distinct() \
+        .withColumn("gone", F.lit(True))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
