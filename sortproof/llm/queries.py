@@ -35,6 +35,20 @@ def op3_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    """The toxicity model of the documents whose label may be learned."""
+    from sortproof.llm import toxicity
+    docs = _documents(spark, sf_dir).select("doc_id", "text").where(crc_mod("doc_id", 5) != 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.fit(docs.join(labels, "doc_id"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import toxicity
+    out = toxicity.score(toxicity_model(spark, sf_dir), _documents(spark, sf_dir))
+    return out.withColumnRenamed("id", "doc_id").withColumn("held_out", crc_mod("doc_id", 5) == 0)
+
+
 def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     out = urllist.judge(urllist.page_captures(pages), urllist.page_lists(pages))
@@ -48,6 +62,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import langid
+    docs = _documents(spark, sf_dir)
+    model = langid.fit(docs.where(crc_mod("doc_id", 3) != 1))
+    out = langid.predict(model, docs).withColumnRenamed("id", "doc_id")
+    return out.withColumn("held_out", crc_mod("doc_id", 3) == 1)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sortproof.llm import linededup
     out = linededup.removed_lines(_documents(spark, sf_dir), threshold=0.8)
@@ -76,8 +98,10 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_line_clean": op2_line_clean,
     "op3_embedding_pq": op3_embedding_pq,
+    "op4_toxicity": op4_toxicity,
     "op5_url_lists": op5_url_lists,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_lm_score": op10_lm_score,
