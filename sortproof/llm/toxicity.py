@@ -85,7 +85,7 @@ class Landmarks:
     strings: list
     order: int = 3
     decay: float = 0.7
-    power: int = 3
+    power: int = 5
 
     def __post_init__(self):
         import numpy as np
@@ -238,6 +238,9 @@ def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=40, least_score=
         best = max(ranked, key=lambda g: (score(g), len(g), g))
         if score(best) < least_score:
             break
+        # the longest string that says nearly the same
+        best = max((g for g in ranked if best in g and tox[g] >= 0.9 * tox[best]),
+                   key=lambda g: (len(g), score(g), g))
         found.append(best)
         for w in of[best]:
             if w not in gone:
