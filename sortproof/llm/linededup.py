@@ -10,11 +10,13 @@ Equal sets are folded into one class first, so copies cost one row.  The tokens
 each class are ordered by rarity: a counter of hashed words over all lines (a
 table of fixed size) gives the order, ties by hash; any fixed order leaves the
 result exact.  A class of n words can match only a class that shares one of its
-n - ceil(t n) + 1 first words, which are joined on equality; lengths, positions
-and a 128-bit parity sketch (whose bits that differ never outnumber the words that
-differ) reject candidates in the join.  The words of the candidates' lines are
-then read again and the Jaccard similarity of each is verified.  Words are told
-apart by 64-bit hash.
+n - ceil(t n) + 1 first words, which are joined on equality; of the smaller class
+n - ceil(2 t n / (1 + t)) + 1 words are enough.  Lengths, positions and a 64-bit
+parity sketch (whose bits that differ never outnumber the words that differ)
+reject candidates in the join.  The words of the candidates' lines are then read
+again and the Jaccard similarity is verified: of each class with its earliest
+candidate first, and where that is no match, with all its earlier candidates.
+Words are told apart by 64-bit hash.
 """
 
 from __future__ import annotations
@@ -124,28 +126,24 @@ def _sets(lines, rank):
 
 
 def _signatures(tokens, offs):
-    """Per line: set signature (two 64-bit sums) and two 64-bit parity sketches."""
+    """Per line: set signature (two 64-bit sums) and a 64-bit parity sketch."""
     import numpy as np
     n = np.diff(offs)
     some = np.flatnonzero(n)
-    out = np.zeros((4, len(n)), np.uint64)
+    out = np.zeros((3, len(n)), np.uint64)
     if len(some):
         at = offs[:-1][some]
         with np.errstate(over="ignore"):
             a, b = _mix(tokens, 0x9E3779B97F4A7C15), _mix(tokens, 0xC2B2AE3D27D4EB4F)
             out[0, some] = np.add.reduceat(a, at)
             out[1, some] = np.add.reduceat(b, at)
-            bit = np.uint64(1) << (a & np.uint64(63))
-            low = (a >> np.uint64(6)) & np.uint64(1) == 0
-            zero = np.uint64(0)
-            out[2, some] = np.bitwise_xor.reduceat(np.where(low, bit, zero), at)
-            out[3, some] = np.bitwise_xor.reduceat(np.where(low, zero, bit), at)
+            out[2, some] = np.bitwise_xor.reduceat(np.uint64(1) << (a & np.uint64(63)), at)
     return out.view(np.int64)
 
 
 def _reader(rank, threshold):
     """Rows of documents -> per row the lines' set signatures, and per new set its
-    entry for the index (prefix, size, sketches, hash of the line's text)."""
+    entry for the index (prefix, size, sketch, hash of the line's text)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -156,7 +154,7 @@ def _reader(rank, threshold):
                 order = rank.value
                 coded = lines.dictionary_encode()           # equal lines once
                 tokens, offs = _sets(coded.dictionary, order)
-                sig, sig2, low, high = _signatures(tokens, offs)
+                sig, sig2, sketch = _signatures(tokens, offs)
                 n = np.diff(offs)
                 at = np.asarray(coded.indices, np.int64)
                 lists = lambda x, o, t: pa.ListArray.from_arrays(
@@ -192,20 +190,20 @@ def _reader(rank, threshold):
                         none(k, ids.type), none(k, rk.type),
                         none(k, pa.list_(pa.int64())), none(k, pa.list_(pa.int64())),
                         pa.array(sig[pick]), pa.array(sig2[pick]), pa.array(size.astype(np.int32)),
-                        pa.array(low[pick]), pa.array(high[pick]), pa.array(line_hash),
+                        pa.array(sketch[pick]), pa.array(line_hash),
                         lists((tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32),
                               np.concatenate([[0], ends]), pa.int32())],
                         names=_NAMES)
     return run
 
 
-_NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "low", "high", "line", "prefix"]
+_NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line", "prefix"]
 
 
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, i, pa.list_(pa.int32())]
+    return [i, i, pa.int32(), i, i, pa.list_(pa.int32())]
 
 
 def _finder(rank, wanted):
@@ -266,7 +264,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = spark.sparkContext.broadcast(rarity(d))
     read = store(map_arrow(d, _reader(order, threshold),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                           " size int, low long, high long, line long, prefix array<int>"))
+                           " size int, sketch long, line long, prefix array<int>"))
     rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
                  .dropDuplicates(["id", "rk"]))
     at = rows.select("id", "rk", F.posexplode(F.arrays_zip("sigs", "sigs2")).alias("no", "s")) \
@@ -295,19 +293,22 @@ def _matches(d, read, first, order, threshold):
     spark = d.sparkSession
     r = threshold
     entries = read.where("size(prefix) > 0").groupBy("sig", "sig2").agg(
-        F.min("size").alias("size"), F.min("low").alias("low"), F.min("high").alias("high"),
-        F.first("prefix").alias("prefix"))
-    probe = entries.select("sig", "size", "low", "high", F.posexplode("prefix").alias("pos", "token"))
+        F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+    probe = entries.select("sig", "size", "sketch", F.posexplode("prefix").alias("pos", "token"))
     x = probe.select(*(F.col(c).alias(f"x_{c}") for c in probe.columns))
     y = probe.select(*(F.col(c).alias(f"y_{c}") for c in probe.columns))
     both = F.col("x_size") + F.col("y_size")
     need = F.ceil(both * F.lit(r / (1 + r)) - 1e-9)         # words a matching pair shares
     ahead = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
-    differ = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + \
-        F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
+    differ = F.bit_count(F.col("x_sketch").bitwiseXOR(F.col("y_sketch")))
+
+    def early(k):
+        n = F.col(f"{k}_size")
+        return F.col(f"{k}_pos") <= n - F.ceil(n * F.lit(2 * r / (1 + r)) - 1e-9)
     pairs = cut(x.join(y, on=[
         F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
         differ + 2 * need <= both, ahead >= need,
+        F.when(F.col("x_size") <= F.col("y_size"), early("x")).otherwise(early("y")),
         F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")])
         .select("x_sig", "y_sig").distinct())
     ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
@@ -315,19 +316,31 @@ def _matches(d, read, first, order, threshold):
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
     found = map_arrow(d.select("text"), _finder(order, wanted),
                       "sig long, sig2 long, tokens array<long>")
-    sets = found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
-        F.first("tokens").alias("tokens"))
-    sets = cut(sets.join(first, ["sig", "sig2"]))
-    def side(k):
-        return sets.select(*(F.col(c).alias(f"{k}_{c}") for c in sets.columns))
-    t = pairs.join(side("x"), "x_sig").join(side("y"), "y_sig")
-    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    good = shared + 1e-9 >= (F.size("x_tokens") + F.size("y_tokens")) * F.lit(r / (1 + r))
-    x_gone = F.col("x_first") > F.col("y_first")
-    return t.where(good).select(
-        F.when(x_gone, F.col("x_sig")).otherwise(F.col("y_sig")).alias("sig"),
-        F.when(x_gone, F.col("x_sig2")).otherwise(F.col("y_sig2")).alias("sig2")).distinct() \
-        .withColumn("gone", F.lit(True))
+    sets = cut(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
+        F.first("tokens").alias("tokens")))
+    named = first.join(ends, "sig", "left_semi").select("sig", "sig2", F.col("first").alias("at"))
+
+    def side(k, of):
+        return of.select(*(F.col(c).alias(f"{k}_{c}") for c in of.columns))
+    key = lambda k: F.struct(F.col(f"{k}_sig").alias("sig"), F.col(f"{k}_sig2").alias("sig2"))
+    late = F.col("x_at") > F.col("y_at")
+    todo = pairs.join(side("x", named), "x_sig").join(side("y", named), "y_sig").select(
+        F.when(late, key("x")).otherwise(key("y")).alias("b"), F.when(late, key("y")).otherwise(key("x")).alias("a"),
+        F.least("x_at", "y_at").alias("a_at"))
+    todo = cut(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "a_at"))
+
+    def verified(p):
+        t = p.join(side("b", sets), ["b_sig", "b_sig2"]).join(side("a", sets), ["a_sig", "a_sig2"])
+        shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+        good = shared + 1e-9 >= (F.size("a_tokens") + F.size("b_tokens")) * F.lit(r / (1 + r))
+        return t.where(good).select("b_sig", "b_sig2").distinct()
+    nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("a_at", "a_sig", "a_sig2")).alias("a")) \
+        .selectExpr("b_sig", "b_sig2", "a.a_sig", "a.a_sig2")
+    done = cut(verified(nearest))
+    more = verified(todo.join(done, ["b_sig", "b_sig2"], "left_anti").select(
+        "b_sig", "b_sig2", "a_sig", "a_sig2"))
+    return done.unionAll(more).select(
+        F.col("b_sig").alias("sig"), F.col("b_sig2").alias("sig2"), F.lit(True).alias("gone"))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
