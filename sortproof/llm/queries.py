@@ -38,9 +38,8 @@ def op3_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str):
     """The toxicity model of the documents whose label may be learned."""
     from sortproof.llm import toxicity
-    docs = _documents(spark, sf_dir).select("doc_id", "text").where(crc_mod("doc_id", 5) != 0)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return toxicity.fit(docs.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
+    return toxicity.fit(_documents(spark, sf_dir), labels)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,8 +84,8 @@ def _codes(strings, pad, width=None):
 class Landmarks:
     strings: list
     order: int = 3
-    decay: float = 0.7
-    power: int = 5
+    decay: float = 0.75
+    power: int = 4
 
     def __post_init__(self):
         import numpy as np
@@ -93,7 +93,7 @@ class Landmarks:
         each = [kernel(_codes([x], -1), _codes([x], -2), self.order, self.decay)[0, 0] for x in self.strings]
         self.own = np.maximum(np.array(each, np.float32), 1e-12)
 
-    def features(self, strings, weights=None, block=1024):
+    def features(self, strings, weights=None, block=160):
         """Scaled kernel of strings (of up to WINDOW characters) with the landmarks: (n, M),
         or its product with ``weights``: (n,)."""
         import numpy as np
@@ -351,21 +351,27 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0) -> Model:
     return Model(marks, white @ beta, float(bias), got)
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        per_label: int = 600, max_chars: int = 8000, seed: int = 4) -> Model:
-    """Fit on labelled rows: about ``per_label`` toxic and twice as many clean texts of
-    up to ``max_chars`` characters, drawn by hash (the bound on what reaches the
-    driver).  Rows with a null text or label are left out.  Without both labels the
-    model gives every text the score of the only label, 0 without any."""
-    d = train.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                     F.col(label_col).cast("int").alias("y"))
-    d = d.where(F.col("y").isin(0, 1) & (F.char_length("text") <= max_chars))
-    d = cut(d.select("y", unit_hash("id", "text", seed=seed).alias("u"), "text")
-            .where(F.col("u") < F.lit(1.0)))
-    n = {r.y: r.n for r in d.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    rate = {k: min(1.0, per_label * (2 - k) / n[k]) if n.get(k) else 0.0 for k in (0, 1)}
-    got = d.where(F.col("u") < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0])) \
-        .limit(6 * per_label + 100).toPandas().sort_values(["y", "u", "text"])
+def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic", per_label: int = 600, max_chars: int = 8000, seed: int = 4) -> Model:
+    """Fit on documents and their labels (rows id, label; default: columns of ``docs``).
+
+    About ``per_label`` toxic and twice as many clean documents are drawn by hash of
+    the id from the labels, and of these the texts of up to ``max_chars`` characters
+    are used: that bounds what is broadcast and reaches the driver.  Null ids, texts
+    and labels are left out; a document with both labels counts as toxic.  Without
+    both labels the model gives every text the score of the only label, 0 without any.
+    """
+    y = (docs if labels is None else labels).select(
+        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    y = y.where(F.col("y").isin(0, 1) & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
+    y = cut(y)
+    n = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    rate = {k: min(1.0, 1.3 * per_label * (2 - k) / n[k]) if n.get(k) else 0.0 for k in (0, 1)}
+    drawn = y.where(unit_hash("id", seed=seed) < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0])) \
+        .limit(6 * per_label + 100)
+    got = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+        .join(F.broadcast(drawn), "id").where(F.char_length("text") <= max_chars) \
+        .toPandas().sort_values(["y", "id", "text"])
     took = int((got.y == 0).sum())
     return fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0)
 
