@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,15 +27,16 @@ def parse_human_count(s) -> Column:
     Anything else (sign, spaces, other suffix, overflow) gives null. ``t`` is
     10^12 computed in BIGINT, not the overflowing int product.
     """
-    s = F.lower(F.trim(_c(s)))
+    s = F.lower(_c(s))
     digits = F.regexp_extract(s, r"^([0-9]+)([kmbt]?)$", 1)
     suffix = F.regexp_extract(s, r"^([0-9]+)([kmbt]?)$", 2)
     mult = F.lit(1).cast("bigint")
     for suf, m in COUNT_SUFFIXES.items():
         mult = F.when(suffix == suf, F.lit(m).cast("bigint")).otherwise(mult)
-    base = F.when(digits != "", digits.cast("decimal(38,0)"))
-    total = base * mult.cast("decimal(38,0)")
-    return F.when(total < F.lit(Decimal(2 ** 63)).cast("decimal(38,0)"), total.cast("bigint"))
+    # 20 digits or more are above 2^63 already
+    base = F.when((digits != "") & (F.length(F.ltrim(digits, F.lit("0"))) < 20),
+                  F.coalesce(digits.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")))
+    return F.try_multiply(base.try_cast("bigint"), mult)
 
 
 def format_size(n) -> Column:

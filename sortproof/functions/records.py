@@ -76,12 +76,14 @@ def hex_to_decimal(h) -> Column:
     """Parse up to 32 hex digits into DECIMAL(38,0).
 
     Split into two 16-digit halves; ``conv`` handles each unsigned 64-bit half.
-    Values at or above 10^38 (only possible above 2^126) overflow to null.
+    Values at or above 10^38 (only possible above 2^126), other characters,
+    nothing or more than 32 digits give null, under ANSI mode too.
     """
-    h = F.lpad(_c(h), 32, "0")
+    h = F.when(_c(h).rlike("^[0-9a-fA-F]{1,32}$"), F.lpad(_c(h), 32, "0"))
     hi = F.conv(F.substring(h, 1, 16), 16, 10).cast("decimal(38,0)")
     lo = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(38,0)")
-    return (hi * F.lit(Decimal(2 ** 64)).cast("decimal(38,0)") + lo).cast("decimal(38,0)")
+    return F.try_add(F.try_multiply(hi, F.lit(Decimal(2 ** 64)).cast("decimal(20,0)"))
+                     .try_cast("decimal(38,0)"), lo).try_cast("decimal(38,0)")
 
 
 def decimal_to_hex(n) -> Column:
@@ -97,9 +99,9 @@ def decimal_to_hex(n) -> Column:
 
 
 def parse_decimal_strict(s) -> Column:
-    """Decimal digits only, else null."""
+    """Decimal digits only, else null (B6); null above 38 digits too."""
     s = _c(s)
-    return F.when(s.rlike("^[0-9]+$"), s.cast("decimal(38,0)"))
+    return F.when(s.rlike("^[0-9]+$"), s.try_cast("decimal(38,0)"))
 
 
 # B9 / B10 / B11 ---------------------------------------------------------------

@@ -19,7 +19,6 @@ from sortproof.operators import sort as S
 from sortproof.operators import validate as V
 from sortproof.sources import fixed_record as FR
 
-MAX_SAMPLE = 10_000_000
 
 
 def generate_job(spark: SparkSession, num_rows: int, out_path: str, start: int = 0,
@@ -40,17 +39,19 @@ def generate_job(spark: SparkSession, num_rows: int, out_path: str, start: int =
 
 
 def sort_job(spark: SparkSession, in_path: str, out_path: str,
-             num_partitions: Optional[int] = None, method: str = "range",
+             num_partitions: Optional[int] = None, method: str = "sampled",
              sample_blocks: int = P.DEFAULT_SAMPLE_BLOCKS,
              sample_size: Optional[int] = None,
-             mode: str = "errorifexists", sampler: str = "blocks") -> dict:
+             mode: str = "errorifexists", sampler: str = "spread",
+             splits_path: Optional[str] = None) -> dict:
     """Totally sort a fixed-record dataset into ordered files; return ``{rows, checksum}``.
 
-    ``num_partitions`` defaults to the number of input splits (as the
-    reference does).  ``sampled`` reads only its sample to pick split points:
-    ``sampler='blocks'`` is the reference's systematic block sample,
-    ``sampler='spread'`` takes a few records from every input split (robust to
-    input that is already ordered).  ``(file_id, pos)`` of each input record
+    ``num_partitions`` defaults to the number of input splits.  ``sampled``
+    reads only its sample to pick split points: ``sampler='spread'`` takes a few
+    records from every input split (robust to input that is already ordered),
+    ``sampler='blocks'`` is the systematic sample of a few whole blocks.
+    ``splits_path`` names a stored split-point table: it is used if it exists
+    (and must fit ``num_partitions``) and written otherwise.  ``(file_id, pos)`` of each input record
     salts hot keys.  Rows and checksum of what was written are observed
     during the write, to be compared with ``generate_job``'s (F15) without
     another pass.
@@ -59,12 +60,13 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     # are far cheaper to produce than the path string
     data = FR.read_fixed_records(spark, in_path, columns=["key", "value", "file_id", "pos"])
     if num_partitions is None:
-        num_partitions = max(1, data.rdd.getNumPartitions())
-    sample = None
+        num_partitions = max(1, FR.split_count(in_path))
+    if FR.same_path(in_path, out_path):
+        raise ValueError(f"input and output are both {in_path}")
+    sample, splits = None, None
     if sample_size is None:
-        # the reference's 100,000 keys, but 20 per partition for big sorts; the
-        # sample is ranked in one task, so it stays capped at 10 million keys
-        sample_size = max(P.DEFAULT_SAMPLE_SIZE, min(20 * num_partitions, MAX_SAMPLE))
+        # 100,000 keys, but 20 per partition for big sorts (P.MAX_RANKED at most: more raise)
+        sample_size = max(P.DEFAULT_SAMPLE_SIZE, 20 * num_partitions)
     if method == "sampled":
         if sampler == "spread":
             sample = P.file_spread_sample(spark, in_path, sample_size=sample_size)
@@ -73,7 +75,9 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
                                          sample_size=sample_size)
         else:
             raise ValueError("sampler must be 'blocks' or 'spread'")
-    out = S.total_order_sort(data, num_partitions, method, sample=sample,
+    if method == "sampled" and splits_path is not None:
+        splits = _stored_splits(spark, splits_path, num_partitions, sample)
+    out = S.total_order_sort(data, num_partitions, method, sample=sample, splits=splits,
                              salt_columns=["file_id", "pos"]).select("key", "value")
     obs = Observation("sort")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
@@ -83,18 +87,45 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     return {"rows": int(got["rows"]), "checksum": int(got["checksum"] or 0)}
 
 
+def _stored_splits(spark: SparkSession, path: str, num_partitions: int, sample: DataFrame) -> list:
+    """Split points from ``path``; taken from the sample and stored there if it is new."""
+    if FR.exists(path):
+        splits = P.load_split_points(spark, path)
+        if len(splits) != num_partitions - 1:
+            raise ValueError(f"{path} holds {len(splits)} split points, not {num_partitions - 1}")
+        return splits
+    splits = P.split_points(sample, num_partitions)
+    table = spark.createDataFrame([(i, bytearray(k)) for i, k in enumerate(splits, 1)], "idx int, key binary")
+    P.save_split_points(table, path)
+    return splits
+
+
 def validate_job(spark: SparkSession, path: str, report_path: Optional[str] = None,
                  columns: str = "record", raise_on_error: bool = False,
-                 report_format: str = "json") -> DataFrame:
+                 report_format: str = "json", expected: Optional[dict] = None) -> DataFrame:
     """Validate a sorted dataset; write the report if asked.
 
     ``report_format``: ``json`` (one object per row) or ``text`` (one
     ``kind<TAB>file<TAB>detail`` line per row).  Returns the report DataFrame
     ``(kind, file, detail)``.  A clean dataset gives one checksum row; a badly
     ordered one can give a row per record, so the report keeps its
-    partitioning when written rather than going through one task.
+    partitioning when written rather than going through one task.  ``expected``
+    (``{rows, checksum}`` of the generate or sort job) adds an error row if the
+    dataset holds other rows or another checksum (F15).
     """
-    report = V.validate(FR.read_fixed_records(spark, path), columns=columns)
+    # integer file ids through the scan; the names join the few rows of the report
+    data = FR.read_fixed_records(spark, path, columns=["key", "value", "file_id", "pos"])
+    runs = V.scan_runs(data, file="file_id", columns=columns)
+    report = V.report_from_runs(runs, FR.file_names(spark, path))
+    if expected is not None:
+        got = V.summary_from_runs(runs).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("checksum"), F.lit(0)).cast("decimal(38,0)").alias("checksum")).first()
+        if (got["rows"], int(got["checksum"])) != (expected["rows"], int(expected["checksum"])):
+            text = (f"expected {expected['rows']} rows with checksum {int(expected['checksum']):x}, "
+                    f"found {got['rows']} with {int(got['checksum']):x}")
+            report = report.unionByName(spark.createDataFrame(
+                [("error", None, text)], "kind string, file string, detail string"))
     if report_path is not None:
         w = report
         if report_format == "text":

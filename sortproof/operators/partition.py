@@ -22,6 +22,10 @@ DEFAULT_SAMPLE_SIZE = 100_000
 PREFIX7_MAX = (1 << 56) - 1
 PREFIX3_SPAN = 1 << 24
 # -----------------------------------------------------------------------------
+# Sampled rows per partition that bound the tie ranges of a hot key.
+TIE_SAMPLE = 200
+# Keys that split_point_table ranks at most; more raise.
+MAX_RANKED = 50_000_000
 
 
 def _c(col) -> Column:
@@ -50,45 +54,29 @@ def prefix3_partition(key, num_partitions: int) -> Column:
 
 # D4 ---------------------------------------------------------------------------
 
-# ``assign_partition`` looks split points up with a balanced CASE WHEN tree
-# (depth log2(p), inside whole-stage codegen) up to JOIN_LOOKUP_ABOVE of them;
-# bigger trees compile slowly, so above that it uses a bucketed broadcast join
-# (measured crossover: between 63 and 255 split points).  The Column form
-# ``range_partition`` keeps the tree up to TREE_SEARCH_MAX and then falls back
-# to a binary search in ``aggregate`` (lambda functions are not codegen'd).
-JOIN_LOOKUP_ABOVE = 127
-TREE_SEARCH_MAX = 2047
-# Key prefix bytes that bucket the split intervals for the join lookup.
-BUCKET_BYTES = 2
+# Split points are looked up by a search tree with LOOKUP_FANOUT branches a level:
+# the top separators are literals of a balanced CASE WHEN, every further level is a
+# join on the integer block number that brings the block's separators as columns,
+# compared by the same balanced CASE WHEN.  All of it is codegen'd, costs log2(p)
+# comparisons and one small hash join per level, and depends on the number of split
+# points alone, not on what the keys look like.
+LOOKUP_FANOUT = 64
+# Split points of the Column form, which has the first level only.
+COLUMN_LOOKUP_MAX = 2047
 
 
-def _tree(k: Column, splits: Sequence[bytes], lo: int, hi: int) -> Column:
-    """Count of splits <= k, knowing it lies in [lo, hi]."""
+def _tree(k: Column, splits: Sequence[Column], lo: int, hi: int) -> Column:
+    """Count of splits <= k, knowing it lies in [lo, hi]; null splits are above all keys."""
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(F.lit(bytes(splits[mid])) <= k, _tree(k, splits, mid + 1, hi)) \
+    return F.when(splits[mid] <= k, _tree(k, splits, mid + 1, hi)) \
             .otherwise(_tree(k, splits, lo, mid))
 
 
 def _count_splits(k: Column, splits: Sequence[bytes]) -> Column:
     """Number of split points <= k."""
-    m = len(splits)
-    if m <= TREE_SEARCH_MAX:
-        return _tree(k, splits, 0, m).cast("int")
-    arr = F.array(*[F.lit(bytes(s)) for s in splits])
-    steps = max(1, m.bit_length())
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = F.element_at(arr, mid + 1) <= k
-        return F.when(lo >= hi, acc).otherwise(
-            F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
-             .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(m).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"].cast("int")
+    return _tree(k, [F.lit(bytes(s)) for s in splits], 0, len(splits)).cast("int")
 
 
 def hot_split_keys(splits: Sequence[bytes]) -> dict:
@@ -106,9 +94,8 @@ def hot_split_keys(splits: Sequence[bytes]) -> dict:
 def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None) -> Column:
     """Number of split points <= key: the upper-bound rule of the range partitioner.
 
-    ``splits`` must be sorted.  The lookup is a balanced CASE WHEN tree
-    (codegen'd, log2(p) comparisons per row); very large p use a binary
-    search in ``aggregate``.
+    ``splits`` must be sorted, at most COLUMN_LOOKUP_MAX of them; ``assign_partition``
+    takes any number.
 
     Hot keys: a key equal to c >= 2 split points (it fills whole partitions of
     the sample) would leave c-1 partitions empty and put all its rows in one.
@@ -120,6 +107,8 @@ def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None)
     k = _c(key)
     if len(splits) == 0:
         return F.lit(0)
+    if len(splits) > COLUMN_LOOKUP_MAX:
+        raise ValueError(f"{len(splits)} split points; use assign_partition")
     pid = _count_splits(k, splits)
     if salt is None:
         return pid
@@ -129,47 +118,69 @@ def range_partition(key, splits: Sequence[bytes], salt: Optional[Column] = None)
     return pid.cast("int")
 
 
-def _interval_table(spark, splits: Sequence[bytes]) -> DataFrame:
-    """``(_bucket, pid, _lo, _hi)``: partition i holds keys in [_lo, _hi), listed under
-    every key-prefix bucket the interval touches.  Rows: about p + 2^(8*BUCKET_BYTES)."""
-    m = len(splits)
-    top = (1 << (8 * BUCKET_BYTES)) - 1
-
-    def bucket(k: bytes) -> int:
-        return int.from_bytes((bytes(k) + bytes(BUCKET_BYTES))[:BUCKET_BYTES], "big")
-
-    rows = []
-    for i in range(m + 1):
-        lo = bytes(splits[i - 1]) if i > 0 else None
-        hi = bytes(splits[i]) if i < m else None
-        if lo is not None and hi is not None and lo >= hi:
-            continue  # empty: between equal split points
-        rows.append((i, lo, hi, bucket(lo) if lo is not None else 0,
-                     bucket(hi) if hi is not None else top))
-    t = spark.createDataFrame(rows, "pid int, _lo binary, _hi binary, b_lo int, b_hi int")
-    return t.select(F.explode(F.sequence("b_lo", "b_hi")).alias("_bucket"), "pid", "_lo", "_hi")
-
-
-def _range_ids_by_join(df: DataFrame, key: str, splits: Sequence[bytes],
-                       out: str) -> DataFrame:
-    """Upper-bound partition ids for many split points without a giant expression.
-
-    A range lookup as an equi-join: rows and split intervals meet on the first
-    key bytes (a broadcast hash join; the interval table is bounded by the
-    partition count), then one comparison picks the interval holding the key.
-    The intervals tile the key space, so every non-null key matches exactly
-    one; the join is a left join, so no row can be lost.
+def _range_ids(df: DataFrame, key: str, splits: Sequence[bytes], out: str) -> DataFrame:
+    """Upper-bound partition ids: the search tree described above.
+
+    A null key (sorted first) goes to partition 0.  The level tables hold every
+    split point once; Spark knows their size and broadcasts them below its
+    threshold.
     """
+    spark, m, b = df.sparkSession, len(splits), LOOKUP_FANOUT
+    stride = 1
+    while m // stride >= b:
+        stride *= b
     k = F.col(key)
-    b = R.key_prefix_int(k, BUCKET_BYTES).cast("int")
-    tbl = F.broadcast(_interval_table(df.sparkSession, splits).withColumnRenamed("pid", out))
-    inside = ((F.col("_lo").isNull() | (k >= F.col("_lo"))) &
-              (F.col("_hi").isNull() | (k < F.col("_hi"))))
-    # a left join keeps every row: a null key (sorted first) goes to partition 0
-    d = df.drop(out).withColumn("_bucket", F.coalesce(b, F.lit(0)))
-    joined = d.join(tbl, (d["_bucket"] == tbl["_bucket"]) & inside, "left")
-    return (joined.drop(tbl["_bucket"]).drop(d["_bucket"]).drop("_lo", "_hi")
-                  .withColumn(out, F.coalesce(F.col(out), F.lit(0))))
+    # separators of a level with this stride are splits[stride - 1], splits[2 * stride - 1], ..
+    d = df.drop(out).withColumn(out, _count_splits(k, splits[stride - 1::stride]))
+    while stride > 1:
+        last, stride = stride, stride // b
+        names = [f"_s{i}" for i in range(b - 1)]
+        rows = []
+        for block in range(m // last + 1):
+            at = [block * last + (i + 1) * stride - 1 for i in range(b - 1)]
+            rows.append([block, *(bytearray(splits[x]) if x < m else None for x in at)])
+        table = spark.createDataFrame(rows, "_block int, " + ", ".join(f"{n} binary" for n in names))
+        d = d.join(table, d[out] == table["_block"], "left").withColumn(
+            out, (F.col(out) * b + _tree(k, [F.col(n) for n in names], 0, b - 1)).cast("int"))
+        d = d.drop("_block", *names)
+    return d
+
+
+def _spread_hot(d: DataFrame, key: str, splits: Sequence[bytes], out: str, salt: Column,
+                tie_breaker: Optional[Sequence[str]], source: DataFrame) -> DataFrame:
+    """Spread the keys that equal c >= 2 split points over their c partitions.
+
+    Without a tie breaker by the salt; with one by ranges of the tie columns, whose
+    bounds come from a hash sample of the hot rows (about TIE_SAMPLE rows per
+    partition they fill), so (key, tie) order holds across partitions.  The hot
+    keys are rows of a table joined on the partition id.
+    """
+    hot = hot_split_keys(splits)
+    if not hot:
+        return d
+    spark = d.sparkSession
+    rows = [(first + c, bytearray(hk), c) for hk, (first, c) in hot.items()]
+    table = spark.createDataFrame(rows, "_hot_pid int, _hot_key binary, _hot_n int")
+    if tie_breaker:
+        tie = F.struct(*[F.col(c) for c in tie_breaker])
+        mine = source.select(F.col(key).alias("_hot_key"), tie.alias("tie")).join(table, "_hot_key")
+        n = mine.groupBy("_hot_key").agg(F.count(F.lit(1)).alias("n"))
+        u = F.pmod(F.xxhash64("tie"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        picked = mine.join(n, "_hot_key").where(u * F.col("n") < F.col("_hot_n") * TIE_SAMPLE)
+        bounds = picked.groupBy("_hot_key", "_hot_n").agg(F.sort_array(F.collect_list("tie")).alias("t"))
+        # c - 1 even bounds of the sorted sample
+        bounds = bounds.select("_hot_key", F.transform(
+            F.sequence(F.lit(1), F.col("_hot_n") - 1),
+            lambda i: F.get("t", int_div(F.size("t") * i, F.col("_hot_n")).cast("int"))).alias("_ties"))
+        table = table.join(bounds, "_hot_key", "left")
+        part = F.size(F.filter("_ties", lambda t: t <= tie))
+        part = F.when(F.col("_ties").isNull(), F.lit(0)).otherwise(part)
+    else:
+        part = F.pmod(salt, F.col("_hot_n")).cast("int")
+    j = d.join(table, d[out] == table["_hot_pid"], "left")
+    pid = F.when(F.col(key) == F.col("_hot_key"), F.col(out) - F.col("_hot_n") + 1 + part) \
+           .otherwise(F.col(out))
+    return j.withColumn(out, pid.cast("int")).drop("_hot_pid", "_hot_key", "_hot_n", "_ties")
 
 
 def row_salt(df: DataFrame, columns: Optional[Sequence[str]] = None) -> Column:
@@ -207,26 +218,28 @@ def sampled_blocks(file_rows: DataFrame, block_rows: int,
                    file: str = "file", rows: str = "rows") -> DataFrame:
     """The blocks the systematic sampler reads: ``(file, block, take)``.
 
-    ``samples = min(num_samples, #blocks)``; every ``#blocks div samples``-th
-    block, the first ``samples`` of those; ``sample_size div samples`` records of
-    each.  At most ``num_samples`` rows come out.
+    ``samples = min(num_samples, #blocks)`` blocks, the i-th being block
+    ``i * #blocks div samples``, so they reach from the first to the last part of
+    the data; ``sample_size div samples`` records of each, one at least.  At most
+    ``num_samples`` rows come out.
     """
     fb = file_blocks(file_rows, block_rows, file, rows)
     tot = Window.partitionBy(F.lit(1))
     fb = (fb.withColumn("total", F.sum("nblocks").over(tot))
             .withColumn("samples", F.least(F.lit(num_samples), F.col("total")))
-            .where(F.col("samples") > 0)
-            .withColumn("step", int_div(F.col("total"), F.col("samples"))))
-    last_chosen = (F.col("samples") - 1) * F.col("step")
-    lo = F.col("first_block")
-    hi = F.least(F.col("first_block") + F.col("nblocks") - 1, last_chosen)
-    first_g = int_div(lo + F.col("step") - 1, F.col("step")) * F.col("step")
-    chosen = fb.where(first_g <= hi).select(
+            .where(F.col("samples") > 0))
+    def ceil_div(n, d):
+        return int_div(n + d - 1, d)
+    # block i * total div samples lies in the file from its first to its last i
+    first_i = ceil_div(F.col("first_block") * F.col("samples"), F.col("total"))
+    last_i = ceil_div((F.col("first_block") + F.col("nblocks")) * F.col("samples"), F.col("total")) - 1
+    chosen = fb.where(first_i <= last_i).select(
         "file", "first_block", "samples",
-        F.explode(F.sequence(first_g, hi, F.col("step"))).alias("g"))
+        F.explode(F.transform(F.sequence(first_i, last_i),
+                              lambda i: int_div(i * F.col("total"), F.col("samples")))).alias("g"))
     return chosen.select(
         "file", (F.col("g") - F.col("first_block")).alias("block"),
-        int_div(F.lit(sample_size), F.col("samples")).alias("take"))
+        F.greatest(F.lit(1), int_div(F.lit(sample_size), F.col("samples"))).alias("take"))
 
 
 def block_sample(df: DataFrame, file_rows: DataFrame, block_rows: int,
@@ -235,17 +248,19 @@ def block_sample(df: DataFrame, file_rows: DataFrame, block_rows: int,
                  sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
     """Systematic block sample (D1): the first keys of evenly spaced blocks.
 
-    Returns ``(file, block, pos, key)``.  The chosen-block table has at most
-    ``num_samples`` rows, so it is broadcast; the records are only filtered,
-    never shuffled.
+    Returns ``(file, block, pos, key)``.  The chosen blocks (at most
+    ``num_samples`` rows) are collected and become literal file and position
+    ranges, which reach the scan: what is not sampled is skipped.
     """
-    blocks = sampled_blocks(file_rows, block_rows, num_samples, sample_size)
-    recs = df.select(F.col(file).alias("file"), F.col(pos).alias("pos"), F.col(key).alias("key"))
-    recs = recs.withColumn("block", int_div(F.col("pos"), block_rows))
-    within = F.col("pos") - F.col("block") * F.lit(block_rows)
-    return (recs.join(F.broadcast(blocks), ["file", "block"])
-                .where(within < F.col("take"))
-                .select("file", "block", "pos", "key"))
+    blocks = sampled_blocks(file_rows, block_rows, num_samples, sample_size).collect()
+    wanted = F.lit(False)
+    for b in blocks:
+        lo = b["block"] * block_rows
+        wanted = wanted | ((F.col(file) == F.lit(b["file"])) &
+                           F.col(pos).between(lo, lo + min(b["take"], block_rows) - 1))
+    return df.where(wanted).select(
+        F.col(file).alias("file"), int_div(F.col(pos), block_rows).alias("block"),
+        F.col(pos).alias("pos"), F.col(key).alias("key"))
 
 
 def file_block_sample(spark, path: str, block_rows: Optional[int] = None,
@@ -298,7 +313,8 @@ def split_point_table(sample: DataFrame, num_partitions: int, key: str = "key")
 
     Element ``round(n*i/p)`` of the sorted sample, with the rounding done as
     ``(2*n*i + p) div (2*p)`` in exact integers.  The sample is bounded by
-    the sampler's ``sample_size``, so ordering it in one task is fine.
+    the sampler's ``sample_size``, so ordering it in one task is fine; more than
+    MAX_RANKED keys, or fewer than partitions, raise when the table is read.
     """
     p = num_partitions
     ranked = sample.select(
@@ -319,26 +335,28 @@ def split_point_table(sample: DataFrame, num_partitions: int, key: str = "key")
         return (i >= 1) & (i <= p - 1) & (position(i) == rn)
 
     idx = F.when(hit(i1), i1).when(hit(i2), i2)
-    return (ranked.where(n >= p).select(idx.cast("int").alias("idx"), "key")
-                  .where(F.col("idx").isNotNull()))
+    checked = F.when(n < p, F.raise_error(F.concat(
+        F.lit(f"{p} partitions need at least as many sampled keys, not "), n.cast("string")))) \
+        .when(n > MAX_RANKED, F.raise_error(F.lit(f"a sample of over {MAX_RANKED} keys"))) \
+        .otherwise(idx.cast("int"))
+    return ranked.select(checked.cast("int").alias("idx"), "key").where(F.col("idx").isNotNull())
 
 
 def split_points(sample: DataFrame, num_partitions: int, key: str = "key") -> list:
     """Split points as a sorted Python list of bytes (at most p-1 of them).
 
     Raises ``ValueError`` if the sample has fewer keys than partitions (D3).
-    An empty sample gives no split points (one partition).  One job in the
-    normal case; the sample is counted only when it is too small.
+    An empty sample gives no split points (one partition).
     """
     if num_partitions <= 1:
         return []
-    rows = split_point_table(sample, num_partitions, key).orderBy("idx").collect()
-    if len(rows) == num_partitions - 1:
-        return [bytes(r["key"]) for r in rows]
-    n = sample.count()
-    if n == 0:
+    head = sample.limit(num_partitions).count()
+    if head == 0:
         return []
-    raise ValueError(f"Requested more partitions than input keys ({num_partitions} > {n})")
+    if head < num_partitions:
+        raise ValueError(f"{num_partitions} partitions need at least as many sampled keys, not {head}")
+    rows = split_point_table(sample, num_partitions, key).orderBy("idx").collect()
+    return [bytes(r["key"]) for r in rows]
 
 
 def save_split_points(split_table: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -355,11 +373,13 @@ def load_split_points(spark, path: str) -> list:
 def assign_partition(df: DataFrame, num_partitions: int, method: str = "prefix7",
                      key: str = "key", splits: Optional[Sequence[bytes]] = None,
                      out: str = "pid", salt_columns: Optional[Sequence[str]] = None,
-                     spread_hot_keys: bool = True) -> DataFrame:
+                     spread_hot_keys: bool = True,
+                     tie_breaker: Optional[Sequence[str]] = None) -> DataFrame:
     """Add the partition id column for ``method`` in prefix7 | prefix3 | sampled.
 
     For ``sampled``, keys equal to split points are spread over the partitions
-    reserved for them (see ``range_partition``) unless ``spread_hot_keys`` is off.
+    reserved for them (see ``range_partition``) unless ``spread_hot_keys`` is off:
+    by a row hash, or by ranges of the ``tie_breaker`` columns if given.
     """
     if method == "prefix7":
         pid = prefix7_partition(key, num_partitions)
@@ -368,20 +388,10 @@ def assign_partition(df: DataFrame, num_partitions: int, method: str = "prefix7"
     elif method == "sampled":
         if splits is None:
             raise ValueError("method='sampled' needs split points")
-        salt = row_salt(df, salt_columns) if spread_hot_keys else None
-        if len(splits) > JOIN_LOOKUP_ABOVE:
-            joined = _range_ids_by_join(df, key, splits, out)
-            hot = hot_split_keys(splits) if salt is not None else {}
-            if not hot:
-                return joined
-            pid = F.col(out)
-            k = F.col(key)
-            for hk, (first, c) in hot.items():
-                pid = F.when(k == F.lit(hk), F.lit(first + 1) +
-                             F.pmod(row_salt(df, salt_columns), F.lit(c)).cast("int")) \
-                       .otherwise(pid)
-            return joined.withColumn(out, pid.cast("int"))
-        pid = range_partition(key, splits, salt)
+        d = _range_ids(df, key, splits, out)
+        if not spread_hot_keys:
+            return d
+        return _spread_hot(d, key, splits, out, row_salt(df, salt_columns), tie_breaker, df)
     else:
         raise ValueError(f"unknown partition method {method!r}")
     return df.withColumn(out, pid)

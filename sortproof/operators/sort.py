@@ -46,7 +46,8 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
     ``sample`` DataFrame with a ``key`` column (e.g. from ``block_sample``).
 
     Skew: ``range`` and ``sampled`` spread a hot key over several partitions
-    using a deterministic row hash (``salt_columns``, default all columns);
+    using a deterministic row hash (``salt_columns``, default all columns), or
+    ranges of the ``tie_breaker`` columns, whose order then holds throughout;
     ``prefix7`` / ``prefix3`` cannot, by definition, split a hot prefix.
     """
     spark = df.sparkSession
@@ -70,8 +71,8 @@ def total_order_sort(df: DataFrame, num_partitions: Optional[int] = None,
             if sample is None:
                 raise ValueError("method='sampled' needs splits or a sample")
             splits = P.split_points(sample, p, "key")
-        routed = P.route(P.assign_partition(df, p, method, key, splits,
-                                            salt_columns=salt_columns), p)
+        routed = P.route(P.assign_partition(df, p, method, key, splits, salt_columns=salt_columns,
+                                            tie_breaker=tie_breaker), p)
         out = routed.sortWithinPartitions(*order)
     else:
         raise ValueError(f"unknown sort method {method!r}; use one of {METHODS}")
@@ -107,12 +108,17 @@ def global_position(sorted_df: DataFrame, counts: Optional[DataFrame] = None) ->
     running sum is broadcast back, so the big side is never re-shuffled.
 
     ``pid`` must be reproducible in a second evaluation: true for the id-based
-    methods, not for ``range`` (its bounds come from a fresh sample), so use
-    ``sort_with_global_position`` there, which materialises the sort first.
+    methods, not for ``range`` (its bounds come from a fresh sample).  A sort by
+    ``range`` is refused; ``sort_with_global_position`` materialises it first.
     """
+    if counts is None and "rangepartitioning" in \
+            sorted_df._jdf.queryExecution().executedPlan().toString().lower():
+        raise ValueError("a 'range' sort has no reproducible partition ids; "
+                         "use sort_with_global_position")
     if counts is None:
         counts = sorted_df.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    return (sorted_df.join(F.broadcast(_offsets(counts)), "pid")
+    # p rows: Spark broadcasts them by their size
+    return (sorted_df.join(_offsets(counts), "pid")
                      .withColumn("global_pos", F.col("offset") + F.col("pos"))
                      .drop("offset"))
 
@@ -138,12 +144,12 @@ def sort_with_global_position(df: DataFrame, num_partitions: Optional[int] = Non
         shared_dir(spark)
         s = total_order_sort(df, p, "range", key, tie_breaker, with_position=True)
         s = s.checkpoint(eager=True)
-        return global_position(s)
+        return global_position(s, s.groupBy("pid").agg(F.count(F.lit(1)).alias("n")))
     if method == "sampled" and splits is None:
         if sample is None:
             raise ValueError("method='sampled' needs splits or a sample")
         splits = P.split_points(sample, p, "key")
-    with_pid = P.assign_partition(df, p, method, key, splits)
+    with_pid = P.assign_partition(df, p, method, key, splits, tie_breaker=tie_breaker)
     counts = with_pid.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
     s = with_partition_position(
         P.route(with_pid, p).sortWithinPartitions(*_tie_columns(key, tie_breaker)))

@@ -4,16 +4,23 @@ Input: records with ``file`` (the unit of order, e.g. an output file or a
 partition id), ``pos`` (position inside it; unique per file), ``key`` and
 ``value``.  Nothing is collected; every result is a DataFrame.
 
-Default (``method='scan'``): the records are read once.  A vectorised
-per-batch helper cuts each task's rows into runs of consecutive positions,
-compares every key with its neighbour inside a run, and emits one summary row
-per run plus one row per misorder.  That small run table is checkpointed;
-file summaries, run-edge checks (``lag`` over runs of a file), the cross-file
-check (``lag`` over one row per file) and the checksum all read it.
-
-Plain-SQL form (``method='window'``): ``lag`` over windows of
-``(file, pos div block_rows)`` -- one shuffle of every key; block edges come
-from the same window, so a huge (or hot) file never lands in one task.
+Two methods, chosen by a property of the source, not by size:
+
+* contiguous sources (``method='scan'``: the record files, freshly sorted
+  partitions -- positions of a file run on without gaps and a task reads them in
+  order): the records are read once.  A vectorised per-batch helper cuts each
+  task's rows into runs of consecutive positions, compares every key with its
+  neighbour inside a run, and emits one summary row per run plus one row per
+  misorder.  That run table, about one row per input split, is checkpointed;
+  file summaries, run-edge checks (``lag`` over the runs of a file), the
+  cross-file check (``lag`` over one row per file) and the checksum all read it.
+* any table (default, ``method='window'`` / ``'agg'``): ``lag`` over windows of
+  ``(file, pos div block_rows)`` -- one shuffle of every key; block edges come
+  from the same window, so a huge (or hot) file never lands in one task.
+  Positions may have gaps.
+
+A null key sorts before all keys and, like a null value, counts as no bytes in
+the CRC.
 """
 
 from __future__ import annotations
@@ -55,10 +62,11 @@ def _norm(df: DataFrame, key: str, file: str, pos: str, value: Optional[str]) ->
 
 
 def _crc(columns: str):
+    none = F.lit(b"")
     if columns == "record":
-        return R.crc_record("key", "value")
+        return R.crc_record(F.coalesce(F.col("key"), none), F.coalesce(F.col("value"), none))
     if columns == "key":
-        return R.crc_key("key")
+        return R.crc_key(F.coalesce(F.col("key"), none))
     raise ValueError("columns must be 'record' or 'key'")
 
 
@@ -66,17 +74,17 @@ def _crc(columns: str):
 
 def file_summary(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
                  value: Optional[str] = "value", columns: str = "record",
-                 method: str = "scan") -> DataFrame:
+                 method: str = "agg") -> DataFrame:
     """``(file, rows, first_key, last_key, checksum)`` per file.
 
     first/last are the keys at the smallest / largest position, not the
     smallest / largest keys.  ``checksum`` is the exact sum of CRC-32s as
     DECIMAL(38,0); ``columns='key'`` sums key CRCs only.
 
-    ``method='scan'`` (default) summarises runs of consecutive positions in
-    each task and aggregates only those; ``method='agg'`` is one grouped
-    ``min_by`` / ``max_by`` over every record (binary buffers make that a
-    sort-based aggregate, so it sorts every input partition by file).
+    ``method='scan'``, for contiguous sources, summarises runs of consecutive
+    positions in each task and aggregates only those; ``method='agg'`` (default)
+    is one grouped ``min_by`` / ``max_by`` over every record (binary buffers make
+    that a sort-based aggregate, so it sorts every input partition by file).
     """
     if method == "scan":
         return summary_from_runs(scan_runs(df, key, file, pos, value, columns,
@@ -92,7 +100,7 @@ def file_summary(df: DataFrame, key: str = "key", file: str = "file", pos: str =
 
 
 def file_bounds(df: DataFrame, key: str = "key", file: str = "file",
-                pos: str = "pos", method: str = "scan") -> DataFrame:
+                pos: str = "pos", method: str = "agg") -> DataFrame:
     """``(file, first_key, last_key)`` (F1); ``method`` as in ``file_summary``."""
     if method == "scan":
         return file_summary(df, key, file, pos, None, "key").select(
@@ -104,6 +112,19 @@ def file_bounds(df: DataFrame, key: str = "key", file: str = "file",
 
 # F2, F3 ---------------------------------------------------------------------------
 
+def _falls(key: str, prev: str):
+    """Is ``key`` below ``prev``, null before all?"""
+    return F.col(prev).isNotNull() & (F.col(key).isNull() | (F.col(key) < F.col(prev)))
+
+
+def _misorder_text():
+    """Report text of a misorder (fixed: output that must match)."""
+    none = F.lit("")
+    return F.concat(F.lit("misorder in "), F.col("file"), F.lit(" between "),
+                    F.coalesce(R.spaced_hex("prev_key"), none), F.lit(" and "),
+                    F.coalesce(R.spaced_hex("key"), none))
+
+
 def misorders(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Rows whose key is below the key just before them in the same file (F2).
@@ -115,22 +136,22 @@ def misorders(df: DataFrame, key: str = "key", file: str = "file", pos: str = "p
     d = _norm(df, key, file, pos, None).withColumn("block", int_div(F.col("pos"), block_rows))
     w = Window.partitionBy("file", "block").orderBy("pos")
     d = (d.withColumn("prev_key", F.lag("key").over(w))
+          .withColumn("is_first", F.lag("pos").over(w).isNull())
           .withColumn("is_last", F.lead("pos").over(w).isNull()))
-    inner = d.where(F.col("key") < F.col("prev_key")).select("file", "pos", "prev_key", "key")
+    inner = d.where(~F.col("is_first") & _falls("key", "prev_key")).select(
+        "file", "pos", "prev_key", "key")
     # Block edges come from the same window: the first row of a block has no
-    # previous key, the last no next position.  Among those edge rows (two
+    # previous position, the last no next one.  Among those edge rows (two
     # per block), the row before a block's first row is the previous block's
     # last row.
-    edge_rows = d.where(F.col("prev_key").isNull() | F.col("is_last")).select(
-        "file", "pos", "key", F.col("prev_key").isNull().alias("is_first"))
+    edge_rows = d.where(F.col("is_first") | F.col("is_last")).select(
+        "file", "pos", "key", "is_first")
     we = Window.partitionBy("file").orderBy("pos")
     edges = (edge_rows.withColumn("prev_key", F.lag("key").over(we))
-                      .where(F.col("is_first") & (F.col("key") < F.col("prev_key")))
+                      .where(F.col("is_first") & _falls("key", "prev_key"))
                       .select("file", "pos", "prev_key", "key"))
     out = inner.unionByName(edges)
-    detail = F.concat(F.lit("misorder in "), F.col("file"), F.lit(" between "),
-                      R.spaced_hex("prev_key"), F.lit(" and "), R.spaced_hex("key"))
-    return out.withColumn("detail", detail)
+    return out.withColumn("detail", _misorder_text())
 
 
 # Single-pass scan (F1, F2, F5 in one read) ------------------------------------------
@@ -228,7 +249,10 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crc = t.column("crc").to_numpy()
         cont = same & (pos[1:] == pos[:-1] + 1)
         out = []
-        lt = pc.less(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        lt = pc.fill_null(pc.less(keys[1:], keys[:-1]), False)
+        if keys.null_count:             # a null key falls below any other
+            lt = pc.or_(lt, pc.and_(pc.is_null(keys[1:]), pc.is_valid(keys[:-1])))
+        lt = lt.to_numpy(zero_copy_only=False)
         bad = np.flatnonzero(cont & lt) + 1
         if len(bad):
             out.append(_misorder_batch(files.take(bad), pos[bad], keys.take(bad - 1),
@@ -238,7 +262,10 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.add.reduceat(crc, starts)
         rows = ends - starts + 1
         # groups of equal adjacent keys in each run: 1 + key changes inside it
-        ne = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        ne = pc.not_equal(keys[1:], keys[:-1])
+        if keys.null_count:
+            ne = pc.fill_null(ne, pc.xor(pc.is_null(keys[1:]), pc.is_null(keys[:-1])))
+        ne = ne.to_numpy(zero_copy_only=False)
         changes = np.concatenate([[0], np.cumsum(ne, dtype=np.int64)])
         groups = 1 + changes[ends] - changes[starts]
         first = 0
@@ -246,7 +273,7 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             f0, p0, k0 = files[0].as_py(), int(pos[0]), keys[0].as_py()
             if (open_run[0] == f0 and open_run[2] + 1 == p0
                     and open_run[5] + int(rows[0]) <= MAX_RUN_ROWS):
-                if k0 < open_run[4]:
+                if open_run[4] is not None and (k0 is None or k0 < open_run[4]):
                     out.append(_misorder_batch(pa.array([f0], pa.string()), [p0],
                                                pa.array([open_run[4]], pa.binary()),
                                                pa.array([k0], pa.binary())))
@@ -314,11 +341,9 @@ def misorders_from_runs(runs: DataFrame) -> DataFrame:
     r = runs.where(F.col("kind") == "run")
     w = Window.partitionBy("file").orderBy("pos")
     edges = (r.withColumn("prev_key", F.lag("last_key").over(w))
-              .where(F.col("key") < F.col("prev_key"))
+              .where(_falls("key", "prev_key"))
               .select("file", "pos", "prev_key", "key"))
-    detail = F.concat(F.lit("misorder in "), F.col("file"), F.lit(" between "),
-                      R.spaced_hex("prev_key"), F.lit(" and "), R.spaced_hex("key"))
-    return inner.unionByName(edges).withColumn("detail", detail)
+    return inner.unionByName(edges).withColumn("detail", _misorder_text())
 
 
 def key_groups_from_runs(runs: DataFrame) -> DataFrame:
@@ -330,7 +355,7 @@ def key_groups_from_runs(runs: DataFrame) -> DataFrame:
     """
     r = runs.where(F.col("kind") == "run")
     w = Window.partitionBy("file").orderBy("pos")
-    joined = F.coalesce(F.lag("last_key").over(w) == F.col("key"), F.lit(False))
+    joined = F.lag("last_key").over(w).eqNullSafe(F.col("key")) & F.lag("pos").over(w).isNotNull()
     return (r.withColumn("joined", joined.cast("long"))
              .groupBy("file").agg((F.sum("groups") - F.sum("joined")).alias("key_groups")))
 
@@ -439,12 +464,35 @@ def partition_checks(summary: DataFrame) -> DataFrame:
         F.coalesce(prev <= F.col("first_key"), F.lit(True)).alias("prev_le_first"))
 
 
+def _report(summary: DataFrame, mis: DataFrame) -> DataFrame:
+    """``(kind, file, detail)`` of file summaries and misorders."""
+    mis = mis.select(F.lit("error").alias("kind"), "file", "detail")
+    bnd = boundary_errors(summary).select(F.lit("error").alias("kind"), "file", "detail")
+    errors = mis.unionByName(bnd)
+    total = summary.agg(F.coalesce(F.sum("checksum"), F.lit(0)).cast("decimal(38,0)")
+                        .alias("checksum"))
+    ok = (total.select(F.lit("checksum").alias("kind"), F.lit(None).cast("string").alias("file"),
+                       R.decimal_to_hex("checksum").alias("detail"), F.lit(1).alias("_k"))
+               .join(errors.select(F.lit(1).alias("_k")).limit(1), "_k", "left_anti")
+               .drop("_k"))
+    report = errors.unionByName(ok)
+    return report
+
+
+def report_from_runs(runs: DataFrame, names: Optional[DataFrame] = None) -> DataFrame:
+    """The report of a run table; ``names`` ``(file, name)`` replaces file ids by names."""
+    if names is not None:
+        names = names.select(_file_name(names, "file").alias("file"), "name")
+        runs = runs.join(names, "file").withColumn("file", F.col("name")).drop("name")
+    return _report(summary_from_runs(runs), misorders_from_runs(runs))
+
+
 # F11-F14 ----------------------------------------------------------------------------
 
 def validate(df: DataFrame, key: str = "key", file: str = "file", pos: str = "pos",
              value: Optional[str] = "value", columns: str = "record",
              block_rows: int = DEFAULT_BLOCK_ROWS, raise_on_error: bool = False,
-             method: str = "scan") -> DataFrame:
+             method: str = "window") -> DataFrame:
     """The validation report (F12): ``(kind, file, detail)``.
 
     All misorder and boundary errors as ``kind='error'`` rows; when there are
@@ -452,29 +500,18 @@ def validate(df: DataFrame, key: str = "key", file: str = "file", pos: str = "po
     ``raise_on_error`` the report is evaluated and a ``ValueError`` raised if it
     holds errors (F13).
 
-    ``method='scan'`` (default) reads the records once and shuffles only run
-    summaries; ``method='window'`` is the plain SQL form (a window over
-    ``(file, block)``, which shuffles every key).
+    ``method='window'`` (default) takes any table: a window over ``(file, block)``,
+    which shuffles every key.  ``method='scan'``, for contiguous sources, reads the
+    records once and shuffles only run summaries.
     """
     if method == "scan":
-        runs = scan_runs(df, key, file, pos, value, columns)
-        summary = summary_from_runs(runs)
-        mis = misorders_from_runs(runs)
+        report = report_from_runs(scan_runs(df, key, file, pos, value, columns))
     elif method == "window":
         summary = file_summary(df, key, file, pos, value, columns, method="agg")
         mis = misorders(df, key, file, pos, block_rows)
+        report = _report(summary, mis)
     else:
         raise ValueError("method must be 'scan' or 'window'")
-    mis = mis.select(F.lit("error").alias("kind"), "file", "detail")
-    bnd = boundary_errors(summary).select(F.lit("error").alias("kind"), "file", "detail")
-    errors = mis.unionByName(bnd)
-    total = summary.agg(F.coalesce(F.sum("checksum"), F.lit(0)).cast("decimal(38,0)")
-                        .alias("checksum"))
-    ok = (total.select(F.lit("checksum").alias("kind"), F.lit(None).cast("string").alias("file"),
-                       R.decimal_to_hex("checksum").alias("detail"), F.lit(1).alias("_k"))
-               .join(errors.select(F.lit(1).alias("_k")).limit(1), "_k", "left_anti")
-               .drop("_k"))
-    report = errors.unionByName(ok)
     if raise_on_error:
         bad = report.where(F.col("kind") == "error").limit(1).collect()
         if bad:

@@ -1,18 +1,17 @@
 """Every registered query: ``name -> f(spark, sf_dir) -> DataFrame``.
 
 Each query runs the library operators over whole driver tables; its oracle in
-``oracle.py`` recomputes the same columns in DuckDB (all but ``sort_hot_keys``,
-whose partition contents depend on a row hash; a test checks it by brute
-force).  Binary values are shown as upper-case hex, exact sums as decimal text.
+``oracle.py`` recomputes the same columns in DuckDB.  Binary values are shown as upper-case hex, exact sums as decimal text.
 """
 
 from __future__ import annotations
 
 from typing import Callable, Dict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sortproof import jobs
 from sortproof.functions import counts as C
 from sortproof.functions import records as R
 from sortproof.operators import generate as G
@@ -106,6 +105,18 @@ def parse_counts(spark, sf_dir):
                     R.parse_decimal_strict("text").cast("bigint").alias("plain"))
 
 
+def parse_edges(spark, sf_dir):
+    """Numbers at and beyond the limits: null, never an error."""
+    p = X.read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in ["", "k", "t", " "]]), (k % 4).cast("int") + 1)
+    t = p.select("p_partkey", F.concat(F.repeat(F.lit("9"), (k % 30).cast("int") + 15), suffix).alias("text"),
+                 F.repeat(F.lit("f"), (k % 34).cast("int") + 1).alias("hex"))
+    return t.select("p_partkey", "text", C.parse_human_count("text").alias("count"),
+                    R.parse_decimal_strict("text").cast("string").alias("plain"),
+                    R.hex_to_decimal("hex").cast("string").alias("hex_value"))
+
+
 def format_sizes(spark, sf_dir):
     o = X.read_table(spark, sf_dir, "orders")
     size = (F.floor("o_totalprice").cast("bigint") *
@@ -235,12 +246,7 @@ def _hot_lineitem(spark, sf_dir):
                      X.padded_value(F.col("l_orderkey"), F.col("l_linenumber")).alias("value"))
 
 
-def sort_hot_keys(spark, sf_dir):
-    """Sampled sort of a hot-key table: equal keys spread over several partitions.
-
-    Partition contents depend on the row hash, so there is no SQL oracle;
-    tests check the result against brute force.
-    """
+def _hot_splits(spark, sf_dir):
     li = _hot_lineitem(spark, sf_dir)
     recs = li.select(F.lit("lineitem").alias("file"),
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"), "key")
@@ -248,9 +254,43 @@ def sort_hot_keys(spark, sf_dir):
                                                              "rows")
     sample = PT.block_sample(recs, files, Q.BLOCK_ROWS, num_samples=Q.SAMPLE_BLOCKS,
                              sample_size=Q.SAMPLE_SIZE)
-    s = S.total_order_sort(li, Q.P, "sampled", splits=PT.split_points(sample, Q.P),
+    return li, PT.split_points(sample, Q.P)
+
+
+def sort_hot_keys(spark, sf_dir):
+    """Sampled sort of a hot-key table: equal keys spread over several partitions.
+
+    Which rows share a partition depends on the row hash, so the result states
+    what does not: all rows and keys are there, partitions are in order, and no
+    partition holds all rows of the hot key.
+    """
+    li, splits = _hot_splits(spark, sf_dir)
+    s = S.total_order_sort(li, Q.P, "sampled", splits=splits,
                            salt_columns=["l_orderkey", "l_linenumber"], with_position=True)
-    return _stats_columns(V.partition_stats(s))
+    per = s.groupBy("pid", "key").agg(F.count(F.lit(1)).alias("n"))
+    key = per.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("pid").alias("a"),
+                                 F.max("pid").alias("z"))
+    w = Window.partitionBy(F.lit(1)).orderBy("key")     # one row per key
+    key = key.withColumn("before", F.lag("z").over(w)).withColumn(
+        "hot", F.col("n") == F.max("n").over(Window.partitionBy(F.lit(1))))
+    return key.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"),
+                   F.bool_and(F.coalesce(F.col("before") <= F.col("a"), F.lit(True))).alias("ordered"),
+                   F.bool_and(~F.col("hot") | (F.col("most") < F.col("n"))).alias("hot_key_split"))
+
+
+def sort_hot_ties(spark, sf_dir):
+    """A hot key with a tie breaker: (key, tie) order holds across its partitions."""
+    li, splits = _hot_splits(spark, sf_dir)
+    s = S.sort_with_global_position(li, Q.P, "sampled", splits=splits,
+                                    tie_breaker=["l_orderkey", "l_linenumber"])
+    return s.select("l_orderkey", "l_linenumber", "global_pos")
+
+
+def range_partition_urls(spark, sf_dir):
+    """Split lookup of keys that share long prefixes, more splits than one level holds."""
+    p = X.read_table(spark, sf_dir, "pages").select("page_id", F.col("url").cast("binary").alias("key"))
+    return PT.assign_partition(p, Q.URL_P, "sampled", splits=PT.split_points(p, Q.URL_P),
+                               spread_hot_keys=False).select("page_id", "pid")
 
 
 def _sorted_documents(spark, sf_dir):
@@ -280,7 +320,7 @@ def documents_summary(spark, sf_dir):
 
 def file_bounds(spark, sf_dir):
     e = X.event_records(spark, sf_dir)
-    b = V.file_summary(e)
+    b = V.file_summary(e, method="scan")
     return b.select("file", _hex("first_key", "first_key"), _hex("last_key", "last_key"), "rows")
 
 
@@ -336,12 +376,12 @@ def misorder_scan(spark, sf_dir):
 
 
 def _part_name(pid_col):
-    return F.format_string("part-%05d", F.col(pid_col))
+    return F.format_string("part-%010d", F.col(pid_col))
 
 
 def validate_sorted(spark, sf_dir):
     s = _sorted_orders(spark, sf_dir, "prefix7").withColumn("file", _part_name("pid"))
-    return V.validate(s, file="file", pos="pos")
+    return V.validate(s, file="file", pos="pos", method="scan")
 
 
 def checksum_compare(spark, sf_dir):
@@ -385,17 +425,88 @@ def global_position_files(spark, sf_dir):
 
 def dataset_inventory(spark, sf_dir):
     inv = INV.inventory(spark, _written_sorted_orders(spark, sf_dir))
-    return inv.where(F.col("records") > 0).select(
+    return inv.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         F.col("length").alias("bytes"), "records", "remainder")
 
 
+def _raises(action) -> bool:
+    try:
+        action()
+    except Exception:
+        return True
+    return False
+
+
+def _rows(spark, sf_dir, table: str) -> DataFrame:
+    return X.read_table(spark, sf_dir, table).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def truncated_tail(spark, sf_dir):
+    """A partial last record fails the read."""
+    path = _written_sorted_orders(spark, sf_dir)
+    rows = FR.read_fixed_records(spark, path).count()
+    FR.append_bytes(path, FR.part_name(Q.P), b"x" * 37)
+    raised = _raises(lambda: FR.read_fixed_records(spark, path).count())
+    return spark.createDataFrame([(rows, raised)], "rows bigint, raised boolean")
+
+
+def output_refused(spark, sf_dir):
+    """A missing output path (A11) and an existing output (A12) are refused."""
+    path = _written_sorted_orders(spark, sf_dir)
+    d = FR.read_fixed_records(spark, path)
+    no_path = _raises(lambda: d.select("key", "value").write.format(FR.FORMAT).mode("append").save())
+    existing = _raises(lambda: FR.write_fixed_records(d, path))
+    return d.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(no_path).alias("without_path"), F.lit(existing).alias("existing_output"))
+
+
+def report_file(spark, sf_dir):
+    """The written validation report, read back."""
+    out = new_output_path(spark, "report")
+    jobs.validate_job(spark, _written_sorted_orders(spark, sf_dir), report_path=out)
+    return spark.read.schema("kind string, detail string").json(out)
+
+
+def too_few_keys(spark, sf_dir):
+    """More partitions than sampled keys are refused (D3)."""
+    few = X.order_records(spark, sf_dir).select("key").limit(Q.P)
+    raised = _raises(lambda: PT.split_points(few, Q.P + 1))
+    return few.agg(F.count(F.lit(1)).alias("keys")).withColumn("raised", F.lit(raised))
+
+
+def default_partitions(spark, sf_dir):
+    """The sort job's default partition count: the input splits."""
+    n = FR.split_count(_written_sorted_orders(spark, sf_dir), split_bytes=Q.BLOCK_ROWS * R.RECORD_LENGTH)
+    return spark.createDataFrame([(n,)], "splits bigint")
+
+
+def validate_raises(spark, sf_dir):
+    """A failed validation raises when asked to."""
+    e = X.event_records(spark, sf_dir)
+    raised = _raises(lambda: V.validate(e, raise_on_error=True))
+    return _rows(spark, sf_dir, "events").withColumn("raised", F.lit(raised))
+
+
+def empty_dataset(spark, sf_dir):
+    """A dataset without records is read, filtered and summed like any other."""
+    none = X.order_records(spark, sf_dir).where("o_orderkey < 0")
+    path = new_output_path(spark, "empty")
+    FR.write_fixed_records(none, path)
+    d = FR.read_fixed_records(spark, path)
+    written = none.agg(F.count(F.lit(1)).alias("written"), F.lit(1).alias("k"))
+    read = d.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("pos") > 5).alias("none_matching"),
+                 F.lit(1).alias("k"))
+    total = V.checksum_total(d).select("checksum_hex", F.lit(1).alias("k"))
+    return written.join(read, "k").join(total, "k").drop("k")
+
+
 def gen_sorted_report(spark, sf_dir):
     """Generate -> range sort -> write files -> read back -> validate."""
     g = G.with_records(_order_rows(spark, sf_dir), "row")
     out = new_output_path(spark, "gen-sorted")
     FR.write_fixed_records(S.total_order_sort(g, Q.P, "range"), out)
-    return V.validate(FR.read_fixed_records(spark, out)).select(
+    return V.validate(FR.read_fixed_records(spark, out), method="scan").select(
         "kind", F.regexp_extract("file", r"([^/]*)$", 1).alias("file"), "detail")
 
 
@@ -411,6 +522,7 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_hex": row_hex,
         "parse_counts": parse_counts,
         "format_sizes": format_sizes,
+        "parse_edges": parse_edges,
         "key_bytes": key_bytes,
         "key_byte_list": key_byte_list,
         "crc_record": crc_record,
@@ -430,6 +542,8 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sort_ties_summary": sort_ties_summary,
         "sort_documents": sort_documents,
         "sort_hot_keys": sort_hot_keys,
+        "sort_hot_ties": sort_hot_ties,
+        "range_partition_urls": range_partition_urls,
         "documents_summary": documents_summary,
         "file_bounds": file_bounds,
         "file_bounds_agg": file_bounds_agg,
@@ -450,4 +564,11 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_block_sample": file_block_sample,
         "global_position_files": global_position_files,
         "gen_sorted_report": gen_sorted_report,
+        "truncated_tail": truncated_tail,
+        "output_refused": output_refused,
+        "report_file": report_file,
+        "too_few_keys": too_few_keys,
+        "default_partitions": default_partitions,
+        "validate_raises": validate_raises,
+        "empty_dataset": empty_dataset,
     }

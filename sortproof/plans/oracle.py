@@ -122,14 +122,14 @@ def prefix_pid(method: str, p: int = Q.P) -> str:
 def _sample_cte() -> str:
     b, k, z = Q.BLOCK_ROWS, Q.SAMPLE_BLOCKS, Q.SAMPLE_SIZE
     return f"""sp AS (
-  SELECT nb, least({k}, nb) AS samples, nb // least({k}, nb) AS step
+  SELECT nb, least({k}, nb) AS samples
   FROM (SELECT (count(*) + {b - 1}) // {b} AS nb FROM orders)
 ),
 sample AS (
   SELECT o_orderkey // {b} AS block, o_orderkey AS pos, {KEY_HEX} AS key
   FROM orders, sp
-  WHERE (o_orderkey // {b}) % step = 0 AND (o_orderkey // {b}) // step < samples
-    AND o_orderkey % {b} < {z} // samples
+  WHERE (o_orderkey // {b}) IN (SELECT i * nb // samples FROM sp, range(0, {k}) r(i) WHERE i < samples)
+    AND o_orderkey % {b} < greatest(1, {z} // samples)
 )"""
 
 
@@ -386,9 +386,9 @@ SELECT pid AS file_no, (row_number() OVER (PARTITION BY pid ORDER BY key) - 1)::
        key AS key_hex FROM pr"""
     sql["dataset_inventory"] = f"""
 WITH {_pid_recs('prefix7')}
-SELECT 'part-' || lpad(CAST(pid AS VARCHAR), 5, '0') AS file_name,
-       (count(*) * 100)::BIGINT AS bytes, count(*)::BIGINT AS records, 0::BIGINT AS remainder
-FROM pr GROUP BY pid"""
+SELECT 'part-' || lpad(CAST(i AS VARCHAR), 10, '0') AS file_name,
+       (count(pid) * 100)::BIGINT AS bytes, count(pid)::BIGINT AS records, 0::BIGINT AS remainder
+FROM range(0, {Q.P}) t(i) LEFT JOIN pr ON pid = i GROUP BY i"""
     sql["gen_sorted_report"] = f"""
 WITH RECURSIVE {gen0},
 g AS (SELECT substr(s, 1, 20) || {BINARY_VALUE_HEX} AS rec
@@ -405,12 +405,11 @@ fb AS (
          coalesce(sum(nb) OVER (ORDER BY pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
          AS first_block, sum(nb) OVER () AS total FROM fc
 ),
-sp AS (SELECT pid, first_block, least({k}, total) AS samples, total // least({k}, total) AS step
-       FROM fb)
+sp AS (SELECT pid, first_block, total, least({k}, total) AS samples FROM fb)
 SELECT pp.pid AS file_no, (pp.pos // {b})::BIGINT AS block, pp.pos::BIGINT AS pos, pp.key AS key_hex
 FROM pp JOIN sp USING (pid)
-WHERE (first_block + pp.pos // {b}) % step = 0 AND (first_block + pp.pos // {b}) // step < samples
-  AND pp.pos % {b} < least({b}, {z} // samples)"""
+WHERE (first_block + pp.pos // {b}) IN (SELECT i * total // samples FROM sp, range(0, {k}) r(i) WHERE i < samples)
+  AND pp.pos % {b} < least({b}, greatest(1, {z} // samples))"""
     sql["key_byte_list"] = f"""
 WITH {ORDER_RECS}
 SELECT o_orderkey, array_to_string(list_transform(range(10),
@@ -421,13 +420,13 @@ FROM recs"""
     db, dz = Q.DOC_BLOCK_ROWS, Q.DOC_SAMPLE_SIZE
     doc_pid = f"""docs AS (SELECT doc_id, encode(text) AS key FROM documents),
 sp AS (
-  SELECT nb, least({k}, nb) AS samples, nb // least({k}, nb) AS step
+  SELECT nb, least({k}, nb) AS samples
   FROM (SELECT (count(*) + {db - 1}) // {db} AS nb FROM documents)
 ),
 sample AS (
   SELECT key FROM docs, sp
-  WHERE (doc_id // {db}) % step = 0 AND (doc_id // {db}) // step < samples
-    AND doc_id % {db} < {dz} // samples
+  WHERE (doc_id // {db}) IN (SELECT i * nb // samples FROM sp, range(0, {k}) r(i) WHERE i < samples)
+    AND doc_id % {db} < greatest(1, {dz} // samples)
 ),
 {_splits_cte()},
 pr AS (
@@ -450,4 +449,54 @@ WITH {ORDER_RECS}
 SELECT key AS key_hex, (row_number() OVER (ORDER BY key) - 1)::BIGINT AS global_pos FROM recs"""
     sql["validate_report_window"] = sql["validate_report"]
     sql["misorder_scan"] = sql["misorder_in_file"]
+    sql["sort_hot_keys"] = """
+SELECT count(*)::BIGINT AS rows, count(DISTINCT l_returnflag)::BIGINT AS keys, true AS ordered,
+       true AS hot_key_split FROM lineitem"""
+    sql["sort_hot_ties"] = """
+SELECT l_orderkey, l_linenumber, (row_number() OVER (
+         ORDER BY substr(md5(l_returnflag), 1, 20), l_orderkey, l_linenumber) - 1)::BIGINT AS global_pos
+FROM lineitem"""
+    sql["range_partition_urls"] = f"""
+WITH ranked AS (
+  SELECT encode(url) AS key, row_number() OVER (ORDER BY encode(url)) - 1 AS rn, count(*) OVER () AS n FROM pages
+),
+splits AS (
+  SELECT i AS idx, key FROM ranked, range(1, {Q.URL_P}) t(i) WHERE rn = (2 * n * i + {Q.URL_P}) // {2 * Q.URL_P}
+)
+SELECT page_id, (SELECT count(*) FROM splits s WHERE s.key <= encode(url))::INTEGER AS pid FROM pages"""
+    sql["parse_edges"] = """
+WITH t AS (
+  SELECT p_partkey, repeat('9', (15 + p_partkey % 30)::INTEGER) || CASE p_partkey % 4
+           WHEN 0 THEN '' WHEN 1 THEN 'k' WHEN 2 THEN 't' ELSE ' ' END AS text,
+         (1 + p_partkey % 34)::INTEGER AS n FROM part
+), u AS (
+  SELECT p_partkey, text, n, try_cast(regexp_extract(text, '^([0-9]+)([kmbt]?)$', 1) AS HUGEINT) AS base,
+         CASE right(text, 1) WHEN 'k' THEN 1000 WHEN 't' THEN 1000000000000 ELSE 1 END AS mult FROM t
+)
+SELECT p_partkey, text,
+       CASE WHEN base < 9223372036854775808 AND base::DOUBLE * mult < 9.2e18 THEN (base * mult)::BIGINT END AS count,
+       CASE WHEN regexp_full_match(text, '[0-9]{1,38}') THEN text END AS plain,
+       CASE WHEN n <= 31 THEN CAST((1::HUGEINT << (4 * n)) - 1 AS VARCHAR) END AS hex_value
+FROM u"""
+    sql["truncated_tail"] = "SELECT count(*)::BIGINT AS rows, true AS raised FROM orders"
+    sql["output_refused"] = """
+SELECT count(*)::BIGINT AS rows, true AS without_path, true AS existing_output FROM orders"""
+    sql["report_file"] = f"""
+WITH {ORDER_RECS}
+SELECT 'checksum' AS kind, lower(hex(CAST(sum({RECORD_CRC}) AS HUGEINT))) AS detail FROM recs"""
+    sql["too_few_keys"] = f"""
+SELECT least(count(*), {Q.P})::BIGINT AS keys, true AS raised FROM orders"""
+    sql["default_partitions"] = f"""
+WITH {_pid_recs('prefix7')}
+SELECT sum((c + {b - 1}) // {b})::BIGINT AS splits FROM (SELECT count(*) AS c FROM pr GROUP BY pid)"""
+    sql["validate_raises"] = f"""
+WITH {EVENT_RECS},
+{mis},
+{bounds}
+SELECT (SELECT count(*) FROM recs)::BIGINT AS rows,
+       (EXISTS (SELECT 1 FROM mis) OR EXISTS (SELECT 1 FROM bt
+         WHERE coalesce(first_key < prev_last_key, false) OR last_key < first_key)) AS raised"""
+    sql["empty_dataset"] = """
+SELECT count(*)::BIGINT AS written, 0::BIGINT AS read, 0::BIGINT AS none_matching, '0' AS checksum_hex
+FROM orders WHERE o_orderkey < 0"""
     return {k: v.strip() for k, v in sql.items()}

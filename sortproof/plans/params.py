@@ -7,3 +7,4 @@ SAMPLE_SIZE = 5000         # keys the sampler keeps in total
 GEN_OFFSET = 10 ** 10      # first row of the gen_offset query
 DOC_BLOCK_ROWS = 100       # sampler blocks over documents (by doc_id)
 DOC_SAMPLE_SIZE = 500
+URL_P = 150                # partitions of the URL lookup query: more than one level of splits

@@ -74,14 +74,18 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir``.
 
-    Read from the session.  If unset (local runs), a fresh folder under the
-    system temp dir is made and set, for both the conf and the context.
+    Read from the session.  If unset in a local run, a fresh folder under the
+    system temp dir is made and set, for both the conf and the context.  On a
+    cluster a machine's own folder would not do: unset raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master.startswith("local[") or master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sortproof-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

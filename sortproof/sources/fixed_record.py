@@ -8,10 +8,13 @@ Read:  ``spark.read.format("fixed_record").load(path)`` ->
        (a truncated last record), a clean end does not.
 Write: ``df.write.format("fixed_record").mode(...).save(path)`` with ``key`` and
        ``value`` columns: key bytes then value bytes, no separators, one file
-       ``part-NNNNN`` per partition, so that name order is partition order.
+       ``part-NNNNNNNNNN`` per partition, so that name order is partition order.
        Every task attempt writes its own temporary file; the driver renames
        the committed ones (a lost executor just reruns its task) and removes
-       the rest on abort.
+       the rest on abort.  ``overwrite`` leaves the old files in place until
+       all new ones are written; they are set aside, replaced and only then
+       deleted, so a failed job leaves the dataset as it was and a dataset
+       may be rewritten from itself.
 
 File access goes through ``pyarrow.fs`` (local, HDFS, S3, GCS, ...).
 """
@@ -43,17 +46,52 @@ COLUMN_TYPES = {"key": "binary", "value": "binary", "file": "string", "pos": "bi
                 "file_id": "int"}
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 READ_CHUNK_RECORDS = 65536
-BROADCAST_MAX_FILES = 200_000
 SAMPLE_RUN = 8              # records per contiguous read of the spread sampler
 
 
+def part_name(partition: int, suffix: str = "") -> str:
+    """Name of a partition's file; wide enough that name order is partition order
+    for any INT partition id."""
+    return f"part-{partition:010d}{suffix}"
+
+
 def _fs(path: str):
     from pyarrow import fs as pafs
+    if path.startswith("file:"):
+        # file:/x, file:///x and file://localhost/x are one local path
+        from urllib.parse import unquote, urlsplit
+        return pafs.LocalFileSystem(), posixpath.normpath("/" + unquote(urlsplit(path).path).lstrip("/"))
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), posixpath.abspath(path)
 
 
+def same_path(a: str, b: str) -> bool:
+    """Do two paths name one place?"""
+    (fa, pa_), (fb, pb) = _fs(a), _fs(b)
+    return fa == fb and posixpath.normpath(pa_) == posixpath.normpath(pb)
+
+
+def exists(path: str) -> bool:
+    from pyarrow import fs as pafs
+    fs, p = _fs(path)
+    return fs.get_file_info(p).type != pafs.FileType.NotFound
+
+
+def append_bytes(path: str, name: str, data: bytes) -> None:
+    """Put a small file of raw bytes into a dataset folder (for checks of the reader)."""
+    fs, base = _fs(path)
+    with fs.open_output_stream(posixpath.join(base, name)) as out:
+        out.write(data)
+
+
+def split_count(path: str, record_length: int = R.RECORD_LENGTH,
+                split_bytes: int = 128 * 1024 * 1024) -> int:
+    """Number of input splits of a dataset."""
+    per = max(1, split_bytes // record_length)
+    return sum(-(-(size // record_length) // per) for _, size in list_files(path))
+
+
 def _hidden(name: str) -> bool:
     return name.startswith("_") or name.startswith(".")
 
@@ -185,6 +223,8 @@ class FixedRecordReader(DataSourceReader):
         return parts
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        if partition is None:       # no input partition at all: an empty dataset
+            return
         if isinstance(partition, RangeGroup):
             for path, first, count, file_id in partition.ranges:
                 yield from self._read_range(RecordRange(path, first, count, 0, file_id))
@@ -194,7 +234,7 @@ class FixedRecordReader(DataSourceReader):
     def _read_range(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         from sortproof.operators.generate import fixed_binary_array
         if partition.tail:
-            raise EOFError(f"read past eof: {partition.path} ends with a partial record "
+            raise EOFError(f"truncated file: {partition.path} ends with a partial record "
                            f"of {partition.tail} bytes")
         fs, _ = _fs(self.path)
         rl, kl = self.record_length, self.key_length
@@ -205,7 +245,7 @@ class FixedRecordReader(DataSourceReader):
                 k = min(READ_CHUNK_RECORDS, partition.count - done)
                 buf = f.read(k * rl)
                 if len(buf) != k * rl:
-                    raise EOFError(f"read past eof: {partition.path}")
+                    raise EOFError(f"truncated file: {partition.path} is shorter than when it was listed")
                 block = np.frombuffer(buf, dtype=np.uint8).reshape(k, rl)
                 cols = []
                 for c in self.columns:
@@ -324,14 +364,12 @@ class FixedRecordWriter(DataSourceArrowWriter):
         self.record_length = int(options.get("record_length", R.RECORD_LENGTH))
         self.job = uuid.uuid4().hex[:12]
         self.append = options.get("allow_existing", "false").lower() == "true"
+        self.overwrite = overwrite
         from pyarrow import fs as pafs
         fs, p = _fs(self.path)
         exists = fs.get_file_info(p).type != pafs.FileType.NotFound
-        if exists:
-            if overwrite:
-                fs.delete_dir_contents(p)
-            elif not self.append:
-                raise FileExistsError(f"Output directory {self.path} already exists")
+        if exists and not overwrite and not self.append:
+            raise FileExistsError(f"{self.path} exists; choose another output or mode='overwrite'")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
         from pyspark import TaskContext
@@ -341,7 +379,7 @@ class FixedRecordWriter(DataSourceArrowWriter):
         fs, base = _fs(self.path)
         tmp_dir = posixpath.join(base, "_temporary", self.job)
         fs.create_dir(tmp_dir, recursive=True)
-        tmp = posixpath.join(tmp_dir, f"part-{pid:05d}-attempt-{attempt}-{uuid.uuid4().hex[:8]}")
+        tmp = posixpath.join(tmp_dir, f"{part_name(pid)}-attempt-{attempt}-{uuid.uuid4().hex[:8]}")
         kl, vl = self.key_length, self.record_length - self.key_length
         rows = 0
         with fs.open_output_stream(tmp) as out:
@@ -363,13 +401,32 @@ class FixedRecordWriter(DataSourceArrowWriter):
         fs, base = _fs(self.path)
         # appended files carry the job id, so they never replace earlier ones
         suffix = f"-{self.job}" if self.append else ""
-        moves = [(m.temp_path, posixpath.join(base, f"part-{m.partition:05d}{suffix}"))
+        moves = [(m.temp_path, posixpath.join(base, part_name(m.partition, suffix)))
                  for m in messages if m is not None]
+        job_dir = posixpath.join(base, "_temporary", self.job)
+        fs.create_dir(job_dir, recursive=True)
+        old = []
+        if self.overwrite:
+            from pyarrow import fs as pafs
+            old = [(f.path, posixpath.join(job_dir, "replaced", f.base_name))
+                   for f in fs.get_file_info(pafs.FileSelector(base)) if f.base_name != "_temporary"]
+            fs.create_dir(posixpath.join(job_dir, "replaced"), recursive=True)
         # one rename per output file; object stores make each a copy, so
         # run them concurrently
         with ThreadPoolExecutor(max_workers=min(32, max(1, len(moves)))) as pool:
-            list(pool.map(lambda mv: fs.move(*mv), moves))
-        fs.delete_dir(posixpath.join(base, "_temporary", self.job))
+            done = []
+
+            def move(mv):
+                fs.move(*mv)
+                done.append(mv)
+            try:
+                list(pool.map(move, old))
+                list(pool.map(move, moves))
+            except Exception:
+                for a, b in reversed(done):     # back to how it was
+                    fs.move(b, a)
+                raise
+        fs.delete_dir(job_dir)
         _remove_if_empty(fs, posixpath.join(base, "_temporary"))
         with fs.open_output_stream(posixpath.join(base, "_SUCCESS")):
             pass
@@ -446,25 +503,28 @@ def global_positions(spark: SparkSession, path: str,
                      record_length: int = R.RECORD_LENGTH) -> DataFrame:
     """Read a sorted dataset with ``global_pos`` = position in the whole order.
 
-    Offsets come from the file sizes alone (listing, one row per file), so
-    nothing but the records themselves is read and no shuffle of records
-    happens: the per-file offsets are broadcast (bounded by the file count).
+    Offsets come from the file sizes alone (listing, one row per file) and meet
+    the records on the integer file id that the scan carries; nothing but the
+    records themselves is read.
     """
-    from pyspark.sql import Window
+    from itertools import accumulate
+
     from pyspark.sql import functions as F
-    files = list_files(path)
-    counts = spark.createDataFrame([(f, size // record_length) for f, size in files],
-                                   "file string, rows bigint")
-    w = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("file", F.coalesce(F.sum("rows").over(w), F.lit(0))
-                            .cast("bigint").alias("offset"))
-    recs = read_fixed_records(spark, path, record_length=record_length)
-    # one small row per file: broadcast while the file count is modest, else a
-    # plain shuffle join on the (few) distinct file names
-    if len(files) <= BROADCAST_MAX_FILES:
-        offsets = F.broadcast(offsets)
-    return (recs.join(offsets, "file")
-                .withColumn("global_pos", F.col("offset") + F.col("pos")).drop("offset"))
+    sizes = [size // record_length for _, size in list_files(path)]
+    offsets = spark.createDataFrame(
+        [(i, o) for i, o in enumerate(accumulate([0, *sizes[:-1]]))] if sizes else [],
+        "file_id int, offset bigint")
+    recs = read_fixed_records(spark, path, record_length=record_length,
+                              columns=["key", "value", "file", "pos", "file_id"])
+    # one small row per file, of a size Spark knows: it broadcasts or shuffles by that
+    return (recs.join(offsets, "file_id")
+                .withColumn("global_pos", F.col("offset") + F.col("pos")).drop("offset", "file_id"))
+
+
+def file_names(spark: SparkSession, path: str) -> DataFrame:
+    """``(file int, name string)``: the file ids of a scan and their paths."""
+    return spark.createDataFrame([(i, f) for i, (f, _) in enumerate(list_files(path))],
+                                 "file int, name string")
 
 
 def file_record_counts(spark: SparkSession, path: str,

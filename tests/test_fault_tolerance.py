@@ -55,4 +55,4 @@ def test_write_survives_task_failure(tmp_path):
     assert got["rows"] == 50_000
     assert got["report"] == [["checksum", got["want"]]]
     assert got["temp_left"] is False
-    assert sorted(os.listdir(out)) == ["_SUCCESS"] + [f"part-{i:05d}" for i in range(4)]
+    assert sorted(os.listdir(out)) == ["_SUCCESS"] + [f"part-{i:010d}" for i in range(4)]

@@ -62,9 +62,9 @@ def test_binary_search_equals_linear(spark, monkeypatch):
     few = splits[:5]
     got = [r.pid for r in df.select(P.range_partition("key", few).alias("pid")).collect()]
     assert got == [bisect.bisect_right(few, k) for k in keys]
-    monkeypatch.setattr(P, "TREE_SEARCH_MAX", 8)  # the aggregate() search for huge p
-    got = [r.pid for r in df.select(P.range_partition("key", splits).alias("pid")).collect()]
-    assert got == [bisect.bisect_right(splits, k) for k in keys]
+    monkeypatch.setattr(P, "COLUMN_LOOKUP_MAX", 8)
+    with pytest.raises(ValueError):
+        P.range_partition("key", splits)
 
 
 def test_hot_split_keys_spread(spark):
@@ -93,7 +93,7 @@ def test_block_sample_systematic(spark):
             .withColumn("key", F.unhex(F.lpad(F.hex("pos"), 4, "0"))))
     s = P.block_sample(recs, files, 500, num_samples=4, sample_size=40)
     got = sorted((r.file, r.block, r.pos) for r in s.collect())
-    # samples=4, step=16//4=4 -> global blocks 0,4,8,12 -> (a,0) (a,4) (c,1) (c,5); 10 each
+    # samples=4 of 16 blocks -> global blocks 0,4,8,12 -> (a,0) (a,4) (c,1) (c,5); 10 each
     want = sorted((f, b, b * 500 + i) for f, b in [("a", 0), ("a", 4), ("c", 1), ("c", 5)]
                   for i in range(10))
     assert got == want
@@ -107,7 +107,7 @@ def test_split_point_store(spark, tmp_path):
 
 
 def test_join_lookup_equals_bisect(spark, monkeypatch):
-    monkeypatch.setattr(P, "JOIN_LOOKUP_ABOVE", 4)
+    monkeypatch.setattr(P, "LOOKUP_FANOUT", 4)
     rnd = random.Random(5)
     splits = sorted(bytes(rnd.getrandbits(8) for _ in range(rnd.randint(1, 3))) for _ in range(60))
     splits += [splits[10]] * 3          # a hot key: equal split points
@@ -147,9 +147,59 @@ def test_spread_sample_covers_every_split(spark, tmp_path):
 
 
 def test_join_lookup_keeps_null_keys(spark, monkeypatch):
-    monkeypatch.setattr(P, "JOIN_LOOKUP_ABOVE", 2)
+    monkeypatch.setattr(P, "LOOKUP_FANOUT", 2)
     df = spark.createDataFrame([(None,), (b"\x05",), (b"\xf0",)], "key binary")
     got = {(None if r.key is None else bytes(r.key), r.pid) for r in
            P.assign_partition(df, 5, "sampled", splits=[b"\x01", b"\x10", b"\x80", b"\xa0"],
                               spread_hot_keys=False).collect()}
     assert got == {(None, 0), (b"\x05", 1), (b"\xf0", 4)}
+
+
+def test_block_sample_reaches_the_end_and_takes_one_at_least(spark):
+    files = spark.createDataFrame([("a", 1900)], "file string, rows bigint")
+    recs = spark.range(1900).select(F.lit("a").alias("file"), F.col("id").alias("pos"),
+                                    F.unhex(F.lpad(F.hex("id"), 4, "0")).alias("key"))
+    got = P.block_sample(recs, files, 100, num_samples=10, sample_size=10).collect()
+    assert sorted(r.block for r in got) == [i * 19 // 10 for i in range(10)]
+    few_df = P.block_sample(recs, files, 100, num_samples=10, sample_size=3)
+    few = few_df.collect()
+    assert len(few) == 10
+    assert len(P.split_points(few_df, 4)) == 3
+
+
+def test_too_few_keys_raise_in_every_form(spark, tmp_path):
+    df = spark.createDataFrame([(b"a",), (b"b",)], "key binary")
+    with pytest.raises(ValueError):
+        P.split_points(df, 5)
+    with pytest.raises(Exception, match="5 partitions need"):
+        P.split_point_table(df, 5).collect()
+    with pytest.raises(Exception, match="5 partitions need"):
+        P.save_split_points(P.split_point_table(df, 5), str(tmp_path / "s"))
+    assert P.split_points(df.limit(0), 5) == []
+
+
+def test_lookup_of_shared_prefixes_and_many_splits(spark):
+    import bisect
+    rnd = random.Random(9)
+    splits = sorted({b"http://www.example.com/" + str(rnd.randrange(10 ** 9)).encode() for _ in range(5000)})
+    keys = [b"http://www.example.com/" + str(rnd.randrange(10 ** 9)).encode() for _ in range(2000)] + splits[::97]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i long, key binary")
+    d = P.assign_partition(df, len(splits) + 1, "sampled", splits=splits, spread_hot_keys=False)
+    assert {r.i: r.pid for r in d.collect()} == {i: bisect.bisect_right(splits, k) for i, k in enumerate(keys)}
+
+
+def test_tie_breaker_orders_a_hot_key_across_partitions(spark):
+    from sortproof.operators import sort as S
+    rows = [(b"hot", i * 7919 % 3000, i) for i in range(3000)] + [(b"a%d" % i, i, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "key binary, t long, u long").repartition(4)
+    splits = [b"a5", b"hot", b"hot", b"hot", b"hot"]
+    s = S.sort_with_global_position(df, 6, "sampled", tie_breaker=["t", "u"], splits=splits)
+    got = sorted(s.collect(), key=lambda r: r.global_pos)
+    assert [(bytes(r.key), r.t, r.u) for r in got] == sorted(rows)
+    assert [r.global_pos for r in got] == list(range(len(rows)))
+    sizes = {}
+    for r in got:
+        sizes[r.pid] = sizes.get(r.pid, 0) + 1
+    assert len(sizes) == 6 and max(sizes.values()) < 1500
+    with pytest.raises(ValueError):
+        S.global_position(S.total_order_sort(df, 3, "range", with_position=True))

@@ -21,7 +21,7 @@ def test_total_order(spark, recs, method):
     rows.sort(key=lambda r: (r.pid, r.pos))
     keys = [bytes(r.key) for r in rows]
     assert keys == sorted(keys) and len(keys) == 20_000
-    report = V.validate(s.withColumn("file", F.format_string("part-%05d", "pid")))
+    report = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
     kinds = [r.kind for r in report.collect()]
     assert kinds == ["checksum"]
     c = V.compare_checksums(recs, s).collect()[0]
@@ -125,7 +125,7 @@ def test_scan_equals_window(spark):
 
 def test_scan_single_exchange(spark, recs):
     s = S.total_order_sort(recs, 4, "prefix7", with_position=True)
-    rep = V.validate(s.withColumn("file", F.format_string("part-%05d", "pid")))
+    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
     rep.collect()
     plan = rep._jdf.queryExecution().executedPlan().toString()
     # the run table was materialised once; the checks read it, not the records
@@ -143,7 +143,7 @@ def test_hot_key_is_spread(spark, method):
     s = S.total_order_sort(df, 8, method, sample=sample, with_position=True).cache()
     sizes = [r["count"] for r in s.groupBy("pid").count().collect()]
     assert sum(sizes) == 18000 and max(sizes) < 6000
-    rep = V.validate(s.withColumn("file", F.format_string("part-%05d", "pid")))
+    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
     assert [r.kind for r in rep.collect()] == ["checksum"]
     assert V.compare_checksums(df, s).collect()[0].equal
     s.unpersist()

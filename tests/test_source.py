@@ -15,7 +15,7 @@ def test_roundtrip_and_positions(spark, out_dir):
     recs = G.generate_records(spark, 5000, num_partitions=3)
     FR.write_fixed_records(S.total_order_sort(recs, 4, "prefix7"), out_dir)
     names = sorted(os.listdir(out_dir))
-    assert names == ["_SUCCESS"] + [f"part-{i:05d}" for i in range(4)]
+    assert names == ["_SUCCESS"] + [f"part-{i:010d}" for i in range(4)]
     back = FR.read_fixed_records(spark, out_dir, split_bytes=100 * 700)
     assert back.rdd.getNumPartitions() > 4
     assert back.count() == 5000
@@ -38,7 +38,7 @@ def test_refuses_existing_output(spark, out_dir):
 
 def test_truncated_file_fails(spark, out_dir):
     os.makedirs(out_dir)
-    with open(os.path.join(out_dir, "part-00000"), "wb") as f:
+    with open(os.path.join(out_dir, "part-0000000000"), "wb") as f:
         f.write(bytes(203))
     with pytest.raises(Exception, match="past eof|partial record"):
         FR.read_fixed_records(spark, out_dir).count()
@@ -49,7 +49,7 @@ def test_truncated_file_fails(spark, out_dir):
 def test_empty_file_between_sorted_files_passes(spark, out_dir):
     os.makedirs(out_dir)
     recs = sorted(bytes(G.build_records(__import__("numpy").arange(i, i + 1))[0]) for i in range(6))
-    for name, chunk in (("part-00000", recs[:3]), ("part-00001", []), ("part-00002", recs[3:])):
+    for name, chunk in (("part-0000000000", recs[:3]), ("part-0000000001", []), ("part-0000000002", recs[3:])):
         with open(os.path.join(out_dir, name), "wb") as f:
             f.write(b"".join(chunk))
     back = FR.read_fixed_records(spark, out_dir)
@@ -193,3 +193,80 @@ def test_pushdown_file_id(spark, out_dir):
         assert {r.file_id for r in q.collect()} == {0, 2} and q.count() == 600
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_empty_datasets(spark, tmp_path):
+    from sortproof import jobs
+    from sortproof.operators import validate as V
+    (tmp_path / "none").mkdir()
+    (tmp_path / "zero").mkdir()
+    (tmp_path / "zero" / "part-0000000000").write_bytes(b"")
+    for name in ("none", "zero"):
+        path = str(tmp_path / name)
+        assert FR.read_fixed_records(spark, path).count() == 0
+        assert [r.kind for r in V.validate(FR.read_fixed_records(spark, path)).collect()] == ["checksum"]
+        got = jobs.sort_job(spark, path, str(tmp_path / f"{name}-sorted"))
+        assert got == {"rows": 0, "checksum": 0}
+        assert FR.global_positions(spark, path).count() == 0
+
+
+def test_predicate_that_matches_nothing(spark, tmp_path):
+    path = str(tmp_path / "d")
+    FR.write_fixed_records(G.generate_records(spark, 50, num_partitions=2), path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        assert FR.read_fixed_records(spark, path).where("pos > 1000").count() == 0
+        assert FR.read_fixed_records(spark, path).where("file = 'x'").count() == 0
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_overwrite_swaps_at_commit(spark, tmp_path):
+    path = str(tmp_path / "d")
+    FR.write_fixed_records(G.generate_records(spark, 60, num_partitions=3), path)
+    before = sorted((r.file, r.pos, bytes(r.key)) for r in FR.read_fixed_records(spark, path).collect())
+    bad = FR.read_fixed_records(spark, path).select("key", F.lit(b"short").alias("value"))
+    with pytest.raises(Exception):
+        FR.write_fixed_records(bad, path, mode="overwrite")
+    assert sorted((r.file, r.pos, bytes(r.key)) for r in FR.read_fixed_records(spark, path).collect()) == before
+    # rewriting a dataset from itself
+    FR.write_fixed_records(FR.read_fixed_records(spark, path).coalesce(1), path, mode="overwrite")
+    assert sorted(bytes(r.key) for r in FR.read_fixed_records(spark, path).collect()) == sorted(k for *_, k in before)
+    assert sorted(os.listdir(path)) == ["_SUCCESS", "part-0000000000"]
+    from sortproof import jobs
+    with pytest.raises(ValueError):
+        jobs.sort_job(spark, path, f"file:{path}/", mode="overwrite")
+
+
+def test_file_uris(spark, tmp_path):
+    path = str(tmp_path / "d")
+    FR.write_fixed_records(G.generate_records(spark, 10, num_partitions=1), "file:" + path)
+    for p in (path, "file:" + path, "file://" + path):
+        assert FR.read_fixed_records(spark, p).count() == 10
+
+
+def test_name_order_above_a_hundred_thousand_parts(spark, tmp_path):
+    from sortproof.operators import validate as V
+    path = tmp_path / "d"
+    path.mkdir()
+    for i, n in ((99_999, 3), (100_000, 2)):
+        rec = b"".join(bytes([i == 100_000, k]) + bytes(98) for k in range(n))
+        (path / FR.part_name(i)).write_bytes(rec)
+    d = FR.read_fixed_records(spark, str(path))
+    assert [r.kind for r in V.validate(d).collect()] == ["checksum"]
+    got = sorted((r.global_pos, bytes(r.key)[:2]) for r in FR.global_positions(spark, str(path)).collect())
+    assert got == [(0, b"\0\0"), (1, b"\0\1"), (2, b"\0\2"), (3, b"\1\0"), (4, b"\1\1")]
+
+
+def test_stored_split_points_are_reused(spark, tmp_path):
+    from sortproof import jobs
+    src, splits = str(tmp_path / "src"), str(tmp_path / "splits")
+    jobs.generate_job(spark, 3000, src, num_partitions=3)
+    a = jobs.sort_job(spark, src, str(tmp_path / "a"), num_partitions=4, splits_path=splits)
+    b = jobs.sort_job(spark, src, str(tmp_path / "b"), num_partitions=4, splits_path=splits)
+    assert a == b and len(spark.read.parquet(splits).collect()) == 3
+    sizes = [[os.path.getsize(os.path.join(str(tmp_path / x), f)) for f in sorted(os.listdir(str(tmp_path / x)))]
+             for x in "ab"]
+    assert sizes[0] == sizes[1]
+    with pytest.raises(ValueError):
+        jobs.sort_job(spark, src, str(tmp_path / "c"), num_partitions=9, splits_path=splits)
