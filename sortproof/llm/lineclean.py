@@ -18,6 +18,8 @@ before that.  DataFrame functions only, in one pass over the rows, no shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +55,7 @@ def line_ok(line: Column, max_shout: int, max_symbols: int, boilerplate_words: i
     shout = F.regexp_count(line, F.lit(r"[!?](?=" + _WS + r"|$)"))
     marks = "|".join("\\" + s if s in "|" else s for s in SEPARATORS)
     separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])(?:" + marks + r")(?![^\x20\x09-\x0D])"))
-    phrase = F.lit(False)
-    low = F.lower(line)
-    for p in PHRASES:
-        phrase = phrase | F.contains(low, F.lit(p))
+    phrase = F.lower(line).rlike("|".join(re.escape(p) for p in PHRASES))
     return (line.rlike(SENTENCE)
             & (shout * 100 <= n * max_shout)
             & (_count(line, LINE_SYMBOLS) * 100 <= solid * max_symbols)
