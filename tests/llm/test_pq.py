@@ -46,7 +46,7 @@ def vectors(n, dim, seed=0, spread=0.25):
     return x.astype(np.float32)
 
 
-@pytest.mark.parametrize("o", [dict(), dict(per_list=8, block=16), dict(per_list=400, block=20, subspaces=3)])
+@pytest.mark.parametrize("o", [dict(), dict(per_list=8, block=16), dict(per_list=400, block=20, subspaces=3), dict(per_list=10, sigmas=None)])
 def test_brute_force(spark, o):
     x = vectors(700, 12)
     rows = [(i * 3, [float(a) for a in v]) for i, v in enumerate(x)]
@@ -110,3 +110,14 @@ def test_recall_on_the_table(spark):
     got = sorted(((r.vec_id, r.n_links, r.component_id)
                   for r in queries.op3_embedding_pq(spark, path).collect()), key=str)
     assert got == brute(rows, 0.9)
+
+
+def test_recall_of_probes_in_many_dimensions(spark):
+    x = vectors(1200, 64, 5, 0.35)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    want = brute(rows, 0.9)
+    got = run(spark, rows, threshold=0.9, per_list=10)
+    links = sum(n for _, n, _ in want)
+    assert links > 400 and sum(n for _, n, _ in got) >= 0.99 * links
+    assert all(a[1] <= b[1] for a, b in zip(got, want))
+    assert run(spark, rows, threshold=0.9, per_list=10, sigmas=None) == want
