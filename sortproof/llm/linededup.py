@@ -14,9 +14,15 @@ n - ceil(t n) + 1 first words, which are joined on equality; of the smaller clas
 n - ceil(2 t n / (1 + t)) + 1 words are enough.  Lengths, positions and a 64-bit
 parity sketch (whose bits that differ never outnumber the words that differ)
 reject candidates in the join.  The words of the candidates' lines are then read
-again and the Jaccard similarity is verified: of each class with its earliest
-candidate first, and where that is no match, with all its earlier candidates.
+again and the Jaccard similarity is verified: of each class with its most similar
+earlier candidate first, and where that is no match, with all its earlier ones.
 Words are told apart by 64-bit hash.
+
+A family of variants of one line would make pairs with the square of its size.
+Whether a class goes needs one earlier match only, so the pass that reads the lines
+already looks for one: among the sets of a batch with an equal MinHash, each is
+verified against the earliest.  A class that has a match there before its own first
+line is settled; a pair is made only if one of the two is not settled.
 """
 
 from __future__ import annotations
@@ -141,12 +147,49 @@ def _signatures(tokens, offs):
     return out.view(np.int64)
 
 
+def _local_matches(tokens, offs, sketch, pick, least, threshold):
+    """Per set the id of an earlier line in the batch that matches it, or the largest long.
+
+    Sets with an equal MinHash (two of them in turn) are verified against the one with
+    the least id; only a smaller id counts.
+    """
+    import numpy as np
+    last = np.iinfo(np.int64).max
+    match = np.full(len(pick), last)
+    size = np.diff(offs)[pick]
+    part = threshold / (1 + threshold)
+    for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        if len(pick) < 2:
+            break
+        with np.errstate(over="ignore"):
+            low = np.minimum.reduceat(_mix(_mix(tokens, k), 0xD6E8FEB86659FD93), offs[:-1][np.diff(offs) > 0])
+        at = np.cumsum(np.diff(offs) > 0) - 1
+        key = low[at[pick]]
+        order = np.lexsort((least, key))
+        start = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+        head = np.empty(len(pick), np.int64)
+        head[order] = order[np.flatnonzero(start)[np.cumsum(start) - 1]]
+        both = size + size[head]
+        need = np.ceil(both * part - 1e-9)
+        apart = np.bitwise_count(sketch[pick] ^ sketch[pick[head]])
+        todo = (match == last) & (least[head] < least) & (apart + 2 * need <= both)
+        for i in np.flatnonzero(todo).tolist():
+            h = head[i]
+            a, b = pick[i], pick[h]
+            shared = len(np.intersect1d(tokens[offs[a]:offs[a + 1]], tokens[offs[b]:offs[b + 1]],
+                                        assume_unique=True))
+            if shared >= need[i]:
+                match[i] = least[h]
+    return match
+
+
 def _reader(rank, threshold):
     """Rows of documents -> per row the lines' set signatures, and per new set its
     entry for the index (prefix, size, sketch, hash of the line's text)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from xxhash import xxh64_intdigest as xxh
         for whole in batches:
             for b in slices(whole, "text", 16 << 20):
@@ -159,11 +202,15 @@ def _reader(rank, threshold):
                 at = np.asarray(coded.indices, np.int64)
                 lists = lambda x, o, t: pa.ListArray.from_arrays(
                     pa.array(o.astype(np.int32)), pa.array(x, t))
-                # one entry a set: the line that shows it first in the batch
-                first = np.unique(at, return_index=True)[1]
-                pick = np.argsort(first, kind="stable")      # dictionary order is first-seen order
-                pick = pick[np.unique(sig[pick], return_index=True)[1]]
-                pick = pick[n[pick] > 0]
+                # one entry a set, with the least id that shows it
+                _, pick, of = np.unique(sig, return_index=True, return_inverse=True)
+                last = np.iinfo(np.int64).max
+                ids_ = np.asarray(pc.fill_null(b.column("id"), last), np.int64)
+                least = np.full(len(pick), last)
+                np.minimum.at(least, of[at], np.repeat(ids_, np.diff(rows)))
+                some = n[pick] > 0
+                pick, least = pick[some], least[some]
+                match = _local_matches(tokens, offs, sketch, pick, least, threshold)
                 size = n[pick]
                 prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
                 prefix[size * (1 - threshold) + 1e-9 < threshold] = 0   # only equal sets match
@@ -190,20 +237,22 @@ def _reader(rank, threshold):
                         none(k, ids.type), none(k, rk.type),
                         none(k, pa.list_(pa.int64())), none(k, pa.list_(pa.int64())),
                         pa.array(sig[pick]), pa.array(sig2[pick]), pa.array(size.astype(np.int32)),
-                        pa.array(sketch[pick]), pa.array(line_hash),
+                        pa.array(sketch[pick]), pa.array(line_hash), pa.array(least),
+                        pa.array(match, mask=match == last),
                         lists((tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32),
                               np.concatenate([[0], ends]), pa.int32())],
                         names=_NAMES)
     return run
 
 
-_NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line", "prefix"]
+_NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line", "least",
+          "match", "prefix"]
 
 
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, pa.list_(pa.int32())]
+    return [i, i, pa.int32(), i, i, i, i, pa.list_(pa.int32())]
 
 
 def _finder(rank, wanted):
@@ -264,7 +313,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = spark.sparkContext.broadcast(rarity(d))
     read = store(map_arrow(d, _reader(order, threshold),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                           " size int, sketch long, line long, prefix array<int>"))
+                           " size int, sketch long, line long, least long, match long, prefix array<int>"))
     rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
                  .dropDuplicates(["id", "rk"]))
     at = rows.select("id", "rk", F.posexplode(F.arrays_zip("sigs", "sigs2")).alias("no", "s")) \
@@ -293,8 +342,9 @@ def _matches(d, read, first, order, threshold):
     spark = d.sparkSession
     r = threshold
     entries = read.where("size(prefix) > 0").groupBy("sig", "sig2").agg(
-        F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
-    probe = entries.select("sig", "size", "sketch", F.posexplode("prefix").alias("pos", "token"))
+        F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.first("prefix").alias("prefix"),
+        F.coalesce(F.min("match") < F.min("least"), F.lit(False)).alias("settled"))
+    probe = entries.select("sig", "size", "sketch", "settled", F.posexplode("prefix").alias("pos", "token"))
     x = probe.select(*(F.col(c).alias(f"x_{c}") for c in probe.columns))
     y = probe.select(*(F.col(c).alias(f"y_{c}") for c in probe.columns))
     both = F.col("x_size") + F.col("y_size")
@@ -307,10 +357,10 @@ def _matches(d, read, first, order, threshold):
         return F.col(f"{k}_pos") <= n - F.ceil(n * F.lit(2 * r / (1 + r)) - 1e-9)
     pairs = cut(x.join(y, on=[
         F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
-        differ + 2 * need <= both, ahead >= need,
+        ~(F.col("x_settled") & F.col("y_settled")), differ + 2 * need <= both, ahead >= need,
         F.when(F.col("x_size") <= F.col("y_size"), early("x")).otherwise(early("y")),
         F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")])
-        .select("x_sig", "y_sig").distinct())
+        .select("x_sig", "y_sig", "x_settled", "y_settled", differ.alias("differ")).distinct())
     ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
     lines = read.join(ends, "sig", "left_semi").select("line")
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
@@ -324,23 +374,25 @@ def _matches(d, read, first, order, threshold):
         return of.select(*(F.col(c).alias(f"{k}_{c}") for c in of.columns))
     key = lambda k: F.struct(F.col(f"{k}_sig").alias("sig"), F.col(f"{k}_sig2").alias("sig2"))
     late = F.col("x_at") > F.col("y_at")
-    todo = pairs.join(side("x", named), "x_sig").join(side("y", named), "y_sig").select(
+    todo = pairs.join(side("x", named), "x_sig").join(side("y", named), "y_sig") \
+        .where(~F.when(late, F.col("x_settled")).otherwise(F.col("y_settled"))).select(
         F.when(late, key("x")).otherwise(key("y")).alias("b"), F.when(late, key("y")).otherwise(key("x")).alias("a"),
-        F.least("x_at", "y_at").alias("a_at"))
-    todo = cut(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "a_at"))
+        "differ")
+    todo = cut(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "differ"))
 
     def verified(p):
         t = p.join(side("b", sets), ["b_sig", "b_sig2"]).join(side("a", sets), ["a_sig", "a_sig2"])
         shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
         good = shared + 1e-9 >= (F.size("a_tokens") + F.size("b_tokens")) * F.lit(r / (1 + r))
         return t.where(good).select("b_sig", "b_sig2").distinct()
-    nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("a_at", "a_sig", "a_sig2")).alias("a")) \
+    nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("differ", "a_sig", "a_sig2")).alias("a")) \
         .selectExpr("b_sig", "b_sig2", "a.a_sig", "a.a_sig2")
     done = cut(verified(nearest))
     more = verified(todo.join(done, ["b_sig", "b_sig2"], "left_anti").select(
         "b_sig", "b_sig2", "a_sig", "a_sig2"))
-    return done.unionAll(more).select(
-        F.col("b_sig").alias("sig"), F.col("b_sig2").alias("sig2"), F.lit(True).alias("gone"))
+    settled = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
+        .where("settled").select("sig", "sig2")
+    return done.unionAll(more).toDF("sig", "sig2").unionAll(settled).withColumn("gone", F.lit(True))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
