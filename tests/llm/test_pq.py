@@ -46,7 +46,7 @@ def vectors(n, dim, seed=0, spread=0.25):
     return x.astype(np.float32)
 
 
-@pytest.mark.parametrize("o", [dict(), dict(per_list=8, block=16), dict(per_list=400, block=20, subspaces=3), dict(per_list=10, sigmas=None)])
+@pytest.mark.parametrize("o", [dict(per_list=64, sigmas=4.0), dict(), dict(per_list=8, block=16), dict(per_list=400, block=20, subspaces=3), dict(per_list=10, sigmas=None)])
 def test_brute_force(spark, o):
     x = vectors(700, 12)
     rows = [(i * 3, [float(a) for a in v]) for i, v in enumerate(x)]
