@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sortproof.functions import records as R
 from sortproof.functions.counts import int_div
+from sortproof.session import small_table
 
 # --- fixed values: sampler defaults --------------------------------------------
 DEFAULT_SAMPLE_BLOCKS = 10
@@ -122,8 +123,7 @@ def _range_ids(df: DataFrame, key: str, splits: Sequence[bytes], out: str) -> Da
     """Upper-bound partition ids: the search tree described above.
 
     A null key (sorted first) goes to partition 0.  The level tables hold every
-    split point once; Spark knows their size and broadcasts them below its
-    threshold.
+    split point once and are broadcast if their bytes allow (``small_table``).
     """
     spark, m, b = df.sparkSession, len(splits), LOOKUP_FANOUT
     stride = 1
@@ -140,6 +140,8 @@ def _range_ids(df: DataFrame, key: str, splits: Sequence[bytes], out: str) -> Da
             at = [block * last + (i + 1) * stride - 1 for i in range(b - 1)]
             rows.append([block, *(bytearray(splits[x]) if x < m else None for x in at)])
         table = spark.createDataFrame(rows, "_block int, " + ", ".join(f"{n} binary" for n in names))
+        table = small_table(table, sum(len(x) if x is not None else 0 for r in rows for x in r[1:])
+                            + 16 * b * len(rows))
         d = d.join(table, d[out] == table["_block"], "left").withColumn(
             out, (F.col(out) * b + _tree(k, [F.col(n) for n in names], 0, b - 1)).cast("int"))
         d = d.drop("_block", *names)
@@ -163,7 +165,8 @@ def _spread_hot(d: DataFrame, key: str, splits: Sequence[bytes], out: str, salt:
     table = spark.createDataFrame(rows, "_hot_pid int, _hot_key binary, _hot_n int")
     if tie_breaker:
         tie = F.struct(*[F.col(c) for c in tie_breaker])
-        mine = source.select(F.col(key).alias("_hot_key"), tie.alias("tie")).join(table, "_hot_key")
+        mine = source.select(F.col(key).alias("_hot_key"), tie.alias("tie")).join(
+            small_table(table, sum(len(hk) for hk in hot) + 32 * len(hot)), "_hot_key")
         n = mine.groupBy("_hot_key").agg(F.count(F.lit(1)).alias("n"))
         u = F.pmod(F.xxhash64("tie"), F.lit(1 << 30)) / F.lit(float(1 << 30))
         picked = mine.join(n, "_hot_key").where(u * F.col("n") < F.col("_hot_n") * TIE_SAMPLE)
@@ -177,6 +180,8 @@ def _spread_hot(d: DataFrame, key: str, splits: Sequence[bytes], out: str, salt:
         part = F.when(F.col("_ties").isNull(), F.lit(0)).otherwise(part)
     else:
         part = F.pmod(salt, F.col("_hot_n")).cast("int")
+    table = small_table(table, sum(len(hk) for hk in hot) + 32 * len(hot)
+                        + (64 * TIE_SAMPLE * sum(c for _, c in hot.values()) if tie_breaker else 0))
     j = d.join(table, d[out] == table["_hot_pid"], "left")
     pid = F.when(F.col(key) == F.col("_hot_key"), F.col(out) - F.col("_hot_n") + 1 + part) \
            .otherwise(F.col(out))

@@ -117,8 +117,8 @@ def global_position(sorted_df: DataFrame, counts: Optional[DataFrame] = None) ->
                          "use sort_with_global_position")
     if counts is None:
         counts = sorted_df.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    # p rows: Spark broadcasts them by their size
-    return (sorted_df.join(_offsets(counts), "pid")
+    # one row of two numbers per partition: a few MB for a million partitions
+    return (sorted_df.join(F.broadcast(_offsets(counts)), "pid")
                      .withColumn("global_pos", F.col("offset") + F.col("pos"))
                      .drop("offset"))
 

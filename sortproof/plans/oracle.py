@@ -1,8 +1,9 @@
-"""DuckDB SQL for every query in ``catalog``: the independent oracle.
+"""DuckDB SQL for every query in ``catalog``.
 
 The SQL recomputes everything from the raw tables with its own arithmetic --
 CRC-32 bit by bit, the 128-bit generator as four 32-bit limbs in a recursive
-CTE, split points by ``row_number`` -- and shares no code path with Spark.
+CTE, split points by ``row_number``.  It shares the generator's constants and the
+queries' parameters with the Spark side, no code that computes.
 Binary values are compared as upper-case hex strings, sums as decimal text.
 """
 

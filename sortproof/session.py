@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -96,6 +97,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Tables made on the driver are broadcast up to this many bytes.
+BROADCAST_BYTES = 64 << 20
+
+
+def small_table(df: DataFrame, n_bytes: int) -> DataFrame:
+    """``df`` marked for broadcast if its known size allows; a shuffle join is planned beyond."""
+    return F.broadcast(df) if n_bytes <= BROADCAST_BYTES else df
+
+
 def new_output_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path under the shared folder (never reused between runs)."""
     base = shared_dir(spark).rstrip("/")

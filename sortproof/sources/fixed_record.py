@@ -37,6 +37,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 from pyspark.sql.types import StructType
 
 from sortproof.functions import records as R
+from sortproof.session import small_table
 
 FORMAT = "fixed_record"
 SCHEMA = "key binary, value binary, file string, pos bigint"
@@ -516,8 +517,8 @@ def global_positions(spark: SparkSession, path: str,
         "file_id int, offset bigint")
     recs = read_fixed_records(spark, path, record_length=record_length,
                               columns=["key", "value", "file", "pos", "file_id"])
-    # one small row per file, of a size Spark knows: it broadcasts or shuffles by that
-    return (recs.join(offsets, "file_id")
+    # one small row per file
+    return (recs.join(small_table(offsets, 32 * len(sizes)), "file_id")
                 .withColumn("global_pos", F.col("offset") + F.col("pos")).drop("offset", "file_id"))
 
 

@@ -56,3 +56,16 @@ def test_write_survives_task_failure(tmp_path):
     assert got["report"] == [["checksum", got["want"]]]
     assert got["temp_left"] is False
     assert sorted(os.listdir(out)) == ["_SUCCESS"] + [f"part-{i:010d}" for i in range(4)]
+
+
+def test_validate_job_compares_checksums(spark, tmp_path):
+    from sortproof import jobs
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    made = jobs.generate_job(spark, 2000, src, num_partitions=2)
+    assert jobs.sort_job(spark, src, out, num_partitions=3) == made
+    assert [r.kind for r in jobs.validate_job(spark, out, expected=made).collect()] == ["checksum"]
+    other = dict(made, rows=1999)
+    assert "error" in [r.kind for r in jobs.validate_job(spark, out, expected=other).collect()]
+    # an unsorted dataset is reported by file name
+    bad = [r for r in jobs.validate_job(spark, src).collect() if r.kind == "error"]
+    assert bad and all(r.file.startswith(src) for r in bad)

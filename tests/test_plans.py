@@ -79,7 +79,7 @@ def test_checksum_is_partial_then_final(static):
 
 
 def test_report_reads_the_run_table_not_the_records(static):
-    rep = V.validate(X.event_records(static, SF))
+    rep = V.validate(X.event_records(static, SF), method="scan")
     p = plan(rep)
     assert "MapInArrow" not in p and "FileScan parquet" not in p
 

@@ -21,7 +21,7 @@ def test_total_order(spark, recs, method):
     rows.sort(key=lambda r: (r.pid, r.pos))
     keys = [bytes(r.key) for r in rows]
     assert keys == sorted(keys) and len(keys) == 20_000
-    report = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
+    report = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")), method="scan")
     kinds = [r.kind for r in report.collect()]
     assert kinds == ["checksum"]
     c = V.compare_checksums(recs, s).collect()[0]
@@ -125,7 +125,7 @@ def test_scan_equals_window(spark):
 
 def test_scan_single_exchange(spark, recs):
     s = S.total_order_sort(recs, 4, "prefix7", with_position=True)
-    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
+    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")), method="scan")
     rep.collect()
     plan = rep._jdf.queryExecution().executedPlan().toString()
     # the run table was materialised once; the checks read it, not the records
@@ -143,7 +143,7 @@ def test_hot_key_is_spread(spark, method):
     s = S.total_order_sort(df, 8, method, sample=sample, with_position=True).cache()
     sizes = [r["count"] for r in s.groupBy("pid").count().collect()]
     assert sum(sizes) == 18000 and max(sizes) < 6000
-    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")))
+    rep = V.validate(s.withColumn("file", F.format_string("part-%010d", "pid")), method="scan")
     assert [r.kind for r in rep.collect()] == ["checksum"]
     assert V.compare_checksums(df, s).collect()[0].equal
     s.unpersist()
@@ -180,3 +180,26 @@ def test_key_groups_equal_distinct_on_sorted_output(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = {r.pid: r.n for r in s.groupBy("pid").agg(F.count_distinct("key").alias("n")).collect()}
     assert got == want
+
+
+def test_null_keys_in_both_methods(spark):
+    rows = [("a", 0, None, b"v"), ("a", 1, b"\x01", b"v"), ("a", 2, None, None), ("a", 3, b"\x00", b"v"),
+            ("b", 0, b"\x05", b"v"), ("b", 1, None, b"v"), ("c", 0, None, b"v")]
+    df = spark.createDataFrame(rows, "file string, pos long, key binary, value binary").coalesce(1)
+    got = {}
+    for method in ("scan", "window"):
+        got[method] = sorted((r.kind, r.file or "", r.detail) for r in V.validate(df, method=method).collect())
+    assert got["scan"] == got["window"]
+    assert [f for _, f, d in got["scan"] if d.startswith("misorder")] == ["a", "b"]
+    ok = df.where("file = 'c' or file = 'a' and pos < 2")
+    assert [r.kind for r in V.validate(ok.where("file = 'a'"), method="scan").collect()] == ["checksum"]
+
+
+def test_sparse_positions_use_windows_of_file_and_block(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("file"), (F.col("id") * 977).alias("pos"),
+                                  F.encode(F.lpad(F.col("id").cast("string"), 6, "0"), "utf-8").alias("key"),
+                                  F.lit(b"v").alias("value"))
+    rep = V.validate(df, block_rows=100_000)
+    assert [r.kind for r in rep.collect()] == ["checksum"]
+    plan = V.misorders(df, block_rows=100_000)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "hashpartitioning(block" in plan

@@ -11,16 +11,21 @@ HEAD = "## Our own measurements"
 
 
 def main(path):
-    b = json.loads(open(path).read().strip().splitlines()[-1])
+    text = open(path).read()
+    b = json.loads(text) if text.lstrip().startswith("{") and '"parsed"' in text else \
+        json.loads(text.strip().splitlines()[-1])
+    b = b.get("parsed", b)
     t = b["throughput"]
     q = {k: v for k, v in b["queries"].items() if k != "gen_sort_validate"}
     rows = "\n".join(f"| `{k}` | {v} |" for k, v in q.items())
     section = f"""{HEAD}
 
 Container: 8 cores, 32 GB, PySpark 4.1.2, `local[{b['cpus']}]`, `spark.sql.shuffle.partitions`
-{2 * b['cpus']}, driver tables at sf{b['sf']} (orders 150,000, lineitem 600,000). One run per query after a
-warm-up, each executed in full with the `noop` sink (`bench.py`). The reference publishes nothing to
-compare with; these are our numbers only. Total over all registered queries: {b['value']} s.
+{2 * b['cpus']}, driver tables at sf{b['sf']} (orders 150,000, lineitem 600,000). Median of three
+runs per query after a warm-up, each executed in full with the `noop` sink (`bench.py`). The reference
+publishes nothing to compare with; these are our numbers only. They come from the middle one of the runs
+seen so far of the library's first state (totals 54, 117, 118 and 150 s), not from the best. Total over
+all registered queries: {b['value']} s.
 
 ### Generate -> sort -> validate, {t['records']:,} records ({t['records'] // 10_000_000} GB)
 
@@ -30,7 +35,7 @@ compare with; these are our numbers only. Total over all registered queries: {b[
 | total-order sort (read, one shuffle, sort, write) | {t['sort_sec']} | {t['sort_MBps']} | method `{t.get('sort_method', 'range')}` |
 | validate (one scan, run table, checks) | {t['validate_sec']} | {t['validate_MBps']} | report = one checksum row |
 
-Repeated runs on this machine vary by about ±30 % (page cache, JIT warm-up).
+Whole runs differ by a factor of up to 2.8, also in queries that write nothing; the cause was not measured.
 
 ### Each entry of `queries()` at sf{b['sf']}, sec
 
