@@ -226,7 +226,7 @@ class Model:
     least: int                      # words with this count are in it, if short
 
 
-def fit(train: DataFrame, text_col: str = "text", depth: int = 4, p_min: float = 2e-6,
+def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float = 5e-7,
         word_p_min: float = 1e-6) -> Model:
     """Counts over all rows of ``train``; null texts count as empty ones."""
     d = train.select(F.col(text_col).cast("string").alias("text"))
