@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,13 +30,26 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     session.ship_package(spark)
     session.shared_dir(spark)
+    release(spark)
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over.
+
+    It does so once the driver has collected the plans that made them, which a large
+    heap puts off for long; asking for it where the lineage is cut keeps the disk at
+    the files of a step or two instead of those of the whole query.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def store(df: DataFrame) -> DataFrame:
     """As ``cut``, as a compressed table: for larger intermediate results."""
     spark = df.sparkSession
     session.ship_package(spark)
+    release(spark)
     path = session.new_output_path(spark, "table")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -364,6 +364,7 @@ def _matches(d, read, first, order, threshold):
     ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
     lines = read.join(ends, "sig", "left_semi").select("line")
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
+    del entries, probe, x, y
     found = map_arrow(d.select("text"), _finder(order, wanted),
                       "sig long, sig2 long, tokens array<long>")
     sets = cut(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(

@@ -229,6 +229,8 @@ class Model:
 def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float = 5e-7,
         word_p_min: float = 1e-6) -> Model:
     """Counts over all rows of ``train``; null texts count as empty ones."""
+    if not 1 <= depth <= 6:
+        raise ValueError("depth must be in 1..6")
     d = train.select(F.col(text_col).cast("string").alias("text"))
     counts = cut(map_arrow(d, _word_counter, "word string, n long")
                  .groupBy("word").agg(F.sum("n").alias("n")))
