@@ -213,7 +213,8 @@ def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=40, least_score=
     tox, cln = defaultdict(int), defaultdict(int)
     of = defaultdict(list)
     usual = {w for w, b in clean_df.items() if b > 2 and b * n_toxic > 0.5 * toxic_df.get(w, 0) * n_clean}
-    mine = [w for w in toxic_df if 3 <= len(w) <= WINDOW - 2 and w not in usual]
+    # a word met once says little and there are very many of them
+    mine = [w for w, a in toxic_df.items() if a > 1 and 3 <= len(w) <= WINDOW - 2 and w not in usual]
     for w in mine:
         for g in set(_substrings(w)):
             tox[g] += toxic_df[w]
