@@ -13,9 +13,10 @@ result exact.  A class of n words can match only a class that shares one of its
 n - ceil(t n) + 1 first words, which are joined on equality; of the smaller class
 n - ceil(2 t n / (1 + t)) + 1 words are enough.  Lengths, positions and a 64-bit
 parity sketch (whose bits that differ never outnumber the words that differ)
-reject candidates in the join.  The words of the candidates' lines are then read
-again and the Jaccard similarity is verified: of each class with its most similar
-earlier candidate first, and where that is no match, with all its earlier ones.
+reject candidates in the join.  The candidates' lines are then read again: a 512-bit
+sketch of the same kind rejects nearly all that do not match, and the Jaccard
+similarity is verified on the words: of each class with its most similar earlier
+candidate first, and where that is no match, with all its earlier ones.
 Words are told apart by 64-bit hash.
 
 A family of variants of one line would make pairs with the square of its size.
@@ -255,8 +256,28 @@ def _INDEX_TYPES():
     return [i, i, pa.int32(), i, i, i, i, pa.list_(pa.int32())]
 
 
+#: 64-bit words of the sketch that candidates are compared by before their words are.
+WIDE = 8
+
+
+def _wide_sketches(tokens, offs):
+    """Per line WIDE 64-bit words of parity bits, row by row."""
+    import numpy as np
+    n = np.diff(offs)
+    out = np.zeros((len(n), WIDE), np.uint64)
+    some = np.flatnonzero(n)
+    if len(some):
+        with np.errstate(over="ignore"):
+            m = _mix(tokens, 0xBF58476D1CE4E5B9)
+        bit = np.uint64(1) << (m & np.uint64(63))
+        word = (m >> np.uint64(6)) % np.uint64(WIDE)
+        for w in range(WIDE):
+            out[some, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), offs[:-1][some])
+    return out.view(np.int64)
+
+
 def _finder(rank, wanted):
-    """Word sets of the lines whose text hash may be a candidate's."""
+    """Word sets and wide sketches of the lines whose text hash may be a candidate's."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -273,11 +294,14 @@ def _finder(rank, wanted):
                 picked = lines.take(pa.array(first[may]))
                 tokens, offs = _sets(picked, rank.value)
                 sig = _signatures(tokens, offs)
+                wide = _wide_sketches(tokens, offs).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig[0]), pa.array(sig[1]),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(wide) + 1, WIDE, dtype=np.int32)),
+                                              pa.array(wide)),
                      pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)),
                                               pa.array(tokens.view(np.int64)))],
-                    names=["sig", "sig2", "tokens"])
+                    names=["sig", "sig2", "wide", "tokens"])
     return run
 
 
@@ -366,9 +390,9 @@ def _matches(d, read, first, order, threshold):
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
     del entries, probe, x, y
     found = map_arrow(d.select("text"), _finder(order, wanted),
-                      "sig long, sig2 long, tokens array<long>")
+                      "sig long, sig2 long, wide array<long>, tokens array<long>")
     sets = cut(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
-        F.first("tokens").alias("tokens")))
+        F.first("wide").alias("wide"), F.first("tokens").alias("tokens")))
     named = first.join(ends, "sig", "left_semi").select("sig", "sig2", F.col("first").alias("at"))
 
     def side(k, of):
@@ -381,12 +405,22 @@ def _matches(d, read, first, order, threshold):
         "differ")
     todo = cut(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "differ"))
 
+    # the wide sketch first: 64 bytes a set instead of all its words
+    sketches = sets.select("sig", "sig2", "wide", F.size("tokens").alias("n"))
+    apart = sum((F.bit_count(F.col("a_wide")[i].bitwiseXOR(F.col("b_wide")[i])) for i in range(WIDE)), F.lit(0))
+    both = F.col("a_n") + F.col("b_n")
+    todo = todo.drop("differ").join(side("b", sketches), ["b_sig", "b_sig2"]).join(
+        side("a", sketches), ["a_sig", "a_sig2"]).withColumn("apart", apart)
+    todo = cut(todo.where(F.col("apart") + 2 * F.ceil(both * F.lit(r / (1 + r)) - 1e-9) <= both)
+               .select("b_sig", "b_sig2", "a_sig", "a_sig2", "apart"))
+
     def verified(p):
-        t = p.join(side("b", sets), ["b_sig", "b_sig2"]).join(side("a", sets), ["a_sig", "a_sig2"])
+        full = sets.select("sig", "sig2", "tokens")
+        t = p.join(side("b", full), ["b_sig", "b_sig2"]).join(side("a", full), ["a_sig", "a_sig2"])
         shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
         good = shared + 1e-9 >= (F.size("a_tokens") + F.size("b_tokens")) * F.lit(r / (1 + r))
         return t.where(good).select("b_sig", "b_sig2").distinct()
-    nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("differ", "a_sig", "a_sig2")).alias("a")) \
+    nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("apart", "a_sig", "a_sig2")).alias("a")) \
         .selectExpr("b_sig", "b_sig2", "a.a_sig", "a.a_sig2")
     done = cut(verified(nearest))
     more = verified(todo.join(done, ["b_sig", "b_sig2"], "left_anti").select(
