@@ -28,7 +28,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import cut, map_arrow, slices, words
+from sortproof.llm.frames import cut, map_arrow, slices, store, words
 
 END = 10
 #: Words longer than this never enter the broadcast table.
@@ -226,7 +226,7 @@ class Model:
     least: int                      # words with this count are in it, if short
 
 
-def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float = 5e-7,
+def fit(train: DataFrame, text_col: str = "text", depth: int = 5, p_min: float = 1e-6,
         word_p_min: float = 1e-6) -> Model:
     """Counts over all rows of ``train``; null texts count as empty ones."""
     if not 1 <= depth <= 6:
@@ -242,8 +242,9 @@ def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float =
 
     grams = map_arrow(d, _gram_counter(depth), "code long, n long")
     by_code = grams.groupBy("code").agg(F.sum("n").alias("n"))
+    # levels of the codes, stored compressed: most are met once or twice
     level = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d")
-    every = cut(by_code.select(level, "code", "n").selectExpr(
+    every = store(by_code.select(level, "code", "n").selectExpr(
         "d", "code & (shiftleft(1L, 8 * (d + 1)) - 1L) as code", "n")
         .groupBy("d", "code").agg(F.sum("n").alias("n")))
     positions = every.where("d = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
