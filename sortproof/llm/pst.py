@@ -71,14 +71,14 @@ def _gram_counter(depth):
         import pyarrow as pa
         codes, counts, held = [], [], 0
         for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
+            for b in slices(whole, "text", 2 << 20):
                 c, n = np.unique(_codes(_bytes(b), depth)[0], return_counts=True)
                 codes.append(c)
                 counts.append(n)
                 held += len(c)
-                if held > 2_000_000:
+                if held > 1_000_000:
                     codes, counts = _merge(codes, counts)
-                    if len(codes[0]) > 1_000_000:      # more than fit: hand on and go on
+                    if len(codes[0]) > 500_000:      # more than fit: hand on and go on
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(codes[0]), pa.array(counts[0])], names=["code", "n"])
                         codes, counts = [], []
@@ -279,7 +279,7 @@ def _scorer(model):
         freq = np.log10((np.asarray(freq_n, np.float64) + 1) / m["denominator"])
         end = math.log10((m["texts"] + 1) / m["denominator"])
         for whole in batches:
-            for b in slices(whole, "text", 8 << 20):
+            for b in slices(whole, "text", 2 << 20):
                 flat, offs = words(b.column("text"))
                 rows = b.num_rows
                 coded = flat.dictionary_encode()
