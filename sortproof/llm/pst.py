@@ -5,16 +5,21 @@ the UTF-8 bytes of the words joined by spaces, then the end (byte 10, which no
 word holds; it also pads the context before the first byte).
 
 Training counts every run of ``depth`` context bytes and the next byte over all
-training texts, exactly.  A context is a candidate if it makes up at least
-``p_min`` of all positions (so a depth has at most 1 / p_min candidates, whatever
-the corpus: that bounds what the driver prunes and what is broadcast), and is
+training texts, exactly.  A context is a candidate if a next byte was met ``least``
+times after it (an absolute count, so the candidates grow with the corpus), and is
 retained if its counts diverge from what its longest retained suffix predicts:
 the gain in log-likelihood must exceed half its number of next symbols times the
 log of the corpus.  Next-symbol distributions are smoothed by Witten-Bell
 interpolation with the longest retained suffix down to an add-one root; mass of
-pairs rarer than ``p_min`` goes to the suffix too, so each distribution sums to 1.
+pairs rarer than ``least`` goes to the suffix too, so each distribution sums to 1.
 A position is scored in the state of its longest retained suffix.
 
+The tree is a table a level, one row per context; a level is pruned by joining it
+with the one below.  Grams that make up ``p_min`` of all positions (at most
+1 / p_min of them) are scored from a broadcast table, the others walk down the
+levels by joins, each distinct gram once: ``p_min`` decides where a gram is looked
+up, not its score.
+
 Base score: add-one word counts.  Words that make up ``p_min`` of the tokens (at
 most 1 / p_min of them, up to 64 bytes long) are looked up in a broadcast table,
 the tokens of all others meet the full counts in a join.
@@ -103,14 +108,12 @@ def _word_counter(batches):
 @dataclasses.dataclass
 class Tree:
     """Retained states by depth: gram codes with log10 probabilities, context codes
-    with the log10 weight of their suffix; ``top`` holds finished scores of the
-    frequent full-depth grams, so most positions need one lookup."""
+    with the log10 weight of their suffix."""
 
     depth: int
     root: object                    # log10 probability of each byte
     grams: list                     # [depth 1..]: (codes, log10 p)
     states: list                    # [depth 1..]: (codes, log10 suffix weight)
-    top: tuple
 
     def score(self, codes, depth=None):
         """log10 probability of the last byte of each code, by its longest state."""
@@ -140,35 +143,53 @@ def _find(keys, want):
     return i, keys[i] == want
 
 
-def build_tree(depth: int, counts, contexts) -> Tree:
-    """Tree of pair counts and context totals: {depth: (sorted codes, n)}."""
+def _contexts(pairs: DataFrame) -> DataFrame:
+    """(ctx, next): one row per context, with the counts of its next bytes.
+
+    Dealt by context, of which none has more than 65,536 rows here per counting task.
+    """
+    return pairs.repartition("ctx").groupBy("ctx", "y").agg(F.sum("n").alias("n")) \
+        .groupBy("ctx").agg(F.collect_list(F.struct("y", "n")).alias("next"))
+
+
+def _flat(column):
+    """Row numbers and values of an Arrow list column, and its offsets from 0."""
     import numpy as np
-    by = np.zeros(256, np.int64)
-    by[counts[0][0]] = counts[0][1]
-    total = int(by.sum())
-    tree = Tree(0, np.log10((by + 1) / (total + 256)), [], [], ())
-    for d in range(1, depth + 1):
-        code, n = counts[d]
-        ctx, ctx_n = contexts[d]
-        at, ok = _find(ctx, code >> 8)
-        code, n, at = code[ok], n[ok], at[ok]
-        kinds = np.bincount(at, minlength=len(ctx)).astype(float)
-        kept = np.bincount(at, weights=n, minlength=len(ctx))
-        below = 10.0 ** tree.score(code, d - 1)
-        give = kinds + (ctx_n - kept)
-        p = (n + give[at] * below) / (ctx_n + kinds)[at] if len(code) else np.zeros(0)
-        weight = np.divide(give, ctx_n + kinds, out=np.ones(len(ctx)), where=ctx_n + kinds > 0)
-        gain = np.bincount(at, weights=n * np.log(np.maximum(p, 1e-300) / below),
-                           minlength=len(ctx)) if len(code) else np.zeros(len(ctx))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = gain + np.where(ctx_n > kept, (ctx_n - kept) * np.log(weight), 0.0)
-        hold = (kinds > 0) & (gain > 0.5 * kinds * math.log(max(total, 2)))
-        tree.grams.append((code[hold[at]], np.log10(p[hold[at]])))
-        # a state whose every next symbol was seen leaves its suffix no chance to be asked
-        tree.states.append((ctx[hold], np.log10(weight[hold])))
-        tree.depth = d
-    tree.top = _table(counts[depth][0], tree.score(counts[depth][0], depth))
-    return tree
+    offsets = np.asarray(column.offsets, np.int64)
+    return np.repeat(np.arange(len(column)), np.diff(offsets)), np.asarray(column.flatten()), \
+        offsets - offsets[0]
+
+
+def _fitter(positions):
+    """Distributions of contexts, given the finished ones of their suffixes."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            size = b.num_rows
+            if not size:
+                continue
+            row, y, offs = _flat(b.column("y"))
+            n = _flat(b.column("n"))[1].astype(float)
+            below_row, below_y, _ = _flat(b.column("below_y"))
+            below = _flat(b.column("below"))[1]
+            key = below_row * 256 + below_y
+            order = np.argsort(key)
+            lower = below[order[np.searchsorted(key, row * 256 + y, sorter=order)]]
+            q = 10.0 ** lower
+            ctx_n = np.asarray(b.column("total"), np.float64)
+            kinds = np.bincount(row, minlength=size).astype(float)
+            rest = ctx_n - np.bincount(row, weights=n, minlength=size)
+            weight = (kinds + rest) / (ctx_n + kinds)
+            p = n / (ctx_n + kinds)[row] + weight[row] * q
+            gain = np.bincount(row, weights=n * np.log(p / q), minlength=size) + rest * np.log(weight)
+            held = gain > 0.5 * kinds * math.log(max(positions, 2))
+            yield pa.RecordBatch.from_arrays([
+                b.column("ctx"), pa.array(held), pa.array(np.where(held, np.log10(weight), 0.0)),
+                *(pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(v)) for v in (
+                    y, n.astype(np.int64), np.where(held[row], np.log10(p), lower)))],
+                names=["ctx", "held", "weight", "y", "n", "lp"])
+    return run
 
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -180,7 +201,7 @@ def _slot(codes, k, bits):
 
 
 def _table(codes, values):
-    """Two hash tables (keys, values); what fits in neither is left to the search."""
+    """Two hash tables (keys, values); what fits in neither is left to the joins."""
     import numpy as np
     bits = max(8, min(22, int(len(codes)).bit_length() + 2))
     out, left = [], np.arange(len(codes))
@@ -195,29 +216,27 @@ def _table(codes, values):
     return bits, out
 
 
-def _score_codes(tree, codes):
+def _look_up(top, codes):
+    """Scores of the codes in the hash tables, 0 elsewhere, and which codes are in them."""
     import numpy as np
-    bits, tables = tree.top
-    out = np.empty(len(codes))
+    bits, tables = top
+    out, known = np.zeros(len(codes)), np.zeros(len(codes), bool)
     todo = np.arange(len(codes))
-    for k, (keys, vals) in enumerate(tables):
-        c = codes[todo]
-        s = _slot(c, k, bits)
-        hit = keys[s] == c
-        if k == 0:
-            out[:] = vals[s]
-        else:
-            out[todo[hit]] = vals[s[hit]]
+    for keys, vals, k in ((*t, k) for k, t in enumerate(tables)):
+        s = _slot(codes[todo], k, bits)
+        hit = keys[s] == codes[todo]
+        out[todo[hit]] = vals[s[hit]]
+        known[todo[hit]] = True
         todo = todo[~hit]
-    if len(todo):
-        rare, back = np.unique(codes[todo], return_inverse=True)
-        out[todo] = tree.score(rare)[back]
-    return out
+    return out, known
 
 
 @dataclasses.dataclass
 class Model:
-    tree: Tree
+    depth: int
+    root: object                    # log10 probability of each byte
+    levels: list                    # [depth 1..]: tables (ctx, held, weight, y, n, lp)
+    top: tuple                      # finished scores of the frequent full-depth grams
     tokens: int                     # training tokens, ends included
     kinds: int                      # distinct training tokens
     texts: int                      # training texts: the count of the end token
@@ -225,10 +244,27 @@ class Model:
     frequent: tuple                 # broadcast table: words, counts
     least: int                      # words with this count are in it, if short
 
-
-def fit(train: DataFrame, text_col: str = "text", depth: int = 5, p_min: float = 1e-6,
-        word_p_min: float = 1e-6) -> Model:
+    @property
+    def tree(self) -> Tree:
+        """The retained states as arrays on the driver: to look into a small model."""
+        import numpy as np
+        tree = Tree(self.depth, self.root, [], [])
+        for t in self.levels:
+            held = t.where("held")
+            for out, rows in ((tree.states, held.select("ctx", "weight")),
+                              (tree.grams, held.select("ctx", F.explode(F.arrays_zip("y", "lp")).alias("x"))
+                               .selectExpr("shiftleft(ctx, 8) | x.y", "x.lp"))):
+                got = rows.toArrow()
+                codes = np.asarray(got.column(0).combine_chunks(), np.int64)
+                order = np.argsort(codes)
+                out.append((codes[order], np.asarray(got.column(1).combine_chunks(), np.float64)[order]))
+        return tree
+
+
+def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float = 1e-6,
+        word_p_min: float = 1e-6, least: int = 2) -> Model:
     """Counts over all rows of ``train``; null texts count as empty ones."""
+    import numpy as np
     if not 1 <= depth <= 6:
         raise ValueError("depth must be in 1..6")
     d = train.select(F.col(text_col).cast("string").alias("text"))
@@ -237,36 +273,66 @@ def fit(train: DataFrame, text_col: str = "text", depth: int = 5, p_min: float =
     texts = d.count()
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tokens, kinds = int(n) + texts, int(kinds) + (texts > 0)
-    least = max(1, math.ceil(word_p_min * tokens))
-    top = counts.where((F.col("n") >= least) & (F.octet_length("word") <= SHORT_WORD)).toArrow()
+    often = max(1, math.ceil(word_p_min * tokens))
+    top = counts.where((F.col("n") >= often) & (F.octet_length("word") <= SHORT_WORD)).toArrow()
 
     grams = map_arrow(d, _gram_counter(depth), "code long, n long")
-    by_code = grams.groupBy("code").agg(F.sum("n").alias("n"))
-    # levels of the codes, stored compressed: most are met once or twice
-    level = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d")
-    every = store(by_code.select(level, "code", "n").selectExpr(
-        "d", "code & (shiftleft(1L, 8 * (d + 1)) - 1L) as code", "n")
-        .groupBy("d", "code").agg(F.sum("n").alias("n")))
-    positions = every.where("d = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    floor = max(1, math.ceil(p_min * positions))
-    pairs = every.where(F.col("n") >= floor)
-    held = every.selectExpr("d", "shiftright(code, 8) as code", "n").groupBy("d", "code") \
-        .agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
-
-    def by_depth(df):
-        import numpy as np
-        t = df.toArrow()                        # at most (depth + 1) / p_min rows
-        ds, cs, ns = (np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("d", "code", "n"))
-        out = {}
-        for k in range(depth + 1):
-            mine = ds == k
-            order = np.argsort(cs[mine])
-            out[k] = cs[mine][order], ns[mine][order]
-        return out
-
-    tree = build_tree(depth, by_depth(pairs), by_depth(held))
-    return Model(tree, tokens, kinds, texts, counts,
-                 (top.column("word").combine_chunks(), top.column("n").combine_chunks()), least)
+    met = {depth: store(_contexts(grams.selectExpr(
+        "shiftright(code, 8) as ctx", "cast(code & 255L as int) as y", "n")))}
+    for k in range(depth - 1, -1, -1):
+        met[k] = store(_contexts(met[k + 1].selectExpr(
+            f"ctx & {_mask(k)}L as ctx", "explode(next) as x").selectExpr("ctx", "x.y", "x.n")))
+    by = np.zeros(256, np.int64)
+    for r in met[0].selectExpr("explode(next) as x").select("x.*").collect():       # 256 rows at most
+        by[r.y] = r.n
+    positions = int(by.sum())
+    root = np.log10((by + 1) / (positions + 256))
+
+    levels = []
+    below = train.sparkSession.createDataFrame(
+        [(0, list(range(256)), root.tolist())], "ctx long, y array<int>, lp array<double>")
+    for k in range(1, depth + 1):
+        # the suffix of a pair met ``least`` times was met as often: it is in the level below
+        seen = met[k].selectExpr("ctx", "aggregate(next, 0L, (a, x) -> a + x.n) as total",
+                                 f"filter(next, x -> x.n >= {int(least)}) as kept").where("size(kept) > 0")
+        both = seen.join(below.select(F.col("ctx").alias("suffix"), F.col("y").alias("below_y"),
+                                      F.col("lp").alias("below")),
+                         F.expr(f"ctx & {_mask(k - 1)}L = suffix"))
+        levels.append(store(map_arrow(
+            both.selectExpr("ctx", "total", "kept.y as y", "kept.n as n", "below_y", "below"),
+            _fitter(positions), "ctx long, held boolean, weight double, y array<int>, n array<bigint>, "
+                                "lp array<double>")))
+        below = levels[-1]
+    usual = below.select("ctx", F.explode(F.arrays_zip("y", "n", "lp")).alias("x")) \
+        .where(F.col("x.n") >= max(1, math.ceil(p_min * positions))) \
+        .selectExpr("shiftleft(ctx, 8) | x.y as code", "x.lp as lp").toArrow()      # 1 / p_min rows at most
+    table = _table(np.asarray(usual.column("code").combine_chunks(), np.int64),
+                   np.asarray(usual.column("lp").combine_chunks(), np.float64))
+    return Model(depth, root, levels, table, tokens, kinds, texts, counts,
+                 (top.column("word").combine_chunks(), top.column("n").combine_chunks()), often)
+
+
+def _mask(size):
+    return (1 << (8 * size)) - 1
+
+
+def _walk(model: Model, grams: DataFrame) -> DataFrame:
+    """(gram, lp) of distinct full-depth grams: level by level, the found ones leave."""
+    live, done = grams.select("gram", F.lit(0.0).alias("lp")), []
+    for k in range(model.depth, 0, -1):
+        held = model.levels[k - 1].where("held").select("ctx", "weight", "y", F.col("lp").alias("known"))
+        at = "array_position(y, cast(gram & 255L as int))"
+        got = store(live.join(F.broadcast(held) if k == 1 else held,        # 256 contexts at most
+                              F.expr(f"shiftright(gram, 8) & {_mask(k)}L = ctx"), "left").selectExpr(
+            "gram", f"coalesce({at}, 0) > 0 as found",
+            f"lp + coalesce(case when {at} > 0 then element_at(known, cast({at} as int)) end, weight, 0D) as lp"))
+        done.append(got.where("found").select("gram", "lp"))
+        live = got.where("not found").select("gram", "lp")
+    root = F.array(*map(F.lit, model.root.tolist()))
+    out = live.select("gram", (F.col("lp") + root[F.expr("cast(gram & 255L as int)")]).alias("lp"))
+    for t in done:
+        out = out.unionAll(t)
+    return out
 
 
 def _scorer(model):
@@ -295,14 +361,17 @@ def _scorer(model):
                 tail_offs = offs - known[offs]
                 lists = pa.ListArray.from_arrays(
                     pa.array(tail_offs.astype(np.int32)), flat.filter(pa.array(tail)))
-                codes, starts = _codes(_bytes(b), m["tree"].depth)
-                tree = np.add.reduceat(_score_codes(m["tree"], codes), starts)
+                codes, starts = _codes(_bytes(b), m["depth"])
+                lp, seen = _look_up(m["top"], codes)
+                tree = np.add.reduceat(lp, starts)
+                left = np.concatenate([[0], np.cumsum(~seen)])[np.append(starts, len(codes))]
+                others = pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(codes[~seen]))
                 yield pa.RecordBatch.from_arrays([
                     b.column("key"), b.column("id"), pa.array(n + 1),
                     pa.array(known[offs[1:]] - known[offs[:-1]] + (m["texts"] > 0)),
                     pa.array(total[offs[1:]] - total[offs[:-1]] + end), pa.array(tree),
-                    pc.binary_join(lists, " ")],
-                    names=["key", "id", "n_tokens", "n_known", "base", "score", "rare"])
+                    pc.binary_join(lists, " "), others],
+                    names=["key", "id", "n_tokens", "n_known", "base", "score", "rare", "grams"])
                 assert rows == len(starts)
     return run
 
@@ -319,20 +388,24 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     denominator = model.tokens + 1 * (model.kinds + 1)
     sent = spark.sparkContext.broadcast({
-        "tree": model.tree, "frequent": model.frequent, "texts": model.texts,
+        "depth": model.depth, "top": model.top, "frequent": model.frequent, "texts": model.texts,
         "denominator": float(denominator)})
     d = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
                     F.col(text_col).cast("string").alias("text"))
     kind = d.schema["id"].dataType.simpleString()
-    rows = cut(map_arrow(d, _scorer(sent), f"key long, id {kind}, n_tokens long, n_known long, "
-                                           "base double, score double, rare string"))
+    rows = store(map_arrow(d, _scorer(sent), f"key long, id {kind}, n_tokens long, n_known long, base double, "
+                                             "score double, rare string, grams array<bigint>"))
     rare = rows.where("rare <> ''").select("key", F.explode(F.split("rare", " ")).alias("word"))
     less = model.counts.where(~((F.col("n") >= model.least)
                                 & (F.octet_length("word") <= SHORT_WORD)))
     found = rare.join(less, "word", "left").groupBy("key").agg(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(denominator)))).alias("more"),
         F.count("n").alias("also"))
-    return rows.join(found, "key", "left").select(
+    others = rows.select("key", F.explode("grams").alias("gram"))
+    walked = others.join(_walk(model, others.select("gram").distinct()), "gram") \
+        .groupBy("key").agg(F.sum("lp").alias("deep"))
+    return rows.join(found, "key", "left").join(walked, "key", "left").select(
         "id", "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"))

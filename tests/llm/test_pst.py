@@ -100,3 +100,21 @@ def test_order_beats_the_base_and_empty_training(spark):
     rows = pst.score(empty, df(spark, ["a b", None])).collect()
     assert [r.n_known for r in rows] == [0, 0] and all(r.train_tokens == 0 for r in rows)
     assert pst.score(model, spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_contexts_are_kept_by_count_whatever_their_share(spark):
+    train, test = corpus(3, 120), corpus(3, 120)[::9] + corpus(5, 6)
+    got = []
+    for p_min in (0.9, 1e-3, 1e-9):                     # all grams by joins, some, none that was met twice
+        model = pst.fit(df(spark, train), p_min=p_min)
+        got.append({r.id: r.score for r in pst.score(model, df(spark, test)).collect()})
+    assert all(math.isclose(got[0][i], g[i], rel_tol=1e-9) for g in got for i in g)
+    tree = model.tree
+    assert tree.depth == 6 and len(tree.states[2][0])
+    for k in (1, 3, 6):                                 # every context that two equal pairs were met in is weighed
+        pairs = Counter()
+        for t in train:
+            s = b"\n" * k + " ".join(words(t)).encode() + b"\n"
+            pairs.update(s[i - k:i + 1] for i in range(k, len(s)))
+        want = {int.from_bytes(g[:-1], "big") for g, n in pairs.items() if n >= 2}
+        assert {r.ctx for r in model.levels[k - 1].select("ctx").collect()} == want
