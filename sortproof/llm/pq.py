@@ -9,11 +9,11 @@ exact error of the reconstruction.
 
 Sufficient probes: if y lies in the list of c, x is at most the length of y - x
 along c - c0 beyond the plane half-way between its own centroid c0 and c.  x probes
-every list for which that is possible for a step of ``r * min(1, sigmas / sqrt(dim))``
-in that direction: never exceeded if ``sigmas`` is None or up to ``sigmas ** 2``
-dimensions, and beyond that ``sigmas`` standard deviations of a difference without a
-preferred direction (3: one in 700 pairs that lie across a plane at the largest
-linked distance may be missed; the tests measure the recall against brute force).  A pair is met once, in the list of the later centroid.  In a list, the
+every list for which that is possible for a step of ``r`` in that direction, which no
+linked pair exceeds: no pair is lost, whatever directions the differences prefer.
+(With ``sigmas`` the step is ``r * min(1, sigmas / sqrt(dim))``, ``dim`` the length of
+x: less work, but pairs may be missed where differences lie along few directions.)
+A pair is met once, in the list of the later centroid.  In a list, the
 asymmetric distance from x to the code of y (table look-ups per subspace) less the
 error of y is a lower bound of |x - y|; pairs above r are dropped, which loses
 nothing, and the others are reranked by exact cosine in double
@@ -85,17 +85,18 @@ class Index:
         return at, codes, np.sqrt(((rest - near) ** 2).sum(1))
 
     def probes(self, x, at, r):
-        """(row, list) for every later list that may hold a vector within r of the row."""
+        """(row, list) for every later list that may hold a vector within r (one per row) of the row."""
         import numpy as np
         c = self.coarse
         norm = (c * c).sum(1)
+        r = np.broadcast_to(r, len(x))
         rows, lists = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in range(0, len(x), 512):
             part, own = x[i:i + 512], at[i:i + 512]
             over = norm[None] - 2 * part @ c.T               # less |x|^2, which cancels
             over -= over[np.arange(len(part)), own][:, None]
             gap = np.sqrt(np.maximum(norm[own][:, None] + norm[None] - 2 * c[own] @ c.T, 0))
-            near = over <= 2 * (r + 1e-9) * gap + 1e-9
+            near = over <= 2 * (r[i:i + 512, None] + 1e-9) * gap + 1e-9
             near &= np.arange(len(c))[None] > own[:, None]
             a, b = np.nonzero(near)
             rows.append(a + i)
@@ -136,7 +137,7 @@ def _unit(column, dim):
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _encoder(sent, r):
+def _encoder(sent, r, sigmas):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -144,7 +145,9 @@ def _encoder(sent, r):
         for b in (w.slice(i, 1024) for w in batches for i in range(0, w.num_rows, 1024)):
             x = _unit(b.column("v"), ix.dim)
             at, codes, err = ix.encode(x)
-            row, probe = ix.probes(x, at, r)
+            size = np.asarray(b.column("size"), np.float64)
+            step = r if sigmas is None else r * np.minimum(1.0, sigmas / np.sqrt(size))
+            row, probe = ix.probes(x, at, step)
             every = np.concatenate([np.arange(len(x)), row])
             take = pa.array(every)
             lists = np.concatenate([at, probe])
@@ -225,7 +228,7 @@ def _grouper(sent, threshold, r):
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     threshold: float = 0.9, per_list: int = 1024, max_lists: int = 8192,
-                    subspaces: int = 8, block: int = 2048, sigmas: float | None = 3.0) -> DataFrame:
+                    subspaces: int = 8, block: int = 2048, sigmas: float | None = None) -> DataFrame:
     """One row per input row: (id, n_links, component_id).
 
     n_links: other vectors with a cosine of ``threshold`` or more; component_id: the
@@ -255,11 +258,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         sample = classes.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1) \
             .select("v").limit(SAMPLE).toArrow()
         x = _unit(sample.column("v"), dim)
-        step = r if sigmas is None else r * min(1.0, sigmas / math.sqrt(dim))
         index = Index(x, max(1, min(max_lists, len(x), round(total / per_list))), subspaces)
         sent = spark.sparkContext.broadcast(index)
         entries = classes.select(F.col("rep").alias("id"), "n", F.size("v").alias("size"), "v")
-        coded = cut(map_arrow(entries, _encoder(sent, step),
+        coded = cut(map_arrow(entries, _encoder(sent, r, sigmas),
                               f"id long, n long, size int, v array<{kind}>, list long, member boolean, "
                               "code binary, err double"))
         # members and visitors of a list in blocks by hash of the id, as many as their number asks

@@ -121,3 +121,30 @@ def test_recall_of_probes_in_many_dimensions(spark):
     assert links > 400 and sum(n for _, n, _ in got) >= 0.99 * links
     assert all(a[1] <= b[1] for a, b in zip(got, want))
     assert run(spark, rows, threshold=0.9, per_list=10, sigmas=None) == want
+
+
+def test_no_pair_is_lost_where_differences_lie_along_few_directions(spark):
+    rng = np.random.default_rng(4)
+    plane = np.linalg.qr(rng.normal(size=(64, 3)))[0].T         # a few directions of 64
+    x = (rng.normal(size=(500, 3)) @ plane).astype(np.float32)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    want = brute(rows, 0.99)
+    assert sum(n for _, n, _ in want) > 1000
+    assert run(spark, rows, threshold=0.99, per_list=10) == want
+
+
+def test_a_stray_long_vector_does_not_shorten_the_step():
+    x = vectors(600, 9, 2).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    import pyarrow as pa
+    wide = np.column_stack([x, np.zeros((600, 391))])           # padded to a vector of 400
+    ix = pq.Index(wide, 30, 4, 32)
+    at, _, _ = ix.encode(wide)
+    want = ix.probes(wide, at, np.sqrt(0.2))
+    sent = type("Sent", (), {"value": ix})
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(600)), pa.array([1] * 600), pa.array([9] * 600, pa.int32()),
+        pa.array(x.tolist(), pa.list_(pa.float64()))], names=["id", "n", "size", "v"])
+    got = pa.Table.from_batches(pq._encoder(sent, np.sqrt(0.2), 3.0)([batch])).to_pydict()
+    assert {(i, c) for i, c, m in zip(got["id"], got["list"], got["member"]) if not m} == \
+        set(zip(*(v.tolist() for v in want)))
