@@ -9,7 +9,7 @@ All but the last return the columns of ``docs``.
   toxic go.
 * line_dedup: lines that an earlier line matches are cut out of the texts
   (n_chars follows); a text that loses all its lines stays, empty.
-* simhash: of each group the document with the smallest id stays.
+* simhash: of each group one row stays, that with the smallest id (null ids last).
 * mix: every document comes as often as the mix takes it (0, 1 or 2 times).
 * byte_bpe: ids as digests, and the decoded bytes' digest, of every row.
 

@@ -162,13 +162,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents whose id is the smallest of their group, all columns kept.
+    """One document of each group, all columns kept: the one with the smallest id.
 
-    Rows that repeat an id count as one document; one of them stays.  Rows with
-    a null id stay only in a group without any id, again one of them.
+    Null ids come last; of equal ids, and in a group without any, the row with the
+    least hash of its columns stays.  Rows are told apart by group and content, never
+    by id: unrelated texts that share an id, or have none, stay each.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    keep = groups.where("id <=> component_id").select(
-        F.col("id").alias("__keep_id")).distinct()
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__keep_id"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    if not 0 <= max_bits < 64:
+        raise ValueError("max_bits must be in 0..63")
+    cols = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
+    every = [*cols, *(c.isNull() for c in cols)]        # a null alone does not change a hash
+    rows = docs.withColumns({"__h1": F.xxhash64(*every), "__h2": F.xxhash64(F.lit(1), *every)})
+    fps = map_arrow(rows.select(F.col(id_col).cast("long").alias("id"), "__h1", "__h2",
+                                F.col(text_col).cast("string").alias("text")),
+                    _fingerprinter("text", shingle), "id long, __h1 long, __h2 long, fp long")
+    classes = cut(fps.groupBy("fp").agg(F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "__h1", "__h2")).alias("least")))
+    comp = cut(connected_components(links(classes, max_bits)))
+    best = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left") \
+        .groupBy(F.coalesce("component", "fp").alias("__root")).agg(F.min("least").alias("least")) \
+        .select("__root", "least.__h1", "least.__h2")
+    # rows that are equal in every column are left once
+    return rows.join(best, ["__h1", "__h2"]).dropDuplicates(["__root"]).select(*(f"`{c}`" for c in docs.columns))

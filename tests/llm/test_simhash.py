@@ -112,3 +112,21 @@ def test_components(spark):
             x, y = find(a), find(b)
             parent[max(x, y)] = min(x, y)
     assert got == {n: find(n) for n in parent}
+
+
+def test_keep_one_keeps_a_row_of_every_group(spark):
+    rng = random.Random(6)
+    text = [" ".join(f"t{rng.randrange(500)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None, text[k]) for k in range(6)] + [(None, text[0])]          # null ids, unrelated texts
+    rows += [(7, text[6]), (7, text[7]), (7, text[7])]                      # one id, unrelated texts
+    rows += [(5, text[8]), (None, text[8]), (4, text[8]), (4, text[8].upper())]
+    rows += [(9, text[9]), (9, text[10]), (8, text[10])]
+    comp = brute_components([brute_fp(t, 3) for _, t in rows], 2)
+    assert len(set(comp)) == 11
+    kept = S.keep_one(df_of(spark, rows)).collect()
+    of = {t: c for (_, t), c in zip(rows, comp)}
+    assert sorted(of[r.text] for r in kept) == sorted(set(comp))            # one of each, none lost
+    least = {c: min((i for (i, _), k in zip(rows, comp) if k == c and i is not None), default=None) for c in comp}
+    assert all(r.doc_id == least[of[r.text]] for r in kept)
+    again = S.keep_one(df_of(spark, rows[::-1]).repartition(5)).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, again))                # whatever the order
