@@ -11,9 +11,11 @@ overlapping windows; the reading that scores highest counts.  A sentence ends at
 word's ``. ! ?``, at a line end or after ``SENTENCE`` words; its kernel is the sum
 over its words.
 
-Landmarks are strings that tell toxic from clean training texts: words and
-substrings ranked by likelihood ratio, each taking the words it explains out of
-the count, and the clean words most similar to them.  Sentence features are the
+Landmarks are drawn from the training words: first the words and substrings that tell
+toxic from clean texts beyond chance, ranked by likelihood ratio, each taking the
+words it explains out of the count; then rarer words of toxic texts that these don't
+explain, as many as can be drawn with a tenth of them there by chance; and the clean
+words most similar to the first.  Sentence features are the
 kernel with the landmarks, scaled by a landmark's kernel with itself and whitened
 by the landmarks' kernel matrix (Nyström).  Labels are those of whole texts: every
 sentence of a clean text is clean, and of a toxic text the sentence that the
@@ -89,7 +91,10 @@ class Landmarks:
 
     def __post_init__(self):
         import numpy as np
-        self.codes = _codes(self.strings, -2)
+        order = sorted(range(len(self.strings)), key=lambda i: len(self.strings[i]))
+        # alike in length, so that little of a kernel is padding
+        self.groups = [(np.array(g), _codes([self.strings[i] for i in g], -2))
+                       for g in (order[i:i + 48] for i in range(0, len(order), 48))]
         each = [kernel(_codes([x], -1), _codes([x], -2), self.order, self.decay)[0, 0] for x in self.strings]
         self.own = np.maximum(np.array(each, np.float32), 1e-12)
 
@@ -104,7 +109,9 @@ class Landmarks:
         for i in range(0, len(live), block):
             at = live[i:i + block]
             s = _codes([strings[k] for k in at.tolist()], -1)
-            k = kernel(s, self.codes, self.order, self.decay)
+            k = np.empty((len(at), len(self.strings)), np.float32)
+            for g, codes in self.groups:
+                k[:, g] = kernel(s, codes, self.order, self.decay)
             k /= self.own[None]
             k = np.minimum(k, np.float32(1.5)) ** self.power
             out[at] = k if weights is None else k @ weights.astype(np.float32)
@@ -197,74 +204,135 @@ def _top_two(total, rows, none):
     return np.column_stack([best, np.maximum(np.maximum.reduceat(rest, rows), none)])
 
 
-def _substrings(word):
-    word = START + word + STOP
-    yield word
-    for n in (4, 5, 6, 7):
-        for i in range(len(word) - n + 1):
-            if n < len(word):
-                yield word[i:i + n]
-
-
-def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=40, least_score=35.0):
-    """Strings by likelihood ratio of their words' document frequencies, greedily; each
-    takes the words that hold it out of the count."""
-    from collections import defaultdict
-    tox, cln = defaultdict(int), defaultdict(int)
-    of = defaultdict(list)
+def _substrings(words):
+    """(hash, word, start, length) of every word with its marks and of its substrings of
+    4 to 7 characters, each once a word; words of up to WINDOW - 2 characters."""
+    import numpy as np
+    code = _codes([START + w + STOP for w in words], 0, WINDOW).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    out = []
+    with np.errstate(over="ignore"):
+        def fold(cols, live=None):
+            h = np.zeros(cols.shape[:1], np.uint64)
+            for j in range(cols.shape[1]):
+                new = (h + cols[:, j] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                new ^= new >> np.uint64(29)
+                h = new if live is None else np.where(j < live, new, h)
+            return h
+        every = np.arange(len(words))
+        out.append((fold(code, size), every, np.zeros(len(words), np.int64), size))
+        for n in (4, 5, 6, 7):
+            for i in range(WINDOW - n + 1):
+                at = np.flatnonzero((i + n <= size) & (n < size))
+                out.append((fold(code[at, i:i + n]), at, np.full(len(at), i), np.full(len(at), n)))
+    h, word, start, n = (np.concatenate(x) for x in zip(*out))
+    order = np.lexsort((start, h, word))
+    same = (h[order][1:] == h[order][:-1]) & (word[order][1:] == word[order][:-1])
+    first = order[np.concatenate([[True], ~same])] if len(order) else order
+    return h[first], word[first], start[first], n[first]
+
+
+def _tail(a, n, p):
+    """Probability of ``a`` or more of ``n`` by chance ``p`` each."""
+    return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+                              + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(a, n + 1))
+
+
+def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=256, chance=0.1):
+    """(strings beyond chance, further words): up to ``most`` landmarks.
+
+    Strings are ranked by likelihood ratio of their words' document frequencies,
+    greedily; each takes the words that hold it out of the count.  Beyond chance is a
+    ratio over twice the logarithm of the number of strings compared, so that one of
+    them by chance is unlikely: few labels leave few strings, and a lower limit.  The
+    further words are those of the smallest binomial tails that Benjamini and Hochberg's
+    step-up keeps at a share of ``chance``: a long tail of rare insults lowers the limit.
+    """
+    import numpy as np
     usual = {w for w, b in clean_df.items() if b > 2 and b * n_toxic > 0.5 * toxic_df.get(w, 0) * n_clean}
-    # a word met once says little and there are very many of them
-    mine = [w for w, a in toxic_df.items() if a > 1 and 3 <= len(w) <= WINDOW - 2 and w not in usual]
-    for w in mine:
-        for g in set(_substrings(w)):
-            tox[g] += toxic_df[w]
-            of[g].append(w)
-    for w, b in clean_df.items():
-        if len(w) <= WINDOW - 2:
-            for g in set(_substrings(w)):
-                if g in tox:
-                    cln[g] += b
-
-    def score(g):
-        a, b = tox[g], cln[g]
-        if a < 3 or a / n_toxic < 3 * b / max(1, n_clean):
-            return 0.0
-        ea = (a + b) * n_toxic / (n_toxic + n_clean)
-        eb = a + b - ea
-        return 2 * (a * math.log(a / ea) + (b * math.log(b / eb) if b else 0))
-    found, gone = [], set()
-    ranked = sorted(((score(g), g) for g in tox if tox[g] >= 3), key=lambda x: (-x[0], -len(x[1]), x[1]))
-    ranked = [g for s, g in ranked if s >= least_score][:20_000]
-    while ranked and len(found) < most:
-        best = max(ranked, key=lambda g: (score(g), len(g), g))
-        if score(best) < least_score:
+    mine = sorted(w for w in toxic_df if 3 <= len(w) <= WINDOW - 2 and w not in usual)
+    if not mine:
+        return [], []
+    h, word, start, size = _substrings(mine)
+    count = np.array([toxic_df[w] for w in mine], np.float64)
+    key, of = np.unique(h, return_inverse=True)
+    tox, cln = np.bincount(of, weights=count[word]), np.zeros(len(key))
+    theirs = [w for w in clean_df if len(w) <= WINDOW - 2]
+    for i in range(0, len(theirs), 20_000):
+        part = theirs[i:i + 20_000]
+        g, w, _, _ = _substrings(part)
+        at = np.minimum(np.searchsorted(key, g), len(key) - 1)
+        hit = key[at] == g
+        cln += np.bincount(at[hit], weights=np.array([clean_df[x] for x in part], float)[w[hit]],
+                           minlength=len(key))
+    order = np.argsort(of, kind="stable")               # the words of a string
+    begin = np.searchsorted(of[order], np.arange(len(key) + 1))
+    by_word = np.argsort(word, kind="stable")           # the strings of a word
+    word_begin = np.searchsorted(word[by_word], np.arange(len(mine) + 1))
+    sample = order[begin[:-1]]                          # one place of every string
+    length = size[sample]
+
+    def text(k):
+        k = sample[k]
+        return (START + mine[word[k]] + STOP)[start[k]:start[k] + size[k]]
+
+    def ratio(a, b):
+        a1 = np.maximum(a, 1e-9)
+        ea = (a1 + b) * n_toxic / (n_toxic + n_clean)
+        eb = a1 + b - ea
+        out = 2 * (a1 * np.log(a1 / ea) + b * np.log(np.maximum(b, 1e-300) / eb))
+        return np.where((a > 0) & (a / n_toxic >= 3 * b / max(1, n_clean)), out, 0.0)
+    score = np.where(tox >= 3, ratio(tox, cln), 0.0)
+    limit = 2 * math.log(max(2, int((tox >= 3).sum())))
+    found, left = [], np.ones(len(mine), bool)
+    while len(found) < most:
+        top = np.flatnonzero(score == score.max())
+        best = max(top.tolist(), key=lambda k: (length[k], text(k)))
+        if score[best] < limit:
             break
         # the longest string that says nearly the same
-        best = max((g for g in ranked if best in g and tox[g] >= 0.9 * tox[best]),
-                   key=lambda g: (len(g), score(g), g))
-        found.append(best)
-        for w in of[best]:
-            if w not in gone:
-                gone.add(w)
-                for g in set(_substrings(w)):
-                    tox[g] -= toxic_df[w]
-        ranked = [g for g in ranked if tox[g] >= 3]
-    return found
+        inside, t = word[order[begin[best]:begin[best + 1]]], text(best)
+        near = np.unique(of[np.concatenate([by_word[word_begin[w]:word_begin[w + 1]] for w in inside])])
+        near = near[(tox[near] >= 0.9 * tox[best]) & (score[near] >= limit)]
+        best = max((k for k in near.tolist() if t in text(k)), key=lambda k: (length[k], score[k], text(k)))
+        found.append(text(best))
+        for w in word[order[begin[best]:begin[best + 1]]].tolist():
+            if left[w]:
+                left[w] = False
+                tox[of[by_word[word_begin[w]:word_begin[w + 1]]]] -= count[w]
+        score = np.where(tox >= 3, ratio(tox, cln), 0.0)
+    tail = {}
+    for w in np.flatnonzero(left).tolist():
+        a, b = int(count[w]), clean_df.get(mine[w], 0)
+        if a * n_clean >= 3 * b * n_toxic:
+            tail.setdefault((a, b), []).append(w)
+    share = n_toxic / (n_toxic + n_clean)
+    ranked, more, seen = sorted((_tail(a, a + b, share), -a, b) for a, b in tail), [], []
+    for p, a, b in ranked:
+        seen += sorted(tail[-a, b], key=mine.__getitem__)
+        if p <= chance * len(seen) / max(1, int(left.sum())):
+            more = list(seen)
+    more = more[:max(0, most - len(found))]
+    return found, [START + mine[w] + STOP for w in more]
 
 
 def _svm(x, y, cost, rounds=30, ridge=1.0):
     """Linear SVM with squared hinge and unpenalised bias, by Newton steps."""
     import numpy as np
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    reg = np.eye(x.shape[1]) * ridge
+    w = np.zeros(x.shape[1] + 1)
+    reg = np.eye(len(w)) * ridge
     reg[-1, -1] = 1e-6
     for _ in range(rounds):
-        live = y * (x @ w) < 1
-        if not live.any():
+        live = np.flatnonzero(y * (x @ w[:-1] + w[-1]) < 1)
+        if not len(live):
             break
-        a, c = x[live], cost[live]
-        new = np.linalg.solve(reg + (a * c[:, None]).T @ a, (a * c[:, None]).T @ y[live])
+        left, right = reg.copy(), np.zeros(len(w))
+        for i in range(0, len(live), 8192):             # no second copy of all sentences
+            at = live[i:i + 8192]
+            a = np.column_stack([x[at].astype(float), np.ones(len(at))])
+            left += (a * cost[at, None]).T @ a
+            right += (a * cost[at, None]).T @ y[at]
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-9:
             break
         w = new
@@ -299,7 +367,7 @@ def _calibrate(x, y, cost):
     return tuple(out)
 
 
-def fit_texts(texts, toxic, clean_weight: float = 1.0) -> Model:
+def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) -> Model:
     """Fit on texts and their labels (numpy on bounded lists)."""
     from collections import Counter
 
@@ -316,29 +384,31 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0) -> Model:
     d, w = once // len(vocab), once % len(vocab)
     df = {k: Counter(dict(zip((vocab[i] for i in u.tolist()), n.tolist())))
           for k in (False, True) for u, n in [np.unique(w[y[d] == k], return_counts=True)]}
-    found = choose_landmarks(df[True], df[False], int(y.sum()), int((~y).sum()))
-    if not found:
+    found, more = choose_landmarks(df[True], df[False], int(y.sum()), int((~y).sum()), landmarks)
+    if not found and not more:
         return Model(None, None, 0.0, (0.0, 0.0, -30.0))
     # the clean words that look most like them
     seen = [START + v + STOP for v in vocab if df[False][v] > 0 and 3 <= len(v) <= WINDOW - 2]
-    near = Landmarks(found).features(seen).max(1) if seen else np.zeros(0)
-    near[[x in found for x in seen]] = 0
+    like = found or more
+    near = Landmarks(like).features(seen).max(1) if seen else np.zeros(0)
+    near[[x in like for x in seen]] = 0
     alike = [seen[i] for i in np.argsort(-near, kind="stable")[:16].tolist()]
-    marks = Landmarks(found + alike)
+    marks = Landmarks(list(dict.fromkeys(like + alike + more)))
     own = marks.features(marks.strings).astype(float)
     val, vec = np.linalg.eigh((own + own.T) / 2)
     white = vec / np.sqrt(np.maximum(val, 1e-3))[None] @ vec.T
     parts = [p for v in vocab for p in _windows(v)]
     n = np.fromiter((len(_windows(v)) for v in vocab), np.int64, len(vocab))
     feat = np.maximum.reduceat(marks.features(parts), np.cumsum(n) - n)
-    sums = np.empty((len(first), len(marks.strings)))
+    sums = np.empty((len(first), len(marks.strings)), np.float32)
     ends = np.append(first, len(at))
     for i in range(0, len(first), 2000):
         j = min(len(first), i + 2000)
         sums[i:j] = np.add.reduceat(feat[at[ends[i]:ends[j]]], first[i:j] - first[i], axis=0)
-    x = sums @ white
+    x = sums @ white.astype(np.float32)
     bad = y[doc_of_sent]
-    rank = sums[:, :len(found)].sum(1)
+    rank = sums[:, :len(like)].sum(1)
+    del sums, feat
     for _ in range(4):
         # of every toxic text its most toxic sentence
         order = np.lexsort((-rank, doc_of_sent))
@@ -353,12 +423,15 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_label: int = 600, max_chars: int = 8000, seed: int = 4) -> Model:
+        label_col: str = "toxic", per_label: int = 600, max_chars: int = 8000, seed: int = 4,
+        landmarks: int = 256) -> Model:
     """Fit on documents and their labels (rows id, label; default: columns of ``docs``).
 
     About ``per_label`` toxic and twice as many clean documents are drawn by hash of
     the id from the labels, and of these the texts of up to ``max_chars`` characters
-    are used: that bounds what is broadcast and reaches the driver.  Null ids, texts
+    are used, one text an id (the least): that bounds what is broadcast and reaches the
+    driver.  ``landmarks`` strings at most are drawn from them (and 16 clean words): more
+    tell more rare insults apart, and cost as much more time.  Null ids, texts
     and labels are left out; a document with both labels counts as toxic.  Without
     both labels the model gives every text the score of the only label, 0 without any.
     """
@@ -372,9 +445,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         .limit(6 * per_label + 100)
     got = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .join(F.broadcast(drawn), "id").where(F.char_length("text") <= max_chars) \
-        .toPandas().sort_values(["y", "id", "text"])
+        .groupBy("id", "y").agg(F.min("text").alias("text")).toPandas().sort_values(["y", "id", "text"])
     took = int((got.y == 0).sum())
-    return fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0)
+    return fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0, landmarks)
 
 
 def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sortproof.llm import toxicity as T
 
@@ -81,3 +82,52 @@ def test_missing_labels(spark):
     for rows, want in (([], 0), ([("a b c", 0)], 0), ([("a b c", 1)], 1)):
         model = T.fit(df(spark, [r[0] for r in rows], [r[1] for r in rows]))
         assert [r.predicted for r in predictions(spark, model, ["some text", None])] == [want] * 2
+
+
+def planted(n_toxic, n_clean, insults, seed, each=2):
+    rng = random.Random(seed)
+    vocab = ["".join(rng.choice("bdfgklmnorstuaei") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    texts, y = [], []
+    for k in range(n_toxic + n_clean):
+        w = [rng.choice(vocab) for _ in range(60)]
+        for x in rng.sample(insults, each) if k < n_toxic else ():
+            w.insert(rng.randrange(len(w)), x)
+        texts.append(" ".join(w))
+        y.append(int(k < n_toxic))
+    return texts, y
+
+
+def test_a_long_tail_of_rare_insults():
+    rng = random.Random(12)
+    insults = ["".join(rng.choice("qwxzjpvyh") for _ in range(8)) for _ in range(60)]
+    model = T.fit_texts(*planted(200, 400, insults, 1))         # an insult is in 7 of 200 toxic texts
+    held = [x for x in insults if any(m in T.START + x + T.STOP for m in model.landmarks.strings)]
+    assert len(held) >= 50                                      # as words or by a part of theirs
+    texts, y = planted(150, 150, insults, 5)
+    vocab, at, first, rows = T._read(pa.array(texts))
+    total = np.add.reduceat(model.word_scores(vocab)[at].astype(float), first) + model.bias
+    got = model.probability(T._top_two(total, rows, model.bias)) >= 0.5
+    assert got[:150].mean() >= 0.8 and got[150:].mean() <= 0.05
+    found, more = T.choose_landmarks({x: 1 for x in insults}, {"plain": 9}, 60, 120)
+    assert not found and not more                               # words met once tell nothing by themselves
+
+
+def test_few_labels():
+    model = T.fit_texts(*planted(7, 60, ["grobnik"], 2, each=1))
+    assert model.landmarks and any("robni" in x for x in model.landmarks.strings)
+    got = model.word_scores(["grobnik", "plainword"])
+    assert got[0] > got[1]
+
+
+def test_substrings_of_words_met_once_count():
+    words = {f"{a}grobnik{b}": 1 for a in "abcdef" for b in "uvwxyz"}
+    found, _ = T.choose_landmarks(words, {"plain": 9, "other": 12}, 36, 80)
+    assert any("grobnik" in x for x in found)
+
+
+def test_one_text_of_a_repeated_id_reaches_the_driver(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(T, "fit_texts", lambda texts, y, *o: got.append((texts, y)))
+    docs = spark.createDataFrame([(1, f"copy {i:03d}") for i in range(200)] + [(2, "b")], "doc_id long, text string")
+    T.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert got == [(["b", "copy 000"], [0, 1])]
