@@ -157,7 +157,8 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 
     Document frequencies cover all rows; the weights are fitted on about
     ``per_language`` rows of each language, drawn by hash among texts of up to
-    ``max_chars`` characters (the bound on what reaches the driver).  Without
+    ``max_chars`` characters (the bound on what reaches the driver); a language with
+    fewer of them gives a window of that length of longer texts too.  Without
     usable rows the model knows no language and predicts ``und``.
     """
     import numpy as np
@@ -172,13 +173,21 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     total = int(df[-1])
     idf = np.log((1 + total) / (1 + df[:-1])) + 0.1
     idf[df[:-1] == 0] = 0.0
-    short = d.where(F.char_length("text").between(1, max_chars))
-    by = {r.lang: r.n for r in short.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    size = F.char_length("text")
+    by = {r.lang: (r.short, r.n) for r in d.where(size > 0).groupBy("lang").agg(
+        F.count_if(size <= max_chars).alias("short"), F.count("*").alias("n")).collect()}
     langs = sorted(by)
     if not langs:
         return Model([], idf, np.zeros((1 << bits, 0)), np.zeros(0), 1.0, bits)
-    rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, per_language / by[k]))])
-    rows = short.where(unit_hash("id", "text", seed=seed) < rate[F.col("lang")]) \
+    # a language short of rows under the bound gives windows of its longer texts as well
+    scarce = [k for k in langs if by[k][0] < per_language]
+    place = F.floor(unit_hash("id", "text", seed=seed + 1) * (size - max_chars + 1)).cast("int") + 1
+    usable = d.where((size > 0) & ((size <= max_chars) | F.col("lang").isin(scarce)))
+    rate = F.create_map(*[F.lit(x) for k in langs
+                          for x in (k, min(1.0, per_language / by[k][1 if k in scarce else 0]))])
+    rows = usable.where(unit_hash("id", "text", seed=seed) < rate[F.col("lang")]) \
+        .withColumn("text", F.when(size > max_chars, F.substring("text", place, F.lit(max_chars)))
+                    .otherwise(F.col("text"))) \
         .limit(2 * per_language * len(langs) + 100).toPandas()
     rows = rows.sort_values(["lang", "text"]).reset_index(drop=True)
     feats = [(_tfidf(t, idf, bits), langs.index(lang)) for t, lang in zip(rows.text, rows.lang)]

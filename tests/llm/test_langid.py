@@ -61,3 +61,15 @@ def test_grams():
     a = G.grams("Ab, c", 20)
     assert len(a) == len(G.grams("ab  c", 20)) and (a == G.grams("AB...C", 20)).all()
     assert G.grams(" 12", 20) is None and len(G.grams("x", 20)) == 3 + 2 + 1
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows, train = corpus(spark, 200, 1)
+    rng = random.Random(9)
+    long = [(1000 + i, text(lang, rng, 400), lang, "i", "s") for i in range(40) for lang in ["cc"]]
+    train = train.where("lang <> 'cc'").unionAll(spark.createDataFrame(long, DDL))
+    model = G.fit(train, bits=12, per_language=60, max_chars=600)
+    assert model.languages == ["aa", "bb", "cc"]
+    test, d = corpus(spark, 100, 2)
+    got = {r.id: r.lang_pred for r in G.predict(model, d).collect()}
+    assert np.mean([got[i] == lang for i, _, lang, *_ in test]) >= 0.95
