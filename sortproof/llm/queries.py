@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortproof.llm import lineclean, mixing, urllist
+from sortproof.llm import convrepair, lineclean, mixing, sourceaudit, urllist
 from sortproof.llm.frames import crc_mod, table
 
 
@@ -93,6 +93,20 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("held_out", held)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = convrepair.repair(convrepair.damage(table(spark, sf_dir, "conversations")))
+    return convrepair.summary(pieces).withColumnRenamed("conv", "conv_id")
+
+
+def op12_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sortproof.llm import segbpe
+    return segbpe.digests(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sourceaudit.audit(_documents(spark, sf_dir), min_df=10, top=10)
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_line_clean": op2_line_clean,
@@ -104,10 +118,15 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_lm_score": op10_lm_score,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_segment_tree_bpe": op12_segment_tree_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_source_mix": mixing.SQL,
     "op2_line_clean": lineclean.SQL,
     "op5_url_lists": urllist.SQL,
+    "op11_conversation_repair": convrepair.SQL,
+    "op13_source_divergence": sourceaudit.SQL,
 }

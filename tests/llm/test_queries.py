@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
 
 
-@pytest.mark.parametrize("name", ["op1_source_mix", "op2_line_clean", "op5_url_lists"])
+@pytest.mark.parametrize("name", ["op1_source_mix", "op2_line_clean", "op5_url_lists", "op11_conversation_repair",
+                                  "op13_source_divergence"])
 def test_sql(spark, name):
     import duckdb
     from tools.check_oracles import TABLES, _rows
@@ -57,6 +58,6 @@ def test_language_model_beats_the_word_base_out_of_training(spark):
 
 def test_names():
     q = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in q) == 1
     assert "pipeline" in q and set(E.oracle_sql()) <= set(q)
