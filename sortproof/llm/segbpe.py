@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from sortproof.llm.frames import map_arrow, slices
 
-#: Units a worker remembers at most, and the longest of them in characters.
+#: Units (and pieces) a worker remembers at most, and the longest of them in characters.
 UNITS, UNIT_CHARS = 500_000, 64
 
 # White space of Python's re holds all that the byte-level pattern calls so.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+# Letters, then ASCII marks but the apostrophe: the pattern makes a piece of each.
+_PLAIN = re.compile(r"( ?[A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
 def read_model(path: str) -> str:
@@ -48,67 +50,59 @@ def read_model(path: str) -> str:
     return text
 
 
-class Tree:
-    """Least of the leaves at the root; a leaf is set in log2 steps."""
-
-    def __init__(self, leaves: list[int], none: int):
-        self.size = size = 1 << max(0, len(leaves) - 1).bit_length()
-        self.none = none
-        self.node = node = [none] * size + leaves + [none] * (size - len(leaves))
-        for k in range(size - 1, 0, -1):
-            a, b = node[2 * k], node[2 * k + 1]
-            node[k] = a if a < b else b
-
-    def root(self) -> int:
-        return self.node[1]
-
-    def set(self, i: int, value: int) -> None:
-        node, k = self.node, self.size + i
-        node[k] = value
-        k >>= 1
-        while k:
-            a, b = node[2 * k], node[2 * k + 1]
-            if b < a:
-                a = b
-            if node[k] == a:
-                return
-            node[k] = a
-            k >>= 1
-
-
-def merge(ids: list[int], rank_of: dict, merged: list[int]) -> list[int]:
-    """Ids of a piece: ``rank_of`` maps (id, id) to the rank, ``merged`` the rank to the new id."""
+def merge(ids: list[int], ranks: dict, merged: list[int]) -> list[int]:
+    """Ids of a piece: ``ranks[a][b]`` is the rank of the pair (a, b), ``merged`` maps a rank to the new id.
+
+    ``node`` is the tree: its root is node[1], the leaf of position i node[size + i].
+    """
     n = len(ids)
     if n < 2:
         return ids
-    none = (len(merged) + 1) * n
-    rank = lambda a, b: rank_of.get((a, b), -1)
-    leaves = [none] * (n - 1)
-    for i in range(n - 1):
-        r = rank(ids[i], ids[i + 1])
-        if r >= 0:
-            leaves[i] = r * n + i
-    tree = Tree(leaves, none)
+    size, none, nothing = 1 << (n - 2).bit_length(), (len(merged) + 1) * n, {}
+    of = ranks.get
+    node = [none] * (2 * size)
+    i = size
+    for a, b in zip(ids, ids[1:]):
+        r = of(a, nothing).get(b)
+        if r is not None:
+            node[i] = r * n + i - size
+        i += 1
+    for k in range(size - 1, 0, -1):
+        a, b = node[2 * k], node[2 * k + 1]
+        node[k] = a if a < b else b
+    if node[1] == none:
+        return ids
     ids = list(ids)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (least := tree.root()) != none:
+    while (least := node[1]) != none:
         r, i = divmod(least, n)
         j = after[i]
-        k = after[j]
-        ids[i], ids[j] = merged[r], -1
-        after[i] = k
-        if j < n - 1:
-            tree.set(j, none)
+        k = after[i] = after[j]
+        ids[i], ids[j] = new, _ = merged[r], -1
+        # the pair at j is gone, those at i and before it are others now
+        leaves = [(j, none)] if k < n else []
+        r = None
         if k < n:
             before[k] = i
-            r = rank(ids[i], ids[k])
-            tree.set(i, r * n + i if r >= 0 else none)
-        else:
-            tree.set(i, none)
+            r = of(new, nothing).get(ids[k])
+        leaves.append((i, none if r is None else r * n + i))
         h = before[i]
         if h >= 0:
-            r = rank(ids[h], ids[i])
-            tree.set(h, r * n + h if r >= 0 else none)
+            r = of(ids[h], nothing).get(new)
+            leaves.append((h, none if r is None else r * n + h))
+        for k, value in leaves:
+            k += size
+            if node[k] == value:
+                continue
+            node[k] = value
+            while k > 1:
+                other = node[k ^ 1]
+                k >>= 1
+                if other < value:
+                    value = other
+                if node[k] == value:
+                    break
+                node[k] = value
     return [x for x in ids if x >= 0]
 
 
@@ -123,7 +117,9 @@ class Codec(dict):
         j = json.loads(model)
         self.vocab = vocab = j["model"]["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in j["model"]["merges"]]
-        self.rank_of = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
+        self.ranks = {}
+        for r, (a, b) in enumerate(pairs):
+            self.ranks.setdefault(vocab[a], {})[vocab[b]] = r
         self.merged = [vocab[a + b] for a, b in pairs]
         self.added = {a["content"]: a["id"] for a in j["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
@@ -131,23 +127,39 @@ class Codec(dict):
         visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         other = iter(range(256, 512))
         back = {chr(b if b in visible else next(other)): b for b in range(256)}
+        self.first = [vocab[c] for c, _ in sorted(back.items(), key=lambda x: x[1])]
+        self.pieces: dict = {}            # bytes, or their characters -> ids
         self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.added.values()]))
         for t, i in {**vocab, **self.added}.items():
             self.bytes_of[i] = bytes(map(back.__getitem__, t)) if all(c in back for c in t) else t.encode()
 
-    def _ids(self, unit: str) -> list[int]:
-        out = []
+    def _piece(self, piece, ids: list[int]) -> bytes:
+        import numpy as np
+        got = self.pieces.get(piece)
+        if got is None:
+            got = np.array(merge(ids, self.ranks, self.merged), "<u4").tobytes()
+            if len(self.pieces) < UNITS and len(piece) <= UNIT_CHARS:
+                self.pieces[piece] = got
+        return got
+
+    def _unit(self, unit: str):
+        """The ids of a unit, piece by piece."""
+        plain = _PLAIN(unit)
+        if plain and not (self.special and self.special.search(unit)):
+            for part in plain.groups():
+                if part:
+                    data = part.encode()
+                    yield self._piece(data, [self.first[x] for x in data])
+            return
         for part in self.special.split(unit) if self.special else [unit]:
             if part in self.added:
-                out.append(self.added[part])
+                yield self.added[part].to_bytes(4, "little")
             elif part:
                 for piece, _ in self.cut(part):
-                    out += merge([self.vocab[c] for c in piece], self.rank_of, self.merged)
-        return out
+                    yield self._piece(piece, [self.vocab[c] for c in piece])
 
     def __missing__(self, unit: str) -> bytes:
-        import numpy as np
-        got = np.array(self._ids(unit), "<u4").tobytes()
+        got = b"".join(self._unit(unit))
         if len(self) < UNITS and len(unit) <= UNIT_CHARS:
             self[unit] = got
         return got

@@ -26,7 +26,7 @@ def texts():
 
 
 def test_lowest_rank_leftmost_first():
-    rank_of, merged = {(0, 0): 0, (1, 1): 1, (2, 0): 2}, [1, 2, 3]
+    rank_of, merged = {0: {0: 0}, 1: {1: 1}, 2: {0: 2}}, [1, 2, 3]
     assert segbpe.merge([0] * 5, rank_of, merged) == [3]         # 11 0 -> 2 0 -> 3
     assert segbpe.merge([0] * 3, rank_of, merged) == [1, 0]
     assert segbpe.merge([], rank_of, merged) == [] and segbpe.merge([7], rank_of, merged) == [7]
@@ -34,7 +34,7 @@ def test_lowest_rank_leftmost_first():
     def plain(ids):
         ids = list(ids)
         while True:
-            have = [(rank_of[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rank_of]
+            have = [(rank_of[a][b], i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if b in rank_of.get(a, {})]
             if not have:
                 return ids
             r, i = min(have)
