@@ -40,9 +40,9 @@ def main(argv=None) -> int:
     s.add_argument("input")
     s.add_argument("out")
     s.add_argument("--partitions", type=int)
-    s.add_argument("--method", default="range", choices=["range", "sampled", "prefix7", "prefix3"])
-    s.add_argument("--sampler", default="blocks", choices=["blocks", "spread"],
-                   help="sample for --method sampled: reference block sample or every split")
+    s.add_argument("--method", default="sampled", choices=["range", "sampled", "prefix7", "prefix3"])
+    s.add_argument("--sampler", default="spread", choices=["blocks", "spread"],
+                   help="sample for --method sampled: records of a few blocks or of every split")
     v = sub.add_parser("validate", help="check order and checksum")
     v.add_argument("input")
     v.add_argument("report", nargs="?")

@@ -51,14 +51,15 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     records from every input split (robust to input that is already ordered),
     ``sampler='blocks'`` is the systematic sample of a few whole blocks.
     ``splits_path`` names a stored split-point table: it is used if it exists
-    (and must fit ``num_partitions``) and written otherwise.  ``(file_id, pos)`` of each input record
-    salts hot keys.  Rows and checksum of what was written are observed
+    (and must fit ``num_partitions``) and written otherwise.  File and position of each input
+    record salt hot keys.  Rows and checksum of what was written are observed
     during the write, to be compared with ``generate_job``'s (F15) without
     another pass.
     """
-    # file_id + pos identify a record (they salt copies of a hot record) and
-    # are far cheaper to produce than the path string
-    data = FR.read_fixed_records(spark, in_path, columns=["key", "value", "file_id", "pos"])
+    # file and pos identify a record (they salt copies of a hot record); the JVM scan has
+    # the path at hand, for the Python source an integer is far cheaper to produce
+    place = ["file" if FR.scans_in_jvm(spark, in_path) else "file_id", "pos"]
+    data = FR.read_fixed_records(spark, in_path, columns=["key", "value", *place])
     if num_partitions is None:
         num_partitions = max(1, FR.split_count(in_path))
     if FR.same_path(in_path, out_path):
@@ -78,7 +79,7 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     if method == "sampled" and splits_path is not None:
         splits = _stored_splits(spark, splits_path, num_partitions, sample)
     out = S.total_order_sort(data, num_partitions, method, sample=sample, splits=splits,
-                             salt_columns=["file_id", "pos"]).select("key", "value")
+                             salt_columns=place).select("key", "value")
     obs = Observation("sort")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
                       R.checksum_sum(R.crc_record()).alias("checksum"))

@@ -17,6 +17,11 @@ Write: ``df.write.format("fixed_record").mode(...).save(path)`` with ``key`` and
        may be rewritten from itself.
 
 File access goes through ``pyarrow.fs`` (local, HDFS, S3, GCS, ...).
+
+``read_fixed_records`` scans whole datasets on local and HDFS paths inside the JVM:
+Hadoop's fixed-length input splits become rows without a Python worker, with the
+same columns.  The data source above serves the other cases (chosen ranges, samples,
+predicates pushed into the reader, other stores).
 """
 
 from __future__ import annotations
@@ -469,11 +474,73 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FixedRecordDataSource)
 
 
+def scans_in_jvm(spark: SparkSession, path: str) -> bool:
+    """Can a whole dataset be read without Python workers?
+
+    It needs a classic session (not Spark Connect), a local or HDFS path free of the
+    characters that Hadoop reads as patterns, and no wish to push predicates down.
+    """
+    if not hasattr(spark, "_jsparkSession") or _pushdown(spark):
+        return False
+    if "://" in path and not path.startswith(("file:", "hdfs:")):
+        return False
+    return not set(path) & set("{}[]*?\\,")
+
+
+def _pushdown(spark: SparkSession) -> bool:
+    return str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower() == "true"
+
+
+def _jvm_scan(spark: SparkSession, path: str, key_length: int, record_length: int,
+              split_bytes: int, columns) -> DataFrame:
+    """The records of a dataset through Hadoop's fixed-length splits.
+
+    A split starts and ends between records.  ``file`` is the split's file, ``pos`` the
+    split's first record plus the row's place in its partition, which is one split.  HDFS
+    lists a folder in name order; local files are named one by one to have that order.
+    """
+    from pyspark.sql import functions as F
+    files = list_files(path)
+    for name, size in files:
+        if size % record_length:
+            raise EOFError(f"truncated file: {name} ends with a partial record "
+                           f"of {size % record_length} bytes")
+    names = [name for name, size in files if size]
+    odd = any(set(name) & set("{}[]*?\\,") for name in names)
+    if not names or odd:
+        return None if odd else spark.createDataFrame(
+            [], ", ".join(f"{c} {COLUMN_TYPES[c]}" for c in columns))
+    local = not path.startswith("hdfs:")
+    sc = spark._jsparkSession.sparkContext()
+    conf = spark._jvm.org.apache.hadoop.conf.Configuration(sc.hadoopConfiguration())
+    conf.setBoolean("mapreduce.input.fileinputformat.input.dir.recursive", True)
+    conf.setLong("mapreduce.input.fileinputformat.split.maxsize", max(split_bytes, record_length))
+    rdd = sc.binaryRecords(",".join("file:" + n for n in names) if local else path, record_length, conf)
+    rows = spark._jsparkSession.createDataset(rdd, spark._jvm.org.apache.spark.sql.Encoders.BINARY())
+    # a Hadoop split's name is scheme and authority before the path
+    start = len("file:") + 1 if local else path.index("/", len("hdfs://")) + 1
+    in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    made = {
+        "key": F.substring("value", 1, key_length),
+        "value": F.substring("value", key_length + 1, record_length - key_length),
+        "file": F.substring(F.input_file_name(), start, 1 << 20),
+        "pos": F.expr(f"input_file_block_start() div {record_length}") + in_partition,
+    }
+    scan = DataFrame(rows.toDF(), spark)
+    need = [c for c in columns if c != "file_id"]
+    if "file_id" not in columns:
+        return scan.select(*[made[c].alias(c) for c in need])
+    ids = spark.createDataFrame([(name, i) for i, (name, _) in enumerate(files)], "_file string, file_id int")
+    ids = small_table(ids, sum(len(name) + 32 for name, _ in files))
+    with_file = scan.select(*[made[c].alias(c) for c in need], made["file"].alias("_file"))
+    return with_file.join(ids, "_file").select(*columns)
+
+
 def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_LENGTH,
                        record_length: int = R.RECORD_LENGTH,
                        split_bytes: int = DEFAULT_SPLIT_BYTES,
                        ranges=None, columns=None, sample_per_split: int = 0,
-                       sample_seed: int = 0) -> DataFrame:
+                       sample_seed: int = 0, engine: str = "auto") -> DataFrame:
     """``(key, value, file, pos)`` of every record under ``path``.
 
     ``ranges``: optional list of ``(file, first_record, count)`` to read only
@@ -484,9 +551,24 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     file_id``; a Python source cannot prune columns by itself, so naming only
     what is needed (``file_id`` instead of the ``file`` path string) saves the
     per-row work at the scan.
+    ``engine``: ``jvm`` reads the whole dataset without Python workers, ``python`` by
+    the data source; ``auto`` takes the first where it can (``scans_in_jvm``).
     """
+    if engine not in ("auto", "jvm", "python"):
+        raise ValueError("engine must be 'auto', 'jvm' or 'python'")
+    whole = ranges is None and not sample_per_split
+    if engine == "jvm" and not (whole and scans_in_jvm(spark, path)):
+        raise ValueError(f"{path}: the JVM scan reads whole local or HDFS datasets, without pushdown")
+    if engine != "python" and whole and scans_in_jvm(spark, path):
+        names = list(columns) if columns is not None else ["key", "value", "file", "pos"]
+        unknown = [c for c in names if c not in COLUMN_TYPES]
+        if unknown:
+            raise ValueError(f"unknown columns {unknown}; choose from {sorted(COLUMN_TYPES)}")
+        scan = _jvm_scan(spark, path, key_length, record_length, split_bytes, names)
+        if scan is not None:
+            return scan
     register(spark)
-    pushdown = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
+    pushdown = str(_pushdown(spark)).lower()
     r = (spark.read.format(FORMAT)
          .option("key_length", key_length).option("record_length", record_length)
          .option("split_bytes", split_bytes).option("pushdown", pushdown))
