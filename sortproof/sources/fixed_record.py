@@ -29,7 +29,7 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Iterator, List
 
 import numpy as np
@@ -135,6 +135,14 @@ class RecordRange(InputPartition):
     file_id: int = 0  # index of the file in path order
 
 
+@dataclass
+class IndexedRange(RecordRange):
+    """Records of one segment of a sorted file, of which only blocks by key are read."""
+    piece: str = ""          # file of the segment's first keys
+    block_rows: int = 1
+    segment_first: int = 0   # the segment's first record
+
+
 class FixedRecordReader(DataSourceReader):
     def __init__(self, options, schema: StructType):
         self.path = options.get("path")
@@ -146,6 +154,7 @@ class FixedRecordReader(DataSourceReader):
         self.ranges = json.loads(options.get("ranges", "null"))
         self.sample_per_split = int(options.get("sample_per_split", "0"))
         self.sample_seed = int(options.get("sample_seed", "0"))
+        self.wanted = _wanted_keys(options)
         if not 0 < self.key_length <= self.record_length:
             raise ValueError("need 0 < key_length <= record_length")
         self.columns = list(schema.fieldNames()) if schema is not None else \
@@ -163,7 +172,22 @@ class FixedRecordReader(DataSourceReader):
             group = 1024   # about a thousand short ranges per task
             return [RangeGroup([(r.path, r.first, r.count, r.file_id) for r in picks[i:i + group]])
                     for i in range(0, len(picks), group)]
-        return self._restrict(self._split_partitions())
+        return self._restrict(self._by_key())
+
+    def _by_key(self) -> List[InputPartition]:
+        """The input splits, or the segments that may hold the wanted keys."""
+        from sortproof.sources import key_index as K
+        listing = list_files(self.path)
+        found = K.segments_for(self.path, listing, self.wanted) if self.wanted.known() else None
+        if found is None or found[0]["record_length"] != self.record_length \
+                or found[0]["key_length"] != self.key_length:
+            return self._split_partitions()
+        index, segments, other = found
+        other = {name for name, _ in other}
+        return [p for p in self._split_partitions() if p.path in other] + [
+            IndexedRange(r["file"], r["first"], r["rows"], 0, r["file_id"],
+                         posixpath.join(index["folder"], r["piece"]), index["block_rows"], r["first"])
+            for r in segments]
 
     def _spread_sample_ranges(self) -> List[RecordRange]:
         """``sample_per_split`` records from every input split.
@@ -235,8 +259,22 @@ class FixedRecordReader(DataSourceReader):
             for path, first, count, file_id in partition.ranges:
                 yield from self._read_range(RecordRange(path, first, count, 0, file_id))
             return
+        if isinstance(partition, IndexedRange):
+            yield from self._read_blocks(partition)
+            return
         yield from self._read_range(partition)
 
+    def _read_blocks(self, part: IndexedRange) -> Iterator[pa.RecordBatch]:
+        """The blocks of a segment that may hold wanted keys, cut to the range's records."""
+        from sortproof.sources import key_index as K
+        fs, _ = _fs(self.path)
+        per = part.block_rows
+        for run in self.wanted.runs(K.piece_keys(fs, part.piece, self.key_length)):
+            first = max(part.first, part.segment_first + run.start * per)
+            stop = min(part.first + part.count, part.segment_first + run.stop * per)
+            if first < stop:
+                yield from self._read_range(RecordRange(part.path, first, stop - first, 0, part.file_id))
+
     def _read_range(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         from sortproof.operators.generate import fixed_binary_array
         if partition.tail:
@@ -272,10 +310,19 @@ class FixedRecordReader(DataSourceReader):
                 done += k
 
 
+def _wanted_keys(options):
+    from sortproof.sources.key_index import KeyRange
+    lo, hi, keys = (options.get(k) for k in ("key_from", "key_to", "keys"))
+    return KeyRange(bytes.fromhex(lo) if lo is not None else None, bytes.fromhex(hi) if hi is not None else None,
+                    [bytes.fromhex(k) for k in json.loads(keys)] if keys is not None else None)
+
+
 class PrunedFixedRecordReader(FixedRecordReader):
     """Reader that takes ``file``, ``file_id`` and ``pos`` predicates: whole input splits
     and files are skipped, and ranges are cut to the asked positions, so the
-    predicates are applied exactly here and never reach Spark again."""
+    predicates are applied exactly here and never reach Spark again.  Predicates on
+    ``key`` choose the blocks to read where the dataset has a sparse index; Spark
+    applies them again to the records of those blocks."""
 
     def __init__(self, options, schema: StructType):
         super().__init__(options, schema)
@@ -289,6 +336,10 @@ class PrunedFixedRecordReader(FixedRecordReader):
             col = f.attribute[0] if len(f.attribute) == 1 else None
             if col in ("pos", "file", "file_id", "key", "value") and isinstance(f, IsNotNull):
                 continue  # no column of this source is ever null
+            if col == "key":
+                self._key_filter(f)
+                yield f
+                continue
             if col == "pos" and isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan,
                                                LessThanOrEqual, EqualTo)) \
                     and isinstance(f.value, int) and not isinstance(f.value, bool):
@@ -309,6 +360,17 @@ class PrunedFixedRecordReader(FixedRecordReader):
             else:
                 yield f
 
+    def _key_filter(self, f) -> None:
+        if isinstance(f, In) and all(isinstance(v, bytes) for v in f.value):
+            self.wanted.only(f.value)
+        elif isinstance(getattr(f, "value", None), bytes):
+            if isinstance(f, EqualTo):
+                self.wanted.only([f.value])
+            elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                self.wanted.above(f.value)
+            elif isinstance(f, (LessThan, LessThanOrEqual)):
+                self.wanted.below(f.value)
+
     def _restrict(self, parts: List[InputPartition]) -> List[InputPartition]:
         out = []
         for r in parts:
@@ -321,8 +383,8 @@ class PrunedFixedRecordReader(FixedRecordReader):
             stop = end if self.pos_hi is None else min(end, self.pos_hi)
             if stop <= first and not (r.tail and stop == end):
                 continue  # nothing asked for in this range
-            out.append(RecordRange(r.path, first, max(0, stop - first),
-                                   r.tail if stop == end else 0, r.file_id))
+            out.append(replace(r, first=first, count=max(0, stop - first),
+                               tail=r.tail if stop == end else 0))
         return out
 
 
@@ -540,7 +602,9 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
                        record_length: int = R.RECORD_LENGTH,
                        split_bytes: int = DEFAULT_SPLIT_BYTES,
                        ranges=None, columns=None, sample_per_split: int = 0,
-                       sample_seed: int = 0, engine: str = "auto") -> DataFrame:
+                       sample_seed: int = 0, engine: str = "auto",
+                       key_from: bytes | None = None, key_to: bytes | None = None,
+                       keys=None) -> DataFrame:
     """``(key, value, file, pos)`` of every record under ``path``.
 
     ``ranges``: optional list of ``(file, first_record, count)`` to read only
@@ -554,9 +618,13 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     ``engine``: ``jvm`` reads the whole dataset without Python workers, ``python`` by
     the data source; ``auto`` takes the first where it can (``scans_in_jvm``).
     """
+    # key_from, key_to and keys only choose blocks by the index; key_index.read_key_range filters
+    by_key = {"key_from": None if key_from is None else key_from.hex(),
+              "key_to": None if key_to is None else key_to.hex(),
+              "keys": json.dumps([k.hex() for k in keys]) if keys is not None else None}
     if engine not in ("auto", "jvm", "python"):
         raise ValueError("engine must be 'auto', 'jvm' or 'python'")
-    whole = ranges is None and not sample_per_split
+    whole = ranges is None and not sample_per_split and not any(v is not None for v in by_key.values())
     if engine == "jvm" and not (whole and scans_in_jvm(spark, path)):
         raise ValueError(f"{path}: the JVM scan reads whole local or HDFS datasets, without pushdown")
     if engine != "python" and whole and scans_in_jvm(spark, path):
@@ -571,7 +639,8 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     pushdown = str(_pushdown(spark)).lower()
     r = (spark.read.format(FORMAT)
          .option("key_length", key_length).option("record_length", record_length)
-         .option("split_bytes", split_bytes).option("pushdown", pushdown))
+         .option("split_bytes", split_bytes).option("pushdown", pushdown)
+         .options(**{k: v for k, v in by_key.items() if v is not None}))
     if ranges is not None:
         r = r.option("ranges", json.dumps([[f, int(a), int(n)] for f, a, n in ranges]))
     if sample_per_split:
