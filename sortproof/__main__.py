@@ -41,8 +41,8 @@ def main(argv=None) -> int:
     s.add_argument("out")
     s.add_argument("--partitions", type=int)
     s.add_argument("--method", default="sampled", choices=["range", "sampled", "prefix7", "prefix3"])
-    s.add_argument("--sampler", default="spread", choices=["blocks", "spread"],
-                   help="sample for --method sampled: records of a few blocks or of every split")
+    s.add_argument("--sampler", default="spread", choices=["blocks", "spread", "sketch"],
+                   help="keys for --method sampled: of a few blocks, some of every split, or a sketch of all")
     v = sub.add_parser("validate", help="check order and checksum")
     v.add_argument("input")
     v.add_argument("report", nargs="?")

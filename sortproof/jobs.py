@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from typing import Optional
+from typing import Callable, Optional
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sortproof.functions import records as R
 from sortproof.operators import generate as G
 from sortproof.operators import partition as P
+from sortproof.operators import quantiles as QS
 from sortproof.operators import sort as S
 from sortproof.operators import validate as V
 from sortproof.sources import fixed_record as FR
@@ -49,7 +50,9 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     ``num_partitions`` defaults to the number of input splits.  ``sampled``
     reads only its sample to pick split points: ``sampler='spread'`` takes a few
     records from every input split (robust to input that is already ordered),
-    ``sampler='blocks'`` is the systematic sample of a few whole blocks.
+    ``sampler='blocks'`` is the systematic sample of a few whole blocks;
+    ``sampler='sketch'`` reads all keys once and takes the split points from a quantile
+    sketch, whose error is known and does not depend on the order of the input.
     ``splits_path`` names a stored split-point table: it is used if it exists
     (and must fit ``num_partitions``) and written otherwise.  File and position of each input
     record salt hot keys.  Rows and checksum of what was written are observed
@@ -74,11 +77,17 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
         elif sampler == "blocks":
             sample = P.file_block_sample(spark, in_path, num_samples=sample_blocks,
                                          sample_size=sample_size)
-        else:
-            raise ValueError("sampler must be 'blocks' or 'spread'")
-    if method == "sampled" and splits_path is not None:
-        splits = _stored_splits(spark, splits_path, num_partitions, sample)
-    out = S.total_order_sort(data, num_partitions, method, sample=sample, splits=splits,
+        elif sampler != "sketch":
+            raise ValueError("sampler must be 'blocks', 'spread' or 'sketch'")
+
+        def take():
+            if sampler == "sketch":
+                # 64 keys a partition on every step of the ladder
+                keys = FR.read_fixed_records(spark, in_path, columns=["key"])
+                return QS.split_points(keys, num_partitions, k=max(QS.DEFAULT_K, 64 * num_partitions))
+            return P.split_points(sample, num_partitions)
+        splits = take() if splits_path is None else _stored_splits(spark, splits_path, num_partitions, take)
+    out = S.total_order_sort(data, num_partitions, method, splits=splits,
                              salt_columns=place).select("key", "value")
     obs = Observation("sort")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
@@ -88,14 +97,14 @@ def sort_job(spark: SparkSession, in_path: str, out_path: str,
     return {"rows": int(got["rows"]), "checksum": int(got["checksum"] or 0)}
 
 
-def _stored_splits(spark: SparkSession, path: str, num_partitions: int, sample: DataFrame) -> list:
-    """Split points from ``path``; taken from the sample and stored there if it is new."""
+def _stored_splits(spark: SparkSession, path: str, num_partitions: int, take: Callable[[], list]) -> list:
+    """Split points from ``path``; taken and stored there if it is new."""
     if FR.exists(path):
         splits = P.load_split_points(spark, path)
         if len(splits) != num_partitions - 1:
             raise ValueError(f"{path} holds {len(splits)} split points, not {num_partitions - 1}")
         return splits
-    splits = P.split_points(sample, num_partitions)
+    splits = take()
     table = spark.createDataFrame([(i, bytearray(k)) for i, k in enumerate(splits, 1)], "idx int, key binary")
     P.save_split_points(table, path)
     return splits
