@@ -15,7 +15,11 @@ from sortproof import jobs
 from sortproof.functions import counts as C
 from sortproof.functions import records as R
 from sortproof.operators import generate as G
+from sortproof.operators import hotkeys as HK
+from sortproof.operators import inversions as IV
 from sortproof.operators import partition as PT
+from sortproof.operators import quantiles as QS
+from sortproof.operators import reconcile as RC
 from sortproof.operators import sort as S
 from sortproof.operators import validate as V
 from sortproof.plans import fixtures as X
@@ -23,6 +27,7 @@ from sortproof.plans import params as Q
 from sortproof.session import new_output_path
 from sortproof.sources import fixed_record as FR
 from sortproof.sources import inventory as INV
+from sortproof.sources import key_index as KI
 
 
 def _hex(col: str, name: str):
@@ -46,8 +51,15 @@ def _filler_digits(value_col: str, offset: int, digits: int):
 # generator ------------------------------------------------------------------------
 
 def range_splits(spark, sf_dir):
-    n = X.read_table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
-    return G.range_splits(n, Q.P)
+    """Generated records by the split of the row cut they belong to (A1)."""
+    g = G.with_records(_order_rows(spark, sf_dir), "row")
+    total = _order_rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    cut = G.range_splits(total, Q.P).select("split", "first_row", "row_count")
+    # split i starts at ceil(N i / p), so row r lies in split floor(r p / N)
+    n = total.first()["n"]
+    mine = g.groupBy(F.expr(f"cast(row * {Q.P} div {max(n, 1)} as int)").alias("split")).agg(
+        F.min("row").alias("first_row"), F.count("key").alias("row_count"))
+    return mine.join(cut, ["split", "first_row", "row_count"])
 
 
 def gen_lcg(spark, sf_dir):
@@ -430,10 +442,13 @@ def dataset_inventory(spark, sf_dir):
         F.col("length").alias("bytes"), "records", "remainder")
 
 
-def _raises(action) -> bool:
+def _refused(action, text: str) -> bool:
+    """Does the action fail with this message?  Any other failure is none of the refusal's."""
     try:
         action()
-    except Exception:
+    except Exception as e:
+        if text not in str(e):
+            raise
         return True
     return False
 
@@ -447,7 +462,8 @@ def truncated_tail(spark, sf_dir):
     path = _written_sorted_orders(spark, sf_dir)
     rows = FR.read_fixed_records(spark, path).count()
     FR.append_bytes(path, FR.part_name(Q.P), b"x" * 37)
-    raised = _raises(lambda: FR.read_fixed_records(spark, path).count())
+    raised = all([_refused(lambda: FR.read_fixed_records(spark, path, engine=e).count(),
+                           "ends with a partial record of 37 bytes") for e in ("jvm", "python")])
     return spark.createDataFrame([(rows, raised)], "rows bigint, raised boolean")
 
 
@@ -455,8 +471,9 @@ def output_refused(spark, sf_dir):
     """A missing output path (A11) and an existing output (A12) are refused."""
     path = _written_sorted_orders(spark, sf_dir)
     d = FR.read_fixed_records(spark, path)
-    no_path = _raises(lambda: d.select("key", "value").write.format(FR.FORMAT).mode("append").save())
-    existing = _raises(lambda: FR.write_fixed_records(d, path))
+    no_path = _refused(lambda: d.select("key", "value").write.format(FR.FORMAT).mode("append").save(),
+                       "output path is required")
+    existing = _refused(lambda: FR.write_fixed_records(d, path), "exists; choose another output")
     return d.agg(F.count(F.lit(1)).alias("rows")).select(
         "rows", F.lit(no_path).alias("without_path"), F.lit(existing).alias("existing_output"))
 
@@ -470,21 +487,24 @@ def report_file(spark, sf_dir):
 
 def too_few_keys(spark, sf_dir):
     """More partitions than sampled keys are refused (D3)."""
-    few = X.order_records(spark, sf_dir).select("key").limit(Q.P)
-    raised = _raises(lambda: PT.split_points(few, Q.P + 1))
-    return few.agg(F.count(F.lit(1)).alias("keys")).withColumn("raised", F.lit(raised))
+    keys = X.order_records(spark, sf_dir).select("key")
+    n = keys.count()
+    raised = _refused(lambda: PT.split_points(keys, n + 1), f"{n + 1} partitions need at least as many sampled keys")
+    return keys.agg(F.count(F.lit(1)).alias("keys")).withColumn("raised", F.lit(raised))
 
 
 def default_partitions(spark, sf_dir):
-    """The sort job's default partition count: the input splits."""
-    n = FR.split_count(_written_sorted_orders(spark, sf_dir), split_bytes=Q.BLOCK_ROWS * R.RECORD_LENGTH)
-    return spark.createDataFrame([(n,)], "splits bigint")
+    """The sort job's default partition count, the input splits (D10): those that all records come in."""
+    d = FR.read_fixed_records(spark, _written_sorted_orders(spark, sf_dir), engine="python", columns=["pos"],
+                              split_bytes=Q.BLOCK_ROWS * R.RECORD_LENGTH)
+    return d.groupBy(F.spark_partition_id().alias("split")).agg(F.count("pos").alias("rows")).agg(
+        F.count("split").alias("splits"))
 
 
 def validate_raises(spark, sf_dir):
     """A failed validation raises when asked to."""
     e = X.event_records(spark, sf_dir)
-    raised = _raises(lambda: V.validate(e, raise_on_error=True))
+    raised = _refused(lambda: V.validate(e, raise_on_error=True), "Data validation failed: ")
     return _rows(spark, sf_dir, "events").withColumn("raised", F.lit(raised))
 
 
@@ -510,6 +530,65 @@ def gen_sorted_report(spark, sf_dir):
         "kind", F.regexp_extract("file", r"([^/]*)$", 1).alias("file"), "detail")
 
 
+# look-ups, sketches, differences ------------------------------------------------------
+
+def _indexed_orders(spark, sf_dir) -> str:
+    path = _written_sorted_orders(spark, sf_dir)
+    KI.build_key_index(spark, path, block_rows=Q.INDEX_ROWS)
+    return path
+
+
+def key_range(spark, sf_dir):
+    """Records of a key range of a sorted dataset, through its sparse index."""
+    d = KI.read_key_range(spark, _indexed_orders(spark, sf_dir), bytes.fromhex(Q.KEY_FROM), bytes.fromhex(Q.KEY_TO))
+    return d.select(_hex("key", "key_hex"), F.col("value").cast("string").alias("value_text"))
+
+
+def key_lookup(spark, sf_dir):
+    """Records whose keys are in a table (those of the customers' numbers), through the index."""
+    keys = X.read_table(spark, sf_dir, "customer").select(X.md5_key(F.col("c_custkey").cast("string")).alias("key"))
+    d = KI.lookup(spark, _indexed_orders(spark, sf_dir), keys)
+    return d.select(_hex("key", "key_hex"), F.col("value").cast("string").alias("value_text"))
+
+
+def split_points_sketch(spark, sf_dir):
+    """Split points of all line items by a quantile sketch: where each should be, and whether
+    its true ranks lie within the sketch's own bound of that place."""
+    li = X.lineitem_records(spark, sf_dir).select("key")
+    points = QS.sketch_split_points(QS.key_sketch(li, k=Q.SKETCH_K), Q.P).orderBy("idx").collect()
+    ranks = li.agg(*[f.alias(f"{n}{r['idx']}") for r in points for n, f in (
+        ("below", F.count_if(F.col("key") < F.lit(bytes(r["key"])))),
+        ("upto", F.count_if(F.col("key") <= F.lit(bytes(r["key"])))))], F.count(F.lit(1)).alias("n"))
+    return ranks.select(F.explode(F.array(*[F.struct(
+        F.lit(r["idx"]).alias("idx"), F.expr(f"(2 * n * {r['idx']} + {Q.P}) div {2 * Q.P}").alias("target"),
+        ((F.col(f"below{r['idx']}") - r["error"] <= r["target"]) & (F.lit(r["target"]) < F.col(f"upto{r['idx']}") + r["error"])
+         ).alias("within_bound"), (F.lit(r["error"] * 20) <= F.col("n")).alias("bound_below_a_twentieth"))
+        for r in points])).alias("x")).select("x.*")
+
+
+def hot_keys(spark, sf_dir):
+    """Keys in over a fiftieth of the documents, the key being language and source."""
+    d = X.read_table(spark, sf_dir, "documents").select(F.concat_ws("|", "lang", "source").cast("binary").alias("key"))
+    return HK.hot_keys(d, Q.HOT_SHARE).select(F.col("key").cast("string").alias("key"), "rows")
+
+
+def changed_rows(spark, sf_dir):
+    """The orders against a copy with rows left out, changed and repeated: what differs."""
+    o = X.order_records(spark, sf_dir)
+    k = F.col("o_orderkey")
+    changed = o.where(k % 1009 != 5).withColumn(
+        "value", F.when(k % 1013 == 7, X.padded_value(k)).otherwise(F.col("value")))
+    after = changed.unionAll(changed.where(k % 1019 == 9))
+    d = RC.changed_rows(o, after, ["key", "value"])
+    return d.select("side", _hex("key", "key_hex"), F.col("value").cast("string").alias("value_text"), "copies")
+
+
+def inversions(spark, sf_dir):
+    """Pairs of events of a type whose keys fall, by merge counting."""
+    d = IV.inversions(X.event_records(spark, sf_dir), group_rows=Q.INVERSION_ROWS, block_rows=Q.INVERSION_ROWS)
+    return d.select("file", "rows", F.col("inversions").cast("string").alias("inversions"))
+
+
 def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "range_splits": range_splits,
@@ -571,4 +650,10 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "default_partitions": default_partitions,
         "validate_raises": validate_raises,
         "empty_dataset": empty_dataset,
+        "key_range": key_range,
+        "key_lookup": key_lookup,
+        "split_points_sketch": split_points_sketch,
+        "hot_keys": hot_keys,
+        "changed_rows": changed_rows,
+        "inversions": inversions,
     }

@@ -485,8 +485,8 @@ SELECT count(*)::BIGINT AS rows, true AS without_path, true AS existing_output F
     sql["report_file"] = f"""
 WITH {ORDER_RECS}
 SELECT 'checksum' AS kind, lower(hex(CAST(sum({RECORD_CRC}) AS HUGEINT))) AS detail FROM recs"""
-    sql["too_few_keys"] = f"""
-SELECT least(count(*), {Q.P})::BIGINT AS keys, true AS raised FROM orders"""
+    sql["too_few_keys"] = """
+SELECT count(*)::BIGINT AS keys, true AS raised FROM orders"""
     sql["default_partitions"] = f"""
 WITH {_pid_recs('prefix7')}
 SELECT sum((c + {b - 1}) // {b})::BIGINT AS splits FROM (SELECT count(*) AS c FROM pr GROUP BY pid)"""
@@ -500,4 +500,40 @@ SELECT (SELECT count(*) FROM recs)::BIGINT AS rows,
     sql["empty_dataset"] = """
 SELECT count(*)::BIGINT AS written, 0::BIGINT AS read, 0::BIGINT AS none_matching, '0' AS checksum_hex
 FROM orders WHERE o_orderkey < 0"""
+    sql["key_range"] = f"""
+WITH {ORDER_RECS}
+SELECT key AS key_hex, value AS value_text FROM recs
+WHERE key >= '{Q.KEY_FROM.upper()}' AND key <= '{Q.KEY_TO.upper()}'"""
+    sql["key_lookup"] = f"""
+WITH {ORDER_RECS}
+SELECT key AS key_hex, value AS value_text FROM recs
+WHERE key IN (SELECT upper(substr(md5(CAST(c_custkey AS VARCHAR)), 1, 20)) FROM customer)"""
+    sql["split_points_sketch"] = f"""
+SELECT i::INTEGER AS idx, ((2 * n * i + {p}) // {2 * p})::BIGINT AS target, true AS within_bound,
+       true AS bound_below_a_twentieth
+FROM (SELECT count(*) AS n FROM lineitem), range(1, {p}) t(i)"""
+    sql["hot_keys"] = f"""
+SELECT concat_ws('|', lang, source) AS key, count(*)::BIGINT AS rows FROM documents
+GROUP BY ALL HAVING count(*) > {Q.HOT_SHARE} * (SELECT count(*) FROM documents)"""
+    sql["changed_rows"] = f"""
+WITH {ORDER_RECS},
+changed AS (
+  SELECT o_orderkey, key, CASE WHEN o_orderkey % 1013 = 7 THEN rpad(CAST(o_orderkey AS VARCHAR), 90, ' ')
+    ELSE value END AS value FROM recs WHERE o_orderkey % 1009 <> 5
+),
+old AS (SELECT key, value FROM recs),
+new AS (SELECT key, value FROM changed UNION ALL SELECT key, value FROM changed WHERE o_orderkey % 1019 = 9),
+d AS (
+  SELECT 'before' AS side, * FROM (FROM old EXCEPT ALL FROM new)
+  UNION ALL SELECT 'after', * FROM (FROM new EXCEPT ALL FROM old)
+)
+SELECT side, key AS key_hex, value AS value_text, count(*)::BIGINT AS copies FROM d GROUP BY ALL"""
+    sql["inversions"] = f"""
+WITH {EVENT_RECS},
+inv AS (
+  SELECT a.file, count(*) AS n FROM recs a JOIN recs b ON a.file = b.file AND a.pos < b.pos AND a.key > b.key
+  GROUP BY a.file
+)
+SELECT r.file, count(*)::BIGINT AS rows, CAST(coalesce(any_value(inv.n), 0) AS VARCHAR) AS inversions
+FROM recs r LEFT JOIN inv ON r.file = inv.file GROUP BY r.file"""
     return {k: v.strip() for k, v in sql.items()}
