@@ -55,10 +55,30 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package available to local Python workers."""
+def map_arrow(df: DataFrame, fn, schema: str, trim: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package available to local Python workers.
+
+    With ``trim`` a worker gives the memory it has freed back to the system at the end
+    of a task: Spark keeps workers for later stages, which need it for other things.
+    """
     session.ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    if not trim:
+        return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow's pool and of the C library to the system."""
+    import ctypes
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def crc_mod(id_col: str, m: int) -> Column:

@@ -434,24 +434,30 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = 0.8, chars_col: str | None = None) -> DataFrame:
     """``docs`` with the removed lines cut out of the text; every row and column stays.
 
-    A text that loses all its lines becomes empty, a null text stays null.
-    ``chars_col`` names a column to set to the new length.
+    A text that loses all its lines becomes empty, a null text stays null; rows with a
+    null id, and rows that share an id, are told apart by their text.  Columns may have any
+    name; an empty table stays one.  ``chars_col`` names a column to set to the new length.
     """
     gone = removed_lines(docs, id_col, text_col, threshold).select(
-        F.col("id").alias("__id"), F.col("rk").alias("__rk"),
-        F.col("removed").alias("__removed")).where(F.size("__removed") > 0)
-    rk = F.xxhash64(F.col(text_col))
-    out = docs.join(gone, (docs[id_col].cast("long").eqNullSafe(gone["__id"]))
-                    & (rk == gone["__rk"]), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
+        F.col("id").alias("of"), F.col("rk").alias("of_text"), "removed").where(F.size("removed") > 0)
+    named = lambda c: F.col(f"`{c}`")
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), named(id_col).cast("long").alias("id"),
+                       F.xxhash64(named(text_col)).alias("rk"))
+    out = rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("rk") == F.col("of_text")), "left")
+    whole = F.col("row").getField(text_col)
+    lines = F.split(whole, "\n", -1)
     # removed numbers are sorted: a line goes if a look-up finds its number
     kept = F.array_join(F.transform(F.array_except(
-        F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed")),
+        F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")),
         lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(kept)
-    out = out.withColumn(text_col, text)
-    if chars_col:
-        out = out.withColumn(chars_col, F.when(
-            F.col("__removed").isNull(), F.col(chars_col)).otherwise(
-            F.char_length(text_col).cast(docs.schema[chars_col].dataType)))
-    return out.select(*docs.columns)
+    out = out.select("row", F.when(F.col("removed").isNull(), whole).otherwise(kept).alias("left"),
+                     F.col("removed").isNotNull().alias("cut"))
+
+    def column(c):
+        old = F.col("row").getField(c)
+        if c == text_col:
+            old = F.col("left")
+        elif c == chars_col:
+            old = F.when(F.col("cut"), F.char_length("left").cast(docs.schema[c].dataType)).otherwise(old)
+        return old.alias(c)
+    return out.select(*map(column, docs.columns))

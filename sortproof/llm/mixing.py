@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from sortproof.llm.frames import WORD, cut
 
 _BINS = 256
+_DEAL = 10_000          # rows that one step of dealing out equal rows makes at most
 
 
 def _random(seed: int):
@@ -75,17 +76,16 @@ def _crossing(rows: DataFrame, per: DataFrame, bin_col: str) -> DataFrame:
         F.coalesce("at_before", F.col("before")).alias("before"))
 
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 1,
+def shares(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 1,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weight_col: str | None = None) -> DataFrame:
-    """One row per input row: (id, source, text_key, size, source_size, target, copies, taken).
+    """One row per id, text, source (and weight): (id, source, text_key, size, source_size,
+    target, rows, sure, more): each of its ``rows`` equal rows is taken ``sure`` times, and
+    ``more`` of them once more.
 
-    size: words of the text (null: 0); taken: copies * size.  ``weight_col``
-    multiplies a document's inclusion odds (null counts as 1, 0 or less comes
-    last).  A document without words has no copy unless all of its source is
-    certain.  Rows that repeat an id and a text tie in the ranking and are taken
-    one by one; text_key is the text's hash.  Other columns are ignored; an empty
-    table gives an empty one.
+    size: words of the text (null: 0); text_key: its hash.  ``weight_col`` multiplies a
+    document's inclusion odds (null counts as 1, 0 or less comes last).  A document
+    without words has no copy unless all of its source is certain.
     """
     weight = F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col else F.lit(1.0)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
@@ -96,7 +96,10 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0
                  F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                  _random(seed).alias("u"))
     rank = F.when(F.col("weight") > 0, odds / (1 + odds)).otherwise(F.lit(1.0))
-    d = cut(d.select("id", "source", "text_key", "size", rank.alias("y")))
+    # equal rows tie: they are ranked once, as ``rows`` of one size, and dealt out at the end
+    one = ["id", "source", "text_key", "one_size", "y"]
+    d = cut(d.select("id", "source", "text_key", F.col("size").alias("one_size"), rank.alias("y")).groupBy(*one).agg(
+        F.count("*").alias("rows"))).withColumn("size", F.col("one_size") * F.col("rows"))
     d = d.withColumn("b1", F.least(F.floor(F.col("y") * _BINS), F.lit(_BINS - 1)).cast("int")) \
         .withColumn("b2", F.least(F.floor(F.col("y") * _BINS * _BINS), F.lit(_BINS * _BINS - 1)).cast("int"))
     s = targets(d, weights, share, cap)
@@ -113,32 +116,67 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0
     # documents of the last bin, in exact order; the others are in or out as a bin
     run = Window.partitionBy("source").orderBy("y", "id", "text_key") \
         .rowsBetween(Window.unboundedPreceding, -1)
+    # of equal rows the first ones go in: row k (from 0) if ahead + k size + size / 2 <= left
+    room = F.expr("cast(floor(2 * left) as bigint) - one_size - 2 * ahead")
+    fit = F.when(room < 0, F.lit(0)).when(F.col("one_size") == 0, F.col("rows")).otherwise(
+        F.least(F.col("rows"), F.expr("(cast(floor(2 * left) as bigint) - one_size - 2 * ahead) div (2 * one_size) + 1")))
     last = j.where(edge).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0))) \
-        .withColumn("more", ((F.col("left") > 0) & (F.col("ahead") + F.col("size") / 2 <= F.col("left"))).cast("long"))
+        .withColumn("more", F.when(F.col("left") > 0, fit).otherwise(F.lit(0)).cast("long"))
     rest = j.where(~edge).withColumn("ahead", F.lit(0).cast("long")).withColumn(
-        "more", ((F.col("left") > 0) & (F.col("b2") < F.col("b2_at"))).cast("long"))
-    copies = F.col("sure") + F.col("more")
-    return rest.unionByName(last).select(
-        "id", "source", "text_key", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"))
+        "more", F.when((F.col("left") > 0) & (F.col("b2") < F.col("b2_at")), F.col("rows")).otherwise(F.lit(0)).cast("long"))
+    return rest.unionByName(last).select("id", "source", "text_key", F.col("one_size").alias("size"), "source_size",
+                                         "target", "rows", "sure", "more")
+
+
+def _each(df: DataFrame, n: str, out: str) -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``out``; in two steps, as ``n`` may be large."""
+    d = df.withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {_DEAL}"))))
+    return d.withColumn(out, F.explode(F.expr(
+        f"sequence({out} * {_DEAL}, least({n}, ({out} + 1) * {_DEAL}) - 1)")))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """One row per input row: (id, source, text_key, size, source_size, target, copies, taken).
+
+    size: words of the text (null: 0); taken: copies * size.  Options are those of
+    ``shares``.  Rows that are equal in id, text and source tie; ``more`` of them, and it
+    makes no difference which, have one copy above the others.  Null ids and sources are
+    values of their own; other columns are ignored; an empty table gives an empty one.
+    """
+    d = _each(shares(docs, **options), "rows", "k")
+    copies = F.col("sure") + (F.col("k") < F.col("more")).cast("long")
+    return d.select("id", "source", "text_key", "size", "source_size", "target", copies.alias("copies"),
+                    (copies * F.col("size")).alias("taken"))
 
 
 def repeat(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it, all columns kept."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    # rows that repeat an id and a text share their copies, which are dealt out in turn
-    m = mix(docs, **options).groupBy("id", "text_key").agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__rows")) \
-        .withColumnsRenamed({"id": "__id", "text_key": "__key"})
-    j = docs.join(m, docs[id_col].cast("long").eqNullSafe(m["__id"])
-                  & (F.xxhash64(F.col(text_col)) == m["__key"]))
-    one = j.where("__rows = 1").withColumn("__n", F.col("__copies"))
-    turn = Window.partitionBy("__id", "__key").orderBy(F.monotonically_increasing_id())
-    many = j.where("__rows > 1").withColumn("__at", F.row_number().over(turn)).withColumn(
-        "__n", F.expr("__copies div __rows + if(__at <= __copies % __rows, 1, 0)")).drop("__at")
-    both = one.unionByName(many).where("__n > 0")
-    return both.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))) \
-        .select(*docs.columns)
+    """``docs`` with every row as often as the mix takes it, all columns kept.
+
+    Copies go by id, text and source, nulls included; of rows that are equal in these but
+    not in other columns, those with the least hash of all columns have the copies above
+    the others.  Columns may have any name; an empty table stays one.
+    """
+    names = [options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))]
+    m = shares(docs, **options).groupBy(F.col("id").alias("i"), F.col("text_key").alias("t"), F.col("source").alias("s")).agg(
+        F.sum("rows").alias("rows"), F.first("sure").alias("sure"), F.sum("more").alias("more"))
+    named = lambda c: F.col(f"`{c}`")
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), named(names[0]).cast("long").alias("id"),
+                       F.xxhash64(named(names[1]).cast("string")).alias("text_key"),
+                       named(names[2]).cast("string").alias("source"))
+    j = rows.join(m, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("t"))
+                  & F.col("source").eqNullSafe(F.col("s"))).drop("i", "t", "s")
+    # a tie matters only where some of it have a copy more: there, rows that are equal
+    # throughout are counted, and the counts dealt out in order of their hash
+    split = (F.col("more") > 0) & (F.col("more") < F.col("rows"))
+    plain = j.where(~split).withColumn("copies", F.col("sure") + (F.col("more") > 0).cast("long"))
+    tie = ["id", "text_key", "source"]
+    tied = j.where(split).groupBy(*tie, F.xxhash64(F.to_json("row")).alias("h")).agg(
+        F.first("row").alias("row"), F.count("*").alias("n"), F.first("sure").alias("sure"), F.first("more").alias("more"))
+    before = Window.partitionBy(*tie).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    extra = F.greatest(F.lit(0), F.least(F.col("n"), F.col("more") - F.coalesce(F.sum("n").over(before), F.lit(0))))
+    tied = tied.withColumn("copies", F.col("sure") * F.col("n") + extra)
+    both = plain.select("row", "copies").unionAll(tied.select("row", "copies")).where("copies > 0")
+    return _each(both, "copies", "k").select("row.*")
 
 
 SQL = r"""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sortproof.llm.components import connected_components
-from sortproof.llm.frames import cut, map_arrow
+from sortproof.llm.frames import cut, map_arrow, slices
 
 SEED = 42
 
@@ -71,7 +71,7 @@ def _fingerprinter(text: str, shingle: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, text)):
             at = b.schema.get_field_index(text)
             data = b.column(at).cast(pa.binary()).to_pylist()
             fp = np.fromiter((fingerprint_of(x, shingle) for x in data), np.uint64, len(data))
@@ -166,21 +166,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null ids come last; of equal ids, and in a group without any, the row with the
     least hash of its columns stays.  Rows are told apart by group and content, never
-    by id: unrelated texts that share an id, or have none, stay each.
+    by id: unrelated texts that share an id, or have none, stay each.  Columns may have
+    any name; maps inside other types do not tell rows apart.  An empty table stays one.
     """
     if not 0 <= max_bits < 64:
         raise ValueError("max_bits must be in 0..63")
-    cols = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
-    every = [*cols, *(c.isNull() for c in cols)]        # a null alone does not change a hash
-    rows = docs.withColumns({"__h1": F.xxhash64(*every), "__h2": F.xxhash64(F.lit(1), *every)})
-    fps = map_arrow(rows.select(F.col(id_col).cast("long").alias("id"), "__h1", "__h2",
-                                F.col(text_col).cast("string").alias("text")),
-                    _fingerprinter("text", shingle), "id long, __h1 long, __h2 long, fp long")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    # a null alone does not change a hash; a map is hashed as its entries in order
+    flat = [F.array_sort(F.map_entries(f"`{c}`")) if t.startswith("map<") else F.col(f"`{c}`") for c, t in docs.dtypes]
+    every = [x for c in flat if "map<" not in docs.select(c).dtypes[0][1] for x in (c, c.isNull())]
+    rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(*every).alias("h1"), F.xxhash64(F.lit(1), *every).alias("h2"))
+    fps = map_arrow(rows.select("id", "h1", "h2", "text"), _fingerprinter("text", shingle),
+                    "id long, h1 long, h2 long, fp long", trim=True)
     classes = cut(fps.groupBy("fp").agg(F.min(F.struct(
-        F.col("id").isNull().alias("none"), "id", "__h1", "__h2")).alias("least")))
+        F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("least")))
     comp = cut(connected_components(links(classes, max_bits)))
     best = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left") \
-        .groupBy(F.coalesce("component", "fp").alias("__root")).agg(F.min("least").alias("least")) \
-        .select("__root", "least.__h1", "least.__h2")
+        .groupBy(F.coalesce("component", "fp").alias("root")).agg(F.min("least").alias("least")) \
+        .select("root", "least.h1", "least.h2")
     # rows that are equal in every column are left once
-    return rows.join(best, ["__h1", "__h2"]).dropDuplicates(["__root"]).select(*(f"`{c}`" for c in docs.columns))
+    return rows.select("row", "h1", "h2").join(best, ["h1", "h2"]).dropDuplicates(["root"]).select("row.*")

@@ -456,7 +456,8 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Null and empty texts are scored as one empty sentence.  With ``keep_columns``
     the rows come back as they are with columns ``toxic_score`` and
-    ``toxic_predicted`` added (or replaced).  Repeated rows repeat.
+    ``toxic_predicted`` added (or replaced), whatever their other columns are called.
+    Repeated rows repeat; an empty table gives an empty one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -467,11 +468,11 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
         m = sent.value
         known, value = pa.array([], pa.string()), np.zeros(0, np.float32)
         for whole in batches:
-            for b in slices(whole, "__text", 8 << 20):
+            for b in slices(whole, text, 8 << 20):
                 if m.landmarks is None:
                     top = np.zeros((b.num_rows, 2))
                 else:
-                    vocab, at, first, rows = _read(b.column("__text"))
+                    vocab, at, first, rows = _read(b.column(text).cast(pa.string()))
                     vocab = pa.array(vocab, pa.string())
                     found = pc.index_in(vocab, value_set=known)
                     new = np.asarray(pc.is_null(found))
@@ -486,18 +487,18 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     total = np.add.reduceat(f[at].astype(np.float64), first) + m.bias
                     top = _top_two(total, rows, m.bias)
                 p = m.probability(top)
-                cols = [b.column(i) for i, c in enumerate(b.schema.names) if c != "__text"]
-                names = [c for c in b.schema.names if c != "__text"]
+                cols = b.columns if keep_columns else [b.column("id")]
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))],
-                    names=[*names, "__score", "__predicted"])
+                    [*cols, pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=names)
 
-    text = F.col(text_col).cast("string").alias("__text")
     if keep_columns:
-        d = docs.drop("toxic_score", "toxic_predicted")
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema)
-        out = map_arrow(d.select("*", text), run, f"{fields}, __score double, __predicted int")
-        return out.withColumnsRenamed({"__score": "toxic_score", "__predicted": "toxic_predicted"})
-    d = docs.select(F.col(id_col).alias("id"), text)
-    kind = d.schema["id"].dataType.simpleString()
-    return map_arrow(d, run, f"id {kind}, __score double, __predicted int").toDF("id", "score", "predicted")
+        d, text = docs.drop("toxic_score", "toxic_predicted"), text_col
+        if d.schema[text_col].dataType.simpleString() != "string":
+            raise ValueError(f"{text_col} must be a string column to keep the others")
+        names = [*d.columns, "toxic_score", "toxic_predicted"]
+    else:
+        d, text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "text"
+        names = ["id", "score", "predicted"]
+    kept = d if keep_columns else d.select("id")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return map_arrow(d, run, f"{fields}, `{names[-2]}` double, `{names[-1]}` int", trim=keep_columns)

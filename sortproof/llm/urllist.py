@@ -3,7 +3,7 @@
 A list is a log of entries (list, pattern, action, day): pattern is a host or a
 parent domain, or one of these with a path prefix of whole segments
 (``example.com/a/b``); action ``add`` puts it on the list from that day's start on,
-``remove`` takes it off.  The log becomes validity intervals: an entry holds from
+``remove`` takes it off; days start at midnight UTC.  The log becomes validity intervals: an entry holds from
 an ``add`` until the pattern's next event.  A capture (url, time) is judged by the
 entries active at its time: of all active ones the longest pattern decides, and
 at one pattern ``allow`` goes before ``block``.
@@ -51,14 +51,16 @@ def intervals(log: DataFrame) -> DataFrame:
     # the last action of a day counts ('remove' > 'add')
     e = e.groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
     nxt = Window.partitionBy("list", "pattern").orderBy("day")
+    # a day starts at midnight UTC, whatever the session's time zone
+    start = lambda day: F.timestamp_seconds(F.unix_date(day).cast("long") * 86400)
     return e.withColumn("next", F.lead("day").over(nxt)).where("action = 'add'").select(
-        "list", "pattern", F.col("day").cast("timestamp").alias("valid_from"),
-        F.col("next").cast("timestamp").alias("valid_to"))
+        "list", "pattern", start("day").alias("valid_from"), start("next").alias("valid_to"))
 
 
-def patterns(url: str | Column) -> Column:
+def patterns(url: str | Column, depth: int | None = None) -> Column:
     """All patterns that name a URL: its host and parent domains of two labels or
-    more (the bare host if it has one label), each also with every path prefix."""
+    more (the bare host if it has one label), each also with every path prefix, up to
+    ``depth`` segments if given."""
     h, path = host(url), F.regexp_extract(url, _PATH, 1)
     labels = F.split(h, r"\.")
     n = F.size(labels)
@@ -66,7 +68,8 @@ def patterns(url: str | Column) -> Column:
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, n), ".")))
     steps = F.filter(F.split(path, "/"), lambda s: s != "")
-    prefixes = F.transform(F.sequence(F.lit(0), F.size(steps)),
+    deepest = F.size(steps) if depth is None else F.least(F.size(steps), F.lit(depth))
+    prefixes = F.transform(F.sequence(F.lit(0), deepest),
                            lambda i: F.concat_ws("/", F.lit(""), F.slice(steps, 1, i)))
     return F.when(h == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.flatten(
         F.transform(domains, lambda d: F.transform(prefixes, lambda p: F.concat(d, p))))))
@@ -83,8 +86,10 @@ def judge(captures: DataFrame, log: DataFrame, id_col: str = "page_id", url_col:
     c = captures.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
         F.col(url_col).cast("string").alias("url"), F.col(time_col).cast("timestamp").alias("fetched"))
-    c = c.select("row", "id", "fetched", F.explode_outer(patterns("url")).alias("pattern"))
     v = intervals(log).withColumnRenamed("pattern", "p")
+    # no pattern has more segments than the deepest of the log, so longer prefixes match nothing
+    depth = v.agg(F.max(F.length("p") - F.length(F.replace("p", F.lit("/"), F.lit(""))))).first()[0] or 0
+    c = c.select("row", "id", "fetched", F.explode_outer(patterns("url", depth)).alias("pattern"))
     j = c.join(v, on=[
         c.pattern == v.p, c.fetched >= v.valid_from,
         F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to"))], how="left")

@@ -96,3 +96,14 @@ def test_clean_keeps_rows_and_columns(spark):
     text = sorted((r.doc_id, r.text) for r in got.collect())
     assert text == [(1, "keep this first line\nand a second one"),
                     (2, "something new and longer"), (3, None), (4, ""), (4, "")]
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    line = "one two three four five six"
+    rows = [(1, f"{line}\nown line of the first", "a", 1, 2, 3, 9), (None, f"other words here\n{line}", "b", 1, 2, 3, 9),
+            (2, line, "c", 1, 2, 3, 9), (3, None, "d", 1, 2, 3, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, __removed string, __id int, __rk int, row int, n_chars int")
+    got = {r["__removed"]: r for r in L.clean(d, chars_col="n_chars").collect()}
+    assert got["a"].text == rows[0][1] and got["a"].n_chars == 9 and got["c"].text == "" and got["c"].n_chars == 0
+    assert got["b"].text == "other words here" and got["b"].n_chars == 16 and got["d"].text is None
+    assert L.clean(d).dtypes == d.dtypes

@@ -107,3 +107,45 @@ def test_repeat_rows_and_empty(spark):
     assert M.repeat(spark.createDataFrame([], DDL)).count() == 0
     zero = M.mix(df(spark, [(1, None, None), (2, "", "a")])).collect()
     assert [(r.size, r.target, r.taken) for r in zero] == [(0, 0.0, 0)] * 2
+
+
+def test_one_document_in_two_sources(spark):
+    """Copies go to the source that the mix gave them to."""
+    rows = [(1, "a b c", "x")] * 4 + [(1, "a b c", "y")] * 4
+    d = df(spark, rows)
+    for options in ({}, {"weights": (1, 5), "share": 0.7, "cap": 1.0}, {"weights": (5, 2), "share": 1.3}):
+        want, got = defaultdict(int), defaultdict(int)
+        for r in M.mix(d, **options).collect():
+            want[r.source] += r.copies
+        for r in M.repeat(d, **options).collect():
+            got[r.source] += 1
+        assert got == {k: v for k, v in want.items() if v}
+
+
+def test_equal_rows_are_ranked_once(spark, monkeypatch):
+    """A third of all rows equal (null id, null text) or equal and long: dealt out, not windowed."""
+    monkeypatch.setattr(M, "_DEAL", 7)
+    rows = [(None, None, "x")] * 300 + [(5, "one two three", "x")] * 400 + [(i, "w " * (i % 9), "x") for i in range(10, 200)]
+    d = df(spark, rows)
+    assert M.shares(d, share=0.6, cap=1.0).count() == 192
+    got = M.mix(d, weights=(1,), share=0.6, cap=1.0).collect()
+    assert len(got) == len(rows)
+    words = sum(len((t or "").split()) for _, t, _ in rows)
+    assert abs(sum(r.taken for r in got) - 0.6 * words) <= 4.5
+    copies = defaultdict(int)
+    for r in got:
+        copies[r.id] += r.copies
+    back = defaultdict(int)
+    for r in M.repeat(d, weights=(1,), share=0.6, cap=1.0).collect():
+        back[r.doc_id] += 1
+    assert back == {k: v for k, v in copies.items() if v}
+
+
+def test_repeat_keeps_columns_of_any_name(spark):
+    names = "doc_id long, text string, source string, __rows int, __n int, row int, copies int, k int, m map<string,int>"
+    rows = [(i % 3, f"t {i % 2}", "s", i, 1, 2, 3, 4, {"a": i % 2}) for i in range(40)]
+    d = spark.createDataFrame(rows, names)
+    out = M.repeat(d, weights=(1,), share=0.75, cap=1.0)
+    assert out.columns == d.columns
+    assert set(map(str, out.collect())) <= set(map(str, d.collect()))
+    assert out.count() == sum(r.copies for r in M.mix(d, weights=(1,), share=0.75, cap=1.0).collect())

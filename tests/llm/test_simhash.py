@@ -130,3 +130,23 @@ def test_keep_one_keeps_a_row_of_every_group(spark):
     assert all(r.doc_id == least[of[r.text]] for r in kept)
     again = S.keep_one(df_of(spark, rows[::-1]).repartition(5)).collect()
     assert sorted(map(str, kept)) == sorted(map(str, again))                # whatever the order
+
+
+def test_keep_one_keeps_columns_of_any_name_and_maps(spark):
+    names = "doc_id long, text string, __h1 string, h1 int, root int, id int, m map<string,int>"
+    rows = [(1, "alpha beta gamma delta", "mine", 5, 6, 7, {"a": 1, "b": 2}),
+            (1, "alpha beta gamma delta", "mine", 5, 6, 7, {"a": 1, "b": 3}),
+            (2, "something else entirely here", None, None, 6, 7, None)]
+    d = spark.createDataFrame(rows, names)
+    out = S.keep_one(d)
+    assert out.dtypes == d.dtypes
+    first = [sorted(map(str, S.keep_one(d.repartition(n)).collect())) for n in (1, 3, 5)]
+    assert first[0] == first[1] == first[2] and len(first[0]) == 2
+    assert "'mine'" in "".join(first[0])
+
+
+def test_texts_beyond_a_slice(spark):
+    long = "word other thing " * 1_200_000                    # over 16 MB
+    d = spark.createDataFrame([(1, long), (2, long), (3, "short text")], "doc_id long, text string")
+    got = {r.id: r.component_id for r in S.near_duplicates(d).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}

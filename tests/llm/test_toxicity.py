@@ -131,3 +131,17 @@ def test_one_text_of_a_repeated_id_reaches_the_driver(spark, monkeypatch):
     docs = spark.createDataFrame([(1, f"copy {i:03d}") for i in range(200)] + [(2, "b")], "doc_id long, text string")
     T.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
     assert got == [(["b", "copy 000"], [0, 1])]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    texts, y = corpus(60, 3)
+    model = T.fit_texts(texts, y)
+    names = "__text string, __score int, __predicted int, score int, text string, id long, m map<string,int>"
+    rows = [(f"own {i}", i, 2, 3, t, i, {"a": i}) for i, t in enumerate(texts)] + [(None, 1, 2, 3, None, None, None)]
+    d = spark.createDataFrame(rows, names)
+    out = T.score(model, d, keep_columns=True)
+    assert out.columns == [*d.columns, "toxic_score", "toxic_predicted"]
+    plain = {r.id: r.score for r in T.score(model, d, id_col="id").collect()}
+    back = out.collect()
+    assert {r.id: r.toxic_score for r in back} == plain
+    assert sorted(str(r[:7]) for r in back) == sorted(str(tuple(r)) for r in d.collect())

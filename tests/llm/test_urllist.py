@@ -78,3 +78,29 @@ def test_empty(spark):
     assert U.judge(c, e).count() == 0
     one = spark.createDataFrame([(1, "http://a.com", datetime(2023, 1, 1), "", "", "")], DDL)
     assert [r.blocked for r in U.judge(one, e).collect()] == [False]
+
+
+def test_days_start_in_utc_whatever_the_session(spark):
+    log = spark.createDataFrame([("block", "x.com", "add", "2024-03-05")], "list string, pattern string, action string, day string")
+    caps = spark.createDataFrame([(1, "http://x.com/a", 1709596800), (2, "http://x.com/a", 1709596799)],
+                                 "page_id long, url string, s long").selectExpr(
+        "page_id", "url", "timestamp_seconds(s) as fetched")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert {r.id: r.blocked for r in U.judge(caps, log).select("id", "blocked").collect()} == {1: True, 2: False}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_long_urls_explode_to_the_depth_of_the_log_only(spark):
+    log = spark.createDataFrame([("block", "x.com/s0/s1", "add", "2024-01-01"), ("allow", "x.com", "add", "2024-01-01")],
+                                "list string, pattern string, action string, day string")
+    url = "http://www.x.com/" + "/".join(f"s{i}" for i in range(2000))
+    caps = spark.createDataFrame([(1, url), (2, "http://x.com/s1/s0")], "page_id long, url string").selectExpr(
+        "*", "timestamp'2024-02-01 00:00:00' as fetched")
+    assert {r.id: r.pattern for r in U.judge(caps, log).select("id", "pattern").collect()} == {
+        1: "x.com/s0/s1", 2: "x.com"}
+    sizes = caps.select(U.F.size(U.patterns("url", 2)).alias("n")).collect()
+    assert [r.n for r in sizes] == [6, 3]
