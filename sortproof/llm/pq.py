@@ -9,10 +9,15 @@ exact error of the reconstruction.
 
 Sufficient probes: if y lies in the list of c, x is at most the length of y - x
 along c - c0 beyond the plane half-way between its own centroid c0 and c.  x probes
-every list for which that is possible for a step of ``r`` in that direction, which no
-linked pair exceeds: no pair is lost, whatever directions the differences prefer.
-(With ``sigmas`` the step is ``r * min(1, sigmas / sqrt(dim))``, ``dim`` the length of
-x: less work, but pairs may be missed where differences lie along few directions.)
+every list for which that is possible for a step in that direction of at most ``r``,
+which no linked pair exceeds.  How much of r a difference takes in a direction u is
+measured: ``QUERIES`` vectors, drawn by hash, are compared with all others, and their
+linked differences, each at length 1 and each query counting once, give the mean square M
+of their parts in every direction; the step is ``r * min(1, spread * sqrt(u' M u))``.
+Where differences lie along few directions it is r in these, and where no query has a
+link it is r throughout.  ``spread=None`` takes r in all directions: no pair is lost, at
+the price of nearly all lists probed.
+(With ``sigmas`` the step is ``r * min(1, sigmas / sqrt(dim))``, ``dim`` the length of x.)
 A pair is met once, in the list of the later centroid.  In a list, the
 asymmetric distance from x to the code of y (table look-ups per subspace) less the
 error of y is a lower bound of |x - y|; pairs above r are dropped, which loses
@@ -35,8 +40,10 @@ from pyspark.sql import functions as F
 from sortproof.llm.components import connected_components
 from sortproof.llm.frames import cut, map_arrow
 
-#: Vectors that the quantisers are fitted on, at most.
-SAMPLE = 16_384
+#: Vectors that the quantisers are fitted on, and that links are measured on, at most.
+SAMPLE, QUERIES = 16_384, 512
+#: Links of a query in one batch whose differences are taken; the others count by weight.
+TAKEN = 8
 
 
 def _kmeans(x, k, rounds=8, seed=7):
@@ -65,6 +72,7 @@ class Index:
     def __init__(self, sample, lists: int, subspaces: int, codes: int = 256):
         import numpy as np
         self.dim = sample.shape[1]
+        self.spread = None          # mean square parts of linked differences times spread^2
         self.coarse = _kmeans(sample, min(lists, len(sample)))
         rest = sample - self.coarse[_nearest(sample, self.coarse)]
         edges = np.linspace(0, self.dim, min(subspaces, self.dim) + 1).astype(int)
@@ -84,6 +92,11 @@ class Index:
             near[:, a:z] = self.books[m][codes[:, m]]
         return at, codes, np.sqrt(((rest - near) ** 2).sum(1))
 
+    def measured(self, m, spread: float) -> None:
+        """Limit steps to ``spread`` times the root of u' m u in direction u."""
+        self.spread = m * spread * spread
+        self.spread_norm = ((self.coarse @ self.spread) * self.coarse).sum(1)
+
     def probes(self, x, at, r):
         """(row, list) for every later list that may hold a vector within r (one per row) of the row."""
         import numpy as np
@@ -96,7 +109,13 @@ class Index:
             over = norm[None] - 2 * part @ c.T               # less |x|^2, which cancels
             over -= over[np.arange(len(part)), own][:, None]
             gap = np.sqrt(np.maximum(norm[own][:, None] + norm[None] - 2 * c[own] @ c.T, 0))
-            near = over <= 2 * (r[i:i + 512, None] + 1e-9) * gap + 1e-9
+            reach = (r[i:i + 512, None] + 1e-9) * gap
+            if self.spread is not None:
+                # (c - c0)' M (c - c0), as the norms are from products
+                mc = c[own] @ self.spread
+                part_of = (mc * c[own]).sum(1)[:, None] + self.spread_norm[None] - 2 * mc @ c.T
+                reach = np.minimum(reach, r[i:i + 512, None] * np.sqrt(np.maximum(part_of, 0)) + 1e-9)
+            near = over <= 2 * reach + 1e-9
             near &= np.arange(len(c))[None] > own[:, None]
             a, b = np.nonzero(near)
             rows.append(a + i)
@@ -107,13 +126,16 @@ class Index:
         """Squared distances of rows x to the reconstructions of codes in one list."""
         import numpy as np
         rest = x - self.coarse[list_no]
-        out = np.zeros((len(x), len(codes)))
-        for m, (a, z) in enumerate(self.parts):
-            book = self.books[m]
-            q = rest[:, a:z]
-            table = (q * q).sum(1)[:, None] + (book * book).sum(1)[None] - 2 * q @ book.T
-            out += table[:, codes[:, m]]
-        return out
+        out = np.empty((len(codes), len(x)))
+        for i in range(0, len(x), 128):             # tables of 128 rows stay in the cache
+            part = np.zeros((len(codes), len(rest[i:i + 128])))
+            for m, (a, z) in enumerate(self.parts):
+                book = self.books[m]
+                q = rest[i:i + 128, a:z]
+                table = (book * book).sum(1)[:, None] + (q * q).sum(1)[None] - 2 * book @ q.T
+                part += table[codes[:, m]]
+            out[:, i:i + 128] = part
+        return out.T
 
 
 def _matrix(column, dim):
@@ -206,15 +228,22 @@ def _grouper(sent, threshold, r):
         step = 1024
         for s in range(0, len(seek), step):
             q = seek[s:s + step]
-            bound = np.sqrt(np.maximum(ix.adc(x[q], list_no, code), 0)) - err[mine][None]
-            near = (bound <= r + 1e-6) & (size[q][:, None] == size[mine][None])
+            far = (err[mine] + (r + 1e-6)) ** 2
+            near = (ix.adc(x[q], list_no, code) <= far[None]) & (size[q][:, None] == size[mine][None])
             if same:                                    # each pair of the block once
                 near &= np.arange(s, s + len(q))[:, None] < np.arange(len(mine))[None]
             if not near.any():
                 continue
             rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
-            cos = x[q[rows]] @ x[mine[cols]].T
-            link = (cos >= threshold) & near[np.ix_(rows, cols)]
+            i, j = np.nonzero(near)
+            if len(i) * 8 > len(rows) * len(cols):
+                link = (x[q[rows]] @ x[mine[cols]].T >= threshold) & near[np.ix_(rows, cols)]
+            else:                                       # few pairs: only their cosines
+                good = np.concatenate([np.zeros(0, bool)] + [
+                    (x[q[i[k:k + 65536]]] * x[mine[j[k:k + 65536]]]).sum(1) >= threshold
+                    for k in range(0, len(i), 65536)])
+                link = np.zeros((len(rows), len(cols)), bool)
+                link[np.searchsorted(rows, i[good]), np.searchsorted(cols, j[good])] = True
             a, b = _forest(ids[q[rows]], ids[mine[cols]], link)
             out[0].append(np.concatenate([a, ids[q[rows]], ids[mine[cols]]]))
             out[1].append(np.concatenate([b, np.full(len(rows) + len(cols), -1)]))
@@ -226,9 +255,73 @@ def _grouper(sent, threshold, r):
     return run
 
 
+def _linked(b, ask, dim, threshold):
+    """(unit rows of a batch, which of them link with each query but itself)."""
+    import numpy as np
+    x = _unit(b.column("v"), dim)
+    cos = x @ ask["x"].T
+    same = np.asarray(b.column("size"), np.int64)[:, None] == ask["size"][None]
+    own = np.asarray(b.column("id"), np.int64)[:, None] == ask["id"][None]
+    return x, (cos >= threshold) & same & ~own
+
+
+def _directions(entries: DataFrame, dim: int, threshold: float):
+    """Mean square parts of linked differences (dim x dim), None if no query has a link.
+
+    The queries are compared with all vectors in two passes: links are counted, then the
+    differences summed, a query's by one over its links.  Sums meet in 16 tasks, then one.
+    """
+    import numpy as np
+    spark = entries.sparkSession
+    got = entries.orderBy(F.xxhash64(F.lit(5), "id")).limit(QUERIES).toArrow()
+    ask = {"x": _unit(got.column("v"), dim), "id": np.asarray(got.column("id"), np.int64),
+           "size": np.asarray(got.column("size"), np.int64)}
+    sent = spark.sparkContext.broadcast(ask)
+
+    def batches_of(batches):
+        return (w.slice(i, 1024) for w in batches for i in range(0, w.num_rows, 1024))
+
+    def count(batches):
+        import pyarrow as pa
+        n = np.zeros(len(sent.value["id"]), np.int64)
+        for b in batches_of(batches):
+            n += _linked(b, sent.value, dim, threshold)[1].sum(0)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["q", "n"])
+    links = np.zeros(len(ask["id"]))
+    for r in map_arrow(entries, count, "q long, n long").groupBy("q").agg(F.sum("n").alias("n")).collect():
+        links[r.q] = r.n
+    if not links.any():
+        return None
+    weight = spark.sparkContext.broadcast(np.divide(1.0, links, out=np.zeros(len(links)), where=links > 0))
+
+    def squares(batches):
+        import pyarrow as pa
+        total = np.zeros((dim, dim))
+        for b in batches_of(batches):
+            x, link = _linked(b, sent.value, dim, threshold)
+            n = link.sum(0)
+            i, j = np.nonzero(link & (np.cumsum(link, axis=0) <= TAKEN))
+            d = x[i] - sent.value["x"][j]
+            size = (d * d).sum(1)
+            w = weight.value[j] * n[j] / np.minimum(n[j], TAKEN) / np.where(size > 1e-18, size, np.inf)
+            total += (d * w[:, None]).T @ d
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+
+    def add(batches):
+        import pyarrow as pa
+        total = sum((np.frombuffer(m, np.float64) for b in batches for m in b.column("m").to_pylist()),
+                    np.zeros(dim * dim))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+    sums = map_arrow(map_arrow(entries, squares, "m binary").repartition(16), add, "m binary")
+    total = map_arrow(sums.repartition(1), add, "m binary").first()["m"]
+    return np.frombuffer(bytes(total), np.float64).reshape(dim, dim) / (links > 0).sum()
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     threshold: float = 0.9, per_list: int = 1024, max_lists: int = 8192,
-                    subspaces: int = 8, block: int = 2048, sigmas: float | None = None) -> DataFrame:
+                    subspaces: int = 8, block: int = 2048, sigmas: float | None = None,
+                    spread: float | None = 4.0) -> DataFrame:
     """One row per input row: (id, n_links, component_id).
 
     n_links: other vectors with a cosine of ``threshold`` or more; component_id: the
@@ -259,8 +352,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             .select("v").limit(SAMPLE).toArrow()
         x = _unit(sample.column("v"), dim)
         index = Index(x, max(1, min(max_lists, len(x), round(total / per_list))), subspaces)
-        sent = spark.sparkContext.broadcast(index)
         entries = classes.select(F.col("rep").alias("id"), "n", F.size("v").alias("size"), "v")
+        if spread is not None and sigmas is None and len(index.coarse) > 1:
+            squares = _directions(entries, dim, threshold)
+            if squares is not None:
+                index.measured(squares, spread)
+        sent = spark.sparkContext.broadcast(index)
         coded = cut(map_arrow(entries, _encoder(sent, r, sigmas),
                               f"id long, n long, size int, v array<{kind}>, list long, member boolean, "
                               "code binary, err double"))

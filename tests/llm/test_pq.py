@@ -120,7 +120,7 @@ def test_recall_of_probes_in_many_dimensions(spark):
     links = sum(n for _, n, _ in want)
     assert links > 400 and sum(n for _, n, _ in got) >= 0.99 * links
     assert all(a[1] <= b[1] for a, b in zip(got, want))
-    assert run(spark, rows, threshold=0.9, per_list=10, sigmas=None) == want
+    assert run(spark, rows, threshold=0.9, per_list=10, spread=None) == want
 
 
 def test_no_pair_is_lost_where_differences_lie_along_few_directions(spark):
@@ -148,3 +148,40 @@ def test_a_stray_long_vector_does_not_shorten_the_step():
     got = pa.Table.from_batches(pq._encoder(sent, np.sqrt(0.2), 3.0)([batch])).to_pydict()
     assert {(i, c) for i, c, m in zip(got["id"], got["list"], got["member"]) if not m} == \
         set(zip(*(v.tolist() for v in want)))
+
+
+def families(n, members, dim, rank, length, seed):
+    """n unit vectors and near copies of each; differences of a length along ``rank`` directions."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(n, dim))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    way = np.linalg.qr(rng.normal(size=(dim, dim)))[0][:rank]
+    d = rng.normal(size=(n, members, rank)) @ way
+    d *= length / np.linalg.norm(d, axis=2, keepdims=True)
+    return np.concatenate([base, (base[:, None] + d).reshape(-1, dim)]).astype(np.float32)
+
+
+@pytest.mark.parametrize("rank", [64, 2])
+def test_recall_by_queries_against_all_rows(spark, rank):
+    """Many lists, differences near the limit: links of every vector whose id is divisible by 50."""
+    x = families(1500, 3, 64, rank, 0.43, 6)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    got = {i: n for i, n, _ in run(spark, rows, threshold=0.9, per_list=60)}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    asked = np.arange(0, len(u), 50)
+    true = (u[asked] @ u.T >= 0.9).sum(1) - 1
+    found = np.array([got[i] for i in asked])
+    assert (found <= true).all() and true.sum() > 100 and found.sum() >= 0.99 * true.sum()
+
+
+def test_measured_directions(spark):
+    x = families(400, 3, 32, 2, 0.3, 7)
+    d = spark.createDataFrame([(i, 1, 32, [float(a) for a in v]) for i, v in enumerate(x)],
+                              "id long, n long, size int, v array<float>")
+    m = pq._directions(d, 32, 0.9)
+    values = np.sort(np.linalg.eigvalsh(m))[::-1]
+    assert values[:2].sum() > 0.9 and abs(values.sum() - 1) < 1e-9
+    apart = spark.createDataFrame([(i, 1, 32, [float(k == i) for k in range(32)]) for i in range(32)],
+                                  "id long, n long, size int, v array<float>")
+    assert pq._directions(apart, 32, 0.9) is None
