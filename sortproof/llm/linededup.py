@@ -33,7 +33,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import cut, map_arrow, slices, store, words
+from sortproof.llm.frames import map_arrow, slices, store, words
 
 #: log2 of the word counter's and the candidate filter's size.
 COUNTER_BITS = 20
@@ -93,7 +93,7 @@ def rarity(docs: DataFrame, text_col: str = "text"):
     int32 array of fixed size, counted over all texts."""
     import numpy as np
     d = docs.select(F.col(text_col).cast("string").alias("text"))
-    parts = map_arrow(d, _counter, "chunk int, counts binary")
+    parts = map_arrow(d, _counter, "chunk int, counts binary", trim=True)
     summed = parts.groupBy("chunk").applyInArrow(_sum_chunks, "chunk int, counts binary")
     total = np.zeros(((1 << COUNTER_BITS) // _CHUNK, _CHUNK), np.int64)
     for r in summed.toLocalIterator():                  # 64 rows of fixed size
@@ -337,7 +337,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = spark.sparkContext.broadcast(rarity(d))
     read = store(map_arrow(d, _reader(order, threshold),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                           " size int, sketch long, line long, least long, match long, prefix array<int>"))
+                           " size int, sketch long, line long, least long, match long, prefix array<int>",
+                           trim=True))
     rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
                  .dropDuplicates(["id", "rk"]))
     at = rows.select("id", "rk", F.posexplode(F.arrays_zip("sigs", "sigs2")).alias("no", "s")) \
@@ -379,7 +380,8 @@ def _matches(d, read, first, order, threshold):
     def early(k):
         n = F.col(f"{k}_size")
         return F.col(f"{k}_pos") <= n - F.ceil(n * F.lit(2 * r / (1 + r)) - 1e-9)
-    pairs = cut(x.join(y, on=[
+    # compressed tables: these are the largest of the join
+    pairs = store(x.join(y, on=[
         F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
         ~(F.col("x_settled") & F.col("y_settled")), differ + 2 * need <= both, ahead >= need,
         F.when(F.col("x_size") <= F.col("y_size"), early("x")).otherwise(early("y")),
@@ -390,8 +392,8 @@ def _matches(d, read, first, order, threshold):
     wanted = spark.sparkContext.broadcast(_filter_bits(lines))
     del entries, probe, x, y
     found = map_arrow(d.select("text"), _finder(order, wanted),
-                      "sig long, sig2 long, wide array<long>, tokens array<long>")
-    sets = cut(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
+                      "sig long, sig2 long, wide array<long>, tokens array<long>", trim=True)
+    sets = store(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
         F.first("wide").alias("wide"), F.first("tokens").alias("tokens")))
     named = first.join(ends, "sig", "left_semi").select("sig", "sig2", F.col("first").alias("at"))
 
@@ -403,7 +405,7 @@ def _matches(d, read, first, order, threshold):
         .where(~F.when(late, F.col("x_settled")).otherwise(F.col("y_settled"))).select(
         F.when(late, key("x")).otherwise(key("y")).alias("b"), F.when(late, key("y")).otherwise(key("x")).alias("a"),
         "differ")
-    todo = cut(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "differ"))
+    todo = store(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "differ"))
 
     # the wide sketch first: 64 bytes a set instead of all its words
     sketches = sets.select("sig", "sig2", "wide", F.size("tokens").alias("n"))
@@ -411,7 +413,7 @@ def _matches(d, read, first, order, threshold):
     both = F.col("a_n") + F.col("b_n")
     todo = todo.drop("differ").join(side("b", sketches), ["b_sig", "b_sig2"]).join(
         side("a", sketches), ["a_sig", "a_sig2"]).withColumn("apart", apart)
-    todo = cut(todo.where(F.col("apart") + 2 * F.ceil(both * F.lit(r / (1 + r)) - 1e-9) <= both)
+    todo = store(todo.where(F.col("apart") + 2 * F.ceil(both * F.lit(r / (1 + r)) - 1e-9) <= both)
                .select("b_sig", "b_sig2", "a_sig", "a_sig2", "apart"))
 
     def verified(p):
@@ -422,7 +424,7 @@ def _matches(d, read, first, order, threshold):
         return t.where(good).select("b_sig", "b_sig2").distinct()
     nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("apart", "a_sig", "a_sig2")).alias("a")) \
         .selectExpr("b_sig", "b_sig2", "a.a_sig", "a.a_sig2")
-    done = cut(verified(nearest))
+    done = store(verified(nearest))
     more = verified(todo.join(done, ["b_sig", "b_sig2"], "left_anti").select(
         "b_sig", "b_sig2", "a_sig", "a_sig2"))
     settled = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
