@@ -32,7 +32,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import cut, map_arrow, slices, unit_hash, words
+from sortproof.llm.frames import cut, give_back, map_arrow, slices, unit_hash, words
 
 WINDOW = 18
 START, STOP = "\x02", "\x03"
@@ -316,20 +316,26 @@ def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=256, chance=0.1)
     return found, [START + mine[w] + STOP for w in more]
 
 
-def _svm(x, y, cost, rounds=30, ridge=1.0):
-    """Linear SVM with squared hinge and unpenalised bias, by Newton steps."""
+def _times(x, w, rows):
+    """Rows of x (single precision) times w (double), without a wide copy of all of them."""
+    import numpy as np
+    return np.concatenate([np.zeros(0)] + [x[rows[i:i + 8192]] @ w for i in range(0, len(rows), 8192)])
+
+
+def _svm(x, rows, y, cost, rounds=30, ridge=1.0):
+    """Linear SVM with squared hinge and unpenalised bias on some rows of x, by Newton steps."""
     import numpy as np
     w = np.zeros(x.shape[1] + 1)
     reg = np.eye(len(w)) * ridge
     reg[-1, -1] = 1e-6
     for _ in range(rounds):
-        live = np.flatnonzero(y * (x @ w[:-1] + w[-1]) < 1)
+        live = np.flatnonzero(y * (_times(x, w[:-1], rows) + w[-1]) < 1)
         if not len(live):
             break
         left, right = reg.copy(), np.zeros(len(w))
         for i in range(0, len(live), 8192):             # no second copy of all sentences
             at = live[i:i + 8192]
-            a = np.column_stack([x[at].astype(float), np.ones(len(at))])
+            a = np.column_stack([x[rows[at]].astype(float), np.ones(len(at))])
             left += (a * cost[at, None]).T @ a
             right += (a * cost[at, None]).T @ y[at]
         new = np.linalg.solve(left, right)
@@ -397,17 +403,20 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
     own = marks.features(marks.strings).astype(float)
     val, vec = np.linalg.eigh((own + own.T) / 2)
     white = vec / np.sqrt(np.maximum(val, 1e-3))[None] @ vec.T
-    parts = [p for v in vocab for p in _windows(v)]
-    n = np.fromiter((len(_windows(v)) for v in vocab), np.int64, len(vocab))
-    feat = np.maximum.reduceat(marks.features(parts), np.cumsum(n) - n)
-    sums = np.empty((len(first), len(marks.strings)), np.float32)
-    ends = np.append(first, len(at))
+    # block by block: neither all windows' features nor the sentences' sums are held
+    feat = np.empty((len(vocab), len(marks.strings)), np.float32)
+    for i in range(0, len(vocab), 4096):
+        forms = [_windows(v) for v in vocab[i:i + 4096]]
+        n = np.fromiter(map(len, forms), np.int64, len(forms))
+        feat[i:i + 4096] = np.maximum.reduceat(marks.features([p for f in forms for p in f]), np.cumsum(n) - n)
+    x = np.empty((len(first), len(marks.strings)), np.float32)
+    rank = np.empty(len(first), np.float32)
+    ends, turn = np.append(first, len(at)), white.astype(np.float32)
     for i in range(0, len(first), 2000):
         j = min(len(first), i + 2000)
-        sums[i:j] = np.add.reduceat(feat[at[ends[i]:ends[j]]], first[i:j] - first[i], axis=0)
-    x = sums @ white.astype(np.float32)
+        sums = np.add.reduceat(feat[at[ends[i]:ends[j]]], first[i:j] - first[i], axis=0)
+        x[i:j], rank[i:j] = sums @ turn, sums[:, :len(like)].sum(1)
     bad = y[doc_of_sent]
-    rank = sums[:, :len(like)].sum(1)
     del sums, feat
     for _ in range(4):
         # of every toxic text its most toxic sentence
@@ -416,8 +425,8 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
         use = np.concatenate([top, np.flatnonzero(~bad)])
         label = np.concatenate([np.ones(len(top)), -np.ones((~bad).sum())])
         cost = np.where(label > 0, min(50.0, (~bad).sum() / len(top)), 1.0)
-        beta, bias = _svm(x[use], label, cost)
-        rank = x @ beta + bias
+        beta, bias = _svm(x, use, label, cost)
+        rank = _times(x, beta, np.arange(len(x))) + bias
     got = _calibrate(_top_two(rank, rows, bias), y.astype(float), np.where(y, 1.0, clean_weight))
     return Model(marks, white @ beta, float(bias), got)
 
@@ -447,7 +456,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         .join(F.broadcast(drawn), "id").where(F.char_length("text") <= max_chars) \
         .groupBy("id", "y").agg(F.min("text").alias("text")).toPandas().sort_values(["y", "id", "text"])
     took = int((got.y == 0).sum())
-    return fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0, landmarks)
+    model = fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0, landmarks)
+    give_back()
+    return model
 
 
 def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
