@@ -316,26 +316,47 @@ def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=256, chance=0.1)
     return found, [START + mine[w] + STOP for w in more]
 
 
-def _times(x, w, rows):
-    """Rows of x (single precision) times w (double), without a wide copy of all of them."""
-    import numpy as np
-    return np.concatenate([np.zeros(0)] + [x[rows[i:i + 8192]] @ w for i in range(0, len(rows), 8192)])
+class _Sentences:
+    """Sums of the words' features of each sentence, made when they are asked for.
+
+    ``feat`` are the words' features, ``at`` the words in order, ``first`` where a sentence
+    begins, ``turn`` a matrix that the sums are multiplied with.
+    """
+
+    def __init__(self, feat, at, first, turn):
+        import numpy as np
+        self.feat, self.at, self.turn = feat, at, turn
+        self.ends = np.append(first, len(at))
+
+    def rows(self, ids):
+        import numpy as np
+        n = self.ends[ids + 1] - self.ends[ids]
+        stop = np.cumsum(n)
+        words = np.arange(stop[-1]) + np.repeat(self.ends[ids] - (stop - n), n)
+        return np.add.reduceat(self.feat[self.at[words]], stop - n, axis=0) @ self.turn
+
+    def times(self, w):
+        """All rows times w: a number a word, summed by sentence."""
+        import numpy as np
+        w = self.turn.astype(float) @ w
+        each = np.concatenate([self.feat[i:i + 8192] @ w for i in range(0, len(self.feat), 8192)])
+        return np.add.reduceat(each[self.at], self.ends[:-1])
 
 
 def _svm(x, rows, y, cost, rounds=30, ridge=1.0):
-    """Linear SVM with squared hinge and unpenalised bias on some rows of x, by Newton steps."""
+    """Linear SVM with squared hinge and unpenalised bias on some sentences, by Newton steps."""
     import numpy as np
-    w = np.zeros(x.shape[1] + 1)
+    w = np.zeros(x.turn.shape[1] + 1)
     reg = np.eye(len(w)) * ridge
     reg[-1, -1] = 1e-6
     for _ in range(rounds):
-        live = np.flatnonzero(y * (_times(x, w[:-1], rows) + w[-1]) < 1)
+        live = np.flatnonzero(y * (x.times(w[:-1])[rows] + w[-1]) < 1)
         if not len(live):
             break
         left, right = reg.copy(), np.zeros(len(w))
-        for i in range(0, len(live), 8192):             # no second copy of all sentences
-            at = live[i:i + 8192]
-            a = np.column_stack([x[rows[at]].astype(float), np.ones(len(at))])
+        for i in range(0, len(live), 2048):             # the sentences' rows are never held whole
+            at = live[i:i + 2048]
+            a = np.column_stack([x.rows(rows[at]).astype(float), np.ones(len(at))])
             left += (a * cost[at, None]).T @ a
             right += (a * cost[at, None]).T @ y[at]
         new = np.linalg.solve(left, right)
@@ -390,7 +411,9 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
     d, w = once // len(vocab), once % len(vocab)
     df = {k: Counter(dict(zip((vocab[i] for i in u.tolist()), n.tolist())))
           for k in (False, True) for u, n in [np.unique(w[y[d] == k], return_counts=True)]}
+    del sent, doc, once, d, w
     found, more = choose_landmarks(df[True], df[False], int(y.sum()), int((~y).sum()), landmarks)
+    give_back()                     # what choosing took, before the features need it
     if not found and not more:
         return Model(None, None, 0.0, (0.0, 0.0, -30.0))
     # the clean words that look most like them
@@ -409,15 +432,10 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
         forms = [_windows(v) for v in vocab[i:i + 4096]]
         n = np.fromiter(map(len, forms), np.int64, len(forms))
         feat[i:i + 4096] = np.maximum.reduceat(marks.features([p for f in forms for p in f]), np.cumsum(n) - n)
-    x = np.empty((len(first), len(marks.strings)), np.float32)
-    rank = np.empty(len(first), np.float32)
-    ends, turn = np.append(first, len(at)), white.astype(np.float32)
-    for i in range(0, len(first), 2000):
-        j = min(len(first), i + 2000)
-        sums = np.add.reduceat(feat[at[ends[i]:ends[j]]], first[i:j] - first[i], axis=0)
-        x[i:j], rank[i:j] = sums @ turn, sums[:, :len(like)].sum(1)
+    x = _Sentences(feat, at, first, white.astype(np.float32))
+    by_like = feat[:, :len(like)].sum(1)
+    rank = np.add.reduceat(by_like[at], first)
     bad = y[doc_of_sent]
-    del sums, feat
     for _ in range(4):
         # of every toxic text its most toxic sentence
         order = np.lexsort((-rank, doc_of_sent))
@@ -426,7 +444,7 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
         label = np.concatenate([np.ones(len(top)), -np.ones((~bad).sum())])
         cost = np.where(label > 0, min(50.0, (~bad).sum() / len(top)), 1.0)
         beta, bias = _svm(x, use, label, cost)
-        rank = _times(x, beta, np.arange(len(x))) + bias
+        rank = x.times(beta) + bias
     got = _calibrate(_top_two(rank, rows, bias), y.astype(float), np.where(y, 1.0, clean_weight))
     return Model(marks, white @ beta, float(bias), got)
 
