@@ -258,8 +258,8 @@ def choose_landmarks(toxic_df, clean_df, n_toxic, n_clean, most=256, chance=0.1)
     key, of = np.unique(h, return_inverse=True)
     tox, cln = np.bincount(of, weights=count[word]), np.zeros(len(key))
     theirs = [w for w in clean_df if len(w) <= WINDOW - 2]
-    for i in range(0, len(theirs), 20_000):
-        part = theirs[i:i + 20_000]
+    for i in range(0, len(theirs), 4_000):
+        part = theirs[i:i + 4_000]
         g, w, _, _ = _substrings(part)
         at = np.minimum(np.searchsorted(key, g), len(key) - 1)
         hit = key[at] == g
@@ -354,8 +354,8 @@ def _svm(x, rows, y, cost, rounds=30, ridge=1.0):
         if not len(live):
             break
         left, right = reg.copy(), np.zeros(len(w))
-        for i in range(0, len(live), 2048):             # the sentences' rows are never held whole
-            at = live[i:i + 2048]
+        for i in range(0, len(live), 512):              # the sentences' rows are never held whole
+            at = live[i:i + 512]
             a = np.column_stack([x.rows(rows[at]).astype(float), np.ones(len(at))])
             left += (a * cost[at, None]).T @ a
             right += (a * cost[at, None]).T @ y[at]
@@ -426,6 +426,7 @@ def fit_texts(texts, toxic, clean_weight: float = 1.0, landmarks: int = 256) ->
     own = marks.features(marks.strings).astype(float)
     val, vec = np.linalg.eigh((own + own.T) / 2)
     white = vec / np.sqrt(np.maximum(val, 1e-3))[None] @ vec.T
+    del df, seen, near
     # block by block: neither all windows' features nor the sentences' sums are held
     feat = np.empty((len(vocab), len(marks.strings)), np.float32)
     for i in range(0, len(vocab), 4096):
@@ -474,7 +475,10 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         .join(F.broadcast(drawn), "id").where(F.char_length("text") <= max_chars) \
         .groupBy("id", "y").agg(F.min("text").alias("text")).toPandas().sort_values(["y", "id", "text"])
     took = int((got.y == 0).sum())
-    model = fit_texts(got.text.tolist(), got.y.tolist(), n.get(0, 0) / took if took else 1.0, landmarks)
+    texts, marked = got.text.tolist(), got.y.tolist()
+    del got
+    give_back()
+    model = fit_texts(texts, marked, n.get(0, 0) / took if took else 1.0, landmarks)
     give_back()
     return model
 
