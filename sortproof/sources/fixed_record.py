@@ -312,9 +312,10 @@ class FixedRecordReader(DataSourceReader):
 
 def _wanted_keys(options):
     from sortproof.sources.key_index import KeyRange
-    lo, hi, keys = (options.get(k) for k in ("key_from", "key_to", "keys"))
-    return KeyRange(bytes.fromhex(lo) if lo is not None else None, bytes.fromhex(hi) if hi is not None else None,
-                    [bytes.fromhex(k) for k in json.loads(keys)] if keys is not None else None)
+    lo, hi, keys, ranges = (options.get(k) for k in ("key_from", "key_to", "keys", "key_ranges"))
+    plain = lambda x: None if x is None else bytes.fromhex(x)
+    return KeyRange(plain(lo), plain(hi), [bytes.fromhex(k) for k in json.loads(keys)] if keys is not None else None,
+                    [tuple(map(plain, r)) for r in json.loads(ranges)] if ranges is not None else None)
 
 
 class PrunedFixedRecordReader(FixedRecordReader):
@@ -604,7 +605,7 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
                        ranges=None, columns=None, sample_per_split: int = 0,
                        sample_seed: int = 0, engine: str = "auto",
                        key_from: bytes | None = None, key_to: bytes | None = None,
-                       keys=None) -> DataFrame:
+                       keys=None, key_ranges=None) -> DataFrame:
     """``(key, value, file, pos)`` of every record under ``path``.
 
     ``ranges``: optional list of ``(file, first_record, count)`` to read only
@@ -618,10 +619,12 @@ def read_fixed_records(spark: SparkSession, path: str, key_length: int = R.KEY_L
     ``engine``: ``jvm`` reads the whole dataset without Python workers, ``python`` by
     the data source; ``auto`` takes the first where it can (``scans_in_jvm``).
     """
-    # key_from, key_to and keys only choose blocks by the index; key_index.read_key_range filters
+    # key_from, key_to, keys and key_ranges only choose blocks by the index; key_index.read_key_range filters
     by_key = {"key_from": None if key_from is None else key_from.hex(),
               "key_to": None if key_to is None else key_to.hex(),
-              "keys": json.dumps([k.hex() for k in keys]) if keys is not None else None}
+              "keys": json.dumps([k.hex() for k in keys]) if keys is not None else None,
+              "key_ranges": None if key_ranges is None else json.dumps(
+                  [[None if x is None else x.hex() for x in r] for r in key_ranges])}
     if engine not in ("auto", "jvm", "python"):
         raise ValueError("engine must be 'auto', 'jvm' or 'python'")
     whole = ranges is None and not sample_per_split and not any(v is not None for v in by_key.values())

@@ -144,9 +144,14 @@ def blocks_of_range(keys: list, lo: Optional[bytes], hi: Optional[bytes]) -> ran
 
 def blocks_of_keys(keys: list, wanted: Iterable[bytes]) -> list:
     """Runs of neighbouring blocks (as ranges) that may hold any of the wanted keys."""
+    return blocks_of_ranges(keys, [(k, k) for k in sorted(wanted)])
+
+
+def blocks_of_ranges(keys: list, ranges: Iterable[tuple]) -> list:
+    """Runs of neighbouring blocks that may hold keys in any of the rising ranges [lo, hi]."""
     out: list = []
-    for k in sorted(wanted):
-        got = blocks_of_range(keys, k, k)
+    for lo, hi in ranges:
+        got = blocks_of_range(keys, lo, hi)
         if not len(got):
             continue
         if out and got.start <= out[-1].stop:
@@ -157,10 +162,10 @@ def blocks_of_keys(keys: list, wanted: Iterable[bytes]) -> list:
 
 
 class KeyRange:
-    """What is known of the wanted keys: [lo, hi], and possibly a list of them."""
+    """What is known of the wanted keys: [lo, hi], and possibly a list of them or of ranges."""
 
-    def __init__(self, lo: Optional[bytes] = None, hi: Optional[bytes] = None, keys=None):
-        self.lo, self.hi, self.keys = lo, hi, None
+    def __init__(self, lo: Optional[bytes] = None, hi: Optional[bytes] = None, keys=None, ranges=None):
+        self.lo, self.hi, self.keys, self.ranges = lo, hi, None, ranges
         if keys is not None:
             self.only(keys)
 
@@ -178,16 +183,21 @@ class KeyRange:
         self.hi = hi if self.hi is None else min(self.hi, hi)
 
     def known(self) -> bool:
-        return self.lo is not None or self.hi is not None or self.keys is not None
+        return any(x is not None for x in (self.lo, self.hi, self.keys, self.ranges))
 
     def meets(self, first: bytes, last: bytes) -> bool:
         if self.keys is not None and not any(first <= k <= last for k in self.keys):
             return False
+        if self.ranges is not None and not any(
+                (lo is None or last >= lo) and (hi is None or first <= hi) for lo, hi in self.ranges):
+            return False
         return (self.lo is None or last >= self.lo) and (self.hi is None or first <= self.hi)
 
     def runs(self, keys: list) -> list:
         if self.keys is not None:
             return blocks_of_keys(keys, self.keys)
+        if self.ranges is not None:
+            return blocks_of_ranges(keys, self.ranges)
         got = blocks_of_range(keys, self.lo, self.hi)
         return [got] if len(got) else []
 
@@ -233,6 +243,18 @@ def read_key_range(spark: SparkSession, path: str, lo: Optional[bytes] = None, h
     return d if keys is None else d.where(F.col("key").isin(keys) if keys else F.lit(False))
 
 
+def read_key_ranges(spark: SparkSession, path: str, ranges: Iterable[tuple], **options) -> DataFrame:
+    """Records with lo <= key < hi for one of the ``(lo, hi)``, which rise and do not overlap
+    (a list that fits the driver; None is open), in one scan of the blocks that may hold them."""
+    ranges = [tuple(None if x is None else bytes(x) for x in r) for r in ranges]
+    d = FR.read_fixed_records(spark, path, engine="python", key_ranges=ranges, **options)
+    test = F.lit(False)
+    for lo, hi in ranges:
+        above = F.lit(True) if lo is None else F.col("key") >= F.lit(lo)
+        test = test | (above if hi is None else above & (F.col("key") < F.lit(hi)))
+    return d.where(test)
+
+
 def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "key") -> DataFrame:
     """``(key, value, file, pos)`` of every record whose key is in a table of keys.
 
