@@ -464,7 +464,7 @@ def partition_checks(summary: DataFrame) -> DataFrame:
         F.coalesce(prev <= F.col("first_key"), F.lit(True)).alias("prev_le_first"))
 
 
-def _report(summary: DataFrame, mis: DataFrame) -> DataFrame:
+def report_from_summary(summary: DataFrame, mis: DataFrame) -> DataFrame:
     """``(kind, file, detail)`` of file summaries and misorders."""
     mis = mis.select(F.lit("error").alias("kind"), "file", "detail")
     bnd = boundary_errors(summary).select(F.lit("error").alias("kind"), "file", "detail")
@@ -484,7 +484,7 @@ def report_from_runs(runs: DataFrame, names: Optional[DataFrame] = None) -> Data
     if names is not None:
         names = names.select(_file_name(names, "file").alias("file"), "name")
         runs = runs.join(names, "file").withColumn("file", F.col("name")).drop("name")
-    return _report(summary_from_runs(runs), misorders_from_runs(runs))
+    return report_from_summary(summary_from_runs(runs), misorders_from_runs(runs))
 
 
 # F11-F14 ----------------------------------------------------------------------------
@@ -509,7 +509,7 @@ def validate(df: DataFrame, key: str = "key", file: str = "file", pos: str = "po
     elif method == "window":
         summary = file_summary(df, key, file, pos, value, columns, method="agg")
         mis = misorders(df, key, file, pos, block_rows)
-        report = _report(summary, mis)
+        report = report_from_summary(summary, mis)
     else:
         raise ValueError("method must be 'scan' or 'window'")
     if raise_on_error:
