@@ -11,9 +11,11 @@ from typing import Callable, Dict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sortproof import incremental as IC
 from sortproof import jobs
 from sortproof.functions import counts as C
 from sortproof.functions import records as R
+from sortproof.operators import digests as DG
 from sortproof.operators import generate as G
 from sortproof.operators import hotkeys as HK
 from sortproof.operators import inversions as IV
@@ -575,11 +577,17 @@ def hot_keys(spark, sf_dir):
 def changed_rows(spark, sf_dir):
     """The orders against a copy with rows left out, changed and repeated: what differs."""
     o = X.order_records(spark, sf_dir)
+    return _shown_changes(RC.changed_rows(o, _changed_orders(o), ["key", "value"]))
+
+
+def _changed_orders(o: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     changed = o.where(k % 1009 != 5).withColumn(
         "value", F.when(k % 1013 == 7, X.padded_value(k)).otherwise(F.col("value")))
-    after = changed.unionAll(changed.where(k % 1019 == 9))
-    d = RC.changed_rows(o, after, ["key", "value"])
+    return changed.unionAll(changed.where(k % 1019 == 9))
+
+
+def _shown_changes(d: DataFrame) -> DataFrame:
     return d.select("side", _hex("key", "key_hex"), F.col("value").cast("string").alias("value_text"), "copies")
 
 
@@ -589,6 +597,52 @@ def inversions(spark, sf_dir):
     return d.select("file", "rows", F.col("inversions").cast("string").alias("inversions"))
 
 
+#: Leaves of the digest trees: one for every first byte of a key.
+_FIRST_BYTES = [bytes([i]) for i in range(1, 256)]
+
+
+def differing_ranges(spark, sf_dir):
+    """Key ranges in which the orders and a changed copy differ, by their digest trees."""
+    o = X.order_records(spark, sf_dir)
+    trees = [DG.digest_tree(d.select("key", "value"), _FIRST_BYTES) for d in (o, _changed_orders(o))]
+    return DG.differing_leaves(*trees).select("leaf", _hex("lo", "lo_hex"), _hex("hi", "hi_hex"), "rows_before",
+                                              "rows_after")
+
+
+def changed_rows_tree(spark, sf_dir):
+    """The rows that differ between two sorted datasets, by stored trees and key indexes:
+    only the ranges of unequal leaves are read again."""
+    o = X.order_records(spark, sf_dir)
+    paths, trees = [], []
+    for d in (o, _changed_orders(o)):
+        path = new_output_path(spark, "orders-sorted")
+        FR.write_fixed_records(S.total_order_sort(d, Q.P, "prefix7"), path)
+        KI.build_key_index(spark, path, block_rows=Q.INDEX_ROWS)
+        stored = new_output_path(spark, "tree")
+        DG.save_tree(DG.digest_tree(FR.read_fixed_records(spark, path, columns=["key", "value"]), _FIRST_BYTES), stored)
+        paths.append(path)
+        trees.append(DG.load_tree(spark, stored))
+    before, after = [lambda ranges, path=path: KI.read_key_ranges(spark, path, ranges, columns=["key", "value"])
+                     for path in paths]
+    return _shown_changes(DG.changed_in_ranges(before, after, DG.differing_leaves(*trees), ["key", "value"]))
+
+
+def validate_incremental(spark, sf_dir):
+    """Report of a dataset that arrives in three batches, the last one out of order; every
+    batch is read once, when it has arrived."""
+    o = X.order_records(spark, sf_dir)
+    out, state = new_output_path(spark, "batches"), new_output_path(spark, "state")
+    report = None
+    for batch, order in enumerate(("key", "key", "o_orderkey")):
+        d = PT.assign_partition(o.where(F.col("o_orderkey") % 3 == batch), 2, "prefix7")
+        d = PT.route(d, 2).sortWithinPartitions(order, "key")
+        FR.write_fixed_records(d.select("key", "value"), f"{out}/{'abc'[batch]}")
+        report = IC.validate_incremental(spark, out, state)
+    base = ".*/sortproof-batches-[0-9a-f]*/"
+    return report.select("kind", F.regexp_replace("file", base, "").alias("file"),
+                         F.regexp_replace("detail", "[^ ]*/sortproof-batches-[0-9a-f]*/", "").alias("detail"))
+
+
 def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "range_splits": range_splits,
@@ -656,4 +710,7 @@ def catalog() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hot_keys": hot_keys,
         "changed_rows": changed_rows,
         "inversions": inversions,
+        "differing_ranges": differing_ranges,
+        "changed_rows_tree": changed_rows_tree,
+        "validate_incremental": validate_incremental,
     }

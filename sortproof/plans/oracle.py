@@ -515,8 +515,7 @@ FROM (SELECT count(*) AS n FROM lineitem), range(1, {p}) t(i)"""
     sql["hot_keys"] = f"""
 SELECT concat_ws('|', lang, source) AS key, count(*)::BIGINT AS rows FROM documents
 GROUP BY ALL HAVING count(*) > {Q.HOT_SHARE} * (SELECT count(*) FROM documents)"""
-    sql["changed_rows"] = f"""
-WITH {ORDER_RECS},
+    changed = f"""{ORDER_RECS},
 changed AS (
   SELECT o_orderkey, key, CASE WHEN o_orderkey % 1013 = 7 THEN rpad(CAST(o_orderkey AS VARCHAR), 90, ' ')
     ELSE value END AS value FROM recs WHERE o_orderkey % 1009 <> 5
@@ -526,8 +525,30 @@ new AS (SELECT key, value FROM changed UNION ALL SELECT key, value FROM changed
 d AS (
   SELECT 'before' AS side, * FROM (FROM old EXCEPT ALL FROM new)
   UNION ALL SELECT 'after', * FROM (FROM new EXCEPT ALL FROM old)
-)
+)"""
+    sql["changed_rows"] = f"""
+WITH {changed}
 SELECT side, key AS key_hex, value AS value_text, count(*)::BIGINT AS copies FROM d GROUP BY ALL"""
+    sql["changed_rows_tree"] = sql["changed_rows"]
+    byte = "('0x' || substr(key, 1, 2))::BIGINT"
+    sql["differing_ranges"] = f"""
+WITH {changed},
+n AS (
+  SELECT leaf, sum(x)::BIGINT AS rows_before, sum(y)::BIGINT AS rows_after
+  FROM (SELECT {byte} AS leaf, 1 AS x, 0 AS y FROM old UNION ALL SELECT {byte}, 0, 1 FROM new) GROUP BY leaf
+)
+SELECT leaf, CASE WHEN leaf > 0 THEN printf('%02X', leaf) END AS lo_hex,
+       CASE WHEN leaf < 255 THEN printf('%02X', leaf + 1) END AS hi_hex, rows_before, rows_after
+FROM n WHERE leaf IN (SELECT {byte} FROM d)"""
+    sql["validate_incremental"] = f"""
+WITH o AS (SELECT * FROM (WITH {ORDER_RECS} SELECT * FROM recs)),
+recs AS (
+  SELECT chr(97 + (o_orderkey % 3)::INTEGER) || '/part-' || lpad(CAST(pid AS VARCHAR), 10, '0') AS file, key, value,
+         row_number() OVER (PARTITION BY o_orderkey % 3, pid
+                            ORDER BY CASE WHEN o_orderkey % 3 = 2 THEN o_orderkey END, key) AS pos
+  FROM (SELECT *, {prefix_pid("prefix7", 2)} AS pid FROM o)
+),
+""" + sql["validate_report"].removeprefix(f"\nWITH {EVENT_RECS},\n")
     sql["inversions"] = f"""
 WITH {EVENT_RECS},
 inv AS (
