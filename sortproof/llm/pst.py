@@ -15,10 +15,10 @@ pairs rarer than ``least`` goes to the suffix too, so each distribution sums to
 A position is scored in the state of its longest retained suffix.
 
 The tree is a table a level, one row per context; a level is pruned by joining it
-with the one below.  Grams that make up ``p_min`` of all positions (at most
-1 / p_min of them) are scored from a broadcast table, the others walk down the
-levels by joins, each distinct gram once: ``p_min`` decides where a gram is looked
-up, not its score.
+with the one below.  The most frequent grams (1 / p_min of them at most) are
+scored from a broadcast table, the others walk down the levels by joins, each
+distinct gram once: ``p_min`` decides where a gram is looked up, not its score.  Texts are scored in slices of a task of about ``SLICE`` bytes: a
+slice asks for each of its other grams once, and its texts meet the answers again.
 
 Base score: add-one word counts.  Words that make up ``p_min`` of the tokens (at
 most 1 / p_min of them, up to 64 bytes long) are looked up in a broadcast table,
@@ -38,6 +38,10 @@ from sortproof.llm.frames import cut, map_arrow, slices, store, words
 END = 10
 #: Words longer than this never enter the broadcast table.
 SHORT_WORD = 64
+#: Bytes of text whose rare grams are asked for together (a longer text is one slice).
+SLICE = 32 << 20
+#: Grams a row of a slice's request.
+REQUEST = 1 << 16
 
 
 def _bytes(batch, column="text"):
@@ -81,9 +85,9 @@ def _gram_counter(depth):
                 codes.append(c)
                 counts.append(n)
                 held += len(c)
-                if held > 1_000_000:
+                if held > 4_000_000:
                     codes, counts = _merge(codes, counts)
-                    if len(codes[0]) > 500_000:      # more than fit: hand on and go on
+                    if len(codes[0]) > 2_000_000:    # more than fit (16 bytes each): hand on and go on
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(codes[0]), pa.array(counts[0])], names=["code", "n"])
                         codes, counts = [], []
@@ -201,28 +205,31 @@ def _slot(codes, k, bits):
 
 
 def _table(codes, values):
-    """Two hash tables (keys, values); what fits in neither is left to the joins."""
+    """Two hash tables (bits, keys, values); what fits in neither is left to the joins.
+
+    Each has 4 to 8 slots of 16 bytes for a code that is offered to it, 2^22 at most:
+    72 MB for a million codes.
+    """
     import numpy as np
-    bits = max(8, min(22, int(len(codes)).bit_length() + 2))
     out, left = [], np.arange(len(codes))
     for k in range(2):
+        bits = max(8, min(22, len(left).bit_length() + 2))
         keys, vals = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float64)
         s = _slot(codes[left], k, bits)
         keys[s] = codes[left]
         won = keys[s] == codes[left]
         vals[s[won]] = values[left[won]]
-        out.append((keys, vals))
+        out.append((bits, keys, vals))
         left = left[~won]
-    return bits, out
+    return out
 
 
 def _look_up(top, codes):
     """Scores of the codes in the hash tables, 0 elsewhere, and which codes are in them."""
     import numpy as np
-    bits, tables = top
     out, known = np.zeros(len(codes)), np.zeros(len(codes), bool)
     todo = np.arange(len(codes))
-    for keys, vals, k in ((*t, k) for k, t in enumerate(tables)):
+    for k, (bits, keys, vals) in enumerate(top):
         s = _slot(codes[todo], k, bits)
         hit = keys[s] == codes[todo]
         out[todo[hit]] = vals[s[hit]]
@@ -236,7 +243,7 @@ class Model:
     depth: int
     root: object                    # log10 probability of each byte
     levels: list                    # [depth 1..]: tables (ctx, held, weight, y, n, lp)
-    top: tuple                      # finished scores of the frequent full-depth grams
+    top: tuple                      # the frequent full-depth grams: codes, finished scores
     tokens: int                     # training tokens, ends included
     kinds: int                      # distinct training tokens
     texts: int                      # training texts: the count of the end token
@@ -304,14 +311,27 @@ def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float =
                                 "lp array<double>")))
         below = levels[-1]
     usual = below.select("ctx", F.explode(F.arrays_zip("y", "n", "lp")).alias("x")) \
-        .where(F.col("x.n") >= max(1, math.ceil(p_min * positions))) \
-        .selectExpr("shiftleft(ctx, 8) | x.y as code", "x.lp as lp").toArrow()      # 1 / p_min rows at most
-    table = _table(np.asarray(usual.column("code").combine_chunks(), np.int64),
-                   np.asarray(usual.column("lp").combine_chunks(), np.float64))
-    return Model(depth, root, levels, table, tokens, kinds, texts, counts,
+        .selectExpr("shiftleft(ctx, 8) | x.y as code", "x.n as n", "x.lp as lp")
+    usual = usual.where(F.col("n") >= _floor(usual, int(1 / p_min))).select("code", "lp").toArrow()
+    top_grams = (np.asarray(usual.column("code").combine_chunks(), np.int64),
+                 np.asarray(usual.column("lp").combine_chunks(), np.float64))
+    return Model(depth, root, levels, top_grams, tokens, kinds, texts, counts,
                  (top.column("word").combine_chunks(), top.column("n").combine_chunks()), often)
 
 
+def _floor(grams: DataFrame, most: int) -> int:
+    """A count that at most ``most`` grams reach, by a histogram of 16 bins a power of 2."""
+    bins = grams.groupBy(F.floor(F.log2("n") * 16).alias("bin")) \
+        .agg(F.count("*").alias("size"), F.min("n").alias("n")).orderBy(F.desc("bin")).collect()
+    floor = (1 << 63) - 1
+    for b in bins:                                                  # 16 * 63 rows at most
+        most -= b["size"]
+        if most < 0:
+            break
+        floor = b.n
+    return floor
+
+
 def _mask(size):
     return (1 << (8 * size)) - 1
 
@@ -335,6 +355,20 @@ def _walk(model: Model, grams: DataFrame) -> DataFrame:
     return out
 
 
+def _requests(asked, first, kinds):
+    """Rows that ask for the distinct codes of a slice, named by its first row's key."""
+    import numpy as np
+    import pyarrow as pa
+    codes = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
+    for at in range(0, len(codes), REQUEST):
+        some = codes[at:at + REQUEST]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()),
+             pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), pa.array(some)),
+             *(pa.nulls(1, kind) for _, kind in kinds)],
+            names=["slice", "grams", *(name for name, _ in kinds)])
+
+
 def _scorer(model):
     def run(batches):
         import numpy as np
@@ -344,10 +378,13 @@ def _scorer(model):
         freq_words, freq_n = m["frequent"]
         freq = np.log10((np.asarray(freq_n, np.float64) + 1) / m["denominator"])
         end = math.log10((m["texts"] + 1) / m["denominator"])
+        top = _table(*m["top"])
+        first, held, asked, kinds = None, 0, [], []
         for whole in batches:
             for b in slices(whole, "text", 2 << 20):
+                if first is None:
+                    first = b.column("key")[0].as_py()
                 flat, offs = words(b.column("text"))
-                rows = b.num_rows
                 coded = flat.dictionary_encode()
                 at = np.asarray(coded.indices, np.int64)
                 found = pc.index_in(coded.dictionary, value_set=freq_words)
@@ -361,18 +398,50 @@ def _scorer(model):
                 tail_offs = offs - known[offs]
                 lists = pa.ListArray.from_arrays(
                     pa.array(tail_offs.astype(np.int32)), flat.filter(pa.array(tail)))
-                codes, starts = _codes(_bytes(b), m["depth"])
-                lp, seen = _look_up(m["top"], codes)
-                tree = np.add.reduceat(lp, starts)
-                left = np.concatenate([[0], np.cumsum(~seen)])[np.append(starts, len(codes))]
-                others = pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(codes[~seen]))
-                yield pa.RecordBatch.from_arrays([
+                docs = _bytes(b)
+                codes, starts = _codes(docs, m["depth"])
+                lp, seen = _look_up(top, codes)
+                open_ = np.logical_or.reduceat(~seen, starts)
+                out = pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(starts), first)), pa.nulls(len(starts), pa.list_(pa.int64())),
                     b.column("key"), b.column("id"), pa.array(n + 1),
                     pa.array(known[offs[1:]] - known[offs[:-1]] + (m["texts"] > 0)),
-                    pa.array(total[offs[1:]] - total[offs[:-1]] + end), pa.array(tree),
-                    pc.binary_join(lists, " "), others],
-                    names=["key", "id", "n_tokens", "n_known", "base", "score", "rare", "grams"])
-                assert rows == len(starts)
+                    pa.array(total[offs[1:]] - total[offs[:-1]] + end),
+                    pa.array(np.add.reduceat(lp, starts)), pc.binary_join(lists, " "),
+                    pa.array([d if o else None for d, o in zip(docs, open_)], pa.binary())],
+                    names=["slice", "grams", "key", "id", "n_tokens", "n_known", "base", "score", "rare", "body"])
+                yield out
+                kinds = [(f.name, f.type) for f in out.schema][2:]
+                if not seen.all():
+                    asked.append(np.unique(codes[~seen]))
+                held += len(codes)
+                if held >= SLICE:
+                    yield from _requests(asked, first, kinds)
+                    first, held, asked = None, 0, []
+        yield from _requests(asked, first, kinds)
+    return run
+
+
+def _finisher(model):
+    """What the rare grams add to the texts of a slice, given their scores."""
+    def run(texts, answers):
+        import numpy as np
+        import pyarrow as pa
+        m = model.value
+        top = _table(*m["top"])
+        grams = np.asarray(answers.column("gram").combine_chunks(), np.int64)
+        order = np.argsort(grams)
+        grams, lps = grams[order], np.asarray(answers.column("lp").combine_chunks(), np.float64)[order]
+        keys, deep = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for whole in texts.select(["key", "body"]).combine_chunks().to_batches():
+            for b in slices(whole, "body", 2 << 20):
+                codes, starts = _codes(b.column("body").to_pylist(), m["depth"])
+                rest = np.flatnonzero(~_look_up(top, codes)[1])
+                lp = np.zeros(len(codes))
+                lp[rest] = lps[np.searchsorted(grams, codes[rest])]
+                keys.append(np.asarray(b.column("key")))
+                deep.append(np.add.reduceat(lp, starts))
+        return pa.table({"key": np.concatenate(keys), "deep": np.concatenate(deep)})
     return run
 
 
@@ -393,17 +462,19 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id",
     d = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
                     F.col(text_col).cast("string").alias("text"))
     kind = d.schema["id"].dataType.simpleString()
-    rows = store(map_arrow(d, _scorer(sent), f"key long, id {kind}, n_tokens long, n_known long, base double, "
-                                             "score double, rare string, grams array<bigint>"))
+    both = store(map_arrow(d, _scorer(sent), f"slice long, grams array<bigint>, key long, id {kind}, "
+                           "n_tokens long, n_known long, base double, score double, rare string, body binary"))
+    rows = both.where("key is not null")
     rare = rows.where("rare <> ''").select("key", F.explode(F.split("rare", " ")).alias("word"))
     less = model.counts.where(~((F.col("n") >= model.least)
                                 & (F.octet_length("word") <= SHORT_WORD)))
     found = rare.join(less, "word", "left").groupBy("key").agg(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(denominator)))).alias("more"),
         F.count("n").alias("also"))
-    others = rows.select("key", F.explode("grams").alias("gram"))
-    walked = others.join(_walk(model, others.select("gram").distinct()), "gram") \
-        .groupBy("key").agg(F.sum("lp").alias("deep"))
+    asked = both.where("key is null").select(F.col("slice").alias("asker"), F.explode("grams").alias("gram"))
+    answers = store(asked.join(_walk(model, asked.select("gram").distinct()), "gram"))
+    walked = rows.where("body is not null").select("slice", "key", "body").groupBy("slice") \
+        .cogroup(answers.groupBy("asker")).applyInArrow(_finisher(sent), "key long, deep double")
     return rows.join(found, "key", "left").join(walked, "key", "left").select(
         "id", "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),

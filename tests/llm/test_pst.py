@@ -118,3 +118,35 @@ def test_contexts_are_kept_by_count_whatever_their_share(spark):
             pairs.update(s[i - k:i + 1] for i in range(k, len(s)))
         want = {int.from_bytes(g[:-1], "big") for g, n in pairs.items() if n >= 2}
         assert {r.ctx for r in model.levels[k - 1].select("ctx").collect()} == want
+
+
+def test_slices_and_ties_of_texts(spark, monkeypatch):
+    train, test = corpus(4, 80), corpus(6, 60) + ["a" * 5000, "", None] + corpus(6, 60)[:20]
+    model = pst.fit(df(spark, train), p_min=1e-3)
+    assert 0 < len(model.top[0]) <= 1000
+    top = pst._table(*model.top)
+    assert all(1 << bits == len(keys) == len(vals) for bits, keys, vals in top)
+    whole = {r.id: r.score for r in pst.score(model, df(spark, test)).collect()}
+    batch = pst._scorer(type("", (), {"value": {
+        "depth": model.depth, "top": model.top, "frequent": model.frequent, "texts": model.texts,
+        "denominator": 1.0}}))
+    import pyarrow as pa
+    table = pa.RecordBatch.from_pydict({"key": list(range(len(test))), "id": list(range(len(test))), "text": test})
+    monkeypatch.setattr(pst, "REQUEST", 50)
+    monkeypatch.setattr(pst, "SLICE", 1000)
+    out = [b for n in range(0, len(test), 10) for b in [table.slice(n, 10)]]
+    out = pa.Table.from_batches(list(batch(iter(out)))).to_pylist()
+    asked, rows = [r for r in out if r["key"] is None], [r for r in out if r["key"] is not None]
+    assert len(rows) == len(test) and len({r["slice"] for r in rows}) > 3
+    want = {}
+    for r in asked:
+        assert 0 < len(r["grams"]) <= 50
+        assert not want.setdefault(r["slice"], set()) & set(r["grams"])          # asked for once
+        want[r["slice"]] |= set(r["grams"])
+    tree = model.tree
+    for r in rows:
+        codes, _ = pst._codes([b" ".join(w.encode() for w in words(test[r["id"]]))], 6)
+        known = pst._look_up(top, codes)[1]
+        assert set(codes[~known].tolist()) <= want.get(r["slice"], set())
+        assert (r["body"] is None) == bool(known.all())
+        assert math.isclose(whole[r["id"]], tree.score(codes).sum(), rel_tol=1e-9)
