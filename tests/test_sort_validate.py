@@ -203,3 +203,30 @@ def test_sparse_positions_use_windows_of_file_and_block(spark):
     assert [r.kind for r in rep.collect()] == ["checksum"]
     plan = V.misorders(df, block_rows=100_000)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "hashpartitioning(block" in plan
+
+
+@pytest.mark.parametrize("method", ["prefix7", "prefix3", "sampled"])
+def test_a_large_partition_is_sorted_in_ranges(spark, monkeypatch, method):
+    """What one task sorts is bounded, whatever the number of partitions asked for."""
+    monkeypatch.setattr(S, "RANGE_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(S, "SMALL_ROWS", 100, raising=False)
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 100 == 0, F.lit(None)).otherwise(
+            F.unhex(F.substring(F.md5((F.col("id") % 9000).cast("string")), 1, 20))).alias("key"),
+        F.lit(b"v" * 90).alias("value"), F.col("id").alias("t"))
+    splits = P.split_points(df.where("key is not null").select("key"), 3) if method == "sampled" else None
+    s = S.total_order_sort(df, 3, method, splits=splits, tie_breaker=["t"], with_position=True)
+    rows = s.select("*", F.spark_partition_id().alias("part")).collect()
+    want = {r.t: r.pid for r in P.assign_partition(df, 3, method, splits=splits).select("t", "pid").collect()}
+    parts, by_pid = {}, {}
+    for r in rows:
+        parts[r.part] = parts.get(r.part, 0) + 1
+        by_pid.setdefault(r.pid, []).append(r)
+        assert want[r.t] == r.pid
+    assert len(rows) == n and max(parts.values()) < 8000
+    for pid, got in by_pid.items():
+        got.sort(key=lambda r: r.pos)
+        assert [r.pos for r in got] == list(range(len(got)))
+        order = [(r.key is not None, bytes(r.key or b""), r.t) for r in got]
+        assert order == sorted(order)
