@@ -11,9 +11,9 @@ each class are ordered by rarity: a counter of hashed words over all lines (a
 table of fixed size) gives the order, ties by hash; any fixed order leaves the
 result exact.  A class of n words can match only a class that shares one of its
 n - ceil(t n) + 1 first words, which are joined on equality; of the smaller class
-n - ceil(2 t n / (1 + t)) + 1 words are enough.  Lengths, positions and a 64-bit
-parity sketch (whose bits that differ never outnumber the words that differ)
-reject candidates in the join.  The candidates' lines are then read again: a 512-bit
+n - ceil(2 t n / (1 + t)) + 1 words are enough.  Lengths, positions and a parity
+sketch (whose bits that differ never outnumber the words that differ; of 64 bits, and
+of 128 more between sets too large for 64 to tell apart) reject candidates in the join.  The candidates' lines are then read again: a 512-bit
 sketch of the same kind rejects nearly all that do not match, and the Jaccard
 similarity is verified on the words: of each class with its most similar earlier
 candidate first, and where that is no match, with all its earlier ones.
@@ -21,16 +21,18 @@ Words are told apart by 64-bit hash.
 
 A family of variants of one line would make pairs with the square of its size.
 Whether a class goes needs one earlier match only, so the pass that reads the lines
-already looks for one: among the sets of a batch with an equal MinHash, each is
-verified against the earliest.  A class that has a match there before its own first
-line is settled; a pair is made only if one of the two is not settled.
+already looks for one: among the sets of a batch with equal MinHashes, each is
+verified against the earliest.  Then the same over all rows: each class is verified
+against the earliest class of each of its pairs of MinHashes, a fixed number of pairs
+a class.  A class that has a match there before its own first line is settled; a pair
+is made only if one of the two is not settled.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortproof.llm.frames import map_arrow, slices, store, words
@@ -39,6 +41,13 @@ from sortproof.llm.frames import map_arrow, slices, store, words
 COUNTER_BITS = 20
 FILTER_BITS = 23
 _CHUNK = 1 << 14
+#: Multipliers of a set's MinHashes, and how many pairs of them a batch looks at.
+_MINS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
+_LOCAL_MINS = 2
+#: Sets with more words have a second sketch of JOIN_WIDE 64-bit words in the join.
+LARGE = 96
+JOIN_WIDE = 2
+_WIDER = [f"wide{i}" for i in range(JOIN_WIDE)]
 
 
 def _lines(text):
@@ -90,7 +99,7 @@ def _sum_chunks(key, table):
 
 def rarity(docs: DataFrame, text_col: str = "text"):
     """Rank of each of 2**COUNTER_BITS word buckets by the count of its words, as an
-    int32 array of fixed size, counted over all texts."""
+    int32 array of fixed size, counted over all texts; below 0 if its only word comes once."""
     import numpy as np
     d = docs.select(F.col(text_col).cast("string").alias("text"))
     parts = map_arrow(d, _counter, "chunk int, counts binary", trim=True)
@@ -101,7 +110,7 @@ def rarity(docs: DataFrame, text_col: str = "text"):
     total = total.ravel()
     rank = np.empty(len(total), np.int32)
     rank[np.argsort(total, kind="stable")] = np.arange(len(total), dtype=np.int32)
-    return rank
+    return rank - np.int32((total <= 1).sum())
 
 
 def _mix(h, k):
@@ -148,10 +157,32 @@ def _signatures(tokens, offs):
     return out.view(np.int64)
 
 
-def _local_matches(tokens, offs, sketch, pick, least, threshold):
+def _min_hashes(tokens, offs, pick):
+    """(key, set) of the picked sets, which have words: pairs of MinHashes.
+
+    They are taken over the rarer half of a set's words and two at a time, as common
+    words alone would bring unrelated sets together.
+    """
+    import numpy as np
+    n = np.diff(offs)
+    some = n > 0
+    low = np.zeros((len(_MINS), len(pick)), np.uint64)
+    if len(pick):
+        at = (np.cumsum(some) - 1)[pick]
+        common = np.arange(len(tokens)) - np.repeat(offs[:-1], n) >= np.repeat((n + 1) // 2, n)
+        for i, k in enumerate(_MINS):
+            with np.errstate(over="ignore"):
+                h = _mix(_mix(tokens, k), 0xD6E8FEB86659FD93)
+            h[common] = np.iinfo(np.uint64).max
+            low[i] = np.minimum.reduceat(h, offs[:-1][some])[at]
+    with np.errstate(over="ignore"):
+        return np.stack([_mix(low[i] ^ _mix(low[i - 1], _MINS[i]), _MINS[i - 1]) for i in range(len(_MINS))])
+
+
+def _local_matches(tokens, offs, sketch, pick, least, lows, threshold):
     """Per set the id of an earlier line in the batch that matches it, or the largest long.
 
-    Sets with an equal MinHash (two of them in turn) are verified against the one with
+    Sets with equal MinHashes (two pairs of them in turn) are verified against the one with
     the least id; only a smaller id counts.
     """
     import numpy as np
@@ -159,13 +190,9 @@ def _local_matches(tokens, offs, sketch, pick, least, threshold):
     match = np.full(len(pick), last)
     size = np.diff(offs)[pick]
     part = threshold / (1 + threshold)
-    for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+    for key in lows[:_LOCAL_MINS]:
         if len(pick) < 2:
             break
-        with np.errstate(over="ignore"):
-            low = np.minimum.reduceat(_mix(_mix(tokens, k), 0xD6E8FEB86659FD93), offs[:-1][np.diff(offs) > 0])
-        at = np.cumsum(np.diff(offs) > 0) - 1
-        key = low[at[pick]]
         order = np.lexsort((least, key))
         start = np.concatenate([[True], key[order][1:] != key[order][:-1]])
         head = np.empty(len(pick), np.int64)
@@ -211,7 +238,8 @@ def _reader(rank, threshold):
                 np.minimum.at(least, of[at], np.repeat(ids_, np.diff(rows)))
                 some = n[pick] > 0
                 pick, least = pick[some], least[some]
-                match = _local_matches(tokens, offs, sketch, pick, least, threshold)
+                lows = _min_hashes(tokens, offs, pick)
+                match = _local_matches(tokens, offs, sketch, pick, least, lows, threshold)
                 size = n[pick]
                 prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
                 prefix[size * (1 - threshold) + 1e-9 < threshold] = 0   # only equal sets match
@@ -234,44 +262,51 @@ def _reader(rank, threshold):
                     *(none(b.num_rows, t) for t in _INDEX_TYPES())],
                     names=_NAMES)
                 if k:
+                    large = size > LARGE
+                    wide = _wide_sketches(tokens, offs, JOIN_WIDE)[pick].T
+                    token = (tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    once = order[(tokens[src] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] < 0
                     yield pa.RecordBatch.from_arrays([
                         none(k, ids.type), none(k, rk.type),
                         none(k, pa.list_(pa.int64())), none(k, pa.list_(pa.int64())),
                         pa.array(sig[pick]), pa.array(sig2[pick]), pa.array(size.astype(np.int32)),
                         pa.array(sketch[pick]), pa.array(line_hash), pa.array(least),
                         pa.array(match, mask=match == last),
-                        lists((tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                              np.concatenate([[0], ends]), pa.int32())],
+                        lists(lows.T.ravel().view(np.int64), np.arange(k + 1) * len(_MINS), pa.int64()),
+                        *(pa.array(w, mask=~large) for w in wide),
+                        # a word that comes once brings no two sets together
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
+                                                 pa.array(token, mask=once))],
                         names=_NAMES)
     return run
 
 
 _NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line", "least",
-          "match", "prefix"]
+          "match", "mins", *_WIDER, "prefix"]
 
 
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, i, i, pa.list_(pa.int32())]
+    return [i, i, pa.int32(), i, i, i, i, pa.list_(i), *[i] * JOIN_WIDE, pa.list_(pa.int32())]
 
 
 #: 64-bit words of the sketch that candidates are compared by before their words are.
 WIDE = 8
 
 
-def _wide_sketches(tokens, offs):
-    """Per line WIDE 64-bit words of parity bits, row by row."""
+def _wide_sketches(tokens, offs, wide=WIDE):
+    """Per line ``wide`` 64-bit words of parity bits, row by row."""
     import numpy as np
     n = np.diff(offs)
-    out = np.zeros((len(n), WIDE), np.uint64)
+    out = np.zeros((len(n), wide), np.uint64)
     some = np.flatnonzero(n)
     if len(some):
         with np.errstate(over="ignore"):
             m = _mix(tokens, 0xBF58476D1CE4E5B9)
         bit = np.uint64(1) << (m & np.uint64(63))
-        word = (m >> np.uint64(6)) % np.uint64(WIDE)
-        for w in range(WIDE):
+        word = (m >> np.uint64(6)) % np.uint64(wide)
+        for w in range(wide):
             out[some, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), offs[:-1][some])
     return out.view(np.int64)
 
@@ -337,7 +372,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = spark.sparkContext.broadcast(rarity(d))
     read = store(map_arrow(d, _reader(order, threshold),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                           " size int, sketch long, line long, least long, match long, prefix array<int>",
+                           " size int, sketch long, line long, least long, match long, mins array<long>,"
+                           + "".join(f" {c} long," for c in _WIDER) + " prefix array<int>",
                            trim=True))
     rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
                  .dropDuplicates(["id", "rk"]))
@@ -362,20 +398,71 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
+def _candidate_sets(d, read, ends, order):
+    """(sig, sig2, wide, tokens) of the classes whose ``sig`` is in ``ends``, from the texts."""
+    lines = read.join(ends, "sig", "left_semi").select("line")
+    wanted = d.sparkSession.sparkContext.broadcast(_filter_bits(lines))
+    found = map_arrow(d.select("text"), _finder(order, wanted),
+                      "sig long, sig2 long, wide array<long>, tokens array<long>", trim=True)
+    return store(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
+        F.first("wide").alias("wide"), F.first("tokens").alias("tokens")))
+
+
+def _side(k, of):
+    return of.select(*(F.col(c).alias(f"{k}_{c}") for c in of.columns))
+
+
+def _similar(threshold):
+    """Do the words of a row's a_tokens and b_tokens match?"""
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return shared + 1e-9 >= (F.size("a_tokens") + F.size("b_tokens")) * F.lit(threshold / (1 + threshold))
+
+
+def _settled(d, read, first, order, threshold):
+    """(sig, sig2) of classes that one of a fixed number of classes before them matches.
+
+    Candidates are the class of the least id with the same MinHashes; a class counts as
+    before another if it has a line with an id below that of the other's first line.
+    """
+    own = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
+        .where("settled").select("sig", "sig2")
+    rows = read.where("size(prefix) > 0").select(
+        "sig", "sig2", "size", "sketch", "least", F.col("match").isNull().alias("open"), F.explode("mins").alias("low"))
+    same = Window.partitionBy("low").orderBy("least", "sig", "sig2") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = F.col("size") + F.col("a.size")
+    pairs = store(rows.withColumn("a", F.first(F.struct("sig", "sig2", "size", "sketch", "least")).over(same)).where(
+        F.col("open") & (F.col("a.least") < F.col("least")) & (F.col("a.sig") != F.col("sig"))
+        & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("a.sketch")))
+           + 2 * F.ceil(both * F.lit(threshold / (1 + threshold)) - 1e-9) <= both)).selectExpr(
+        "sig as b_sig", "sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "a.least as a_least").distinct())
+    ends = pairs.selectExpr("b_sig as sig").unionAll(pairs.selectExpr("a_sig")).distinct()
+    full = _candidate_sets(d, read, ends, order).select("sig", "sig2", "tokens")
+    good = pairs.join(_side("b", full), ["b_sig", "b_sig2"]).join(_side("a", full), ["a_sig", "a_sig2"]) \
+        .where(_similar(threshold)).selectExpr("b_sig as sig", "b_sig2 as sig2", "a_least")
+    far = good.join(first, ["sig", "sig2"]).where("first.z or a_least < first.id").select("sig", "sig2")
+    return store(own.unionAll(far).distinct())
+
+
 def _matches(d, read, first, order, threshold):
     """(sig, sig2, gone): classes that a class with an earlier first line matches."""
-    spark = d.sparkSession
     r = threshold
+    settled = _settled(d, read, first, order, threshold)
     entries = read.where("size(prefix) > 0").groupBy("sig", "sig2").agg(
         F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.first("prefix").alias("prefix"),
-        F.coalesce(F.min("match") < F.min("least"), F.lit(False)).alias("settled"))
-    probe = entries.select("sig", "size", "sketch", "settled", F.posexplode("prefix").alias("pos", "token"))
+        *(F.min(c).alias(c) for c in _WIDER)) \
+        .join(settled.withColumn("settled", F.lit(True)), ["sig", "sig2"], "left") \
+        .withColumn("settled", F.coalesce("settled", F.lit(False)))
+    probe = entries.select("sig", "size", "sketch", *_WIDER, "settled", F.posexplode("prefix").alias("pos", "token")) \
+        .where("token is not null")
     x = probe.select(*(F.col(c).alias(f"x_{c}") for c in probe.columns))
     y = probe.select(*(F.col(c).alias(f"y_{c}") for c in probe.columns))
     both = F.col("x_size") + F.col("y_size")
     need = F.ceil(both * F.lit(r / (1 + r)) - 1e-9)         # words a matching pair shares
     ahead = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
     differ = F.bit_count(F.col("x_sketch").bitwiseXOR(F.col("y_sketch")))
+    # null unless both sets are large
+    wider = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _WIDER), F.lit(0))
 
     def early(k):
         n = F.col(f"{k}_size")
@@ -384,34 +471,28 @@ def _matches(d, read, first, order, threshold):
     pairs = store(x.join(y, on=[
         F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
         ~(F.col("x_settled") & F.col("y_settled")), differ + 2 * need <= both, ahead >= need,
+        F.coalesce(wider + 2 * need <= both, F.lit(True)),
         F.when(F.col("x_size") <= F.col("y_size"), early("x")).otherwise(early("y")),
         F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")])
-        .select("x_sig", "y_sig", "x_settled", "y_settled", differ.alias("differ")).distinct())
+        .select("x_sig", "y_sig", "x_settled", "y_settled").distinct())
     ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
-    lines = read.join(ends, "sig", "left_semi").select("line")
-    wanted = spark.sparkContext.broadcast(_filter_bits(lines))
     del entries, probe, x, y
-    found = map_arrow(d.select("text"), _finder(order, wanted),
-                      "sig long, sig2 long, wide array<long>, tokens array<long>", trim=True)
-    sets = store(found.join(ends, "sig", "left_semi").groupBy("sig", "sig2").agg(
-        F.first("wide").alias("wide"), F.first("tokens").alias("tokens")))
+    sets = _candidate_sets(d, read, ends, order)
     named = first.join(ends, "sig", "left_semi").select("sig", "sig2", F.col("first").alias("at"))
 
-    def side(k, of):
-        return of.select(*(F.col(c).alias(f"{k}_{c}") for c in of.columns))
+    side = _side
     key = lambda k: F.struct(F.col(f"{k}_sig").alias("sig"), F.col(f"{k}_sig2").alias("sig2"))
     late = F.col("x_at") > F.col("y_at")
     todo = pairs.join(side("x", named), "x_sig").join(side("y", named), "y_sig") \
         .where(~F.when(late, F.col("x_settled")).otherwise(F.col("y_settled"))).select(
-        F.when(late, key("x")).otherwise(key("y")).alias("b"), F.when(late, key("y")).otherwise(key("x")).alias("a"),
-        "differ")
-    todo = store(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "differ"))
+        F.when(late, key("x")).otherwise(key("y")).alias("b"), F.when(late, key("y")).otherwise(key("x")).alias("a"))
+    todo = store(todo.selectExpr("b.sig as b_sig", "b.sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2"))
 
     # the wide sketch first: 64 bytes a set instead of all its words
     sketches = sets.select("sig", "sig2", "wide", F.size("tokens").alias("n"))
     apart = sum((F.bit_count(F.col("a_wide")[i].bitwiseXOR(F.col("b_wide")[i])) for i in range(WIDE)), F.lit(0))
     both = F.col("a_n") + F.col("b_n")
-    todo = todo.drop("differ").join(side("b", sketches), ["b_sig", "b_sig2"]).join(
+    todo = todo.join(side("b", sketches), ["b_sig", "b_sig2"]).join(
         side("a", sketches), ["a_sig", "a_sig2"]).withColumn("apart", apart)
     todo = store(todo.where(F.col("apart") + 2 * F.ceil(both * F.lit(r / (1 + r)) - 1e-9) <= both)
                .select("b_sig", "b_sig2", "a_sig", "a_sig2", "apart"))
@@ -419,16 +500,12 @@ def _matches(d, read, first, order, threshold):
     def verified(p):
         full = sets.select("sig", "sig2", "tokens")
         t = p.join(side("b", full), ["b_sig", "b_sig2"]).join(side("a", full), ["a_sig", "a_sig2"])
-        shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-        good = shared + 1e-9 >= (F.size("a_tokens") + F.size("b_tokens")) * F.lit(r / (1 + r))
-        return t.where(good).select("b_sig", "b_sig2").distinct()
+        return t.where(_similar(r)).select("b_sig", "b_sig2").distinct()
     nearest = todo.groupBy("b_sig", "b_sig2").agg(F.min(F.struct("apart", "a_sig", "a_sig2")).alias("a")) \
         .selectExpr("b_sig", "b_sig2", "a.a_sig", "a.a_sig2")
     done = store(verified(nearest))
     more = verified(todo.join(done, ["b_sig", "b_sig2"], "left_anti").select(
         "b_sig", "b_sig2", "a_sig", "a_sig2"))
-    settled = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
-        .where("settled").select("sig", "sig2")
     return done.unionAll(more).toDF("sig", "sig2").unionAll(settled).withColumn("gone", F.lit(True))
 
 
