@@ -107,3 +107,40 @@ def test_clean_keeps_columns_of_any_name(spark):
     assert got["a"].text == rows[0][1] and got["a"].n_chars == 9 and got["c"].text == "" and got["c"].n_chars == 0
     assert got["b"].text == "other words here" and got["b"].n_chars == 16 and got["d"].text is None
     assert L.clean(d).dtypes == d.dtypes
+
+
+def test_variants_in_many_batches_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(3):
+            w[rng.randrange(60)] = f"v{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    pairs, store = [], L.store
+
+    def spy(df):
+        out = store(df)
+        if {"x_sig", "y_sig"} <= set(out.columns):
+            pairs.append(out.count())
+        return out
+    monkeypatch.setattr(L, "store", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(24)
+    got = {r.id: r.removed for r in L.removed_lines(df).collect()}
+    assert {i: r for i, r in got.items()} == {k: v for (k, _), v in zip(rows, brute(rows, 0.8).values())}
+    assert len(pairs) == 1 and pairs[0] < 10 * len(rows)
+
+
+def test_large_sets_and_words_that_come_once(spark):
+    rng = random.Random(8)
+    vocab = [f"t{i}" for i in range(500)]
+    base = [rng.sample(vocab, rng.choice([90, 97, 120, 200])) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 5, 11, 30])):
+            w[rng.randrange(len(w))] = rng.choice([rng.choice(vocab), f"once{rng.random()}"])
+        rows.append((i, " ".join(w)))
+    got = check(spark, rows)
+    assert sum(len(r.removed) for r in got) > 10
