@@ -42,6 +42,8 @@ SHORT_WORD = 64
 SLICE = 32 << 20
 #: Grams a row of a slice's request.
 REQUEST = 1 << 16
+#: Counted grams a task holds before it merges them (16 bytes each, and as much again to merge).
+GRAMS = 2_000_000
 
 
 def _bytes(batch, column="text"):
@@ -85,9 +87,9 @@ def _gram_counter(depth):
                 codes.append(c)
                 counts.append(n)
                 held += len(c)
-                if held > 4_000_000:
+                if held > GRAMS:
                     codes, counts = _merge(codes, counts)
-                    if len(codes[0]) > 2_000_000:    # more than fit (16 bytes each): hand on and go on
+                    if len(codes[0]) > GRAMS // 2:   # more than fit (16 bytes each): hand on and go on
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(codes[0]), pa.array(counts[0])], names=["code", "n"])
                         codes, counts = [], []
@@ -275,7 +277,7 @@ def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float =
     if not 1 <= depth <= 6:
         raise ValueError("depth must be in 1..6")
     d = train.select(F.col(text_col).cast("string").alias("text"))
-    counts = cut(map_arrow(d, _word_counter, "word string, n long")
+    counts = cut(map_arrow(d, _word_counter, "word string, n long", trim=True)
                  .groupBy("word").agg(F.sum("n").alias("n")))
     texts = d.count()
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -283,7 +285,7 @@ def fit(train: DataFrame, text_col: str = "text", depth: int = 6, p_min: float =
     often = max(1, math.ceil(word_p_min * tokens))
     top = counts.where((F.col("n") >= often) & (F.octet_length("word") <= SHORT_WORD)).toArrow()
 
-    grams = map_arrow(d, _gram_counter(depth), "code long, n long")
+    grams = map_arrow(d, _gram_counter(depth), "code long, n long", trim=True)
     met = {depth: store(_contexts(grams.selectExpr(
         "shiftright(code, 8) as ctx", "cast(code & 255L as int) as y", "n")))}
     for k in range(depth - 1, -1, -1):
