@@ -18,7 +18,8 @@ The tree is a table a level, one row per context; a level is pruned by joining i
 with the one below.  The most frequent grams (1 / p_min of them at most) are
 scored from a broadcast table, the others walk down the levels by joins, each
 distinct gram once: ``p_min`` decides where a gram is looked up, not its score.  Texts are scored in slices of a task of about ``SLICE`` bytes: a
-slice asks for each of its other grams once, and its texts meet the answers again.
+slice asks for each of its other grams once, and its texts meet the answers again: as
+the codes of these grams, or as the text itself where that is shorter.
 
 Base score: add-one word counts.  Words that make up ``p_min`` of the tokens (at
 most 1 / p_min of them, up to 64 bytes long) are looked up in a broadcast table,
@@ -403,19 +404,26 @@ def _scorer(model):
                 docs = _bytes(b)
                 codes, starts = _codes(docs, m["depth"])
                 lp, seen = _look_up(top, codes)
-                open_ = np.logical_or.reduceat(~seen, starts)
+                rest = codes[~seen]
+                n_rest = np.add.reduceat((~seen).astype(np.int64), starts)
+                # what the finisher needs of a text: its rare grams, or all bytes if these are fewer
+                packed = 8 * n_rest <= np.fromiter(map(len, docs), np.int64, len(docs))
+                ends = np.cumsum(n_rest).tolist()
+                body = [None if not n else rest[z - n:z].tobytes() if p else d
+                        for d, p, n, z in zip(docs, packed.tolist(), n_rest.tolist(), ends)]
                 out = pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(starts), first)), pa.nulls(len(starts), pa.list_(pa.int64())),
                     b.column("key"), b.column("id"), pa.array(n + 1),
                     pa.array(known[offs[1:]] - known[offs[:-1]] + (m["texts"] > 0)),
                     pa.array(total[offs[1:]] - total[offs[:-1]] + end),
                     pa.array(np.add.reduceat(lp, starts)), pc.binary_join(lists, " "),
-                    pa.array([d if o else None for d, o in zip(docs, open_)], pa.binary())],
-                    names=["slice", "grams", "key", "id", "n_tokens", "n_known", "base", "score", "rare", "body"])
+                    pa.array(body, pa.binary()), pa.array(packed)],
+                    names=["slice", "grams", "key", "id", "n_tokens", "n_known", "base", "score", "rare", "body",
+                           "packed"])
                 yield out
                 kinds = [(f.name, f.type) for f in out.schema][2:]
-                if not seen.all():
-                    asked.append(np.unique(codes[~seen]))
+                if len(rest):
+                    asked.append(np.unique(rest))
                 held += len(codes)
                 if held >= SLICE:
                     yield from _requests(asked, first, kinds)
@@ -429,13 +437,21 @@ def _finisher(model):
     def run(texts, answers):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         m = model.value
-        top = _table(*m["top"])
+        top = _table(*m["top"]) if pc.any(pc.invert(texts.column("packed"))).as_py() else None
         grams = np.asarray(answers.column("gram").combine_chunks(), np.int64)
         order = np.argsort(grams)
         grams, lps = grams[order], np.asarray(answers.column("lp").combine_chunks(), np.float64)[order]
         keys, deep = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for whole in texts.select(["key", "body"]).combine_chunks().to_batches():
+        packed = texts.column("packed")
+        for b in texts.filter(packed).to_batches():
+            codes = np.frombuffer(b"".join(b.column("body").to_pylist()), np.int64)
+            n = np.asarray(pc.binary_length(b.column("body")), np.int64) // 8
+            keys.append(np.asarray(b.column("key")))
+            deep.append(np.add.reduceat(lps[np.searchsorted(grams, codes)], np.cumsum(n) - n)
+                        if len(n) else np.zeros(0))
+        for whole in texts.filter(pc.invert(packed)).combine_chunks().to_batches():
             for b in slices(whole, "body", 2 << 20):
                 codes, starts = _codes(b.column("body").to_pylist(), m["depth"])
                 rest = np.flatnonzero(~_look_up(top, codes)[1])
@@ -465,18 +481,21 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id",
                     F.col(text_col).cast("string").alias("text"))
     kind = d.schema["id"].dataType.simpleString()
     both = store(map_arrow(d, _scorer(sent), f"slice long, grams array<bigint>, key long, id {kind}, "
-                           "n_tokens long, n_known long, base double, score double, rare string, body binary"))
+                           "n_tokens long, n_known long, base double, score double, rare string, body binary, "
+                           "packed boolean", trim=True))
     rows = both.where("key is not null")
     rare = rows.where("rare <> ''").select("key", F.explode(F.split("rare", " ")).alias("word"))
     less = model.counts.where(~((F.col("n") >= model.least)
                                 & (F.octet_length("word") <= SHORT_WORD)))
-    found = rare.join(less, "word", "left").groupBy("key").agg(
+    # stored one by one: the shuffle files of a step go before the next one writes its own
+    found = store(rare.join(less, "word", "left").groupBy("key").agg(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(denominator)))).alias("more"),
-        F.count("n").alias("also"))
+        F.count("n").alias("also")))
     asked = both.where("key is null").select(F.col("slice").alias("asker"), F.explode("grams").alias("gram"))
     answers = store(asked.join(_walk(model, asked.select("gram").distinct()), "gram"))
-    walked = rows.where("body is not null").select("slice", "key", "body").groupBy("slice") \
-        .cogroup(answers.groupBy("asker")).applyInArrow(_finisher(sent), "key long, deep double")
+    walked = store(rows.where("body is not null").select("slice", "key", "body", "packed")
+                   .groupBy("slice").cogroup(answers.groupBy("asker"))
+                   .applyInArrow(_finisher(sent), "key long, deep double"))
     return rows.join(found, "key", "left").join(walked, "key", "left").select(
         "id", "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),

@@ -150,3 +150,30 @@ def test_slices_and_ties_of_texts(spark, monkeypatch):
         assert set(codes[~known].tolist()) <= want.get(r["slice"], set())
         assert (r["body"] is None) == bool(known.all())
         assert math.isclose(whole[r["id"]], tree.score(codes).sum(), rel_tol=1e-9)
+
+
+def test_a_text_is_passed_on_as_its_few_rare_grams(spark, monkeypatch):
+    import pyarrow as pa
+    model = pst.fit(df(spark, ["ab ab ab cd " * 50, "ab cd"] * 5), p_min=1e-3)
+    top = pst._table(*model.top)
+    sent = type("", (), {"value": {
+        "depth": model.depth, "top": model.top, "frequent": model.frequent, "texts": model.texts,
+        "denominator": 1.0}})
+    test = ["ab ab ab cd " * 50, "ab ab ab cd " * 50 + "xy", "q" * 400, "", None]
+    rows = pa.RecordBatch.from_pydict({"key": list(range(len(test))), "id": list(range(len(test))), "text": test})
+    out = pa.Table.from_batches(list(pst._scorer(sent)(iter([rows])))).to_pylist()
+    bodies = {r["id"]: r for r in out if r["key"] is not None}
+    for i, t in enumerate(test):
+        text = b" ".join(w.encode() for w in words(t))
+        codes, _ = pst._codes([text], 6)
+        rest = codes[~pst._look_up(top, codes)[1]]
+        body = bodies[i]["body"]
+        assert len(body or b"") <= len(text)
+        if len(rest):
+            assert body == (rest.tobytes() if bodies[i]["packed"] else text)
+    assert bodies[1]["packed"] and len(bodies[1]["body"]) < 200
+    got = {r.id: r.score for r in pst.score(model, df(spark, test)).collect()}
+    tree = model.tree
+    for i, t in enumerate(test):
+        codes, _ = pst._codes([b" ".join(w.encode() for w in words(t))], 6)
+        assert math.isclose(got[i], tree.score(codes).sum(), rel_tol=1e-9)
