@@ -57,3 +57,18 @@ def test_split_character_and_empty(spark):
     assert got[2].data == b"" and got[2].text == ""
     assert len(got[1].data) == 1 or got[1].text
     assert bpe.digests(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_a_worker_encodes_small_slices_of_large_batches(monkeypatch):
+    import pyarrow as pa
+    model = type("", (), {"value": bpe.model_json(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)})
+    codec, sizes = bpe._codec(model.value), []
+    encode = codec.encode
+    monkeypatch.setattr(codec, "encode", lambda t: sizes.append(sum(map(len, t.to_pylist()))) or encode(t))
+    texts = [f"the cat {i} " * 2000 for i in range(500)]        # over 10 MB in a batch
+    rows = pa.RecordBatch.from_pydict({"id": list(range(500)), "text": texts})
+    out = pa.Table.from_batches(list(bpe._digester(model)(iter([rows])))).to_pylist()
+    assert [r["id"] for r in out] == list(range(500)) and max(sizes) <= 5 << 20 < sum(sizes)
+    for r in out[::50]:
+        data = texts[r["id"]].encode()
+        assert r["decoded_sha256"] == hashlib.sha256(data).hexdigest()
