@@ -14,6 +14,7 @@ from sortproof.operators import partition as P
 from sortproof.operators import sort as S
 from sortproof.operators import validate as V
 from sortproof.plans import fixtures as X
+from sortproof.plans.catalog import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +89,23 @@ def test_window_form_shuffles_records_once(static):
     p = plan(V.misorders(X.event_records(static, SF)))
     assert p.count("FileScan parquet") == 1
     assert "ReusedExchange" in p or exchanges(p).count("hashpartitioning") <= 2
+
+
+def test_documents_summary_tells_texts_apart_by_digests(spark, tmp_path):
+    from collections import defaultdict
+    texts = [f"{i * 7919 % 1000:04d} " + "x" * (i % 90) for i in range(900)] * 2 + ["", "\0", None, None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1) \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    q = catalog()
+    where = {r.doc_id: r.pid for r in q["sort_documents"](spark, str(tmp_path)).collect()}
+    want = defaultdict(list)
+    for i, t in rows:
+        want[where[i]].append(t)
+    df = q["documents_summary"](spark, str(tmp_path))
+    got = {r.pid: (r.rows, r.distinct_texts) for r in df.collect()}
+    assert got == {p: (len(ts), len({t for t in ts if t is not None})) for p, ts in want.items()}
+    # no aggregate holds whole texts
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    aggregates = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", plan) + re.findall(r"SortAggregate\(key=\[([^\]]*)\]", plan)
+    assert any("sha2" in a for a in aggregates) and not any(re.search(r"(^|[ ,])key#", a) for a in aggregates)
