@@ -58,9 +58,11 @@ def _codes(docs, depth):
     import numpy as np
     pad = bytes([END]) * depth
     buf = np.frombuffer(pad + (bytes([END]) + pad).join(docs) + bytes([END]), np.uint8)
-    code = buf.astype(np.int64)
-    for k in range(1, depth + 1):
-        code[k:] |= buf[:-k].astype(np.int64) << (8 * k)
+    code, have = buf.astype(np.int64), 1
+    while have <= depth:                    # bytes that two parts share are the same in both
+        more = min(have, depth + 1 - have)
+        code[more:] |= code[:-more] << (8 * more)
+        have += more
     size = np.fromiter(map(len, docs), np.int64, len(docs)) + 1
     ends = np.cumsum(size)
     begin = depth + (ends - size) + depth * np.arange(len(docs))
@@ -68,6 +70,13 @@ def _codes(docs, depth):
     return code[at], ends - size
 
 
+def _distinct(codes):
+    """Sorted distinct codes: by sorting, as ``np.unique`` hashes them, which takes far longer."""
+    import numpy as np
+    c = np.sort(codes)
+    return c[np.concatenate([[True], c[1:] != c[:-1]])] if len(c) else c
+
+
 def _merge(codes, counts):
     import numpy as np
     c, n = np.concatenate(codes), np.concatenate(counts)
@@ -82,6 +91,9 @@ def _gram_counter(depth):
         import numpy as np
         import pyarrow as pa
         codes, counts, held = [], [], 0
+
+        def rows(c, n):
+            return pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["code", "n"])
         for whole in batches:
             for b in slices(whole, "text", 2 << 20):
                 c, n = np.unique(_codes(_bytes(b), depth)[0], return_counts=True)
@@ -90,15 +102,15 @@ def _gram_counter(depth):
                 held += len(c)
                 if held > GRAMS:
                     codes, counts = _merge(codes, counts)
-                    if len(codes[0]) > GRAMS // 2:   # more than fit (16 bytes each): hand on and go on
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(codes[0]), pa.array(counts[0])], names=["code", "n"])
-                        codes, counts = [], []
+                    c, n = codes[0], counts[0]
+                    if len(c) > GRAMS // 2:   # more than fit (16 bytes each): the rare ones go on first
+                        often = n > max(1, np.partition(n, -(GRAMS // 2))[-(GRAMS // 2)])
+                        yield rows(c[~often], n[~often])
+                        codes, counts = [c[often]], [n[often]]
                     held = sum(map(len, codes))
         if codes:
             codes, counts = _merge(codes, counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes[0]), pa.array(counts[0])], names=["code", "n"])
+            yield rows(codes[0], counts[0])
     return run
 
 
@@ -231,16 +243,27 @@ def _look_up(top, codes):
     """Scores of the codes in the hash tables, 0 elsewhere, and which codes are in them."""
     import numpy as np
     out, known = np.zeros(len(codes)), np.zeros(len(codes), bool)
-    todo = np.arange(len(codes))
+    todo, want = None, codes
     for k, (bits, keys, vals) in enumerate(top):
-        s = _slot(codes[todo], k, bits)
-        hit = keys[s] == codes[todo]
-        out[todo[hit]] = vals[s[hit]]
-        known[todo[hit]] = True
-        todo = todo[~hit]
+        s = _slot(want, k, bits)
+        hit = keys.take(s) == want
+        at = np.flatnonzero(hit) if todo is None else todo[hit]
+        out[at], known[at] = vals.take(s[hit]), True
+        todo = np.flatnonzero(~hit) if todo is None else todo[~hit]
+        want = codes[todo]
     return out, known
 
 
+def _answers(grams, lps, codes):
+    """Scores of the codes, all of which are among the sorted grams: sought in order, which
+    passes through memory once."""
+    import numpy as np
+    order = np.argsort(codes)
+    out = np.empty(len(codes))
+    out[order] = lps[np.searchsorted(grams, codes[order])]
+    return out
+
+
 @dataclasses.dataclass
 class Model:
     depth: int
@@ -362,7 +385,7 @@ def _requests(asked, first, kinds):
     """Rows that ask for the distinct codes of a slice, named by its first row's key."""
     import numpy as np
     import pyarrow as pa
-    codes = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
+    codes = _distinct(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
     for at in range(0, len(codes), REQUEST):
         some = codes[at:at + REQUEST]
         yield pa.RecordBatch.from_arrays(
@@ -423,7 +446,7 @@ def _scorer(model):
                 yield out
                 kinds = [(f.name, f.type) for f in out.schema][2:]
                 if len(rest):
-                    asked.append(np.unique(rest))
+                    asked.append(_distinct(rest))
                 held += len(codes)
                 if held >= SLICE:
                     yield from _requests(asked, first, kinds)
@@ -449,14 +472,14 @@ def _finisher(model):
             codes = np.frombuffer(b"".join(b.column("body").to_pylist()), np.int64)
             n = np.asarray(pc.binary_length(b.column("body")), np.int64) // 8
             keys.append(np.asarray(b.column("key")))
-            deep.append(np.add.reduceat(lps[np.searchsorted(grams, codes)], np.cumsum(n) - n)
+            deep.append(np.add.reduceat(_answers(grams, lps, codes), np.cumsum(n) - n)
                         if len(n) else np.zeros(0))
         for whole in texts.filter(pc.invert(packed)).combine_chunks().to_batches():
             for b in slices(whole, "body", 2 << 20):
                 codes, starts = _codes(b.column("body").to_pylist(), m["depth"])
                 rest = np.flatnonzero(~_look_up(top, codes)[1])
                 lp = np.zeros(len(codes))
-                lp[rest] = lps[np.searchsorted(grams, codes[rest])]
+                lp[rest] = _answers(grams, lps, codes[rest])
                 keys.append(np.asarray(b.column("key")))
                 deep.append(np.add.reduceat(lp, starts))
         return pa.table({"key": np.concatenate(keys), "deep": np.concatenate(deep)})

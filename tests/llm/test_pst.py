@@ -177,3 +177,38 @@ def test_a_text_is_passed_on_as_its_few_rare_grams(spark, monkeypatch):
     for i, t in enumerate(test):
         codes, _ = pst._codes([b" ".join(w.encode() for w in words(t))], 6)
         assert math.isclose(got[i], tree.score(codes).sum(), rel_tol=1e-9)
+
+
+def test_a_counting_task_keeps_its_frequent_grams(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(7)
+    texts = ["the same words again " * 4 + "".join(rng.choice("abcdefgh") for _ in range(120)) for _ in range(60)]
+    counted = Counter()
+    for t in texts:
+        codes, _ = pst._codes([b" ".join(w.encode() for w in words(t))], 6)
+        counted.update(codes.tolist())
+    monkeypatch.setattr(pst, "GRAMS", 1500)
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i:i + 3]}) for i in range(0, 60, 3)]
+    got, rows = Counter(), Counter()
+    for b in pst._gram_counter(6)(iter(batches)):
+        assert b.num_rows <= 3000
+        for code, n in zip(*(b.column(i).to_pylist() for i in range(2))):
+            got[code] += n
+            rows[code] += 1
+    assert got == counted
+    often = [c for c, n in counted.items() if n >= 60]
+    assert often and all(rows[c] == 1 for c in often)       # handed on once, not with each full table
+
+
+def test_codes_and_distinct_codes():
+    docs = [b"", b"abc", b"x" * 9 + b"yz"]
+    for depth in (1, 2, 3, 4, 5, 6):
+        want = []
+        for d in docs:
+            s = b"\n" * depth + d + b"\n"
+            want += [int.from_bytes(s[i:i + depth + 1], "big") for i in range(len(d) + 1)]
+        codes, starts = pst._codes(docs, depth)
+        assert codes.tolist() == want and starts.tolist() == [0, 1, 5]
+        assert pst._distinct(codes).tolist() == sorted(set(want))
+    assert pst._distinct(np.zeros(0, np.int64)).tolist() == []
+    assert pst._answers(np.array([3, 5, 9]), np.array([.3, .5, .9]), np.array([9, 3, 3, 5])).tolist() == [.9, .3, .3, .5]
