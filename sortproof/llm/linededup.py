@@ -41,6 +41,10 @@ from sortproof.llm.frames import map_arrow, slices, store, words
 COUNTER_BITS = 20
 FILTER_BITS = 23
 _CHUNK = 1 << 14
+#: Bytes of text whose words a task holds as arrays of 8 bytes a word (some ten of them).
+_TEXT = 2 << 20
+#: Longer words are hashed one by one.
+_SHORT = 64
 #: Multipliers of a set's MinHashes, and how many pairs of them a batch looks at.
 _MINS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _LOCAL_MINS = 2
@@ -60,11 +64,37 @@ def _lines(text):
 
 
 def _hashes(unique):
-    """64-bit hashes of distinct Arrow words."""
+    """64-bit hashes of distinct Arrow words: all of them 8 bytes at a time, long words one by one."""
+    import numpy as np
+    from xxhash import xxh64_intdigest as xxh
+    if not len(unique):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = unique.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[unique.offset:unique.offset + len(unique) + 1].astype(np.int64)
+    begin, end = int(offsets[0]), int(offsets[-1])
+    buf = np.concatenate([np.frombuffer(data, np.uint8)[begin:end], np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(buf[:8].view("<u8"), (len(buf) - 7,), (1,))
+    at, left = offsets[:-1] - begin, np.diff(offsets)
+    short = np.flatnonzero(left <= _SHORT)
+    with np.errstate(over="ignore"):
+        out, live = _mix(left.astype(np.uint64), _MINS[0]), short
+        for i in np.flatnonzero(left > _SHORT).tolist():
+            out[i] = xxh(buf[at[i]:at[i] + left[i]])
+        while len(live := live[left[live] > 0]):
+            over = np.maximum(8 - left[live], 0).astype(np.uint64) * np.uint64(8)
+            out[live] = _mix(out[live] ^ (eight[at[live]] & (~np.uint64(0) >> over)), _MINS[1])
+            at[live] += 8
+            left[live] -= 8
+    return out
+
+
+def _text_hashes(lines):
+    """64-bit hashes of Arrow lines."""
     import numpy as np
     import pyarrow as pa
     from xxhash import xxh64_intdigest as xxh
-    return np.fromiter(map(xxh, unique.cast(pa.binary()).to_pylist()), np.uint64, len(unique))
+    return np.concatenate([np.zeros(0, np.uint64), *(
+        np.fromiter(map(xxh, part.cast(pa.binary()).to_pylist()), np.uint64, len(part)) for part in _parts(lines))])
 
 
 def _counter(batches):
@@ -72,7 +102,7 @@ def _counter(batches):
     import pyarrow as pa
     seen = np.zeros(1 << COUNTER_BITS, np.int64)
     for whole in batches:
-        for b in slices(whole, "text", 32 << 20):
+        for b in slices(whole, "text", _TEXT):
             flat, _ = words(b.column("text"))
             got = flat.value_counts()
             h = _hashes(got.field("values")) >> np.uint64(64 - COUNTER_BITS)
@@ -141,6 +171,34 @@ def _sets(lines, rank):
             np.searchsorted(line, np.arange(len(offs))))
 
 
+def _parts(lines):
+    """Cut Arrow lines into runs of about ``_TEXT`` bytes."""
+    import pyarrow as pa
+    for b in slices(pa.RecordBatch.from_arrays([lines], names=["line"]), "line", _TEXT):
+        yield b.column("line")
+
+
+def _described(lines, rank):
+    """Word sets of Arrow lines, part by part: (tokens, line offsets), signatures, pairs of
+    MinHashes (of sets without words: 0) and the join's wide sketches."""
+    import numpy as np
+    tokens, offs = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    sigs, lows, wide = [np.zeros((3, 0), np.int64)], [np.zeros((len(_MINS), 0), np.uint64)], \
+        [np.zeros((0, JOIN_WIDE), np.int64)]
+    for part in _parts(lines):
+        t, o = _sets(part, rank)
+        some = np.flatnonzero(np.diff(o))
+        low = np.zeros((len(_MINS), len(part)), np.uint64)
+        low[:, some] = _min_hashes(t, o, some)
+        sigs.append(_signatures(t, o))
+        lows.append(low)
+        wide.append(_wide_sketches(t, o, JOIN_WIDE))
+        tokens.append(t)
+        offs.append(o[1:] + offs[-1][-1])
+    return (np.concatenate(tokens), np.concatenate(offs), np.concatenate(sigs, axis=1),
+            np.concatenate(lows, axis=1), np.concatenate(wide))
+
+
 def _signatures(tokens, offs):
     """Per line: set signature (two 64-bit sums) and a 64-bit parity sketch."""
     import numpy as np
@@ -218,14 +276,12 @@ def _reader(rank, threshold):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        from xxhash import xxh64_intdigest as xxh
         for whole in batches:
             for b in slices(whole, "text", 16 << 20):
                 lines, rows = _lines(b.column("text"))
                 order = rank.value
                 coded = lines.dictionary_encode()           # equal lines once
-                tokens, offs = _sets(coded.dictionary, order)
-                sig, sig2, sketch = _signatures(tokens, offs)
+                tokens, offs, (sig, sig2, sketch), lows, wide = _described(coded.dictionary, order)
                 n = np.diff(offs)
                 at = np.asarray(coded.indices, np.int64)
                 lists = lambda x, o, t: pa.ListArray.from_arrays(
@@ -238,7 +294,7 @@ def _reader(rank, threshold):
                 np.minimum.at(least, of[at], np.repeat(ids_, np.diff(rows)))
                 some = n[pick] > 0
                 pick, least = pick[some], least[some]
-                lows = _min_hashes(tokens, offs, pick)
+                lows = lows[:, pick]
                 match = _local_matches(tokens, offs, sketch, pick, least, lows, threshold)
                 size = n[pick]
                 prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
@@ -246,12 +302,12 @@ def _reader(rank, threshold):
                 ends = np.cumsum(prefix)
                 src = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(
                     offs[:-1][pick] - (ends - prefix), prefix)
-                raw = coded.dictionary.cast(pa.binary()).take(pa.array(pick)).to_pylist()
-                line_hash = np.fromiter(map(xxh, raw), np.uint64, len(raw)).view(np.int64)
+                line_hash = _text_hashes(coded.dictionary.take(pa.array(pick))).view(np.int64)
+                del lines
                 k = len(pick)
-                row_at = np.where(n[at] > 0, at, -1)
-                s1 = np.where(row_at >= 0, sig[at], 0)
-                s2 = np.where(row_at >= 0, sig2[at], 0)
+                del coded
+                s1 = np.where(n[at] > 0, sig[at], 0)
+                s2 = np.where(n[at] > 0, sig2[at], 0)
                 none = pa.nulls
                 ids, rk = b.column("id"), b.column("rk")
                 yield pa.RecordBatch.from_arrays([
@@ -263,7 +319,6 @@ def _reader(rank, threshold):
                     names=_NAMES)
                 if k:
                     large = size > LARGE
-                    wide = _wide_sketches(tokens, offs, JOIN_WIDE)[pick].T
                     token = (tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     once = order[(tokens[src] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] < 0
                     yield pa.RecordBatch.from_arrays([
@@ -273,11 +328,13 @@ def _reader(rank, threshold):
                         pa.array(sketch[pick]), pa.array(line_hash), pa.array(least),
                         pa.array(match, mask=match == last),
                         lists(lows.T.ravel().view(np.int64), np.arange(k + 1) * len(_MINS), pa.int64()),
-                        *(pa.array(w, mask=~large) for w in wide),
+                        *(pa.array(w, mask=~large) for w in wide[pick].T),
                         # a word that comes once brings no two sets together
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
                                                  pa.array(token, mask=once))],
                         names=_NAMES)
+                    del token, once, wide
+                del tokens, offs, src
     return run
 
 
@@ -316,27 +373,24 @@ def _finder(rank, wanted):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        from xxhash import xxh64_intdigest as xxh
         bits = np.frombuffer(wanted.value, np.uint8)
         for whole in batches:
             for b in slices(whole, "text", 16 << 20):
                 lines, _ = _lines(b.column("text"))
-                raw = lines.cast(pa.binary()).to_pylist()
-                h = np.fromiter(map(xxh, raw), np.uint64, len(raw))
-                h, first = np.unique(h, return_index=True)
+                h, first = np.unique(_text_hashes(lines), return_index=True)
                 slot = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 may = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                picked = lines.take(pa.array(first[may]))
-                tokens, offs = _sets(picked, rank.value)
-                sig = _signatures(tokens, offs)
-                wide = _wide_sketches(tokens, offs).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[0]), pa.array(sig[1]),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(wide) + 1, WIDE, dtype=np.int32)),
-                                              pa.array(wide)),
-                     pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)),
-                                              pa.array(tokens.view(np.int64)))],
-                    names=["sig", "sig2", "wide", "tokens"])
+                for picked in _parts(lines.take(pa.array(first[may]))):
+                    tokens, offs = _sets(picked, rank.value)
+                    sig = _signatures(tokens, offs)
+                    wide = _wide_sketches(tokens, offs).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sig[0]), pa.array(sig[1]),
+                         pa.ListArray.from_arrays(pa.array(np.arange(0, len(wide) + 1, WIDE, dtype=np.int32)),
+                                                  pa.array(wide)),
+                         pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)),
+                                                  pa.array(tokens.view(np.int64)))],
+                        names=["sig", "sig2", "wide", "tokens"])
     return run
 
 

@@ -144,3 +144,40 @@ def test_large_sets_and_words_that_come_once(spark):
         rows.append((i, " ".join(w)))
     got = check(spark, rows)
     assert sum(len(r.removed) for r in got) > 10
+
+
+def test_a_slice_is_described_in_small_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randint(0, 30)))
+                       for _ in range(rng.randint(1, 8))) for _ in range(200)] + [None, "", "x" * 3000]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(203)), "rk": list(range(203)), "text": texts})
+    rank = type("", (), {"value": np.random.default_rng(1).permutation(1 << L.COUNTER_BITS).astype(np.int32)})
+    wanted = type("", (), {"value": bytes([255]) * (1 << L.FILTER_BITS - 3)})
+    runs = [L._counter, L._reader(rank, 0.8), L._finder(rank, wanted)]
+    whole = [pa.Table.from_batches(list(run(iter([batch])))) for run in runs]
+    sizes, sets = [], L._sets
+
+    def spy(lines, order):
+        sizes.append(sum(len(x) for x in lines.to_pylist()))
+        return sets(lines, order)
+    monkeypatch.setattr(L, "_sets", spy)
+    monkeypatch.setattr(L, "_TEXT", 4000)
+    for run, want in zip(runs, whole):
+        assert pa.Table.from_batches(list(run(iter([batch])))).combine_chunks() == want.combine_chunks()
+    assert len(sizes) > 20 and max(sizes) <= 8000
+
+
+def test_word_hashes_tell_words_apart():
+    import numpy as np
+    import pyarrow as pa
+    made = ["", "a", "aa", "a\0", "\0", "ü", "x" * 8, "x" * 9, "x" * 64, "x" * 65, "x" * 5000, "x" * 4999 + "y",
+            *(f"word{i}" for i in range(5000)), *(f"a longer word, number {i}" for i in range(5000))]
+    h = L._hashes(pa.array(made))
+    assert len(np.unique(h)) == len(made)
+    assert (L._hashes(pa.array(made).slice(3, 50)) == h[3:53]).all()
+    assert L._hashes(pa.array(made[::-1])).tolist() == h.tolist()[::-1]
+    assert len(L._hashes(pa.array([], pa.string()))) == 0
+    top = np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256)
+    assert top.max() < 100
