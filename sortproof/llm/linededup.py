@@ -43,8 +43,8 @@ FILTER_BITS = 23
 _CHUNK = 1 << 14
 #: Bytes of text whose words a task holds as arrays of 8 bytes a word (some ten of them).
 _TEXT = 2 << 20
-#: Longer words are hashed one by one.
-_SHORT = 64
+#: Longer words, which XXH64 reads another way, are hashed one by one.
+_SHORT = 31
 #: Multipliers of a set's MinHashes, and how many pairs of them a batch looks at.
 _MINS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _LOCAL_MINS = 2
@@ -63,8 +63,18 @@ def _lines(text):
     return lists.flatten(), offs - offs[0]
 
 
+#: The primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+                           0x27D4EB2F165667C5)
+
+
+def _turned(h, k):
+    import numpy as np
+    return (h << np.uint64(k)) | (h >> np.uint64(64 - k))
+
+
 def _hashes(unique):
-    """64-bit hashes of distinct Arrow words: all of them 8 bytes at a time, long words one by one."""
+    """XXH64 of distinct Arrow words: of all short ones at once, of the others one by one."""
     import numpy as np
     from xxhash import xxh64_intdigest as xxh
     if not len(unique):
@@ -72,19 +82,34 @@ def _hashes(unique):
     _, offsets, data = unique.buffers()
     offsets = np.frombuffer(offsets, np.int32)[unique.offset:unique.offset + len(unique) + 1].astype(np.int64)
     begin, end = int(offsets[0]), int(offsets[-1])
-    buf = np.concatenate([np.frombuffer(data, np.uint8)[begin:end], np.zeros(8, np.uint8)])
+    buf = np.concatenate([np.frombuffer(data or b"", np.uint8)[begin:end], np.zeros(8, np.uint8)])
     eight = np.lib.stride_tricks.as_strided(buf[:8].view("<u8"), (len(buf) - 7,), (1,))
     at, left = offsets[:-1] - begin, np.diff(offsets)
+    p1, p2, p3, p4, p5 = map(np.uint64, (_P1, _P2, _P3, _P4, _P5))
     short = np.flatnonzero(left <= _SHORT)
     with np.errstate(over="ignore"):
-        out, live = _mix(left.astype(np.uint64), _MINS[0]), short
+        out = left.astype(np.uint64) + p5
         for i in np.flatnonzero(left > _SHORT).tolist():
             out[i] = xxh(buf[at[i]:at[i] + left[i]])
-        while len(live := live[left[live] > 0]):
-            over = np.maximum(8 - left[live], 0).astype(np.uint64) * np.uint64(8)
-            out[live] = _mix(out[live] ^ (eight[at[live]] & (~np.uint64(0) >> over)), _MINS[1])
+        live = short
+        while len(live := live[left[live] >= 8]):
+            h = out[live] ^ (_turned(eight[at[live]] * p2, 31) * p1)
+            out[live] = _turned(h, 27) * p1 + p4
             at[live] += 8
             left[live] -= 8
+        live = short[left[short] >= 4]
+        out[live] = _turned(out[live] ^ ((eight[at[live]] & np.uint64(0xFFFFFFFF)) * p1), 23) * p2 + p3
+        at[live] += 4
+        left[live] -= 4
+        live = short
+        while len(live := live[left[live] > 0]):
+            out[live] = _turned(out[live] ^ (buf[at[live]].astype(np.uint64) * p5), 11) * p1
+            at[live] += 1
+            left[live] -= 1
+        h = out[short]
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        out[short] = h ^ (h >> np.uint64(32))
     return out
 
 
