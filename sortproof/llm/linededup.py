@@ -32,10 +32,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.llm.frames import map_arrow, slices, store, words
+from sortproof.llm.frames import arrow_schema, map_arrow, slices, store, words
 
 #: log2 of the word counter's and the candidate filter's size.
 COUNTER_BITS = 20
@@ -48,6 +48,13 @@ _SHORT = 31
 #: Multipliers of a set's MinHashes, and how many pairs of them a batch looks at.
 _MINS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _LOCAL_MINS = 2
+#: Words that come more often than this are joined row by row, all others a bucket of rows at a time:
+#: a bucket is made for about _BUCKET rows, by a task that holds _GATHER of them, and its pairs are
+#: compared _COMPARE at a time.
+FREQUENT = 1 << 20
+_BUCKET = 1 << 16
+_GATHER = 1 << 18
+_COMPARE = 1 << 19
 #: Sets with more words have a second sketch of JOIN_WIDE 64-bit words in the join.
 LARGE = 96
 JOIN_WIDE = 2
@@ -113,6 +120,39 @@ def _hashes(unique):
     return out
 
 
+def _coded(flat):
+    """(hashes of distinct words, which of them each word is); a word of up to 7 bytes is told by its bytes
+    and length as one number."""
+    import numpy as np
+    import pyarrow as pa
+    n = len(flat)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    _, offsets, data = flat.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[flat.offset:flat.offset + n + 1].astype(np.int64)
+    begin, end = int(offsets[0]), int(offsets[-1])
+    buf = np.concatenate([np.frombuffer(data or b"", np.uint8)[begin:end], np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(buf[:8].view("<u8"), (len(buf) - 7,), (1,))
+    size = np.diff(offsets)
+    short = np.flatnonzero(size < 8)
+    size = size[short].astype(np.uint64)
+    whole = (eight[offsets[short] - begin] & ((np.uint64(1) << (size << np.uint64(3))) - np.uint64(1))) | (
+        size << np.uint64(56))
+    found = pa.array(whole).dictionary_encode()
+    code = np.empty(n, np.int64)
+    code[short] = np.asarray(found.indices)
+    first = np.empty(len(found.dictionary), np.int64)
+    first[code[short[::-1]]] = short[::-1]
+    hashes = [_hashes(flat.take(pa.array(first)))]
+    if len(short) < n:
+        is_long = np.ones(n, bool)
+        is_long[short] = False
+        found = flat.filter(pa.array(is_long)).dictionary_encode()
+        code[is_long] = np.asarray(found.indices, np.int64) + len(first)
+        hashes.append(_hashes(found.dictionary))
+    return np.concatenate(hashes), code
+
+
 def _text_hashes(lines):
     """64-bit hashes of Arrow lines."""
     import numpy as np
@@ -129,10 +169,8 @@ def _counter(batches):
     for whole in batches:
         for b in slices(whole, "text", _TEXT):
             flat, _ = words(b.column("text"))
-            got = flat.value_counts()
-            h = _hashes(got.field("values")) >> np.uint64(64 - COUNTER_BITS)
-            seen += np.bincount(h.astype(np.int64), np.asarray(got.field("counts")),
-                                1 << COUNTER_BITS).astype(np.int64)
+            h, code = _coded(flat)
+            np.add.at(seen, (h >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.bincount(code, minlength=len(h)))
     if seen.any():
         parts = seen.reshape(-1, _CHUNK)
         yield pa.RecordBatch.from_arrays(
@@ -153,8 +191,9 @@ def _sum_chunks(key, table):
 
 
 def rarity(docs: DataFrame, text_col: str = "text"):
-    """Rank of each of 2**COUNTER_BITS word buckets by the count of its words, as an
-    int32 array of fixed size, counted over all texts; below 0 if its only word comes once."""
+    """(ranks, frequent): rank of each of 2**COUNTER_BITS word buckets by the count of its words, as an
+    int32 array of fixed size, counted over all texts; below 0 if its only word comes once, from
+    ``frequent`` on if its words come more than FREQUENT times."""
     import numpy as np
     d = docs.select(F.col(text_col).cast("string").alias("text"))
     parts = map_arrow(d, _counter, "chunk int, counts binary", trim=True)
@@ -165,7 +204,8 @@ def rarity(docs: DataFrame, text_col: str = "text"):
     total = total.ravel()
     rank = np.empty(len(total), np.int32)
     rank[np.argsort(total, kind="stable")] = np.arange(len(total), dtype=np.int32)
-    return rank - np.int32((total <= 1).sum())
+    once = int((total <= 1).sum())
+    return rank - np.int32(once), int((total <= FREQUENT).sum()) - once
 
 
 def _mix(h, k):
@@ -176,24 +216,23 @@ def _mix(h, k):
 
 
 def _sets(lines, rank):
-    """Word sets of Arrow lines: (64-bit hashes, line offsets), each set rarest first."""
+    """Word sets of Arrow lines: (hashes of distinct words, the words' places among them, line offsets),
+    each set rarest first."""
     import numpy as np
     flat, offs = words(lines)
-    coded = flat.dictionary_encode()
-    h = _hashes(coded.dictionary)
+    h, code = _coded(flat)
     if not len(h):
-        return h, np.zeros(len(offs), np.int64)
+        return h, code, np.zeros(len(offs), np.int64)
     order = np.lexsort((h, rank[(h >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))
     place = np.empty(len(h), np.int64)
     place[order] = np.arange(len(h))
     bits = int(len(h)).bit_length()
     line = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    key = (line << bits) | place[np.asarray(coded.indices, np.int64)]
+    key = (line << bits) | place[code]
     key.sort()
     key = key[np.concatenate([[True], key[1:] != key[:-1]])]
     line = key >> bits
-    return (h[order][key & ((1 << bits) - 1)],
-            np.searchsorted(line, np.arange(len(offs))))
+    return h[order], key & ((1 << bits) - 1), np.searchsorted(line, np.arange(len(offs)))
 
 
 def _parts(lines):
@@ -211,20 +250,20 @@ def _described(lines, rank):
     sigs, lows, wide = [np.zeros((3, 0), np.int64)], [np.zeros((len(_MINS), 0), np.uint64)], \
         [np.zeros((0, JOIN_WIDE), np.int64)]
     for part in _parts(lines):
-        t, o = _sets(part, rank)
+        h, code, o = _sets(part, rank)
         some = np.flatnonzero(np.diff(o))
         low = np.zeros((len(_MINS), len(part)), np.uint64)
-        low[:, some] = _min_hashes(t, o, some)
-        sigs.append(_signatures(t, o))
+        low[:, some] = _min_hashes(h, code, o)
+        sigs.append(_signatures(h, code, o))
         lows.append(low)
-        wide.append(_wide_sketches(t, o, JOIN_WIDE))
-        tokens.append(t)
+        wide.append(_wide_sketches(h, code, o, JOIN_WIDE, LARGE))
+        tokens.append(h[code])
         offs.append(o[1:] + offs[-1][-1])
     return (np.concatenate(tokens), np.concatenate(offs), np.concatenate(sigs, axis=1),
             np.concatenate(lows, axis=1), np.concatenate(wide))
 
 
-def _signatures(tokens, offs):
+def _signatures(h, code, offs):
     """Per line: set signature (two 64-bit sums) and a 64-bit parity sketch."""
     import numpy as np
     n = np.diff(offs)
@@ -233,15 +272,15 @@ def _signatures(tokens, offs):
     if len(some):
         at = offs[:-1][some]
         with np.errstate(over="ignore"):
-            a, b = _mix(tokens, 0x9E3779B97F4A7C15), _mix(tokens, 0xC2B2AE3D27D4EB4F)
-            out[0, some] = np.add.reduceat(a, at)
-            out[1, some] = np.add.reduceat(b, at)
-            out[2, some] = np.bitwise_xor.reduceat(np.uint64(1) << (a & np.uint64(63)), at)
+            a, b = _mix(h, 0x9E3779B97F4A7C15), _mix(h, 0xC2B2AE3D27D4EB4F)
+            out[0, some] = np.add.reduceat(a[code], at)
+            out[1, some] = np.add.reduceat(b[code], at)
+            out[2, some] = np.bitwise_xor.reduceat((np.uint64(1) << (a & np.uint64(63)))[code], at)
     return out.view(np.int64)
 
 
-def _min_hashes(tokens, offs, pick):
-    """(key, set) of the picked sets, which have words: pairs of MinHashes.
+def _min_hashes(h, code, offs):
+    """(key, set) of the sets that have words: pairs of MinHashes.
 
     They are taken over the rarer half of a set's words and two at a time, as common
     words alone would bring unrelated sets together.
@@ -249,15 +288,13 @@ def _min_hashes(tokens, offs, pick):
     import numpy as np
     n = np.diff(offs)
     some = n > 0
-    low = np.zeros((len(_MINS), len(pick)), np.uint64)
-    if len(pick):
-        at = (np.cumsum(some) - 1)[pick]
-        common = np.arange(len(tokens)) - np.repeat(offs[:-1], n) >= np.repeat((n + 1) // 2, n)
+    low = np.zeros((len(_MINS), int(some.sum())), np.uint64)
+    if len(code):
+        rare = code[np.arange(len(code)) - np.repeat(offs[:-1], n) < np.repeat((n + 1) // 2, n)]
+        at = np.cumsum((n + 1) // 2)[some] - ((n + 1) // 2)[some]
         for i, k in enumerate(_MINS):
             with np.errstate(over="ignore"):
-                h = _mix(_mix(tokens, k), 0xD6E8FEB86659FD93)
-            h[common] = np.iinfo(np.uint64).max
-            low[i] = np.minimum.reduceat(h, offs[:-1][some])[at]
+                low[i] = np.minimum.reduceat(_mix(_mix(h, k), 0xD6E8FEB86659FD93)[rare], at)
     with np.errstate(over="ignore"):
         return np.stack([_mix(low[i] ^ _mix(low[i - 1], _MINS[i]), _MINS[i - 1]) for i in range(len(_MINS))])
 
@@ -282,7 +319,7 @@ def _local_matches(tokens, offs, sketch, pick, least, lows, threshold):
         head[order] = order[np.flatnonzero(start)[np.cumsum(start) - 1]]
         both = size + size[head]
         need = np.ceil(both * part - 1e-9)
-        apart = np.bitwise_count(sketch[pick] ^ sketch[pick[head]])
+        apart = np.bitwise_count((sketch[pick] ^ sketch[pick[head]]).view(np.uint64))
         todo = (match == last) & (least[head] < least) & (apart + 2 * need <= both)
         for i in np.flatnonzero(todo).tolist():
             h = head[i]
@@ -294,7 +331,7 @@ def _local_matches(tokens, offs, sketch, pick, least, lows, threshold):
     return match
 
 
-def _reader(rank, threshold):
+def _reader(rank, threshold, frequent=1 << COUNTER_BITS):
     """Rows of documents -> per row the lines' set signatures, and per new set its
     entry for the index (prefix, size, sketch, hash of the line's text)."""
     def run(batches):
@@ -345,7 +382,10 @@ def _reader(rank, threshold):
                 if k:
                     large = size > LARGE
                     token = (tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    once = order[(tokens[src] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] < 0
+                    ranks = order[(tokens[src] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                    once = ranks < 0
+                    often = np.zeros(k, bool)
+                    often[np.searchsorted(ends, np.flatnonzero(ranks >= frequent), "right")] = True
                     yield pa.RecordBatch.from_arrays([
                         none(k, ids.type), none(k, rk.type),
                         none(k, pa.list_(pa.int64())), none(k, pa.list_(pa.int64())),
@@ -354,6 +394,7 @@ def _reader(rank, threshold):
                         pa.array(match, mask=match == last),
                         lists(lows.T.ravel().view(np.int64), np.arange(k + 1) * len(_MINS), pa.int64()),
                         *(pa.array(w, mask=~large) for w in wide[pick].T),
+                        pa.array(often),
                         # a word that comes once brings no two sets together
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
                                                  pa.array(token, mask=once))],
@@ -364,32 +405,34 @@ def _reader(rank, threshold):
 
 
 _NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line", "least",
-          "match", "mins", *_WIDER, "prefix"]
+          "match", "mins", *_WIDER, "often", "prefix"]
 
 
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, i, i, pa.list_(i), *[i] * JOIN_WIDE, pa.list_(pa.int32())]
+    return [i, i, pa.int32(), i, i, i, i, pa.list_(i), *[i] * JOIN_WIDE, pa.bool_(), pa.list_(pa.int32())]
 
 
 #: 64-bit words of the sketch that candidates are compared by before their words are.
 WIDE = 8
 
 
-def _wide_sketches(tokens, offs, wide=WIDE):
-    """Per line ``wide`` 64-bit words of parity bits, row by row."""
+def _wide_sketches(h, code, offs, wide=WIDE, above=0):
+    """Per line of more than ``above`` words ``wide`` 64-bit words of parity bits, row by row; of others 0."""
     import numpy as np
     n = np.diff(offs)
     out = np.zeros((len(n), wide), np.uint64)
-    some = np.flatnonzero(n)
+    some = np.flatnonzero(n > above)
     if len(some):
         with np.errstate(over="ignore"):
-            m = _mix(tokens, 0xBF58476D1CE4E5B9)
-        bit = np.uint64(1) << (m & np.uint64(63))
-        word = (m >> np.uint64(6)) % np.uint64(wide)
+            m = _mix(h, 0xBF58476D1CE4E5B9)
+        code = code[np.repeat(n > above, n)]
+        bit = (np.uint64(1) << (m & np.uint64(63)))[code]
+        word = ((m >> np.uint64(6)) % np.uint64(wide))[code]
+        at = np.cumsum(n[some]) - n[some]
         for w in range(wide):
-            out[some, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), offs[:-1][some])
+            out[some, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at)
     return out.view(np.int64)
 
 
@@ -406,15 +449,15 @@ def _finder(rank, wanted):
                 slot = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 may = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                 for picked in _parts(lines.take(pa.array(first[may]))):
-                    tokens, offs = _sets(picked, rank.value)
-                    sig = _signatures(tokens, offs)
-                    wide = _wide_sketches(tokens, offs).ravel()
+                    h, code, offs = _sets(picked, rank.value)
+                    sig = _signatures(h, code, offs)
+                    wide = _wide_sketches(h, code, offs).ravel()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(sig[0]), pa.array(sig[1]),
                          pa.ListArray.from_arrays(pa.array(np.arange(0, len(wide) + 1, WIDE, dtype=np.int32)),
                                                   pa.array(wide)),
                          pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)),
-                                                  pa.array(tokens.view(np.int64)))],
+                                                  pa.array(h[code].view(np.int64)))],
                         names=["sig", "sig2", "wide", "tokens"])
     return run
 
@@ -448,22 +491,25 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("rk"),
                     F.col(text_col).cast("string").alias("text"))
-    order = spark.sparkContext.broadcast(rarity(d))
-    read = store(map_arrow(d, _reader(order, threshold),
+    ranks, frequent = rarity(d)
+    order = spark.sparkContext.broadcast(ranks)
+    read = store(map_arrow(d, _reader(order, threshold, frequent),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
                            " size int, sketch long, line long, least long, match long, mins array<long>,"
-                           + "".join(f" {c} long," for c in _WIDER) + " prefix array<int>",
+                           + "".join(f" {c} long," for c in _WIDER) + " often boolean, prefix array<int>",
                            trim=True))
-    rows = store(read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
-                 .dropDuplicates(["id", "rk"]))
+    rows = read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
+    if not rows.groupBy("id", "rk").count().where("count > 1").isEmpty():
+        rows = store(rows.dropDuplicates(["id", "rk"]))
     at = rows.select("id", "rk", F.posexplode(F.arrays_zip("sigs", "sigs2")).alias("no", "s")) \
         .where("s.sigs is not null").selectExpr("id", "rk", "no", "s.sigs as sig", "s.sigs2 as sig2")
     # place of a line: null ids last, then id, text, number
     place = F.struct(F.col("id").isNull().alias("z"), "id", "rk", "no")
     first = store(at.select("sig", "sig2", place.alias("place")).groupBy("sig", "sig2").agg(
-        F.min("place").alias("first")))
-    later = _matches(d, read.where("sig is not null"), first, order, threshold)
-    firsts = first.join(later, ["sig", "sig2"], "left")
+        F.min("place").alias("first"), F.count("*").alias("n_lines")))
+    later = _matches(d, read.where("sig is not null"), first, order, frequent, threshold)
+    # a line that comes once and that none matches stays
+    firsts = first.join(later, ["sig", "sig2"], "left").where("gone or n_lines > 1")
     # on ~sig, so that both sides are dealt for the join and a frequent line's part can be split
     marked = at.withColumn("k", F.bitwise_not("sig")).join(
         firsts.select(F.bitwise_not("sig").alias("k"), "sig2", "first", "gone"),
@@ -477,6 +523,226 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
+def _gathered(batches, pack):
+    """(kind, rows) of what ``pack`` makes of Arrow batches, about ``_GATHER`` rows at once."""
+    import numpy as np
+    held, n = {}, 0
+    for b in batches:
+        for kind, rows in enumerate(pack(b)):
+            held.setdefault(kind, []).append(rows)
+            n += len(rows)
+        if n >= _GATHER:
+            yield from ((kind, np.concatenate(parts)) for kind, parts in held.items())
+            held, n = {}, 0
+    yield from ((kind, np.concatenate(parts)) for kind, parts in held.items())
+
+
+def _dealt(df, pack, join, schema, buckets):
+    """``join`` over the rows of one bucket after the other: ``pack`` makes structured arrays of a batch
+    of ``df``, one a kind of rows, whose rows go by their field ``key`` to one of ``buckets`` groups.
+
+    Many rows travel as one value, so that the JVM neither sorts nor compares them.
+    """
+    form = arrow_schema(schema)
+
+    def deal(batches):
+        import numpy as np
+        import pyarrow as pa
+        for kind, rows in _gathered(batches, pack):
+            to = (_mix(rows["key"].astype(np.uint64), _MINS[0]) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(to, kind="stable")
+            some, start = np.unique(to[order], return_index=True)
+            ends = np.append(start, len(rows)) * rows.itemsize
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array(np.full(len(some), kind, np.int32)), pa.Array.from_buffers(
+                    pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(rows[order].tobytes())])],
+                names=["bucket", "kind", "rows"])
+
+    def run(_, table):
+        import pyarrow as pa
+        by = {}
+        for kind, rows in zip(table.column("kind").to_pylist(), table.column("rows").to_pylist()):
+            by.setdefault(kind, []).append(rows)
+        return pa.Table.from_batches(list(join({kind: b"".join(parts) for kind, parts in by.items()})), form)
+    return map_arrow(df, deal, "bucket int, kind int, rows binary", trim=True).groupBy("bucket").applyInArrow(run, schema)
+
+
+_LOW = [("key", "<u8"), ("sig", "<i8"), ("sig2", "<i8"), ("least", "<i8"), ("sketch", "<u8"), ("size", "<i4"),
+        ("open", "?")]
+
+
+def _after_heads(rows, threshold):
+    """Sorted rows with equal keys side by side, the least id first: (place of each row's head, may it match it?)."""
+    import numpy as np
+    start = np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]])
+    head = np.flatnonzero(start)[np.cumsum(start) - 1]
+    a = rows[head]
+    both = rows["size"].astype(np.int64) + a["size"]
+    need = np.ceil(both * (threshold / (1 + threshold)) - 1e-9)
+    apart = np.bitwise_count(rows["sketch"] ^ a["sketch"])
+    return head, rows["open"] & (a["least"] < rows["least"]) & (a["sig"] != rows["sig"]) & (apart + 2 * need <= both)
+
+
+def _low_rows(threshold):
+    """A batch of classes -> rows by MinHash.  Of equal MinHashes in the batch only the class of the
+    least id goes to the bucket; one that may match it gets a key of its own, with a copy of it, so
+    that a frequent MinHash brings a bucket no more than a row a batch."""
+    def pack(b):
+        import numpy as np
+        import pyarrow.compute as pc
+        lows = np.asarray(pc.list_flatten(b.column("mins")), np.int64).view(np.uint64)
+        rows = np.empty(len(lows), _LOW)
+        rows["key"] = lows
+        for c in ("sig", "sig2", "least", "sketch", "size", "open"):
+            rows[c] = np.repeat(np.asarray(b.column(c)), len(_MINS)).astype(rows.dtype[c], copy=False)
+        if not len(rows):
+            return [rows]
+        rows = rows[np.lexsort((rows["sig2"], rows["sig"], rows["least"], rows["key"]))]
+        head, may = _after_heads(rows, threshold)
+        first = rows[np.unique(head)]
+        after, ahead = rows[may], rows[head[may]]
+        after["key"] = ahead["key"] = _mix(after["key"] ^ after["sig"].view(np.uint64), _MINS[1])
+        return [np.concatenate([first, after, ahead])]
+    return pack
+
+
+def _low_pairs(threshold):
+    def join(data):
+        import numpy as np
+        import pyarrow as pa
+        rows = np.frombuffer(data[0], _LOW)
+        rows = rows[np.lexsort((rows["sig2"], rows["sig"], rows["least"], rows["key"]))]
+        head, may = _after_heads(rows, threshold)
+        b, a = rows[may], rows[head[may]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(x)) for x in (b["sig"], b["sig2"], a["sig"], a["sig2"], a["least"])],
+            names=["b_sig", "b_sig2", "a_sig", "a_sig2", "a_least"])
+    return join
+
+
+#: ``least`` is rounded, which keeps its order but for ties.
+_WORD = [("key", "<i4"), ("sig", "<i8"), ("sketch", "<u8"), ("size", "<i4"), ("pos", "<i4"), ("least", "<f4"),
+         ("settled", "?")]
+_LARGE_WORD = [*_WORD, *((c, "<u8") for c in _WIDER)]
+
+
+def _word_rows(rank, frequent):
+    """A batch of classes -> their first words that are not frequent, of small sets and of large ones."""
+    def pack(b):
+        import numpy as np
+        row, pos, token = _first_words(b)
+        slot = token.view(np.uint32) >> np.uint32(32 - COUNTER_BITS)
+        few = rank.value[slot.astype(np.int64)] < frequent
+        large = (np.asarray(b.column("size")) > LARGE)[row]
+        for kind, take in ((_WORD, few & ~large), (_LARGE_WORD, few & large)):
+            rows = np.empty(int(take.sum()), kind)
+            rows["key"], rows["pos"] = token[take], pos[take]
+            for c in rows.dtype.names:
+                if c not in ("key", "pos"):
+                    column = b.column(c).fill_null(0) if c in _WIDER else b.column(c)
+                    rows[c] = np.asarray(column)[row[take]].astype(rows.dtype[c])
+            yield rows
+    return pack
+
+
+def _frequent_words(rank, frequent):
+    """The other first words, a row each."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            row, pos, token = _first_words(b)
+            slot = token.view(np.uint32) >> np.uint32(32 - COUNTER_BITS)
+            many = rank.value[slot.astype(np.int64)] >= frequent
+            at = pa.array(row[many])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c).take(at) for c in _CLASS), pa.array(pos[many].astype(np.int32)), pa.array(token[many])],
+                names=[*_CLASS, "pos", "token"])
+    return run
+
+
+_CLASS = ["sig", "size", "sketch", *_WIDER, "least", "settled"]
+
+
+def _word_pairs(threshold):
+    """Rows of some words -> pairs of classes with a first word in common that may match.
+
+    The smaller of two sets shares one of fewer first words.  A pair is wanted if the later
+    class, as far as ``least`` tells, is not settled."""
+    part = threshold / (1 + threshold)
+
+    def join(data):
+        import numpy as np
+        import pyarrow as pa
+        kinds = [np.frombuffer(data.get(kind, b""), form) for kind, form in enumerate((_WORD, _LARGE_WORD))]
+        rows = np.zeros(sum(map(len, kinds)), _LARGE_WORD)
+        for c in rows.dtype.names:
+            rows[c][:len(kinds[0])] = kinds[0][c] if c not in _WIDER else 0
+            rows[c][len(kinds[0]):] = kinds[1][c]
+        order = np.argsort(rows["key"], kind="stable")
+        key = rows["key"][order]
+        same = key[1:] == key[:-1]
+        rows = rows[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
+        rows = rows[np.lexsort((rows["sig"], rows["size"], rows["key"]))]
+        if not len(rows):
+            return
+        # one row a class, which more than one batch may have shown
+        start = np.flatnonzero(np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1])
+                                               | (rows["sig"][1:] != rows["sig"][:-1])]))
+        least = np.minimum.reduceat(rows["least"], start)
+        rows = rows[start]
+        size, sig, sketch, settled = (np.ascontiguousarray(rows[c]) for c in ("size", "sig", "sketch", "settled"))
+        pos, wide = size - rows["pos"], [np.ascontiguousarray(rows[c]) for c in _WIDER]
+        n = size.astype(np.int64)
+        place = (rows["key"].astype(np.int64) << 32) | n
+        most = ((n + 1e-9) / threshold).astype(np.int64)
+        end = np.searchsorted(place, (place - n) + np.minimum(most, (1 << 32) - 1), "right")
+        early = rows["pos"] <= n - np.ceil(n * (2 * part) - 1e-9)
+        slack = np.arange(2 * int(n.max()) + 1)
+        slack = (slack - 2 * np.ceil(slack * part - 1e-9)).astype(np.int32)      # words two sets may differ by
+        opened = np.flatnonzero(~settled)
+        at = np.arange(len(rows))
+        for firsts, others in ((at[early & ~settled], at), (at[early & settled], opened)):
+            low, high = np.searchsorted(others, firsts + 1), np.searchsorted(others, end[firsts])
+            count = high - low
+            total = np.concatenate([[0], np.cumsum(count)])
+            cuts = np.searchsorted(total, np.arange(0, int(total[-1]) + _COMPARE, _COMPARE)).clip(max=len(count))
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                x = np.repeat(firsts[a:b], count[a:b])
+                y = others[np.arange(total[a], total[b]) - np.repeat(total[a:b] - low[a:b], count[a:b])]
+                allowed = slack[size[x] + size[y]]
+                may = np.bitwise_count(sketch[x] ^ sketch[y]) <= allowed
+                x, y, allowed = x[may], y[may], allowed[may]
+                both = n[x] + n[y]
+                may = 2 * np.minimum(pos[x], pos[y]).astype(np.int64) >= both - allowed
+                may &= (n[x] <= LARGE) | (n[y] <= LARGE) | (
+                    sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int32) for w in wide) <= allowed)
+                may &= np.where(least[x] < least[y], ~settled[y], np.where(least[x] > least[y], ~settled[x], True))
+                x, y = x[may], y[may]
+                turn = sig[x] > sig[y]
+                x, y = np.where(turn, y, x), np.where(turn, x, y)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (sig[x], sig[y], settled[x], settled[y])],
+                    names=["x_sig", "y_sig", "x_settled", "y_settled"])
+    return join
+
+
+def _first_words(b):
+    """(row, position, word) of the words in a batch's column ``prefix``, without nulls."""
+    import numpy as np
+    import pyarrow.compute as pc
+    lists = b.column("prefix")
+    offs = np.asarray(lists.offsets, np.int64)
+    n = np.diff(offs)
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(n)), n)
+    pos = np.arange(len(row)) - np.repeat(offs[:-1] - offs[0], n)
+    some = np.asarray(flat.is_valid())
+    return row[some], pos[some], np.asarray(pc.drop_null(flat), np.int32)
+
+
 def _candidate_sets(d, read, ends, order):
     """(sig, sig2, wide, tokens) of the classes whose ``sig`` is in ``ends``, from the texts."""
     lines = read.join(ends, "sig", "left_semi").select("line")
@@ -500,21 +766,16 @@ def _similar(threshold):
 def _settled(d, read, first, order, threshold):
     """(sig, sig2) of classes that one of a fixed number of classes before them matches.
 
-    Candidates are the class of the least id with the same MinHashes; a class counts as
-    before another if it has a line with an id below that of the other's first line.
+    Candidates are the class of the least id with the same MinHashes, or of those a task
+    sees; a class counts as before another if it has a line with an id below that of the other's first line.
     """
     own = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
         .where("settled").select("sig", "sig2")
     rows = read.where("size(prefix) > 0").select(
-        "sig", "sig2", "size", "sketch", "least", F.col("match").isNull().alias("open"), F.explode("mins").alias("low"))
-    same = Window.partitionBy("low").orderBy("least", "sig", "sig2") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = F.col("size") + F.col("a.size")
-    pairs = store(rows.withColumn("a", F.first(F.struct("sig", "sig2", "size", "sketch", "least")).over(same)).where(
-        F.col("open") & (F.col("a.least") < F.col("least")) & (F.col("a.sig") != F.col("sig"))
-        & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("a.sketch")))
-           + 2 * F.ceil(both * F.lit(threshold / (1 + threshold)) - 1e-9) <= both)).selectExpr(
-        "sig as b_sig", "sig2 as b_sig2", "a.sig as a_sig", "a.sig2 as a_sig2", "a.least as a_least").distinct())
+        "sig", "sig2", "size", "sketch", "least", F.col("match").isNull().alias("open"), "mins")
+    pairs = store(_dealt(rows, _low_rows(threshold), _low_pairs(threshold),
+                         "b_sig long, b_sig2 long, a_sig long, a_sig2 long, a_least long",
+                         1 + rows.count() * len(_MINS) // _BUCKET).distinct())
     ends = pairs.selectExpr("b_sig as sig").unionAll(pairs.selectExpr("a_sig")).distinct()
     full = _candidate_sets(d, read, ends, order).select("sig", "sig2", "tokens")
     good = pairs.join(_side("b", full), ["b_sig", "b_sig2"]).join(_side("a", full), ["a_sig", "a_sig2"]) \
@@ -523,19 +784,12 @@ def _settled(d, read, first, order, threshold):
     return store(own.unionAll(far).distinct())
 
 
-def _matches(d, read, first, order, threshold):
-    """(sig, sig2, gone): classes that a class with an earlier first line matches."""
-    r = threshold
-    settled = _settled(d, read, first, order, threshold)
-    entries = read.where("size(prefix) > 0").groupBy("sig", "sig2").agg(
-        F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.first("prefix").alias("prefix"),
-        *(F.min(c).alias(c) for c in _WIDER)) \
-        .join(settled.withColumn("settled", F.lit(True)), ["sig", "sig2"], "left") \
-        .withColumn("settled", F.coalesce("settled", F.lit(False)))
-    probe = entries.select("sig", "size", "sketch", *_WIDER, "settled", F.posexplode("prefix").alias("pos", "token")) \
-        .where("token is not null")
-    x = probe.select(*(F.col(c).alias(f"x_{c}") for c in probe.columns))
-    y = probe.select(*(F.col(c).alias(f"y_{c}") for c in probe.columns))
+def _frequent_pairs(entries, order, frequent, r):
+    """As ``_word_pairs``, of the words that come so often that a bucket could not hold one: a join,
+    whose frequent keys are split."""
+    probe = map_arrow(entries.where("often"), _frequent_words(order, frequent), "sig long, size int, sketch long,"
+                      + "".join(f" {c} long," for c in _WIDER) + " least long, settled boolean, pos int, token int")
+    x, y = _side("x", probe), _side("y", probe)
     both = F.col("x_size") + F.col("y_size")
     need = F.ceil(both * F.lit(r / (1 + r)) - 1e-9)         # words a matching pair shares
     ahead = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
@@ -546,16 +800,29 @@ def _matches(d, read, first, order, threshold):
     def early(k):
         n = F.col(f"{k}_size")
         return F.col(f"{k}_pos") <= n - F.ceil(n * F.lit(2 * r / (1 + r)) - 1e-9)
-    # compressed tables: these are the largest of the join
-    pairs = store(x.join(y, on=[
+    return x.join(y, on=[
         F.col("x_token") == F.col("y_token"), F.col("x_sig") < F.col("y_sig"),
         ~(F.col("x_settled") & F.col("y_settled")), differ + 2 * need <= both, ahead >= need,
         F.coalesce(wider + 2 * need <= both, F.lit(True)),
         F.when(F.col("x_size") <= F.col("y_size"), early("x")).otherwise(early("y")),
-        F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")])
-        .select("x_sig", "y_sig", "x_settled", "y_settled").distinct())
+        F.least("x_size", "y_size") + 1e-9 >= r * F.greatest("x_size", "y_size")]) \
+        .select("x_sig", "y_sig", "x_settled", "y_settled")
+
+
+def _matches(d, read, first, order, frequent, threshold):
+    """(sig, sig2, gone): classes that a class with an earlier first line matches."""
+    r = threshold
+    settled = _settled(d, read, first, order, threshold)
+    entries = read.where("size(prefix) > 0").join(settled.withColumn("settled", F.lit(True)), ["sig", "sig2"], "left") \
+        .select("sig", "size", "sketch", *_WIDER, "least", F.coalesce("settled", F.lit(False)).alias("settled"), "often", "prefix")
+    n_words = read.agg(F.sum(1 + F.col("size") * (1 - r))).first()[0] or 0
+    pairs = _dealt(entries, _word_rows(order, frequent), _word_pairs(r),
+                   "x_sig long, y_sig long, x_settled boolean, y_settled boolean", 1 + int(n_words) // _BUCKET)
+    if frequent <= int(order.value.max()):
+        pairs = pairs.unionAll(_frequent_pairs(entries, order, frequent, r))
+    pairs = store(pairs.distinct())
     ends = pairs.selectExpr("x_sig as sig").unionAll(pairs.selectExpr("y_sig")).distinct()
-    del entries, probe, x, y
+    del entries
     sets = _candidate_sets(d, read, ends, order)
     named = first.join(ends, "sig", "left_semi").select("sig", "sig2", F.col("first").alias("at"))
 
