@@ -331,6 +331,24 @@ def _local_matches(tokens, offs, sketch, pick, least, lows, threshold):
     return match
 
 
+def _packed(numbers, offs):
+    """Runs of numbers -> an Arrow array of their bytes, which the JVM passes on as they are."""
+    import numpy as np
+    import pyarrow as pa
+    ends = np.asarray(offs, np.int64) * numbers.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(numbers.tobytes())])
+
+
+def _unpacked(column, kind):
+    """(numbers, offsets) of what ``_packed`` made."""
+    import numpy as np
+    size = np.dtype(kind).itemsize
+    _, offs, data = column.buffers()
+    offs = np.frombuffer(offs, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) // size
+    return np.frombuffer(data or b"", kind, int(offs[-1] - offs[0]), int(offs[0]) * size), offs - offs[0]
+
+
 def _reader(rank, threshold, frequent=1 << COUNTER_BITS):
     """Rows of documents -> per row the lines' set signatures, and per new set its
     entry for the index (prefix, size, sketch, hash of the line's text)."""
@@ -383,7 +401,6 @@ def _reader(rank, threshold, frequent=1 << COUNTER_BITS):
                     large = size > LARGE
                     token = (tokens[src] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     ranks = order[(tokens[src] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                    once = ranks < 0
                     often = np.zeros(k, bool)
                     often[np.searchsorted(ends, np.flatnonzero(ranks >= frequent), "right")] = True
                     yield pa.RecordBatch.from_arrays([
@@ -392,14 +409,12 @@ def _reader(rank, threshold, frequent=1 << COUNTER_BITS):
                         pa.array(sig[pick]), pa.array(sig2[pick]), pa.array(size.astype(np.int32)),
                         pa.array(sketch[pick]), pa.array(line_hash), pa.array(least),
                         pa.array(match, mask=match == last),
-                        lists(lows.T.ravel().view(np.int64), np.arange(k + 1) * len(_MINS), pa.int64()),
+                        _packed(lows.T.ravel(), np.arange(k + 1) * len(_MINS)),
                         *(pa.array(w, mask=~large) for w in wide[pick].T),
                         pa.array(often),
-                        # a word that comes once brings no two sets together
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                                                 pa.array(token, mask=once))],
+                        _packed(token, np.concatenate([[0], ends]))],
                         names=_NAMES)
-                    del token, once, wide
+                    del token, ranks, wide
                 del tokens, offs, src
     return run
 
@@ -411,7 +426,7 @@ _NAMES = ["id", "rk", "sigs", "sigs2", "sig", "sig2", "size", "sketch", "line",
 def _INDEX_TYPES():
     import pyarrow as pa
     i = pa.int64()
-    return [i, i, pa.int32(), i, i, i, i, pa.list_(i), *[i] * JOIN_WIDE, pa.bool_(), pa.list_(pa.int32())]
+    return [i, i, pa.int32(), i, i, i, i, pa.binary(), *[i] * JOIN_WIDE, pa.bool_(), pa.binary()]
 
 
 #: 64-bit words of the sketch that candidates are compared by before their words are.
@@ -495,8 +510,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = spark.sparkContext.broadcast(ranks)
     read = store(map_arrow(d, _reader(order, threshold, frequent),
                            "id long, rk long, sigs array<long>, sigs2 array<long>, sig long, sig2 long,"
-                           " size int, sketch long, line long, least long, match long, mins array<long>,"
-                           + "".join(f" {c} long," for c in _WIDER) + " often boolean, prefix array<int>",
+                           " size int, sketch long, line long, least long, match long, mins binary,"
+                           + "".join(f" {c} long," for c in _WIDER) + " often boolean, prefix binary",
                            trim=True))
     rows = read.where("sigs is not null").select("id", "rk", "sigs", "sigs2")
     if not rows.groupBy("id", "rk").count().where("count > 1").isEmpty():
@@ -552,11 +567,9 @@ def _dealt(df, pack, join, schema, buckets):
             to = (_mix(rows["key"].astype(np.uint64), _MINS[0]) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
             some, start = np.unique(to[order], return_index=True)
-            ends = np.append(start, len(rows)) * rows.itemsize
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.full(len(some), kind, np.int32)), pa.Array.from_buffers(
-                    pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(rows[order].tobytes())])],
-                names=["bucket", "kind", "rows"])
+                [pa.array(some), pa.array(np.full(len(some), kind, np.int32)),
+                 _packed(rows[order], np.append(start, len(rows)))], names=["bucket", "kind", "rows"])
 
     def run(_, table):
         import pyarrow as pa
@@ -571,52 +584,49 @@ _LOW = [("key", "<u8"), ("sig", "<i8"), ("sig2", "<i8"), ("least", "<i8"), ("ske
         ("open", "?")]
 
 
-def _after_heads(rows, threshold):
-    """Sorted rows with equal keys side by side, the least id first: (place of each row's head, may it match it?)."""
+def _low_order(rows):
+    """Rows by key, of each the least id first, and the place of each row's first."""
     import numpy as np
+    rows = rows[np.lexsort((rows["sig2"], rows["sig"], rows["least"], rows["key"]))]
     start = np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]])
-    head = np.flatnonzero(start)[np.cumsum(start) - 1]
-    a = rows[head]
-    both = rows["size"].astype(np.int64) + a["size"]
-    need = np.ceil(both * (threshold / (1 + threshold)) - 1e-9)
-    apart = np.bitwise_count(rows["sketch"] ^ a["sketch"])
-    return head, rows["open"] & (a["least"] < rows["least"]) & (a["sig"] != rows["sig"]) & (apart + 2 * need <= both)
-
-
-def _low_rows(threshold):
-    """A batch of classes -> rows by MinHash.  Of equal MinHashes in the batch only the class of the
-    least id goes to the bucket; one that may match it gets a key of its own, with a copy of it, so
-    that a frequent MinHash brings a bucket no more than a row a batch."""
-    def pack(b):
-        import numpy as np
-        import pyarrow.compute as pc
-        lows = np.asarray(pc.list_flatten(b.column("mins")), np.int64).view(np.uint64)
-        rows = np.empty(len(lows), _LOW)
-        rows["key"] = lows
-        for c in ("sig", "sig2", "least", "sketch", "size", "open"):
-            rows[c] = np.repeat(np.asarray(b.column(c)), len(_MINS)).astype(rows.dtype[c], copy=False)
-        if not len(rows):
-            return [rows]
-        rows = rows[np.lexsort((rows["sig2"], rows["sig"], rows["least"], rows["key"]))]
-        head, may = _after_heads(rows, threshold)
-        first = rows[np.unique(head)]
-        after, ahead = rows[may], rows[head[may]]
-        after["key"] = ahead["key"] = _mix(after["key"] ^ after["sig"].view(np.uint64), _MINS[1])
-        return [np.concatenate([first, after, ahead])]
-    return pack
+    return rows, np.flatnonzero(start)[np.cumsum(start) - 1]
+
+
+def _low_rows(b):
+    """A batch of classes -> rows by MinHash; of equal MinHashes in the batch the class of the least id, and
+    those that have no match yet."""
+    import numpy as np
+    lows, _ = _unpacked(b.column("mins"), "<u8")
+    rows = np.empty(len(lows), _LOW)
+    rows["key"] = lows
+    for c in ("sig", "sig2", "least", "sketch", "size", "open"):
+        rows[c] = np.repeat(np.asarray(b.column(c)), len(_MINS)).astype(rows.dtype[c], copy=False)
+    if len(rows):
+        rows, head = _low_order(rows)
+        rows = rows[rows["open"] | (head == np.arange(len(rows)))]
+    return [rows]
 
 
 def _low_pairs(threshold):
+    """Rows by MinHash -> each open class with the first of its key and with the one just before it."""
+    part = threshold / (1 + threshold)
+
     def join(data):
         import numpy as np
         import pyarrow as pa
-        rows = np.frombuffer(data[0], _LOW)
-        rows = rows[np.lexsort((rows["sig2"], rows["sig"], rows["least"], rows["key"]))]
-        head, may = _after_heads(rows, threshold)
-        b, a = rows[may], rows[head[may]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(x)) for x in (b["sig"], b["sig2"], a["sig"], a["sig2"], a["least"])],
-            names=["b_sig", "b_sig2", "a_sig", "a_sig2", "a_least"])
+        rows, head = _low_order(np.frombuffer(data[0], _LOW))
+        at = np.arange(len(rows))
+        before = np.maximum(at - 1, head)
+        for b, a in ((at, head), (at[before > head], before[before > head])):
+            b, a = rows[b], rows[a]
+            both = b["size"].astype(np.int64) + a["size"]
+            apart = np.bitwise_count(b["sketch"] ^ a["sketch"])
+            may = b["open"] & (a["least"] < b["least"]) & (a["sig"] != b["sig"]) & (
+                apart + 2 * np.ceil(both * part - 1e-9) <= both)
+            b, a = b[may], a[may]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(x)) for x in (b["sig"], b["sig2"], a["sig"], a["sig2"], a["least"])],
+                names=["b_sig", "b_sig2", "a_sig", "a_sig2", "a_least"])
     return join
 
 
@@ -630,9 +640,8 @@ def _word_rows(rank, frequent):
     """A batch of classes -> their first words that are not frequent, of small sets and of large ones."""
     def pack(b):
         import numpy as np
-        row, pos, token = _first_words(b)
-        slot = token.view(np.uint32) >> np.uint32(32 - COUNTER_BITS)
-        few = rank.value[slot.astype(np.int64)] < frequent
+        row, pos, token, ranks = _first_words(b, rank)
+        few = ranks < frequent
         large = (np.asarray(b.column("size")) > LARGE)[row]
         for kind, take in ((_WORD, few & ~large), (_LARGE_WORD, few & large)):
             rows = np.empty(int(take.sum()), kind)
@@ -651,9 +660,8 @@ def _frequent_words(rank, frequent):
         import numpy as np
         import pyarrow as pa
         for b in batches:
-            row, pos, token = _first_words(b)
-            slot = token.view(np.uint32) >> np.uint32(32 - COUNTER_BITS)
-            many = rank.value[slot.astype(np.int64)] >= frequent
+            row, pos, token, ranks = _first_words(b, rank)
+            many = ranks >= frequent
             at = pa.array(row[many])
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c).take(at) for c in _CLASS), pa.array(pos[many].astype(np.int32)), pa.array(token[many])],
@@ -675,33 +683,33 @@ def _word_pairs(threshold):
         import numpy as np
         import pyarrow as pa
         kinds = [np.frombuffer(data.get(kind, b""), form) for kind, form in enumerate((_WORD, _LARGE_WORD))]
-        rows = np.zeros(sum(map(len, kinds)), _LARGE_WORD)
-        for c in rows.dtype.names:
-            rows[c][:len(kinds[0])] = kinds[0][c] if c not in _WIDER else 0
-            rows[c][len(kinds[0]):] = kinds[1][c]
-        order = np.argsort(rows["key"], kind="stable")
-        key = rows["key"][order]
-        same = key[1:] == key[:-1]
-        rows = rows[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
-        rows = rows[np.lexsort((rows["sig"], rows["size"], rows["key"]))]
-        if not len(rows):
+        key, sig, sketch, size, pos, least, settled = (
+            np.concatenate([rows[c] for rows in kinds]) for c, _ in _WORD)
+        wide = [np.concatenate([np.zeros(len(kinds[0]), np.uint64), kinds[1][c]]) for c in _WIDER]
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        pick = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        if not len(pick):
             return
-        # one row a class, which more than one batch may have shown
-        start = np.flatnonzero(np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1])
-                                               | (rows["sig"][1:] != rows["sig"][:-1])]))
-        least = np.minimum.reduceat(rows["least"], start)
-        rows = rows[start]
-        size, sig, sketch, settled = (np.ascontiguousarray(rows[c]) for c in ("size", "sig", "sketch", "settled"))
-        pos, wide = size - rows["pos"], [np.ascontiguousarray(rows[c]) for c in _WIDER]
+        # one row a word and class, which more than one batch may have shown
+        twin = _mix(sig[pick].view(np.uint64), _MINS[0]) ^ _mix(key[pick].astype(np.uint64), _MINS[1])
+        order = np.argsort(twin)
+        start = np.flatnonzero(np.concatenate([[True], twin[order][1:] != twin[order][:-1]]))
+        least = np.minimum.reduceat(least[pick[order]], start)
+        pick = pick[order[start]]
+        place = (key[pick].astype(np.int64) << 32) | size[pick]
+        order = np.argsort(place)
+        place, least, pick = place[order], least[order], pick[order]
+        sig, sketch, size, pos, settled = (c[pick] for c in (sig, sketch, size, pos, settled))
+        wide = [w[pick] for w in wide]
         n = size.astype(np.int64)
-        place = (rows["key"].astype(np.int64) << 32) | n
         most = ((n + 1e-9) / threshold).astype(np.int64)
         end = np.searchsorted(place, (place - n) + np.minimum(most, (1 << 32) - 1), "right")
-        early = rows["pos"] <= n - np.ceil(n * (2 * part) - 1e-9)
+        early = pos <= n - np.ceil(n * (2 * part) - 1e-9)
         slack = np.arange(2 * int(n.max()) + 1)
         slack = (slack - 2 * np.ceil(slack * part - 1e-9)).astype(np.int32)      # words two sets may differ by
         opened = np.flatnonzero(~settled)
-        at = np.arange(len(rows))
+        left, at = size - pos, np.arange(len(size))
         for firsts, others in ((at[early & ~settled], at), (at[early & settled], opened)):
             low, high = np.searchsorted(others, firsts + 1), np.searchsorted(others, end[firsts])
             count = high - low
@@ -716,7 +724,7 @@ def _word_pairs(threshold):
                 may = np.bitwise_count(sketch[x] ^ sketch[y]) <= allowed
                 x, y, allowed = x[may], y[may], allowed[may]
                 both = n[x] + n[y]
-                may = 2 * np.minimum(pos[x], pos[y]).astype(np.int64) >= both - allowed
+                may = (2 * np.minimum(left[x], left[y]).astype(np.int64) >= both - allowed) & (sig[x] != sig[y])
                 may &= (n[x] <= LARGE) | (n[y] <= LARGE) | (
                     sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int32) for w in wide) <= allowed)
                 may &= np.where(least[x] < least[y], ~settled[y], np.where(least[x] > least[y], ~settled[x], True))
@@ -729,18 +737,17 @@ def _word_pairs(threshold):
     return join
 
 
-def _first_words(b):
-    """(row, position, word) of the words in a batch's column ``prefix``, without nulls."""
+def _first_words(b, rank):
+    """(row, position, word, rank) of the words in a batch's column ``prefix``; one that comes once brings no
+    two sets together and is left out."""
     import numpy as np
-    import pyarrow.compute as pc
-    lists = b.column("prefix")
-    offs = np.asarray(lists.offsets, np.int64)
+    token, offs = _unpacked(b.column("prefix"), "<i4")
     n = np.diff(offs)
-    flat = lists.flatten()
     row = np.repeat(np.arange(len(n)), n)
-    pos = np.arange(len(row)) - np.repeat(offs[:-1] - offs[0], n)
-    some = np.asarray(flat.is_valid())
-    return row[some], pos[some], np.asarray(pc.drop_null(flat), np.int32)
+    pos = np.arange(len(row)) - np.repeat(offs[:-1], n)
+    ranks = rank.value[(token.view(np.uint32) >> np.uint32(32 - COUNTER_BITS)).astype(np.int64)]
+    more = ranks >= 0
+    return row[more], pos[more], token[more], ranks[more]
 
 
 def _candidate_sets(d, read, ends, order):
@@ -766,14 +773,14 @@ def _similar(threshold):
 def _settled(d, read, first, order, threshold):
     """(sig, sig2) of classes that one of a fixed number of classes before them matches.
 
-    Candidates are the class of the least id with the same MinHashes, or of those a task
-    sees; a class counts as before another if it has a line with an id below that of the other's first line.
+    Candidates are, of the classes with the same MinHashes, that of the least id and the one
+    just before in the order of ids; a class counts as before another if it has a line with an id below that of the other's first line.
     """
     own = read.groupBy("sig", "sig2").agg((F.min("match") < F.min("least")).alias("settled")) \
         .where("settled").select("sig", "sig2")
-    rows = read.where("size(prefix) > 0").select(
+    rows = read.where("length(prefix) > 0").select(
         "sig", "sig2", "size", "sketch", "least", F.col("match").isNull().alias("open"), "mins")
-    pairs = store(_dealt(rows, _low_rows(threshold), _low_pairs(threshold),
+    pairs = store(_dealt(rows, _low_rows, _low_pairs(threshold),
                          "b_sig long, b_sig2 long, a_sig long, a_sig2 long, a_least long",
                          1 + rows.count() * len(_MINS) // _BUCKET).distinct())
     ends = pairs.selectExpr("b_sig as sig").unionAll(pairs.selectExpr("a_sig")).distinct()
@@ -813,7 +820,7 @@ def _matches(d, read, first, order, frequent, threshold):
     """(sig, sig2, gone): classes that a class with an earlier first line matches."""
     r = threshold
     settled = _settled(d, read, first, order, threshold)
-    entries = read.where("size(prefix) > 0").join(settled.withColumn("settled", F.lit(True)), ["sig", "sig2"], "left") \
+    entries = read.where("length(prefix) > 0").join(settled.withColumn("settled", F.lit(True)), ["sig", "sig2"], "left") \
         .select("sig", "size", "sketch", *_WIDER, "least", F.coalesce("settled", F.lit(False)).alias("settled"), "often", "prefix")
     n_words = read.agg(F.sum(1 + F.col("size") * (1 - r))).first()[0] or 0
     pairs = _dealt(entries, _word_rows(order, frequent), _word_pairs(r),
