@@ -23,9 +23,14 @@ A family of variants of one line would make pairs with the square of its size.
 Whether a class goes needs one earlier match only, so the pass that reads the lines
 already looks for one: among the sets of a batch with equal MinHashes, each is
 verified against the earliest.  Then the same over all rows: each class is verified
-against the earliest class of each of its pairs of MinHashes, a fixed number of pairs
-a class.  A class that has a match there before its own first line is settled; a pair
-is made only if one of the two is not settled.
+against the earliest class of each of its pairs of MinHashes and the one just before it,
+a fixed number of pairs a class.  A class that has a match there before its own first
+line is settled; a pair is made only if the later of the two is not settled.
+
+Words and MinHashes are joined in buckets, about as large as ``_BUCKET`` rows: a task
+packs many rows into one value, so that Spark shuffles few, and a bucket's rows are
+sorted and compared as arrays, ``_COMPARE`` pairs at a time.  Words that come more than
+FREQUENT times are joined row by row instead, as a bucket could not hold them.
 """
 
 from __future__ import annotations

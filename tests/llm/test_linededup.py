@@ -180,3 +180,90 @@ def test_word_hashes_are_xxh64():
     assert L._hashes(pa.array(made).slice(3, 50)).tolist() == want[3:53]
     assert L._hashes(pa.array(["", ""])).tolist() == [xxh(b"")] * 2
     assert len(L._hashes(pa.array([], pa.string()))) == 0
+
+
+def test_words_are_coded_by_their_hashes():
+    import pyarrow as pa
+    from xxhash import xxh64_intdigest as xxh
+    rng = random.Random(6)
+    made = ["a", "a\0", "a\0\0", "ü", "1234567", "12345678", "x" * 40,
+            *("".join(chr(rng.randrange(1, 400)) for _ in range(rng.randrange(1, 12))) for _ in range(900))] * 3
+    for flat, want in ((pa.array(made), made), (pa.array(made).slice(5, 900), made[5:905]), (pa.array(["b"]), ["b"])):
+        h, code = L._coded(flat)
+        assert h[code].tolist() == [xxh(w.encode()) for w in want]
+        assert len(h) == len(set(want))
+
+
+def test_a_buckets_pairs_are_those_that_match_and_are_wanted(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(7)
+    base = [rng.sample(range(400), n) for n in (3, 12, 40, 95, 97, 140, 230)]
+    sets = []
+    for i in range(260):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, len(w) // 12, len(w) // 8])):
+            w[rng.randrange(len(w))] = rng.randrange(400)
+        sets.append(frozenset(f"w{x}" for x in w))
+    sets = list(dict.fromkeys(sets))
+    rank = type("", (), {"value": np.random.default_rng(2).permutation(1 << L.COUNTER_BITS).astype(np.int32)})
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(sets))), "rk": list(range(len(sets))),
+                                        "text": [" ".join(sorted(s)) for s in sets]})
+    got = [b for b in L._reader(rank, 0.8)(iter([batch])) if b.column("sig").null_count == 0][0]
+    settled = np.array([rng.random() < 0.4 for _ in range(got.num_rows)])
+    got = got.append_column("settled", pa.array(settled))
+    of = dict(zip(got.column("sig").to_pylist(), range(got.num_rows)))
+    least = got.column("least").to_pylist()                 # the set's id: each comes once
+    data = {k: np.concatenate([a, a]).tobytes()             # shown by two batches
+            for k, a in enumerate(L._word_rows(rank, 1 << L.COUNTER_BITS)(got))}
+    want = {tuple(sorted((i, j))) for i in range(len(sets)) for j in range(i)
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
+    done = {least[k]: bool(settled[k]) for k in range(got.num_rows)}
+    want = {p for p in want if not done[max(p)]}
+    for compare in (L._COMPARE, 50):
+        monkeypatch.setattr(L, "_COMPARE", compare)
+        found = set()
+        for b in L._word_pairs(0.8)(data):
+            for x, y, sx, sy in zip(*(c.to_pylist() for c in b.columns)):
+                assert x < y and not (sx and sy)
+                found.add(tuple(sorted((least[of[x]], least[of[y]]))))
+        assert want <= found and len(want) > 500
+        assert all(not done[max(p)] for p in found)
+
+
+def test_frequent_words_are_joined_row_by_row(spark, monkeypatch):
+    monkeypatch.setattr(L, "FREQUENT", 12)
+    seen, frequent = [], L._frequent_pairs
+
+    def spy(*args):
+        out = frequent(*args)
+        seen.append(out.count())
+        return out
+    monkeypatch.setattr(L, "_frequent_pairs", spy)
+    rng = random.Random(9)
+    vocab = [f"w{min(int(rng.paretovariate(0.7)), 90)}" for _ in range(400)]
+    rows = [(i, "\n".join(" ".join(rng.sample(vocab, rng.randint(2, 12))) for _ in range(3))) for i in range(120)]
+    got = check(spark, rows)
+    assert seen and seen[0] > 0 and sum(len(r.removed) for r in got) > 10
+
+
+def test_a_family_in_many_batches_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        w = [f"w{k}" for k in range(60)]
+        for _ in range(6):
+            w[rng.randrange(60)] = f"v{rng.randrange(30)}"
+        rows.append((i, " ".join(w)))
+    pairs, store = [], L.store
+
+    def spy(df):
+        out = store(df)
+        if {"x_sig", "y_sig"} <= set(out.columns):
+            pairs.append(out.count())
+        return out
+    monkeypatch.setattr(L, "store", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    got = {r.id: r.removed for r in L.removed_lines(df).collect()}
+    assert got == {k: v for (k, _), v in zip(rows, brute(rows, 0.8).values())}
+    assert len(pairs) == 1 and pairs[0] < 21500
